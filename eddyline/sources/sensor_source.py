@@ -1,0 +1,113 @@
+"""The custom sensor source: ten sensors doing a Gaussian random walk.
+
+Batch twin (``sensor_walk``): every ``events`` row is one tick of its user's
+sensor; the step is a seeded Gaussian computed from (seed, sensor, tick) with
+xxhash64 + Box-Muller, so a replay gives the same values; the walk itself is a
+running sum (hot sensors stay parallel).
+
+Streaming (``SensorDataSource``): a Python data source whose micro-batches are
+tick ranges; values are a seeded function of (sensor, tick) as well.
+"""
+
+from __future__ import annotations
+
+import math
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from eddyline.operators.prefix import Running, running
+
+_MASK53 = (1 << 53) - 1
+
+
+def seeded_uniform(seed: int, *cols: Column, salt: int = 0) -> Column:
+    """Uniform in (0, 1] from a hash of the columns: the same inputs always give
+    the same number, whatever the partitioning."""
+    h = F.xxhash64(F.lit(seed), F.lit(salt), *cols)
+    return ((h.bitwiseAND(F.lit(_MASK53)) + F.lit(1)).cast("double")) / F.lit(float(1 << 53))
+
+
+def seeded_gaussian(seed: int, *cols: Column) -> Column:
+    u1 = seeded_uniform(seed, *cols, salt=1)
+    u2 = seeded_uniform(seed, *cols, salt=2)
+    return F.sqrt(F.lit(-2.0) * F.log(u1)) * F.cos(F.lit(2 * math.pi) * u2)
+
+
+def sensor_walk(ticks: DataFrame, sensor: str, tick: str, seed: int, ts: str | None = None) -> DataFrame:
+    """Start temperature ``60 + N(0,1) * 20`` per sensor, then ``prev + N(0,1)`` per tick."""
+    steps = ticks.select(
+        F.col(sensor).alias("id"),
+        F.col(tick).alias("seq"),
+        *([F.col(ts).alias("ts")] if ts else []),
+        seeded_gaussian(seed, F.col(sensor), F.col(tick)).alias("_step"),
+        (F.lit(60.0) + F.lit(20.0) * seeded_gaussian(seed, F.col(sensor), F.lit(-1))).alias("_start"),
+    )
+    walk = running(steps, ["id"], ["seq"], [Running("_walk", "sum", F.col("_step"))])
+    return walk.select("seq", "id", *(["ts"] if ts else []), (F.col("_start") + F.col("_walk")).alias("vc"))
+
+
+try:  # the Python data source API (Spark 4)
+    from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
+
+    class _TickRange(InputPartition):
+        def __init__(self, start: int, end: int, sensors: tuple[int, ...]):
+            self.start, self.end, self.sensors = start, end, sensors
+
+    class SensorStreamReader(DataSourceStreamReader):
+        def __init__(self, options: dict):
+            self.n_sensors = int(options.get("sensors", 10))
+            self.ticks_per_batch = int(options.get("ticksPerBatch", 1))
+            self.max_ticks = int(options.get("maxTicks", -1))
+            self.seed = int(options.get("seed", 7))
+            self.n_parts = max(1, int(options.get("partitions", 2)))
+            self.start_ms = int(options.get("startMs", 0))
+            self._next = 0
+
+        def initialOffset(self) -> dict:
+            return {"tick": 0}
+
+        def latestOffset(self) -> dict:
+            nxt = self._next + self.ticks_per_batch
+            if self.max_ticks >= 0:
+                nxt = min(nxt, self.max_ticks)
+            self._next = nxt
+            return {"tick": nxt}
+
+        def partitions(self, start: dict, end: dict):  # noqa: F811 - API name
+            sensors = list(range(1, self.n_sensors + 1))
+            k = self.n_parts
+            groups = [tuple(sensors[i::k]) for i in range(k)]
+            return [_TickRange(start["tick"], end["tick"], g) for g in groups if g]
+
+        def read(self, partition: _TickRange):
+            import numpy as np
+
+            for s in partition.sensors:
+                # one counter-based stream per sensor: draw 0 is the start, draw t+1
+                # the step of tick t, so any tick range replays identically
+                draws = np.random.default_rng([self.seed, s]).standard_normal(partition.end + 1)
+                temps = 60.0 + draws[0] * 20.0 + np.cumsum(draws[1:])
+                for t in range(partition.start, partition.end):
+                    yield (f"sensor_{s}", self.start_ms + t * 1000, float(temps[t]), int(t))
+
+        def commit(self, end: dict) -> None:
+            pass
+
+    class SensorDataSource(DataSource):
+        """``spark.readStream.format("eddyline_sensor")``: options ``sensors``,
+        ``ticksPerBatch``, ``maxTicks``, ``seed``, ``partitions``, ``startMs``."""
+
+        @classmethod
+        def name(cls) -> str:
+            return "eddyline_sensor"
+
+        def schema(self) -> str:
+            return "id string, ts bigint, vc double, tick bigint"
+
+        def streamReader(self, schema):
+            return SensorStreamReader(self.options)
+
+    HAS_PY_DATASOURCE = True
+except ImportError:  # pragma: no cover - older Spark
+    HAS_PY_DATASOURCE = False
