@@ -14,8 +14,14 @@ def _c(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+_REGEX_META = ".$|()[{^?*+\\"
+
+
 def _quote(sep: str) -> str:
-    """Literal separator as a Java regex."""
+    """Literal separator as a Java regex. One plain character (or one escaped
+    metacharacter) keeps Java's non-regex fast path for ``split``."""
+    if len(sep) == 1:
+        return "\\" + sep if sep in _REGEX_META else sep
     if "\\E" in sep:
         return "".join("\\" + ch if not ch.isalnum() else ch for ch in sep)
     return "\\Q" + sep + "\\E"
@@ -30,7 +36,10 @@ def java_split(col: ColumnOrName, sep: str = " ") -> Column:
     """
     c = _c(col)
     pat = _quote(sep)
-    stripped = F.regexp_replace(c, f"(?:{pat})+\\z", "")
+    if len(sep) == 1:
+        stripped = F.rtrim(c, F.lit(sep))
+    else:
+        stripped = F.regexp_replace(c, f"(?:{pat})+\\z", "")
     empty = F.array().cast(T.ArrayType(T.StringType()))
     return (
         F.when(c == "", F.array(F.lit("")))
@@ -40,13 +49,25 @@ def java_split(col: ColumnOrName, sep: str = " ") -> Column:
 
 
 def text_lines(col: ColumnOrName) -> Column:
-    """Lines of a text as a line reader yields them: split on ``\\n`` (a ``\\r``
-    before it belongs to the terminator), no extra line after a final newline,
-    no line at all for an empty text."""
+    """Lines of a text as a line reader yields them: split on ``\\n``, no extra
+    line after a final newline, no line at all for an empty text. A ``\\r``
+    before the newline stays on the line here; ``strip_cr`` removes it."""
     c = _c(col)
-    body = F.regexp_replace(c, "\\r?\\n\\z", "")
+    body = F.when(c.endswith("\n"), F.expr("substring({0}, 1, length({0}) - 1)".format(_sql_name(col)))).otherwise(c)
     empty = F.array().cast(T.ArrayType(T.StringType()))
-    return F.when(c == "", empty).otherwise(F.split(body, "\\r?\\n", -1))
+    return F.when(c == "", empty).otherwise(F.split(body, "\n", -1))
+
+
+def strip_cr(col: ColumnOrName) -> Column:
+    """Drop one ``\\r`` that ended a ``\\r\\n`` line terminator."""
+    c = _c(col)
+    return F.when(c.endswith("\r"), F.expr("substring({0}, 1, length({0}) - 1)".format(_sql_name(col)))).otherwise(c)
+
+
+def _sql_name(col: ColumnOrName) -> str:
+    if not isinstance(col, str):
+        raise TypeError("pass a column name")
+    return f"`{col}`"
 
 
 def utf16_length(col: ColumnOrName) -> Column:

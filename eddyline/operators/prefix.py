@@ -104,13 +104,14 @@ def running(
         staged = staged.withColumn("_hot", F.lit(True))
     else:
         # 1. hot keys; the threshold T is a scalar subquery over the same input.
-        if hot_rows is not None:
-            thr = F.lit(float(hot_rows))
-        else:
-            thr = work.select((F.count(F.lit(1)) / F.lit(p)).alias("t")).scalar()
         stats = work.groupBy(*keys).agg(
             F.count(F.lit(1)).alias("_n"), F.min("_o").alias("_lo"), F.max("_o").alias("_hi")
         )
+        if hot_rows is not None:
+            thr = F.lit(float(hot_rows))
+        else:
+            # rows / P from the stats themselves (their shuffle is reused, no extra scan)
+            thr = stats.select((F.sum("_n") / F.lit(p)).alias("t")).scalar()
         hot_names = [f"_hk{i}" for i in range(len(keys))]
         hot = stats.filter(F.col("_n") > thr).select(
             *[F.col(k).alias(h) for k, h in zip(keys, hot_names)],
@@ -159,7 +160,8 @@ def running(
             "last": F.max(ordered),
         }[a.kind]
         total_exprs.append(e.alias(f"_t_{a.name}"))
-    totals = staged.filter("_hot").groupBy(*keys, "_b").agg(*total_exprs)
+    # computed from the window's input partitioning: no second shuffle of the data
+    totals = local.filter("_hot").groupBy(*keys, "_b").agg(*total_exprs)
     w_prev = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     off_exprs = [F.count(F.lit(1)).over(w_prev).alias("_nprev")]
     for a in aggs:

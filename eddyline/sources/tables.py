@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eddyline.functions.text import text_lines
+from eddyline.functions.text import strip_cr, text_lines
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -53,4 +53,5 @@ def sensor_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per text line of ``documents``: (doc_id, line_no 0-based, value)."""
     docs = table(spark, sf_dir, "documents")
-    return docs.select("doc_id", F.posexplode(text_lines("text")).alias("line_no", "value"))
+    lines = docs.select("doc_id", F.posexplode(text_lines("text")).alias("line_no", "value"))
+    return lines.select("doc_id", "line_no", strip_cr("value").alias("value"))

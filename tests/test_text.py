@@ -1,0 +1,105 @@
+import pytest
+from pyspark.sql import functions as F
+
+from eddyline.functions.text import (
+    java_split,
+    java_ts_text,
+    parse_sensor,
+    sensor_to_doc,
+    sensor_to_json,
+    sensor_to_kv,
+    sensor_to_string,
+    strip_cr,
+    text_lines,
+    utf16_length,
+)
+
+
+def _split(spark, value, sep=" "):
+    return spark.createDataFrame([(value,)], "v string").select(java_split("v", sep).alias("a")).first().a
+
+
+@pytest.mark.parametrize(
+    "line,words",
+    [("a  b  ", ["a", "", "b"]), (" a", ["", "a"]), ("", [""]), ("  ", []), ("hello world", ["hello", "world"])],
+)
+def test_java_split_space(spark, line, words):
+    assert _split(spark, line) == words
+
+
+def test_java_split_comma_and_metachar(spark):
+    assert _split(spark, "a,b,,", ",") == ["a", "b"]
+    assert _split(spark, "a.b..", ".") == ["a", "b"]
+    assert _split(spark, "a||b||", "||") == ["a", "b"]
+    assert _split(spark, "a|b", "|") == ["a", "b"]
+
+
+def test_text_lines(spark):
+    df = spark.createDataFrame([("a\nb\n",), ("x\r\ny",), ("",), ("one",), ("\n\n",)], "t string")
+    got = [r.l for r in df.select(F.transform(text_lines("t"), lambda x: x).alias("l")).collect()]
+    assert got == [["a", "b"], ["x\r", "y"], [], ["one"], ["", ""]]
+    cr = spark.createDataFrame([("x\r",), ("y",)], "v string").select(strip_cr("v").alias("v")).collect()
+    assert [r.v for r in cr] == ["x", "y"]
+
+
+def test_utf16_length(spark):
+    df = spark.createDataFrame([("a😀",), ("",), ("héllo",)], "t string")
+    assert [r.n for r in df.select(utf16_length("t").alias("n")).collect()] == [3, 0, 5]
+
+
+def test_java_ts_text(spark):
+    df = spark.sql(
+        "SELECT TIMESTAMP_NTZ'2022-02-09 20:27:35' AS a, TIMESTAMP_NTZ'2022-02-09 20:27:35.5' AS b"
+    )
+    r = df.select(java_ts_text("a").alias("a"), java_ts_text("b").alias("b")).first()
+    assert (r.a, r.b) == ("2022-02-09 20:27:35.0", "2022-02-09 20:27:35.5")
+
+
+def test_parse_sensor_fixture(sensors):
+    rows = sensors.orderBy("seq").collect()
+    assert len(rows) == 7
+    assert (rows[0].id, rows[0].ts, rows[0].vc) == ("sensor_1", 1547718199, 35.8)
+    assert (rows[3].id, rows[3].ts, rows[3].vc) == ("sensor_10", 1547718205, 38.1)
+
+
+BAD = ["sensor_1,abc,1.0", "sensor_1,1", "sensor_1, 12 ,1.0", "sensor_1,1,inf"]
+
+
+@pytest.mark.parametrize("line", BAD)
+def test_parse_sensor_fails_on_bad_line(spark, line):
+    df = spark.createDataFrame([(line,)], "value string")
+    parsed, _ = parse_sensor(df)
+    with pytest.raises(Exception):
+        parsed.collect()
+
+
+def test_parse_sensor_quarantine_and_extra_fields(spark):
+    lines = BAD + ["sensor_1,1,2.0,extra", "sensor_2,5,NaN", "sensor_3,7,-Infinity"]
+    df = spark.createDataFrame([(x,) for x in lines], "value string")
+    good, bad = parse_sensor(df, on_error="quarantine")
+    assert sorted(r.id for r in good.collect()) == ["sensor_1", "sensor_2", "sensor_3"]
+    assert sorted(r.value for r in bad.collect()) == sorted(BAD)
+    dropped, none = parse_sensor(df, on_error="drop")
+    assert none is None and dropped.count() == 3
+
+
+def test_record_shapes(sensors):
+    r = (
+        sensors.filter("seq = 1")
+        .select(
+            sensor_to_json().alias("j"),
+            sensor_to_doc().alias("d"),
+            sensor_to_kv().alias("kv"),
+            sensor_to_string().alias("s"),
+        )
+        .first()
+    )
+    assert r.j == '{"id":"sensor_1","ts":1547718199,"vc":35.8}'
+    assert r.d == {"ts": "1547718199", "vc": "35.8"}
+    assert (r.kv.key, r.kv.value) == ("sensor_1", "35.8")
+    assert r.s == "WaterSensor{id='sensor_1', ts=1547718199, vc=35.8}"
+
+
+def test_json_skips_null_fields(spark):
+    df = spark.createDataFrame([("s", None, 1.5)], "id string, ts long, vc double")
+    assert df.select(sensor_to_json().alias("j")).first().j == '{"id":"s","vc":1.5}'
