@@ -59,3 +59,8 @@ def apply_window(
     ``(keys..., win_start, win_end)`` group as a pandas frame. Use only when
     no aggregate expresses the function: one group must fit one worker."""
     return df.groupBy(*keys, "win_start", "win_end").applyInPandas(fn, schema)
+
+
+from eddyline._ship import ship_by_value  # noqa: E402
+
+ship_by_value(__name__)

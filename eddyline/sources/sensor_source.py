@@ -68,11 +68,12 @@ try:  # the Python data source API (Spark 4)
             return {"tick": 0}
 
         def latestOffset(self) -> dict:
-            nxt = self._next + self.ticks_per_batch
+            # a bounded run (maxTicks) has all its ticks available at once; an
+            # unbounded one advances ticksPerBatch ticks per micro-batch
             if self.max_ticks >= 0:
-                nxt = min(nxt, self.max_ticks)
-            self._next = nxt
-            return {"tick": nxt}
+                return {"tick": self.max_ticks}
+            self._next += self.ticks_per_batch
+            return {"tick": self._next}
 
         def partitions(self, start: dict, end: dict):  # noqa: F811 - API name
             sensors = list(range(1, self.n_sensors + 1))
@@ -111,3 +112,8 @@ try:  # the Python data source API (Spark 4)
     HAS_PY_DATASOURCE = True
 except ImportError:  # pragma: no cover - older Spark
     HAS_PY_DATASOURCE = False
+
+
+from eddyline._ship import ship_by_value  # noqa: E402
+
+ship_by_value(__name__)
