@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from eddyline.operators.prefix import Running, running
 from eddyline.operators.windows import duration_us
+from eddyline.session import materialize
 
 
 def _interval(text: str):
@@ -57,7 +58,11 @@ def on_time_windows(classified: DataFrame, key: str, value: str) -> DataFrame:
 def allowed_lateness(classified: DataFrame, key: str, value: str, arrival: list[str]) -> DataFrame:
     """``allowedLateness``: firing 0 is the on-time result; every late row that is
     not dropped fires the window again with the updated result (firing 1, 2, ...).
-    A window with no on-time rows has no firing 0."""
+    A window with no on-time rows has no firing 0.
+
+    The classified rows feed three branches, so they are materialized once
+    (reliable checkpoint) rather than re-running the global watermark scan."""
+    classified = materialize(classified)
     on_time = on_time_windows(classified, key, value).select(
         key, "win_start", F.lit(0).cast("long").alias("firing"), F.col("sum_vc"), F.col("cnt")
     )

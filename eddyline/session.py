@@ -73,3 +73,11 @@ def target_parallelism(spark: SparkSession) -> int:
 
 def env_master() -> str:
     return f"local[{os.environ.get('BENCH_CPUS', '8')}]"
+
+
+def materialize(df):
+    """Cut the lineage of a frame that several branches reuse: a reliable
+    checkpoint into the shared checkpoint folder (survives executor loss,
+    unlike a local checkpoint), computed once instead of once per branch."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

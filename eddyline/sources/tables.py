@@ -18,6 +18,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a scan that is narrower than the target parallelism (e.g. one large
+    row group) before heavy per-row work; wide scans (the normal case on a
+    cluster) are left as they are, so no extra shuffle is added there."""
+    from eddyline.session import target_parallelism
+
+    p = target_parallelism(df.sparkSession)
+    if df.rdd.getNumPartitions() < p:
+        return df.repartition(p)
+    return df
+
+
 def epoch_millis(ts_col) -> F.Column:
     """Milliseconds since the epoch of a TIMESTAMP_NTZ, independent of the session zone."""
     return F.expr(f"timestampdiff(MILLISECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {ts_col})")
@@ -52,6 +64,6 @@ def sensor_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per text line of ``documents``: (doc_id, line_no 0-based, value)."""
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
     lines = docs.select("doc_id", F.posexplode(text_lines("text")).alias("line_no", "value"))
     return lines.select("doc_id", "line_no", strip_cr("value").alias("value"))
