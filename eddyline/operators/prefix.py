@@ -66,6 +66,48 @@ def _null_safe_on(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]
     return reduce(lambda a, b: a & b, [left[l].eqNullSafe(right[r]) for l, r in pairs])
 
 
+def assign_buckets(
+    df: DataFrame, keys: list[str], order: list[str], hot_rows: float | None = None
+) -> tuple[DataFrame, list[str]]:
+    """Steps 1-2: add ``_b`` (bucket of the first ordering column, 0 for keys that
+    are not hot) and ``_hot``. Returns the frame and the key columns to use
+    (``["_gk"]``, a constant, when ``keys`` is empty)."""
+    spark = df.sparkSession
+    work = df
+    global_scan = not keys
+    if global_scan:
+        work = work.withColumn("_gk", F.lit(0))
+        keys = ["_gk"]
+    work = work.withColumn("_o", _numeric_order(work, order[0]))
+    p = target_parallelism(spark)
+    if global_scan:
+        # One logical key: cut the ordering range into P buckets. lo and width are
+        # scalar subqueries (merged into one scan by the optimizer), not a join.
+        lo = work.select(F.min("_o")).scalar()
+        hi = work.select(F.max("_o")).scalar()
+        width = (hi - lo + F.lit(1.0)) / F.lit(float(p))
+        staged = work.withColumn("_b", F.coalesce(F.floor((F.col("_o") - lo) / width), F.lit(0)).cast("long"))
+        return staged.withColumn("_hot", F.lit(True)).drop("_o"), keys
+    stats = work.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_o").alias("_lo"), F.max("_o").alias("_hi"))
+    if hot_rows is not None:
+        thr = F.lit(float(hot_rows))
+    else:
+        # rows / P from the stats themselves (their shuffle is reused, no extra scan)
+        thr = stats.select((F.sum("_n") / F.lit(p)).alias("t")).scalar()
+    hot_names = [f"_hk{i}" for i in range(len(keys))]
+    hot = stats.filter(F.col("_n") > thr).select(
+        *[F.col(k).alias(h) for k, h in zip(keys, hot_names)],
+        F.col("_lo"),
+        ((F.col("_hi") - F.col("_lo") + F.lit(1.0)) / F.ceil(F.col("_n") / thr)).alias("_width"),
+    )
+    # at most P rows by construction (each hot key has more than rows / P rows)
+    hot_b = F.broadcast(hot)
+    joined = work.join(hot_b, _null_safe_on(work, hot_b, list(zip(keys, hot_names))), "left")
+    bucket = F.coalesce(F.floor((F.col("_o") - F.col("_lo")) / F.col("_width")), F.lit(0)).cast("long")
+    staged = joined.withColumn("_b", bucket).withColumn("_hot", F.col("_lo").isNotNull())
+    return staged.drop(*hot_names, "_lo", "_width", "_o"), keys
+
+
 def running(
     df: DataFrame,
     keys: list[str],
@@ -84,47 +126,8 @@ def running(
     for a in aggs:
         if a.kind not in KINDS:
             raise ValueError(f"unknown running kind {a.kind!r}")
-    spark = df.sparkSession
     cols = df.columns
-    work = df
-    global_scan = not keys
-    if global_scan:
-        work = work.withColumn("_gk", F.lit(0))
-        keys = ["_gk"]
-    work = work.withColumn("_o", _numeric_order(work, order[0]))
-
-    p = target_parallelism(spark)
-    if global_scan:
-        # One logical key: cut the ordering range into P buckets. lo and width are
-        # scalar subqueries (merged into one scan by the optimizer), not a join.
-        lo = work.select(F.min("_o")).scalar()
-        hi = work.select(F.max("_o")).scalar()
-        width = (hi - lo + F.lit(1.0)) / F.lit(float(p))
-        staged = work.withColumn("_b", F.coalesce(F.floor((F.col("_o") - lo) / width), F.lit(0)).cast("long"))
-        staged = staged.withColumn("_hot", F.lit(True))
-    else:
-        # 1. hot keys; the threshold T is a scalar subquery over the same input.
-        stats = work.groupBy(*keys).agg(
-            F.count(F.lit(1)).alias("_n"), F.min("_o").alias("_lo"), F.max("_o").alias("_hi")
-        )
-        if hot_rows is not None:
-            thr = F.lit(float(hot_rows))
-        else:
-            # rows / P from the stats themselves (their shuffle is reused, no extra scan)
-            thr = stats.select((F.sum("_n") / F.lit(p)).alias("t")).scalar()
-        hot_names = [f"_hk{i}" for i in range(len(keys))]
-        hot = stats.filter(F.col("_n") > thr).select(
-            *[F.col(k).alias(h) for k, h in zip(keys, hot_names)],
-            F.col("_lo"),
-            ((F.col("_hi") - F.col("_lo") + F.lit(1.0)) / F.ceil(F.col("_n") / thr)).alias("_width"),
-        )
-        # at most P rows by construction (each hot key has more than rows / P rows)
-        hot_b = F.broadcast(hot)
-        joined = work.join(hot_b, _null_safe_on(work, hot_b, list(zip(keys, hot_names))), "left")
-        bucket = F.coalesce(F.floor((F.col("_o") - F.col("_lo")) / F.col("_width")), F.lit(0)).cast("long")
-        staged = joined.withColumn("_b", bucket).withColumn("_hot", F.col("_lo").isNotNull()).drop(
-            *hot_names, "_lo", "_width"
-        )
+    staged, keys = assign_buckets(df, keys, order, hot_rows)
 
     # 3. local scan within (key, bucket)
     end = Window.currentRow if inclusive else -1

@@ -149,6 +149,10 @@ REC_LAST = "'f': vc, 't': seq, 'ts': ts, 'vc': vc"
 REC_FIRST = "'f': vc, 't': -seq, 'ts': ts, 'vc': vc"
 
 ORACLE: dict[str, str] = {
+    "rolling_reduce_udf": f"SELECT seq, id, last_value(ts) OVER w AS ts, max(vc) OVER w AS vc FROM ({SV}) {RUN_W}",
+    "window_avg_udaf": (
+        f"SELECT id, {_ts('ws')} AS win_start, round(avg(vc), 6) AS avg_vc FROM ({TUMBLED}) GROUP BY id, ws"
+    ),
     "document_lines": LINES,
     "split_words": WORDS,
     "word_pairs": f"SELECT word, CAST(1 AS BIGINT) AS one FROM ({WORDS})",

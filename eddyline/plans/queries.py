@@ -27,7 +27,9 @@ from eddyline.operators import window_fns as wf
 from eddyline.operators import windows as win
 from eddyline.operators.combine import connect_comap, union_all
 from eddyline.operators.prefix import Running, running
+from eddyline.operators import udaf
 from eddyline.operators.rich_map import SensorLineParser, rich_map
+from eddyline.operators.udf_reduce import latest_max_reducer, rolling_reduce_fn
 from eddyline.plans import params as P
 from eddyline.sources.sensor_source import sensor_walk
 from eddyline.sources.tables import document_lines, epoch_millis, sensor_lines, sensor_view, table
@@ -154,6 +156,12 @@ def q_rolling_reduce(spark, sf):
     return keyed.keyed_reduce_latest_max(_sv(spark, sf), "id", "vc", "seq", latest=("ts",))
 
 
+def q_rolling_reduce_udf(spark, sf):
+    """The same reducer as ``rolling_reduce`` given as a Python function."""
+    out = rolling_reduce_fn(_sv(spark, sf), "id", "seq", ["ts", "vc"], latest_max_reducer("vc", ("ts",)))
+    return out.select("seq", "id", "ts", "vc")
+
+
 def q_final_max(spark, sf):
     return keyed.keyed_max(_sv(spark, sf), "id", "vc", "seq", emit="final", carry=("ts",))
 
@@ -269,6 +277,14 @@ def q_window_avg(spark, sf):
     return _tumbled(spark, sf, F.round(F.avg("vc"), 6).alias("avg_vc")).select("id", "win_start", "avg_vc")
 
 
+def q_window_avg_udaf(spark, sf):
+    """Average through a user aggregate function (create/add/merge/result)."""
+    s = _sv(spark, sf)
+    s = s.withColumn("win_start", win.tumbling("ts", P.TUMBLE).start)
+    out = udaf.aggregate(s, ["id", "win_start"], "vc", udaf.AverageFunction(), "double", "avg_vc")
+    return out.select("id", "win_start", F.round("avg_vc", 6).alias("avg_vc"))
+
+
 def q_window_fold_concat(spark, sf):
     s = sensor_view(spark, sf)
     wf.check_fold_allowed("tumbling")
