@@ -279,6 +279,109 @@ class TriggeredWindowProcessor(StatefulProcessor):
         pass
 
 
+# ---------------------------------------------------------------- evictors on streams
+
+
+class Evictor:
+    """Removes elements of a window's buffer before and/or after the window
+    function runs. Elements are ``(seq, ts_ms, value)`` tuples in arrival order."""
+
+    def evict_before(self, elems: list[tuple]) -> list[tuple]:
+        return elems
+
+    def evict_after(self, elems: list[tuple]) -> list[tuple]:
+        return elems
+
+
+class CountEvictor(Evictor):
+    """Keep the last ``n`` elements (before the function, or after it)."""
+
+    def __init__(self, n: int, after: bool = False):
+        self.n, self.after = n, after
+
+    def _keep(self, elems):
+        return elems[-self.n :] if len(elems) > self.n else elems
+
+    def evict_before(self, elems):
+        return elems if self.after else self._keep(elems)
+
+    def evict_after(self, elems):
+        return self._keep(elems) if self.after else elems
+
+
+class TimeEvictor(Evictor):
+    """Drop elements at or before ``max ts - interval``."""
+
+    def __init__(self, interval_ms: int, after: bool = False):
+        self.interval, self.after = interval_ms, after
+
+    def _keep(self, elems):
+        if not elems:
+            return elems
+        cutoff = max(e[1] for e in elems) - self.interval
+        return [e for e in elems if e[1] > cutoff]
+
+    def evict_before(self, elems):
+        return elems if self.after else self._keep(elems)
+
+    def evict_after(self, elems):
+        return self._keep(elems) if self.after else elems
+
+
+class DeltaEvictor(Evictor):
+    """Drop elements whose ``delta(last, x)`` to the last element is >= threshold."""
+
+    def __init__(self, threshold: float, delta: Callable[[float, float], float], after: bool = False):
+        self.threshold, self.delta, self.after = threshold, delta, after
+
+    def _keep(self, elems):
+        if not elems:
+            return elems
+        last = elems[-1][2]
+        return [e for e in elems if not self.delta(last, e[2]) >= self.threshold]
+
+    def evict_before(self, elems):
+        return elems if self.after else self._keep(elems)
+
+    def evict_after(self, elems):
+        return self._keep(elems) if self.after else elems
+
+
+class EvictingWindowProcessor(StatefulProcessor):
+    """Global window per key with a count trigger and an evictor: every ``every``
+    elements the buffer is passed through ``evict_before``, summed and emitted,
+    then passed through ``evict_after`` and kept. Without an evictor that trims
+    it the buffer grows with the key, as the library's global windows do.
+    Output: (fire_seq, n_elems, sum_value)."""
+
+    def __init__(self, every: int, evictor: Evictor, value: str = "value", order: str = "seq", ts: str | None = None):
+        self.every, self.evictor, self.value, self.order, self.ts = every, evictor, value, order, ts
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.buf = handle.getListState("elems", "seq long, ts long, v double")
+        self.count = handle.getValueState("count", "n long")
+
+    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: TimerValues) -> Iterator[Row]:
+        elems = [tuple(e) for e in self.buf.get()] if self.buf.exists() else []
+        n = self.count.get()[0] if self.count.exists() else 0
+        for r in sorted(rows, key=lambda x: x[self.order]):
+            t = r[self.ts] if self.ts else 0
+            t = int(t.timestamp() * 1000) if hasattr(t, "timestamp") else int(t)
+            elems.append((r[self.order], t, float(r[self.value])))
+            n += 1
+            if n % self.every == 0:
+                elems = self.evictor.evict_before(elems)
+                yield Row(fire_seq=r[self.order], n_elems=len(elems), sum_value=sum(e[2] for e in elems))
+                elems = self.evictor.evict_after(elems)
+        self.buf.clear()
+        if elems:
+            self.buf.put(elems)
+        self.count.update((n,))
+
+    def close(self) -> None:
+        pass
+
+
 def use_rocksdb(spark) -> None:
     """transformWithState needs the RocksDB state store provider."""
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
