@@ -15,6 +15,8 @@ from typing import Any
 
 import pandas as pd
 from pyspark.sql import DataFrame
+
+from eddyline.session import target_parallelism
 from pyspark.sql import types as T
 
 
@@ -118,7 +120,7 @@ def aggregate(
         if cur is not None:
             yield pd.DataFrame([(*cur, fn.get_result(acc))], columns=[*keys, result_name])
 
-    ordered = partials.repartition(*keys).sortWithinPartitions(*keys)
+    ordered = partials.repartition(target_parallelism(df.sparkSession), *keys).sortWithinPartitions(*keys)
     return ordered.mapInPandas(merge, out_schema)
 
 

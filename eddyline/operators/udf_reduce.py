@@ -15,6 +15,8 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
+
+from eddyline.session import target_parallelism
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -71,7 +73,7 @@ def rolling_reduce_fn(
                 out.append((*row[:4], *(acc[c] for c in fields)))
             yield pd.DataFrame(out, columns=cols)
 
-    ordered = staged.repartition(key, "_b").sortWithinPartitions(key, "_b", order)
+    ordered = staged.repartition(target_parallelism(df.sparkSession), key, "_b").sortWithinPartitions(key, "_b", order)
     local = ordered.mapInPandas(local_fold, _ddl(local_schema))
 
     # last (newest) value of every hot bucket: a JVM aggregate, at most 2P rows

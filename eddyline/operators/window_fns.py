@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eddyline.functions.text import java_ts_text
+from eddyline.operators.groups import map_groups
 
 
 def label(win_start: Column | str, key: Column | str, tuple_key: bool = False) -> Column:
@@ -49,16 +50,35 @@ def min_record(value: str, order: str, record: tuple[str, ...]) -> Column:
     return F.min(F.struct(F.col(value).alias("_v"), F.col(order).alias("_o"), *[F.col(c) for c in record]))
 
 
+def java_ts_text_py(ts: pd.Timestamp) -> str:
+    """``Timestamp.toString`` in Python (fraction trimmed, at least one digit)."""
+    frac = f"{ts.microsecond:06d}".rstrip("0") or "0"
+    return f"{ts:%Y-%m-%d %H:%M:%S}.{frac}"
+
+
+def count_label_process(key_col: str) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    """The reference's ProcessWindowFunction: all elements of a window ->
+    ``(start:key, number of elements)``."""
+
+    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
+        label = java_ts_text_py(pd.Timestamp(pdf["win_start"].iloc[0])) + ":" + str(pdf[key_col].iloc[0])
+        return pd.DataFrame({"label": [label], "cnt": [len(pdf)]})
+
+    return fn
+
+
 def apply_window(
     df: DataFrame,
     keys: list[str],
     fn: Callable[[pd.DataFrame], pd.DataFrame],
     schema: str,
+    order: list[str] | None = None,
 ) -> DataFrame:
     """General ``ProcessWindowFunction``: ``fn`` gets all rows of one
-    ``(keys..., win_start, win_end)`` group as a pandas frame. Use only when
-    no aggregate expresses the function: one group must fit one worker."""
-    return df.groupBy(*keys, "win_start", "win_end").applyInPandas(fn, schema)
+    ``(keys..., win_start, win_end)`` group as a pandas frame (sorted by
+    ``order``). Use only when no aggregate expresses the function: one group
+    must fit one worker."""
+    return map_groups(df, [*keys, "win_start", "win_end"], fn, schema, order)
 
 
 from eddyline._ship import ship_by_value  # noqa: E402

@@ -240,6 +240,9 @@ ORACLE: dict[str, str] = {
     "tumbling_process_count": (
         f"SELECT {_java_ts_text(_ts('ws'))} || ':' || id AS label, count(*) AS cnt FROM ({TUMBLED}) GROUP BY id, ws"
     ),
+    "tumbling_process_fn": (
+        f"SELECT {_java_ts_text(_ts('ws'))} || ':' || id AS label, count(*) AS cnt FROM ({TUMBLED}) GROUP BY id, ws"
+    ),
     "tumbling_apply_count": (
         f"SELECT {_java_ts_text(_ts('ws'))} || ':(' || id || ')' AS label, count(*) AS cnt "
         f"FROM ({TUMBLED}) GROUP BY id, ws"

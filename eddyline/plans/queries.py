@@ -297,6 +297,13 @@ def q_tumbling_process_count(spark, sf):
     return out.select(wf.label("win_start", "id").alias("label"), "cnt")
 
 
+def q_tumbling_process_fn(spark, sf):
+    """The process-window function run as Python over each window's elements."""
+    w = win.tumbling("ts", P.TUMBLE)
+    s = _sv(spark, sf).withColumn("win_start", w.start).withColumn("win_end", w.end)
+    return wf.apply_window(s, ["id"], wf.count_label_process("id"), "label string, cnt long", ["seq"])
+
+
 def q_tumbling_apply_count(spark, sf):
     out = _tumbled(spark, sf, F.count(F.lit(1)).alias("cnt"))
     return out.select(wf.label("win_start", "id", tuple_key=True).alias("label"), "cnt")

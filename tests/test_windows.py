@@ -154,3 +154,21 @@ def test_allowed_lateness_refires(spark):
     assert w0 == [(0, 1), (1, 2), (2, 3)]
     w20 = [(r.firing, r.cnt) for r in fired.collect() if _secs(r.win_start) == 20]
     assert w20 == [(0, 2)]
+
+
+def test_apply_window_process_function(spark):
+    """A Python ProcessWindowFunction: (label, size) per (key, window), matching the count."""
+    import pandas as pd
+
+    df = spark.read.parquet("/root/testdata/sf0.001/events.parquet").select(
+        F.col("user_id").cast("string").alias("id"), "ts", "event_id"
+    )
+    tumbled = df.withColumn("win_start", F.window("ts", "1 day").start).withColumn("win_end", F.window("ts", "1 day").end)
+
+    def size(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"id": [pdf["id"].iloc[0]], "win_start": [pdf["win_start"].iloc[0]], "n": [len(pdf)]})
+
+    got = wf.apply_window(tumbled.repartition(3), ["id"], size, "id string, win_start timestamp_ntz, n long", ["event_id"])
+    exp = tumbled.groupBy("id", "win_start").agg(F.count(F.lit(1)).alias("n"))
+    assert got.count() == exp.count()
+    assert got.exceptAll(exp).count() == 0
