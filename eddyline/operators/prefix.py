@@ -115,6 +115,8 @@ def running(
     aggs: list[Running],
     inclusive: bool = True,
     hot_rows: float | None = None,
+    keep_buckets: bool = False,
+    reuse_buckets: bool = False,
 ) -> DataFrame:
     """Add one column per ``Running`` spec, computed over the rows of the same
     ``keys`` that come before this row in ``order`` (and the row itself when
@@ -122,12 +124,21 @@ def running(
     result. ``keys=[]`` scans the whole frame in order, still in parallel.
 
     ``hot_rows`` overrides the hot-key threshold (tests use it to force splits).
+    ``keep_buckets`` keeps the ``_b``/``_hot`` columns; a second scan over that
+    output with ``reuse_buckets=True`` then needs no new shuffle (its window
+    partitioning is the first one's).
     """
     for a in aggs:
         if a.kind not in KINDS:
             raise ValueError(f"unknown running kind {a.kind!r}")
     cols = df.columns
-    staged, keys = assign_buckets(df, keys, order, hot_rows)
+    if reuse_buckets:
+        staged = df
+        cols = [c for c in cols if c not in ("_b", "_hot")]
+        if not keys:
+            raise ValueError("reuse_buckets needs keys")
+    else:
+        staged, keys = assign_buckets(df, keys, order, hot_rows)
 
     # 3. local scan within (key, bucket)
     end = Window.currentRow if inclusive else -1
@@ -195,7 +206,8 @@ def running(
             r = F.when(F.col("_lcnt") > 0, lv).otherwise(pv.getField("v"))
         results.append(r.alias(a.name))
     names = {a.name for a in aggs}
-    return out.select(*[out[c] for c in cols if c not in names], *results)
+    extra = [out["_b"], out["_hot"]] if keep_buckets else []
+    return out.select(*[out[c] for c in cols if c not in names], *results, *extra)
 
 
 def row_number(df: DataFrame, keys: list[str], order: list[str], name: str = "rn", hot_rows: float | None = None) -> DataFrame:

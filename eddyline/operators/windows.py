@@ -64,6 +64,41 @@ def session(ts: Column | str, gap: str | Column) -> Column:
     return F.session_window(ts, gap)
 
 
+def session_windows(
+    df: DataFrame,
+    keys: list[str],
+    ts: str,
+    gap: str | Column,
+    *aggs: Column,
+    order: str | None = None,
+    hot_rows: float | None = None,
+) -> DataFrame:
+    """Keyed session windows as ``(keys..., win_start, win_end, aggs...)``.
+
+    Batch: a row starts a session when its ``ts`` is after the running maximum of
+    ``ts + gap`` over the key's earlier rows (equal merges); the session of a row is
+    the latest start at or before it. Both are ordered prefix scans that split hot
+    keys (the second reuses the first one's partitioning), then a grouped aggregate
+    with partial aggregation. Spark's ``session_window`` would sort and merge each
+    key in one task. Streams use ``session_window`` (state store).
+    ``gap``: an interval string, or a Column of interval strings (dynamic gap).
+    """
+    if df.isStreaming:
+        return window_agg(df, keys, session(ts, gap), *aggs)
+    from eddyline.operators.prefix import Running, running
+
+    gap_iv = F.expr(f"INTERVAL {duration_us(gap)} MICROSECONDS") if isinstance(gap, str) else gap.cast("interval")
+    order_cols = [ts] + ([order] if order else [])
+    work = df.withColumn("_end", F.col(ts) + gap_iv)
+    r1 = running(work, keys, order_cols, [Running("_pend", "max", F.col("_end"))], inclusive=False, hot_rows=hot_rows, keep_buckets=True)
+    starts = F.when(F.col("_pend").isNull() | (F.col(ts) > F.col("_pend")), F.col(ts))
+    r2 = running(
+        r1.withColumn("_fts", starts), keys, order_cols, [Running("_sstart", "max", F.col("_fts"))], reuse_buckets=True
+    )
+    out = r2.groupBy(*keys, "_sstart").agg(F.min(ts).alias("win_start"), F.max("_end").alias("win_end"), *aggs)
+    return out.drop("_sstart")
+
+
 def flatten_window(df: DataFrame, col: str = "window") -> DataFrame:
     """``window`` struct -> ``win_start``, ``win_end`` columns (same order otherwise)."""
     cols = []

@@ -238,15 +238,13 @@ def q_sliding_offset_sum(spark, sf):
 
 
 def q_session_count(spark, sf):
-    return win.window_agg(
-        _sv(spark, sf), ["id"], win.session("ts", P.SESSION_GAP), F.count(F.lit(1)).alias("cnt")
-    )
+    return win.session_windows(_sv(spark, sf), ["id"], "ts", P.SESSION_GAP, F.count(F.lit(1)).alias("cnt"), order="seq")
 
 
 def q_session_dynamic_count(spark, sf):
     s = sensor_view(spark, sf)
     gap = F.when(F.col("event_type") == "purchase", F.lit(P.DYN_GAP_PURCHASE)).otherwise(F.lit(P.DYN_GAP_OTHER))
-    return win.window_agg(s, ["id"], win.session("ts", gap), F.count(F.lit(1)).alias("cnt"))
+    return win.session_windows(s, ["id"], "ts", gap, F.count(F.lit(1)).alias("cnt"), order="seq")
 
 
 def q_window_all_sum(spark, sf):

@@ -172,3 +172,24 @@ def test_apply_window_process_function(spark):
     exp = tumbled.groupBy("id", "win_start").agg(F.count(F.lit(1)).alias("n"))
     assert got.count() == exp.count()
     assert got.exceptAll(exp).count() == 0
+
+
+@pytest.mark.parametrize("hot_rows", [None, 1])
+def test_session_windows_prefix_form(spark, hot_rows):
+    df = _rows(spark, SESSION_SECONDS)
+    out = win.session_windows(df, ["key"], "ts", "5 seconds", F.count(F.lit(1)).alias("n"), order="seq", hot_rows=hot_rows)
+    assert sorted((_secs(r.win_start), _secs(r.win_end), r.n) for r in out.collect()) == [(0, 19, 4), (20, 25, 1)]
+    second = F.expr("timestampdiff(SECOND, TIMESTAMP_NTZ'2024-01-01 00:00:00', ts)")
+    gap = F.when(second > 8, F.lit("6 seconds")).otherwise(F.lit("2 seconds"))
+    dyn = win.session_windows(df, ["key"], "ts", gap, F.count(F.lit(1)).alias("n"), order="seq", hot_rows=hot_rows)
+    assert sorted((_secs(r.win_start), _secs(r.win_end), r.n) for r in dyn.collect()) == [(0, 2, 1), (5, 7, 1), (9, 26, 3)]
+
+
+def test_session_windows_hot_split_equals_builtin(spark):
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet").select(
+        (F.col("user_id") % 2).cast("string").alias("id"), "ts", "event_id"
+    )
+    got = win.session_windows(ev, ["id"], "ts", "2 hours", F.count(F.lit(1)).alias("n"), order="event_id", hot_rows=30)
+    exp = win.window_agg(ev, ["id"], win.session("ts", "2 hours"), F.count(F.lit(1)).alias("n"))
+    assert got.count() == exp.count()
+    assert got.exceptAll(exp).count() == 0
