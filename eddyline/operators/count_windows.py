@@ -34,7 +34,11 @@ def count_sliding(
     summed per ``(key, firing)``. A firing exists only if its own element does.
     """
     ranked = row_number(df, [key], [order], "_rn", hot_rows=hot_rows)
-    targets = F.filter(F.sequence(F.col("_rn"), F.col("_rn") + (size - 1)), lambda t: t % slide == 0)
+    # multiples of slide in [rn, rn + size - 1], as a stepped sequence (no lambda)
+    first = F.ceil(F.col("_rn") / F.lit(slide)).cast("long") * F.lit(slide)
+    last = F.col("_rn") + F.lit(size - 1)
+    empty = F.array().cast("array<bigint>")
+    targets = F.when(first <= last, F.sequence(first, last, F.lit(slide).cast("long"))).otherwise(empty)
     spread = ranked.select(key, F.col(value).alias("_v"), F.col("_rn"), F.explode(targets).alias("fire_rn"))
     agg = spread.groupBy(key, "fire_rn").agg(
         F.sum("_v").alias("sum_vc"),
