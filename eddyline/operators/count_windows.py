@@ -13,9 +13,31 @@ from pyspark.sql import functions as F
 from eddyline.operators.prefix import Running, row_number, running
 
 
+def stream_count_window(df: DataFrame, key: str, order: str, value: str, size: int, slide: int | None = None) -> DataFrame:
+    """Count windows on a stream: a ``transformWithState`` buffer of at most
+    ``size`` elements per key. Output ``(key, fire_seq, n_elems, sum_value)``."""
+    from pyspark.sql import types as T
+
+    from eddyline.streaming.stateful import CountWindowProcessor, use_rocksdb
+
+    use_rocksdb(df.sparkSession)
+    out = T.StructType(
+        [
+            T.StructField(key, df.schema[key].dataType),
+            T.StructField("fire_seq", T.LongType()),
+            T.StructField("n_elems", T.LongType()),
+            T.StructField("sum_value", T.DoubleType()),
+        ]
+    )
+    proc = CountWindowProcessor(size, slide, value=value, order=order, emit_key=True)
+    res = df.groupBy(key).transformWithState(proc, out, "Update", "None")
+    return res
+
+
 def count_tumbling(df: DataFrame, key: str, order: str, size: int, *aggs: Column, hot_rows=None) -> DataFrame:
     """``countWindow(size)``: fires on every ``size``-th element of a key with those
-    ``size`` elements; an incomplete last window never fires."""
+    ``size`` elements; an incomplete last window never fires. (Streams: see
+    ``stream_count_window``.)"""
     ranked = row_number(df, [key], [order], "_rn", hot_rows=hot_rows)
     grouped = ranked.groupBy(key, F.floor((F.col("_rn") - 1) / size).alias("win_idx")).agg(
         F.count(F.lit(1)).alias("_n"), F.max(order).alias("fire_seq"), *aggs

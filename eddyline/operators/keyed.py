@@ -20,6 +20,21 @@ def _check_emit(emit: str) -> None:
         raise ValueError("emit must be 'rolling' or 'final'")
 
 
+def _stream_rolling(df: DataFrame, key: str, order: str, fields: list[str], reducer) -> DataFrame:
+    """Rolling values on a stream: ``transformWithState`` keeps the key's record
+    in the state store and emits one row per input (output mode ``update``)."""
+    from pyspark.sql import types as T
+
+    from eddyline.streaming.stateful import RollingProcessor, use_rocksdb
+
+    use_rocksdb(df.sparkSession)
+    rec = [key, *[f for f in fields if f != key]]
+    state = T.StructType([df.schema[c] for c in rec])
+    out = T.StructType([df.schema[order], *state.fields])
+    proc = RollingProcessor(rec, state, reducer, order=order)
+    return df.groupBy(key).transformWithState(proc, out, "Update", "None")
+
+
 def keyed_sum(
     df: DataFrame,
     key: str,
@@ -39,6 +54,10 @@ def keyed_sum(
         aggs = [F.sum(field).alias(field)]
         aggs += [F.min(F.struct(F.col(order), F.col(c).alias("v"))).getField("v").alias(c) for c in carry] if order else []
         return df.groupBy(key).agg(*aggs)
+    if df.isStreaming:
+        from eddyline.streaming.stateful import sum_reducer
+
+        return _stream_rolling(df, key, order, [*carry, field], sum_reducer(field)).select(order, key, *carry, field)
     specs = [Running(field, "sum", F.col(field))] + [Running(c, "first", F.col(c)) for c in carry]
     out = running(df.select(order, key, field, *carry), [key], [order], specs)
     return out.select(order, key, *carry, field)
@@ -53,6 +72,10 @@ def keyed_max(
     if emit == "final":
         first = [F.min(F.struct(F.col(order), F.col(c).alias("v"))).getField("v").alias(c) for c in carry]
         return df.groupBy(key).agg(*first, F.max(field).alias(field))
+    if df.isStreaming:
+        from eddyline.streaming.stateful import max_reducer
+
+        return _stream_rolling(df, key, order, [*carry, field], max_reducer(field)).select(order, key, *carry, field)
     specs = [Running(c, "first", F.col(c)) for c in carry] + [Running(field, "max", F.col(field))]
     out = running(df.select(order, key, field, *carry), [key], [order], specs)
     return out.select(order, key, *carry, field)
@@ -79,6 +102,12 @@ def keyed_max_by(
     if emit == "final":
         best = df.groupBy(key).agg(F.max(packed).alias("_m"))
         return best.select(key, *[F.col("_m").getField(c).alias(c) for c in record])
+    if df.isStreaming:
+        from eddyline.streaming.stateful import max_by_reducer
+
+        fields = list(dict.fromkeys([*record, field]))
+        out = _stream_rolling(df, key, order, fields, max_by_reducer(field, first))
+        return out.select(order, key, *record)
     out = running(df.select(order, key, packed.alias("_pk")), [key], [order], [Running("_m", "max", F.col("_pk"))])
     return out.select(order, key, *[F.col("_m").getField(c).alias(c) for c in record])
 
@@ -93,6 +122,11 @@ def keyed_reduce_latest_max(
     if emit == "final":
         last = [F.max(F.struct(F.col(order), F.col(c).alias("v"))).getField("v").alias(c) for c in latest]
         return df.groupBy(key).agg(*last, F.max(field).alias(field))
+    if df.isStreaming:
+        from eddyline.streaming.stateful import latest_max_reducer
+
+        out = _stream_rolling(df, key, order, [*latest, field], latest_max_reducer(field, latest))
+        return out.select(order, key, *latest, field)
     specs = [Running(c, "last", F.col(c)) for c in latest] + [Running(field, "max", F.col(field))]
     out = running(df.select(order, key, field, *latest), [key], [order], specs)
     return out.select(order, key, *latest, field)

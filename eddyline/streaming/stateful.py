@@ -117,8 +117,12 @@ class CountWindowProcessor(StatefulProcessor):
     Output: (fire_seq, n_elems, sum_value). State per key is at most ``size`` rows.
     """
 
-    def __init__(self, size: int, slide: int | None = None, value: str = "value", order: str = "seq"):
-        self.size, self.slide, self.value, self.order = size, slide, value, order
+    def __init__(self, size: int, slide: int | None = None, value: str = "value", order: str = "seq", emit_key: bool = False):
+        self.size, self.slide, self.value, self.order, self.emit_key = size, slide, value, order, emit_key
+
+    def _row(self, key, buf) -> Row:
+        vals = dict(fire_seq=buf[-1][0], n_elems=len(buf), sum_value=sum(v for _, v in buf))
+        return Row(key=key[0], **vals) if self.emit_key else Row(**vals)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.buf = handle.getListState("buf", "seq long, v double")
@@ -133,12 +137,12 @@ class CountWindowProcessor(StatefulProcessor):
             seen += 1
             if self.slide is None:
                 if len(buf) == self.size:
-                    yield Row(fire_seq=buf[-1][0], n_elems=len(buf), sum_value=sum(v for _, v in buf))
+                    yield self._row(key, buf)
                     buf = []
             else:
                 buf = buf[-self.size :]
                 if seen % self.slide == 0:
-                    yield Row(fire_seq=buf[-1][0], n_elems=len(buf), sum_value=sum(v for _, v in buf))
+                    yield self._row(key, buf)
         self.buf.clear()
         if buf:
             self.buf.put(buf)

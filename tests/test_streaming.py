@@ -263,3 +263,30 @@ def test_line_source_options(spark):
     assert opts["subscribe"] == "gptest" and opts["kafka.group.id"] == "g1" and opts["startingOffsets"] == "latest"
     raw = spark.createDataFrame([(b"k", b"sensor_1,1,2.0")], "key binary, value binary")
     assert decode_kafka_value(raw).first().value == "sensor_1,1,2.0"
+
+
+def test_keyed_operators_same_code_on_streams(spark, sensors):
+    """The batch operators themselves switch to stateful processing on a stream."""
+    parsed = _parsed_stream(spark, _dir_of_files(_sensor_chunks()))
+    cases = [
+        (keyed.keyed_max_by(parsed, "id", "vc", "seq", record=("ts", "vc")),
+         keyed.keyed_max_by(sensors, "id", "vc", "seq", record=("ts", "vc"))),
+        (keyed.keyed_max(parsed, "id", "vc", "seq", carry=("ts",)), keyed.keyed_max(sensors, "id", "vc", "seq", carry=("ts",))),
+        (keyed.keyed_sum(parsed, "id", "vc", order="seq", emit="rolling", carry=("ts",)),
+         keyed.keyed_sum(sensors, "id", "vc", order="seq", emit="rolling", carry=("ts",))),
+        (keyed.keyed_reduce_latest_max(parsed, "id", "vc", "seq", latest=("ts",)),
+         keyed.keyed_reduce_latest_max(sensors, "id", "vc", "seq", latest=("ts",))),
+    ]
+    for stream, batch in cases:
+        got = {r.seq: (r.id, r.ts, round(r.vc, 6)) for r in run_available(stream, "same", "update").collect()}
+        exp = {r.seq: (r.id, r.ts, round(r.vc, 6)) for r in batch.collect()}
+        assert got == exp
+
+
+def test_stream_count_window_helper(spark):
+    from eddyline.operators.count_windows import stream_count_window
+
+    s = _ones_stream(spark, 7)
+    out = stream_count_window(s, "key", "seq", "value", 5, 2)
+    got = sorted((r.key, r.fire_seq, r.sum_value) for r in run_available(out, "scw", "update").collect())
+    assert got == [("a", 2, 2.0), ("a", 4, 4.0), ("a", 6, 5.0)]
