@@ -7,6 +7,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from eddyline.fixed import SENSOR_TEXT_FORMAT
+
 ColumnOrName = Column | str
 
 
@@ -151,13 +153,10 @@ def sensor_to_kv(id_: ColumnOrName = "id", vc: ColumnOrName = "vc") -> Column:
 
 
 def sensor_to_string(id_: ColumnOrName = "id", ts: ColumnOrName = "ts", vc: ColumnOrName = "vc") -> Column:
-    """The bean's ``toString``: ``WaterSensor{id='..', ts=.., vc=..}``."""
-    return F.concat(
-        F.lit("WaterSensor{id='"),
+    """The bean's ``toString`` (``fixed.SENSOR_TEXT_FORMAT``); nulls print ``null``."""
+    return F.format_string(
+        SENSOR_TEXT_FORMAT,
         F.coalesce(_c(id_), F.lit("null")),
-        F.lit("', ts="),
         F.coalesce(_c(ts).cast("string"), F.lit("null")),
-        F.lit(", vc="),
         F.coalesce(_c(vc).cast("string"), F.lit("null")),
-        F.lit("}"),
     )

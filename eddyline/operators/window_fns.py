@@ -15,6 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from eddyline.fixed import TUPLE_KEY_FORMAT, WINDOW_COUNT_TEXT_FORMAT, WINDOW_LABEL_FORMAT
 from eddyline.functions.text import java_ts_text
 from eddyline.operators.groups import map_groups
 
@@ -24,8 +25,8 @@ def label(win_start: Column | str, key: Column | str, tuple_key: bool = False) -
     s = F.col(win_start) if isinstance(win_start, str) else win_start
     k = (F.col(key) if isinstance(key, str) else key).cast("string")
     if tuple_key:
-        k = F.concat(F.lit("("), k, F.lit(")"))
-    return F.concat(java_ts_text(s), F.lit(":"), k)
+        k = F.format_string(TUPLE_KEY_FORMAT, k)
+    return F.format_string(WINDOW_LABEL_FORMAT, java_ts_text(s), k)
 
 
 def fold_concat(value: Column | str, order: Column | str, sep: str = "") -> Column:
@@ -37,6 +38,11 @@ def fold_concat(value: Column | str, order: Column | str, sep: str = "") -> Colu
     return F.array_join(F.transform(items, lambda x: x.getField("v")), sep)
 
 
+def window_count_text(window_text: Column, count: Column) -> Column:
+    """``"Window: " + window + "count: " + n`` (``fixed.WINDOW_COUNT_TEXT_FORMAT``)."""
+    return F.format_string(WINDOW_COUNT_TEXT_FORMAT, window_text, count.cast("string"))
+
+
 def check_fold_allowed(window_kind: str) -> None:
     """Fold needs a fixed element order and cannot merge; the library forbids it
     on merging (session) windows, and so does this one."""
@@ -61,7 +67,7 @@ def count_label_process(key_col: str) -> Callable[[pd.DataFrame], pd.DataFrame]:
     ``(start:key, number of elements)``."""
 
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        label = java_ts_text_py(pd.Timestamp(pdf["win_start"].iloc[0])) + ":" + str(pdf[key_col].iloc[0])
+        label = WINDOW_LABEL_FORMAT % (java_ts_text_py(pd.Timestamp(pdf["win_start"].iloc[0])), pdf[key_col].iloc[0])
         return pd.DataFrame({"label": [label], "cnt": [len(pdf)]})
 
     return fn

@@ -13,6 +13,8 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from eddyline.fixed import WINDOW_TEXT_FORMAT
+
 _UNITS_US = {
     "microsecond": 1,
     "millisecond": 1_000,
@@ -123,7 +125,7 @@ def max_timestamp(win_end: Column | str) -> Column:
 
 
 def window_text(win_start: Column | str, win_end: Column | str) -> Column:
-    """``TimeWindow.toString``: ``TimeWindow{start=<epoch ms>, end=<epoch ms>}``."""
+    """``TimeWindow.toString`` (``fixed.WINDOW_TEXT_FORMAT``, epoch milliseconds)."""
 
     def ms(c):
         name = c if isinstance(c, str) else None
@@ -131,4 +133,4 @@ def window_text(win_start: Column | str, win_end: Column | str) -> Column:
             raise TypeError("pass column names")
         return F.expr(f"timestampdiff(MILLISECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{name}`)").cast("string")
 
-    return F.concat(F.lit("TimeWindow{start="), ms(win_start), F.lit(", end="), ms(win_end), F.lit("}"))
+    return F.format_string(WINDOW_TEXT_FORMAT, ms(win_start), ms(win_end))

@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eddyline.fixed import INDEX_NAME, SENSOR_ID_PREFIX
 from eddyline.functions.text import (
     java_split,
     parse_sensor,
@@ -116,7 +117,7 @@ def q_sensor_to_json(spark, sf):
 def q_sensor_to_doc(spark, sf):
     s = _sensor_ms(spark, sf)
     doc = F.to_json(F.struct(F.col("ts").cast("string").alias("ts"), F.col("vc").cast("string").alias("vc")))
-    return s.select("seq", F.lit("sensor1").alias("index"), doc.alias("doc"))
+    return s.select("seq", F.lit(INDEX_NAME).alias("index"), doc.alias("doc"))
 
 
 def q_sensor_to_kv(spark, sf):
@@ -309,7 +310,7 @@ def q_tumbling_apply_count(spark, sf):
 
 def q_window_count_text(spark, sf):
     out = _tumbled(spark, sf, F.count(F.lit(1)).alias("cnt"))
-    text = F.concat(F.lit("Window: "), win.window_text("win_start", "win_end"), F.lit("count: "), F.col("cnt").cast("string"))
+    text = wf.window_count_text(win.window_text("win_start", "win_end"), F.col("cnt"))
     return out.select("id", text.alias("text"))
 
 
@@ -422,7 +423,7 @@ def q_jdbc_upsert_latest(spark, sf):
 
 def q_sensor_walk(spark, sf):
     ticks = table(spark, sf, "events").select(
-        F.concat(F.lit("sensor_"), F.col("user_id").cast("string")).alias("sensor"), "event_id", "ts"
+        F.concat(F.lit(SENSOR_ID_PREFIX), F.col("user_id").cast("string")).alias("sensor"), "event_id", "ts"
     )
     return sensor_walk(ticks, "sensor", "event_id", P.SENSOR_WALK_SEED, ts="ts")
 

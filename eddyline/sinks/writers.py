@@ -9,6 +9,8 @@ from typing import Any, Protocol
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
+from eddyline.fixed import PRINT_LABEL_FORMAT
+
 
 # ---------------------------------------------------------------- print (O1, O2)
 
@@ -21,7 +23,7 @@ def row_text(df: DataFrame) -> Column:
 def labeled(df: DataFrame, label: str | None = None, text: Column | None = None) -> DataFrame:
     """``print(label)``: one text line per row, prefixed ``label> `` when given."""
     t = text if text is not None else row_text(df)
-    return df.select((F.concat(F.lit(f"{label}> "), t) if label else t).alias("line"))
+    return df.select((F.format_string(PRINT_LABEL_FORMAT, F.lit(label), t) if label else t).alias("line"))
 
 
 def print_rows(df: DataFrame, label: str | None = None, text: Column | None = None, n: int = 20):

@@ -16,6 +16,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from eddyline.fixed import SENSOR_COUNT, SENSOR_ID_PREFIX, SENSOR_START_MEAN, SENSOR_START_SPREAD, SENSOR_TICK_MS
 from eddyline.operators.prefix import Running, running
 
 _MASK53 = (1 << 53) - 1
@@ -41,7 +42,7 @@ def sensor_walk(ticks: DataFrame, sensor: str, tick: str, seed: int, ts: str | N
         F.col(tick).alias("seq"),
         *([F.col(ts).alias("ts")] if ts else []),
         seeded_gaussian(seed, F.col(sensor), F.col(tick)).alias("_step"),
-        (F.lit(60.0) + F.lit(20.0) * seeded_gaussian(seed, F.col(sensor), F.lit(-1))).alias("_start"),
+        (F.lit(SENSOR_START_MEAN) + F.lit(SENSOR_START_SPREAD) * seeded_gaussian(seed, F.col(sensor), F.lit(-1))).alias("_start"),
     )
     walk = running(steps, ["id"], ["seq"], [Running("_walk", "sum", F.col("_step"))])
     return walk.select("seq", "id", *(["ts"] if ts else []), (F.col("_start") + F.col("_walk")).alias("vc"))
@@ -56,7 +57,7 @@ try:  # the Python data source API (Spark 4)
 
     class SensorStreamReader(DataSourceStreamReader):
         def __init__(self, options: dict):
-            self.n_sensors = int(options.get("sensors", 10))
+            self.n_sensors = int(options.get("sensors", SENSOR_COUNT))
             self.ticks_per_batch = int(options.get("ticksPerBatch", 1))
             self.max_ticks = int(options.get("maxTicks", -1))
             self.seed = int(options.get("seed", 7))
@@ -88,9 +89,9 @@ try:  # the Python data source API (Spark 4)
                 # one counter-based stream per sensor: draw 0 is the start, draw t+1
                 # the step of tick t, so any tick range replays identically
                 draws = np.random.default_rng([self.seed, s]).standard_normal(partition.end + 1)
-                temps = 60.0 + draws[0] * 20.0 + np.cumsum(draws[1:])
+                temps = SENSOR_START_MEAN + draws[0] * SENSOR_START_SPREAD + np.cumsum(draws[1:])
                 for t in range(partition.start, partition.end):
-                    yield (f"sensor_{s}", self.start_ms + t * 1000, float(temps[t]), int(t))
+                    yield (f"{SENSOR_ID_PREFIX}{s}", self.start_ms + t * SENSOR_TICK_MS, float(temps[t]), int(t))
 
         def commit(self, end: dict) -> None:
             pass
