@@ -66,12 +66,24 @@ def _null_safe_on(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]
     return reduce(lambda a, b: a & b, [left[l].eqNullSafe(right[r]) for l, r in pairs])
 
 
-def assign_buckets(
-    df: DataFrame, keys: list[str], order: list[str], hot_rows: float | None = None
-) -> tuple[DataFrame, list[str]]:
-    """Steps 1-2: add ``_b`` (bucket of the first ordering column, 0 for keys that
-    are not hot) and ``_hot``. Returns the frame and the key columns to use
-    (``["_gk"]``, a constant, when ``keys`` is empty)."""
+@dataclass
+class Buckets:
+    """Rows with their bucket (``_b``) and hot flag (``_hot``), the key columns the
+    scan uses (``["_gk"]`` for a global scan) and whether any key is split."""
+
+    df: DataFrame
+    keys: list[str]
+    any_hot: bool
+
+
+INTERNAL = ("_b", "_hot", "_gk")
+
+
+def assign_buckets(df: DataFrame, keys: list[str], order: list[str], hot_rows: float | None = None) -> Buckets:
+    """Steps 1-2: bucket of the first ordering column per row (0 unless the key
+    is hot). The hot-key table has at most P rows (each hot key holds more than
+    ``rows / P`` rows), so it is fetched to the driver and broadcast back as a
+    literal table; with no hot key the scan needs no offsets at all."""
     spark = df.sparkSession
     work = df
     global_scan = not keys
@@ -81,13 +93,14 @@ def assign_buckets(
     work = work.withColumn("_o", _numeric_order(work, order[0]))
     p = target_parallelism(spark)
     if global_scan:
-        # One logical key: cut the ordering range into P buckets. lo and width are
-        # scalar subqueries (merged into one scan by the optimizer), not a join.
-        lo = work.select(F.min("_o")).scalar()
-        hi = work.select(F.max("_o")).scalar()
-        width = (hi - lo + F.lit(1.0)) / F.lit(float(p))
-        staged = work.withColumn("_b", F.coalesce(F.floor((F.col("_o") - lo) / width), F.lit(0)).cast("long"))
-        return staged.withColumn("_hot", F.lit(True)).drop("_o"), keys
+        # One logical key: cut the ordering range into P buckets.
+        lo, hi = work.agg(F.min("_o"), F.max("_o")).first()
+        if lo is None:
+            staged = work.withColumn("_b", F.lit(0).cast("long"))
+        else:
+            width = (hi - lo + 1.0) / p
+            staged = work.withColumn("_b", F.floor((F.col("_o") - F.lit(lo)) / F.lit(width)).cast("long"))
+        return Buckets(staged.withColumn("_hot", F.lit(True)).drop("_o"), keys, True)
     stats = work.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_o").alias("_lo"), F.max("_o").alias("_hi"))
     if hot_rows is not None:
         thr = F.lit(float(hot_rows))
@@ -95,28 +108,31 @@ def assign_buckets(
         # rows / P from the stats themselves (their shuffle is reused, no extra scan)
         thr = stats.select((F.sum("_n") / F.lit(p)).alias("t")).scalar()
     hot_names = [f"_hk{i}" for i in range(len(keys))]
-    hot = stats.filter(F.col("_n") > thr).select(
+    hot_df = stats.filter(F.col("_n") > thr).select(
         *[F.col(k).alias(h) for k, h in zip(keys, hot_names)],
         F.col("_lo"),
         ((F.col("_hi") - F.col("_lo") + F.lit(1.0)) / F.ceil(F.col("_n") / thr)).alias("_width"),
     )
-    # at most P rows by construction (each hot key has more than rows / P rows)
-    hot_b = F.broadcast(hot)
-    joined = work.join(hot_b, _null_safe_on(work, hot_b, list(zip(keys, hot_names))), "left")
+    hot_list = hot_df.collect()  # at most P rows by construction
+    if not hot_list:
+        staged = work.withColumn("_b", F.lit(0).cast("long")).withColumn("_hot", F.lit(False))
+        return Buckets(staged.drop("_o"), keys, False)
+    hot = F.broadcast(spark.createDataFrame(hot_list, hot_df.schema))
+    joined = work.join(hot, _null_safe_on(work, hot, list(zip(keys, hot_names))), "left")
     bucket = F.coalesce(F.floor((F.col("_o") - F.col("_lo")) / F.col("_width")), F.lit(0)).cast("long")
     staged = joined.withColumn("_b", bucket).withColumn("_hot", F.col("_lo").isNotNull())
-    return staged.drop(*hot_names, "_lo", "_width", "_o"), keys
+    return Buckets(staged.drop(*hot_names, "_lo", "_width", "_o"), keys, True)
 
 
 def running(
-    df: DataFrame,
+    df: DataFrame | None,
     keys: list[str],
     order: list[str],
     aggs: list[Running],
     inclusive: bool = True,
     hot_rows: float | None = None,
     keep_buckets: bool = False,
-    reuse_buckets: bool = False,
+    buckets: Buckets | None = None,
 ) -> DataFrame:
     """Add one column per ``Running`` spec, computed over the rows of the same
     ``keys`` that come before this row in ``order`` (and the row itself when
@@ -125,20 +141,16 @@ def running(
 
     ``hot_rows`` overrides the hot-key threshold (tests use it to force splits).
     ``keep_buckets`` keeps the ``_b``/``_hot`` columns; a second scan over that
-    output with ``reuse_buckets=True`` then needs no new shuffle (its window
-    partitioning is the first one's).
+    output, given as ``buckets=Buckets(output, keys, any_hot)``, then needs no
+    new shuffle (its window partitioning is the first one's).
     """
     for a in aggs:
         if a.kind not in KINDS:
             raise ValueError(f"unknown running kind {a.kind!r}")
-    cols = df.columns
-    if reuse_buckets:
-        staged = df
-        cols = [c for c in cols if c not in ("_b", "_hot")]
-        if not keys:
-            raise ValueError("reuse_buckets needs keys")
-    else:
-        staged, keys = assign_buckets(df, keys, order, hot_rows)
+    if buckets is None:
+        buckets = assign_buckets(df, keys, order, hot_rows)
+    staged, keys = buckets.df, buckets.keys
+    cols = [c for c in staged.columns if c not in INTERNAL]
 
     # 3. local scan within (key, bucket)
     end = Window.currentRow if inclusive else -1
@@ -160,6 +172,12 @@ def running(
             e = F.last(v, ignorenulls=False)
         local = local.withColumn(f"_l_{a.name}", e.over(w_local))
 
+    names = {a.name for a in aggs}
+    extra = [F.col("_b"), F.col("_hot")] if keep_buckets else []
+    if not buckets.any_hot:
+        # every key is in one bucket: the local scan is the whole answer
+        return local.select(*[F.col(c) for c in cols if c not in names], *[F.col(f"_l_{a.name}").alias(a.name) for a in aggs], *extra)
+
     # 4. totals of hot buckets -> offsets (<= 2P rows)
     total_exprs = []
     for a in aggs:
@@ -205,7 +223,6 @@ def running(
         else:
             r = F.when(F.col("_lcnt") > 0, lv).otherwise(pv.getField("v"))
         results.append(r.alias(a.name))
-    names = {a.name for a in aggs}
     extra = [out["_b"], out["_hot"]] if keep_buckets else []
     return out.select(*[out[c] for c in cols if c not in names], *results, *extra)
 

@@ -49,7 +49,8 @@ def rolling_reduce_fn(
     """``keyBy(key).reduce(reducer)``: one output per input row, the key's fold so far.
     Output columns: ``order``, ``key``, ``fields``."""
     base = df.select(key, order, *fields)
-    staged, _ = assign_buckets(base, [key], [order], hot_rows)
+    b = assign_buckets(base, [key], [order], hot_rows)
+    staged = b.df
     field_types = T.StructType([base.schema[c] for c in fields])
     local_schema = T.StructType(
         [base.schema[key], T.StructField("_b", T.LongType()), T.StructField("_hot", T.BooleanType()), base.schema[order]]
@@ -75,6 +76,8 @@ def rolling_reduce_fn(
 
     ordered = staged.repartition(target_parallelism(df.sparkSession), key, "_b").sortWithinPartitions(key, "_b", order)
     local = ordered.mapInPandas(local_fold, _ddl(local_schema))
+    if not b.any_hot:
+        return local.select(order, key, *fields)
 
     # last (newest) value of every hot bucket: a JVM aggregate, at most 2P rows
     last = F.max(F.struct(F.col(order).alias("_o"), *[F.col(c) for c in fields])).alias("_m")

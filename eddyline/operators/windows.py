@@ -87,16 +87,16 @@ def session_windows(
     """
     if df.isStreaming:
         return window_agg(df, keys, session(ts, gap), *aggs)
-    from eddyline.operators.prefix import Running, running
+    from eddyline.operators.prefix import Buckets, Running, assign_buckets, running
 
     gap_iv = F.expr(f"INTERVAL {duration_us(gap)} MICROSECONDS") if isinstance(gap, str) else gap.cast("interval")
     order_cols = [ts] + ([order] if order else [])
     work = df.withColumn("_end", F.col(ts) + gap_iv)
-    r1 = running(work, keys, order_cols, [Running("_pend", "max", F.col("_end"))], inclusive=False, hot_rows=hot_rows, keep_buckets=True)
+    b = assign_buckets(work, keys, order_cols, hot_rows)
+    r1 = running(None, keys, order_cols, [Running("_pend", "max", F.col("_end"))], inclusive=False, keep_buckets=True, buckets=b)
     starts = F.when(F.col("_pend").isNull() | (F.col(ts) > F.col("_pend")), F.col(ts))
-    r2 = running(
-        r1.withColumn("_fts", starts), keys, order_cols, [Running("_sstart", "max", F.col("_fts"))], reuse_buckets=True
-    )
+    b2 = Buckets(r1.withColumn("_fts", starts), b.keys, b.any_hot)
+    r2 = running(None, keys, order_cols, [Running("_sstart", "max", F.col("_fts"))], buckets=b2)
     out = r2.groupBy(*keys, "_sstart").agg(F.min(ts).alias("win_start"), F.max("_end").alias("win_end"), *aggs)
     return out.drop("_sstart")
 

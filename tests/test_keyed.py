@@ -132,8 +132,14 @@ def test_prefix_hot_key_split_matches_plain_window(spark):
 
 
 def test_prefix_hot_plan_is_bounded(spark):
-    """The data is shuffled once; the offsets come back as a broadcast."""
+    """No hot key: one shuffle and a window, nothing else. Hot keys: the data is
+    still shuffled once; the bounded hot/offset tables come back as broadcasts."""
     ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet").select("event_id", "user_id", "value")
-    out = running(ev, ["user_id"], ["event_id"], [Running("s", "sum", "value")])
-    plan = out._jdf.queryExecution().executedPlan().toString()
+    cold = running(ev, ["user_id"], ["event_id"], [Running("s", "sum", "value")])
+    plan = cold._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan and plan.count("Exchange hashpartitioning") == 1
+    hot = running(ev, ["user_id"], ["event_id"], [Running("s", "sum", "value")], hot_rows=20)
+    hot.write.format("noop").mode("overwrite").save()
+    plan = hot._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan
+    assert plan.count("hashpartitioning(user_id#") >= 1
