@@ -172,6 +172,10 @@ class Trigger:
     def on_processing_time(self, time_ms: int, window_start: int, window_end: int) -> str:
         return CONTINUE
 
+    def on_merge(self, window_start: int, window_end: int, count: int) -> str:
+        """Called when sessions merged into ``[window_start, window_end)``."""
+        return CONTINUE
+
     def clear(self, window_start: int, window_end: int) -> None:
         pass
 
@@ -283,6 +287,58 @@ class TriggeredWindowProcessor(StatefulProcessor):
         pass
 
 
+class SessionTriggerProcessor(StatefulProcessor):
+    """Keyed event-time session windows driven by a ``Trigger`` (merging windows).
+
+    Each element opens ``[ts, ts + gap)``; sessions that overlap or touch it are
+    merged (``on_merge`` is called for the merged window) and the event-time timer
+    moves to the merged window's last millisecond, where ``on_event_time`` fires
+    and the session is removed. State per key: one (end, sum, count) per open session.
+    """
+
+    def __init__(self, gap_ms: int, trigger: Trigger, value: str = "value", ts: str = "ts"):
+        self.gap, self.trigger, self.value, self.ts = gap_ms, trigger, value, ts
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.sessions = handle.getMapState("sessions", "start long", "end long, s double, n long")
+
+    def _row(self, key, start, end, s, n, tv: TimerValues) -> Row:
+        return Row(key=key[0], win_start_ms=start, win_end_ms=end, sum_value=s, cnt=n, watermark_ms=tv.getCurrentWatermarkInMs())
+
+    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: TimerValues) -> Iterator[Row]:
+        for r in sorted(rows, key=lambda x: x[self.ts]):
+            t = int(r[self.ts].timestamp() * 1000) if hasattr(r[self.ts], "timestamp") else int(r[self.ts])
+            start, end, s, n = t, t + self.gap, float(r[self.value]), 1
+            merged = False
+            for (k_start,), (k_end, k_s, k_n) in list(self.sessions.iterator()):
+                if k_start <= end and start <= k_end:  # overlap or touch
+                    self.handle.deleteTimer(k_end - 1)
+                    self.sessions.removeKey((k_start,))
+                    start, end, s, n = min(start, k_start), max(end, k_end), s + k_s, n + k_n
+                    merged = True
+            self.sessions.updateValue((start,), (end, s, n))
+            self.handle.registerTimer(end - 1)
+            res = self.trigger.on_merge(start, end, n) if merged else self.trigger.on_element(s, start, end, n)
+            if res in (FIRE, FIRE_AND_PURGE):
+                yield self._row(key, start, end, s, n, timerValues)
+            if res in (PURGE, FIRE_AND_PURGE):
+                self.sessions.updateValue((start,), (end, 0.0, 0))
+
+    def handleExpiredTimer(self, key: Any, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[Row]:
+        t = expiredTimerInfo.getExpiryTimeInMs()
+        for (k_start,), (k_end, k_s, k_n) in list(self.sessions.iterator()):
+            if k_end - 1 == t:
+                res = self.trigger.on_event_time(t, k_start, k_end)
+                if res in (FIRE, FIRE_AND_PURGE) and k_n > 0:
+                    yield self._row(key, k_start, k_end, k_s, k_n, timerValues)
+                self.trigger.clear(k_start, k_end)
+                self.sessions.removeKey((k_start,))
+
+    def close(self) -> None:
+        pass
+
+
 # ---------------------------------------------------------------- evictors on streams
 
 

@@ -14,8 +14,11 @@ from eddyline.sources.lines import read_lines
 from eddyline.streaming import stateful as st
 from eddyline.streaming.late_stream import LateWindowOperator
 from eddyline.streaming.run import checkpoint_location, foreach_batch_available, run_available
+from eddyline._ship import ship_by_value
 from tests.conftest import FIXTURES
 
+ship_by_value(__name__)  # test triggers run inside tasks
+
 
 def _dir_of_files(chunks, prefix="in-"):
     d = tempfile.mkdtemp(prefix=prefix)
@@ -290,3 +293,31 @@ def test_stream_count_window_helper(spark):
     out = stream_count_window(s, "key", "seq", "value", 5, 2)
     got = sorted((r.key, r.fire_seq, r.sum_value) for r in run_available(out, "scw", "update").collect())
     assert got == [("a", 2, 2.0), ("a", 4, 4.0), ("a", 6, 5.0)]
+
+
+class _MergeCounter(st.Trigger):
+    """Fires on every merge and at the end of the session."""
+
+    def on_merge(self, window_start, window_end, count):
+        return st.FIRE
+
+
+def test_session_trigger_on_merge(spark):
+    st.use_rocksdb(spark)
+    base = dt.datetime(2024, 1, 1)
+    secs = [0, 5, 9, 14, 20, 60]
+    d = _dir_of_files([[f"k,{(base + dt.timedelta(seconds=s)).isoformat(sep=' ')},1"] for s in secs])
+    s = read_lines(spark, d, "streaming", max_files_per_trigger=1)
+    s = s.select(F.split("value", ",").alias("p")).select(
+        F.col("p")[0].alias("key"), F.col("p")[1].cast("timestamp").alias("ts"), F.col("p")[2].cast("double").alias("value")
+    )
+    schema = "key string, win_start_ms long, win_end_ms long, sum_value double, cnt long, watermark_ms long"
+    out = s.withWatermark("ts", "0 seconds").groupBy("key").transformWithState(
+        st.SessionTriggerProcessor(5000, _MergeCounter()), schema, "Update", "EventTime"
+    )
+    rows = run_available(out, "sesstrig", "update").collect()
+    t0 = 1704067200000  # 2024-01-01 00:00 UTC in ms (session zone UTC)
+    got = sorted(((r.win_start_ms - t0) // 1000, (r.win_end_ms - t0) // 1000, r.cnt) for r in rows)
+    # merges at 5, 9, 14 fire with 2, 3, 4 elements; the timers then fire [0,19) and [20,25);
+    # the session opened at 60 is still open when the input ends
+    assert got == [(0, 10, 2), (0, 14, 3), (0, 19, 4), (0, 19, 4), (20, 25, 1)]
