@@ -35,8 +35,10 @@ def seeded_gaussian(seed: int, *cols: Column) -> Column:
     return F.sqrt(F.lit(-2.0) * F.log(u1)) * F.cos(F.lit(2 * math.pi) * u2)
 
 
-def sensor_walk(ticks: DataFrame, sensor: str, tick: str, seed: int, ts: str | None = None) -> DataFrame:
-    """Start temperature ``60 + N(0,1) * 20`` per sensor, then ``prev + N(0,1)`` per tick."""
+def sensor_walk(
+    ticks: DataFrame, sensor: str, tick: str, seed: int, ts: str | None = None, hot_rows: float | None = None
+) -> DataFrame:
+    """Start temperature ``mean + N(0,1) * spread`` per sensor, then ``prev + N(0,1)`` per tick."""
     steps = ticks.select(
         F.col(sensor).alias("id"),
         F.col(tick).alias("seq"),
@@ -44,7 +46,7 @@ def sensor_walk(ticks: DataFrame, sensor: str, tick: str, seed: int, ts: str | N
         seeded_gaussian(seed, F.col(sensor), F.col(tick)).alias("_step"),
         (F.lit(SENSOR_START_MEAN) + F.lit(SENSOR_START_SPREAD) * seeded_gaussian(seed, F.col(sensor), F.lit(-1))).alias("_start"),
     )
-    walk = running(steps, ["id"], ["seq"], [Running("_walk", "sum", F.col("_step"))])
+    walk = running(steps, ["id"], ["seq"], [Running("_walk", "sum", F.col("_step"))], hot_rows=hot_rows)
     return walk.select("seq", "id", *(["ts"] if ts else []), (F.col("_start") + F.col("_walk")).alias("vc"))
 
 

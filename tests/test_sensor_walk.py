@@ -1,0 +1,39 @@
+"""The sensor walk (no SQL oracle: its seed hash is Spark's) against brute force."""
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from eddyline.fixed import SENSOR_START_MEAN, SENSOR_START_SPREAD
+from eddyline.sources.sensor_source import seeded_gaussian, sensor_walk
+from tests.conftest import SF_SMALL
+
+
+def _ticks(spark):
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    return ev.select(F.concat(F.lit("sensor_"), (F.col("user_id") % 3).cast("string")).alias("sensor"), "event_id")
+
+
+def test_walk_equals_cumulative_sum_of_steps(spark):
+    ticks = _ticks(spark)
+    got = sensor_walk(ticks, "sensor", "event_id", 7, hot_rows=50).toPandas()
+    steps = ticks.select(
+        "sensor",
+        "event_id",
+        seeded_gaussian(7, F.col("sensor"), F.col("event_id")).alias("step"),
+        seeded_gaussian(7, F.col("sensor"), F.lit(-1)).alias("z0"),
+    ).toPandas()
+    steps = steps.sort_values(["sensor", "event_id"])
+    steps["vc"] = SENSOR_START_MEAN + SENSOR_START_SPREAD * steps["z0"] + steps.groupby("sensor")["step"].cumsum()
+    exp = steps.set_index("event_id")["vc"]
+    g = got.set_index("seq")["vc"].reindex(exp.index)
+    assert len(got) == len(exp) == 1000
+    assert np.allclose(g.to_numpy(), exp.to_numpy(), rtol=0, atol=1e-9)
+
+
+def test_walk_is_replayable_across_partitionings(spark):
+    ticks = _ticks(spark)
+    a = sensor_walk(ticks, "sensor", "event_id", 7).orderBy("seq").toPandas()
+    b = sensor_walk(ticks.repartition(7), "sensor", "event_id", 7).orderBy("seq").toPandas()
+    assert np.allclose(a["vc"].to_numpy(), b["vc"].to_numpy(), rtol=0, atol=1e-9)
+    steps = ticks.select(seeded_gaussian(7, F.col("sensor"), F.col("event_id")).alias("z")).toPandas()["z"]
+    assert abs(steps.mean()) < 0.2 and 0.8 < steps.std() < 1.2  # standard normal steps
