@@ -27,6 +27,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -102,18 +103,28 @@ def assign_buckets(df: DataFrame, keys: list[str], order: list[str], hot_rows: f
             staged = work.withColumn("_b", F.floor((F.col("_o") - F.lit(lo)) / F.lit(width)).cast("long"))
         return Buckets(staged.withColumn("_hot", F.lit(True)).drop("_o"), keys, True)
     stats = work.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_o").alias("_lo"), F.max("_o").alias("_hi"))
+    hot_names = [f"_hk{i}" for i in range(len(keys))]
+
+    def hot_keys(thr: float):
+        return stats.filter(F.col("_n") > F.lit(thr)).select(
+            *[F.col(k).alias(h) for k, h in zip(keys, hot_names)],
+            F.col("_lo"),
+            ((F.col("_hi") - F.col("_lo") + F.lit(1.0)) / F.ceil(F.col("_n") / F.lit(thr))).alias("_width"),
+        )
+
     if hot_rows is not None:
-        thr = F.lit(float(hot_rows))
+        hot_df = hot_keys(float(hot_rows))
+        hot_list = hot_df.collect()
     else:
-        # rows / P from the stats themselves (their shuffle is reused, no extra scan)
-        thr = stats.select((F.sum("_n") / F.lit(p)).alias("t")).scalar()
-    hot_names = [f"_hk{i}" for i in range(len(keys))]
-    hot_df = stats.filter(F.col("_n") > thr).select(
-        *[F.col(k).alias(h) for k, h in zip(keys, hot_names)],
-        F.col("_lo"),
-        ((F.col("_hi") - F.col("_lo") + F.lit(1.0)) / F.ceil(F.col("_n") / thr)).alias("_width"),
-    )
-    hot_list = hot_df.collect()  # at most P rows by construction
+        # one row per key, kept for the two small actions below (the input is
+        # read once); the threshold is rows / P
+        stats = stats.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            total = stats.agg(F.sum("_n")).first()[0] or 0
+            hot_df = hot_keys(max(total / p, 1.0))
+            hot_list = hot_df.collect()  # at most P rows by construction
+        finally:
+            stats.unpersist()
     if not hot_list:
         staged = work.withColumn("_b", F.lit(0).cast("long")).withColumn("_hot", F.lit(False))
         return Buckets(staged.drop("_o"), keys, False)
