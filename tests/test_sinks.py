@@ -144,3 +144,35 @@ def test_kafka_payload(sensors):
 
     p = W.kafka_payload(sensors.filter("seq = 1"), sensor_to_json(), "test").first()
     assert p.topic == "test" and bytes(p.value).decode() == '{"id":"sensor_1","ts":1547718199,"vc":35.8}'
+
+
+def test_python_data_source_sink(spark, sensors):
+    import glob
+    import json
+
+    from eddyline.sinks.jsonl_source import HAS_PY_SINK, JsonLinesDataSource
+    from eddyline.streaming.run import checkpoint_location
+
+    if not HAS_PY_SINK:
+        return
+    spark.dataSource.register(JsonLinesDataSource)
+    out = checkpoint_location(spark, "jsonl")
+    sensors.repartition(2).write.format("eddyline_jsonl").mode("append").option("path", out).save()
+    rows = [json.loads(x) for f in glob.glob(f"{out}/batch=0/*.jsonl".replace("file:", "")) for x in open(f)]
+    assert len(rows) == 7 and {r["id"] for r in rows} == set(EXPECTED)
+
+    d = tempfile.mkdtemp(prefix="jsonl-in-")
+    sensors.write.mode("overwrite").parquet(os.path.join(d, "in"))
+    stream = spark.readStream.schema(sensors.schema).parquet(os.path.join(d, "in"))
+    out2 = checkpoint_location(spark, "jsonl-stream")
+    q = (
+        stream.writeStream.format("eddyline_jsonl")
+        .option("path", out2.replace("file:", ""))
+        .option("checkpointLocation", checkpoint_location(spark, "jsonl-ck"))
+        .trigger(availableNow=True)
+        .start()
+    )
+    q.awaitTermination()
+    files = glob.glob(f"{out2.replace('file:', '')}/batch=*/*.jsonl")
+    assert sum(1 for f in files for _ in open(f)) == 7
+    assert glob.glob(f"{out2.replace('file:', '')}/batch=*/_SUCCESS")
