@@ -143,3 +143,19 @@ def test_prefix_hot_plan_is_bounded(spark):
     plan = hot._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan
     assert plan.count("hashpartitioning(user_id#") >= 1
+
+
+def test_prefix_null_keys_empty_input_and_hot_null_key(spark):
+    rows = [(i, None if i % 2 else "k", float(i)) for i in range(1, 21)]
+    df = spark.createDataFrame(rows, "seq long, key string, v double")
+    for hot_rows in (None, 3):
+        out = running(df, ["key"], ["seq"], [Running("s", "sum", "v"), Running("n", "count", F.lit(1))], hot_rows=hot_rows)
+        got = {r.seq: (r.s, r.n) for r in out.collect()}
+        odd = [i for i in range(1, 21) if i % 2]
+        even = [i for i in range(1, 21) if not i % 2]
+        for grp in (odd, even):
+            for j, i in enumerate(grp):
+                assert got[i] == (float(sum(grp[: j + 1])), j + 1)
+    empty = df.filter("false")
+    assert running(empty, ["key"], ["seq"], [Running("s", "sum", "v")]).count() == 0
+    assert running(empty, [], ["seq"], [Running("s", "max", "v")], inclusive=False).count() == 0
