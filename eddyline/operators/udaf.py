@@ -17,7 +17,6 @@ import pandas as pd
 from pyspark.sql import DataFrame
 
 from eddyline.session import target_parallelism
-from pyspark.sql import types as T
 
 
 class AggregateFunction:
@@ -124,8 +123,6 @@ def aggregate(
     return ordered.mapInPandas(merge, out_schema)
 
 
-_ = T  # types re-exported for callers building result types
-
 from eddyline._ship import ship_by_value  # noqa: E402
 
 ship_by_value(__name__)
