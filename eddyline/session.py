@@ -17,6 +17,8 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # checkpoint files of materialized intermediates go away with their DataFrame
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

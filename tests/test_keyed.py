@@ -159,3 +159,26 @@ def test_prefix_null_keys_empty_input_and_hot_null_key(spark):
     empty = df.filter("false")
     assert running(empty, ["key"], ["seq"], [Running("s", "sum", "v")]).count() == 0
     assert running(empty, [], ["seq"], [Running("s", "max", "v")], inclusive=False).count() == 0
+
+
+def test_skewed_key_is_detected_and_split(spark):
+    """One key holding a third of the rows is found without any override, split
+    into buckets, and gives the same running values as a single-task window."""
+    from eddyline.operators.prefix import assign_buckets
+
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    skewed = ev.select(
+        F.col("event_id").alias("seq"),
+        F.when(F.col("event_id") % 3 == 0, F.lit("hot")).otherwise(F.col("user_id").cast("string")).alias("id"),
+        F.col("value").alias("vc"),
+    )
+    b = assign_buckets(skewed, ["id"], ["seq"])
+    assert b.any_hot
+    buckets = {r["_b"] for r in b.df.filter("id = 'hot'").select("_b").distinct().collect()}
+    assert len(buckets) >= 2  # 334 rows > 1000 / 4 per task share
+    assert b.df.filter("id != 'hot'").filter("_hot").count() == 0
+    got = running(skewed, ["id"], ["seq"], [Running("s", "sum", "vc"), Running("m", "max", "vc")])
+    w = Window.partitionBy("id").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
+    exp = skewed.select("*", F.sum("vc").over(w).alias("s"), F.max("vc").over(w).alias("m"))
+    g, e = got.withColumn("s", F.round("s", 2)), exp.withColumn("s", F.round("s", 2))
+    assert g.exceptAll(e).count() == 0 and e.exceptAll(g).count() == 0
