@@ -10,7 +10,10 @@ column and scans them in parallel:
    ``rows / P`` (``P`` = shuffle partitions), so there are at most ``P`` hot keys.
 2. A hot key with ``n`` rows is cut into ``ceil(n / (rows / P))`` value ranges of
    its ordering column; all other keys keep bucket 0. The hot table has at most
-   ``P`` rows, so broadcasting it is safe by construction.
+   ``P`` rows, so fetching it and broadcasting it back is safe by construction;
+   with no hot key the scan is a plain partitioned window and step 4 is skipped.
+   (Ranges are of values, so a key whose values bunch up gets uneven buckets;
+   the result is exact either way.)
 3. Local running aggregate over ``(key, bucket)`` ordered by the ordering columns:
    the only shuffle of the data.
 4. Bucket totals of hot keys (at most ``2P`` rows: ``sum ceil(n_k / T) <= P + #hot``)
