@@ -8,12 +8,13 @@ column and scans them in parallel:
 1. per-key stats (partial aggregate): row count, min and max of the first
    ordering column. A key is hot when it has more rows than one task's share
    ``rows / P`` (``P`` = shuffle partitions), so there are at most ``P`` hot keys.
-2. A hot key with ``n`` rows is cut into ``ceil(n / (rows / P))`` value ranges of
-   its ordering column; all other keys keep bucket 0. The hot table has at most
-   ``P`` rows, so fetching it and broadcasting it back is safe by construction;
-   with no hot key the scan is a plain partitioned window and step 4 is skipped.
-   (Ranges are of values, so a key whose values bunch up gets uneven buckets;
-   the result is exact either way.)
+2. A hot key with ``n`` rows is cut into ``nk = ceil(n / (rows / P))`` buckets of
+   its ordering column with about ``n / nk`` rows each (from a histogram over 16
+   equal sub-ranges per bucket); all other keys keep bucket 0. The hot table has
+   at most ``P`` rows, so fetching it and broadcasting it back is safe by
+   construction; with no hot key the scan is a plain partitioned window and step
+   4 is skipped. Values bunched inside one sub-range still share a bucket; the
+   result is exact either way.
 3. Local running aggregate over ``(key, bucket)`` ordered by the ordering columns:
    the only shuffle of the data.
 4. Bucket totals of hot keys (at most ``2P`` rows: ``sum ceil(n_k / T) <= P + #hot``)
@@ -38,6 +39,8 @@ from pyspark.sql import types as T
 from eddyline.session import target_parallelism
 
 KINDS = ("sum", "count", "max", "min", "first", "last")
+# sub-ranges per bucket used to even out the rows of a hot key across its buckets
+SUB_BUCKETS = 16
 
 
 @dataclass(frozen=True)
@@ -109,10 +112,13 @@ def assign_buckets(df: DataFrame, keys: list[str], order: list[str], hot_rows: f
     hot_names = [f"_hk{i}" for i in range(len(keys))]
 
     def hot_keys(thr: float):
+        nk = F.ceil(F.col("_n") / F.lit(thr)).cast("long")
         return stats.filter(F.col("_n") > F.lit(thr)).select(
             *[F.col(k).alias(h) for k, h in zip(keys, hot_names)],
+            F.col("_n"),
             F.col("_lo"),
-            ((F.col("_hi") - F.col("_lo") + F.lit(1.0)) / F.ceil(F.col("_n") / F.lit(thr))).alias("_width"),
+            nk.alias("_nk"),
+            ((F.col("_hi") - F.col("_lo") + F.lit(1.0)) / (nk * F.lit(SUB_BUCKETS))).alias("_sw"),
         )
 
     if hot_rows is not None:
@@ -131,11 +137,58 @@ def assign_buckets(df: DataFrame, keys: list[str], order: list[str], hot_rows: f
     if not hot_list:
         staged = work.withColumn("_b", F.lit(0).cast("long")).withColumn("_hot", F.lit(False))
         return Buckets(staged.drop("_o"), keys, False)
-    hot = F.broadcast(spark.createDataFrame(hot_list, hot_df.schema))
-    joined = work.join(hot, _null_safe_on(work, hot, list(zip(keys, hot_names))), "left")
-    bucket = F.coalesce(F.floor((F.col("_o") - F.col("_lo")) / F.col("_width")), F.lit(0)).cast("long")
+
+    # Equal-count buckets: each hot key's range is cut into nk * SUB_BUCKETS
+    # equal sub-ranges, their row counts (at most 2P * SUB_BUCKETS rows) are
+    # fetched, and consecutive sub-ranges are grouped into nk buckets of about
+    # n / nk rows each. The grouping travels as an array in the broadcast hot
+    # table, so a row finds its bucket with one lookup.
+    pairs = list(zip(keys, hot_names))
+    nsub = F.col("_nk") * F.lit(SUB_BUCKETS)
+    sub = F.least(F.greatest(F.floor((F.col("_o") - F.col("_lo")) / F.col("_sw")), F.lit(0)), nsub - 1).cast("long")
+    hot_small = F.broadcast(spark.createDataFrame(hot_list, hot_df.schema))
+    hist = (
+        work.join(hot_small, _null_safe_on(work, hot_small, pairs), "inner")
+        .groupBy(*hot_names, sub.alias("_sub"))
+        .agg(F.count(F.lit(1)).alias("_c"))
+        .collect()
+    )
+    counts: dict = {}
+    for r in hist:
+        counts.setdefault(tuple(r[h] for h in hot_names), {})[r["_sub"]] = r["_c"]
+    rows = []
+    for h in hot_list:
+        k = tuple(h[x] for x in hot_names)
+        mapping = _equal_count_buckets(counts.get(k, {}), int(h["_nk"]))
+        rows.append((*k, float(h["_lo"]), float(h["_sw"]), int(h["_nk"]), mapping))
+    hot_schema = T.StructType(
+        [hot_df.schema[x] for x in hot_names]
+        + [
+            T.StructField("_lo", T.DoubleType()),
+            T.StructField("_sw", T.DoubleType()),
+            T.StructField("_nk", T.LongType()),
+            T.StructField("_map", T.ArrayType(T.LongType())),
+        ]
+    )
+    hot = F.broadcast(spark.createDataFrame(rows, hot_schema))
+    joined = work.join(hot, _null_safe_on(work, hot, pairs), "left")
+    bucket = F.coalesce(F.element_at(F.col("_map"), (sub + 1).cast("int")), F.lit(0)).cast("long")
     staged = joined.withColumn("_b", bucket).withColumn("_hot", F.col("_lo").isNotNull())
-    return Buckets(staged.drop(*hot_names, "_lo", "_width", "_o"), keys, True)
+    return Buckets(staged.drop(*hot_names, "_lo", "_sw", "_nk", "_map", "_o"), keys, True)
+
+
+def _equal_count_buckets(sub_counts: dict, nk: int) -> list[int]:
+    """Map sub-range index -> bucket so that buckets get about equal row counts.
+    Non-decreasing in the index (so bucket order follows the ordering column) and
+    at most ``nk`` buckets."""
+    nsub = nk * SUB_BUCKETS
+    total = sum(sub_counts.values())
+    target = total / nk if total else 1.0
+    out, before = [], 0
+    for i in range(nsub):
+        out.append(min(nk - 1, int(before // target)))
+        before += sub_counts.get(i, 0)
+    return out
 
 
 def running(

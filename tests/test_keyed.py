@@ -182,3 +182,19 @@ def test_skewed_key_is_detected_and_split(spark):
     exp = skewed.select("*", F.sum("vc").over(w).alias("s"), F.max("vc").over(w).alias("m"))
     g, e = got.withColumn("s", F.round("s", 2)), exp.withColumn("s", F.round("s", 2))
     assert g.exceptAll(e).count() == 0 and e.exceptAll(g).count() == 0
+
+
+def test_hot_key_buckets_hold_equal_counts_when_values_bunch(spark):
+    """seq = i^2: equal value ranges would give the first of 4 buckets half the rows;
+    the histogram split gives each about a quarter, with the same results."""
+    from eddyline.operators.prefix import assign_buckets
+
+    rows = [(i * i, "hot", float(i)) for i in range(400)] + [(10**7 + i, f"c{i}", 1.0) for i in range(4)]
+    df = spark.createDataFrame(rows, "seq long, id string, vc double")
+    b = assign_buckets(df, ["id"], ["seq"])
+    sizes = sorted(r["count"] for r in b.df.filter("id = 'hot'").groupBy("_b").count().collect())
+    assert len(sizes) == 4 and max(sizes) <= 130, sizes
+    got = running(df, ["id"], ["seq"], [Running("s", "sum", "vc"), Running("f", "first", "seq")])
+    w = Window.partitionBy("id").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
+    exp = df.select("*", F.sum("vc").over(w).alias("s"), F.first("seq").over(w).alias("f"))
+    assert got.exceptAll(exp).count() == 0 and exp.exceptAll(got).count() == 0
