@@ -15,6 +15,7 @@ column and scans them in parallel:
    construction; with no hot key the scan is a plain partitioned window and step
    4 is skipped. Values bunched inside one sub-range still share a bucket; the
    result is exact either way.
+   A scan with no key is one such key cut into P buckets.
 3. Local running aggregate over ``(key, bucket)`` ordered by the ordering columns:
    the only shuffle of the data.
 4. Bucket totals of hot keys (at most ``2P`` rows: ``sum ceil(n_k / T) <= P + #hot``)
@@ -100,13 +101,23 @@ def assign_buckets(df: DataFrame, keys: list[str], order: list[str], hot_rows: f
     work = work.withColumn("_o", _numeric_order(work, order[0]))
     p = target_parallelism(spark)
     if global_scan:
-        # One logical key: cut the ordering range into P buckets.
-        lo, hi = work.agg(F.min("_o"), F.max("_o")).first()
+        # One logical key cut into P buckets of about equal row counts: a histogram
+        # over 16P equal sub-ranges (fetched: at most 16P rows) is grouped by
+        # cumulative count; the sub-range -> bucket table joins back as a
+        # broadcast equi-join on the sub-range index.
+        lo, hi, n = work.agg(F.min("_o"), F.max("_o"), F.count(F.lit(1))).first()
         if lo is None:
             staged = work.withColumn("_b", F.lit(0).cast("long"))
         else:
-            width = (hi - lo + 1.0) / p
-            staged = work.withColumn("_b", F.floor((F.col("_o") - F.lit(lo)) / F.lit(width)).cast("long"))
+            nsub = p * SUB_BUCKETS
+            sw = (hi - lo + 1.0) / nsub
+            sub = F.least(F.greatest(F.floor((F.col("_o") - F.lit(lo)) / F.lit(sw)), F.lit(0)), F.lit(nsub - 1))
+            with_sub = work.withColumn("_sub", sub.cast("long"))
+            hist = {r["_sub"]: r["_c"] for r in with_sub.groupBy("_sub").agg(F.count(F.lit(1)).alias("_c")).collect()}
+            mapping = _equal_count_buckets({k: v for k, v in hist.items() if k is not None}, p)
+            table = spark.createDataFrame(list(enumerate(mapping)), "_sub long, _mb long")
+            joined = with_sub.join(F.broadcast(table), "_sub", "left")
+            staged = joined.withColumn("_b", F.coalesce(F.col("_mb"), F.lit(0)).cast("long")).drop("_sub", "_mb")
         return Buckets(staged.withColumn("_hot", F.lit(True)).drop("_o"), keys, True)
     stats = work.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_o").alias("_lo"), F.max("_o").alias("_hi"))
     hot_names = [f"_hk{i}" for i in range(len(keys))]

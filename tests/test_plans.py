@@ -47,3 +47,8 @@ def test_global_watermark_scan_is_partitioned(spark):
 def test_filters_reach_the_scan(spark):
     plan = _plan(spark, "union_all")
     assert "PushedFilters: [IsNotNull(event_type), EqualTo(event_type,click)]" in plan or "EqualTo(event_type,click)" in plan
+
+
+def test_no_nested_loop_joins(spark):
+    for name in ("late_side_output", "allowed_lateness_sum", "rolling_max", "session_count", "count_sliding_sum"):
+        assert "NestedLoopJoin" not in _plan(spark, name), name
