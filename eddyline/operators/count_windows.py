@@ -38,6 +38,8 @@ def count_tumbling(df: DataFrame, key: str, order: str, size: int, *aggs: Column
     """``countWindow(size)``: fires on every ``size``-th element of a key with those
     ``size`` elements; an incomplete last window never fires. (Streams: see
     ``stream_count_window``.)"""
+    if df.isStreaming:
+        raise ValueError("count windows on a stream: use stream_count_window (state store buffer)")
     ranked = row_number(df, [key], [order], "_rn", hot_rows=hot_rows)
     grouped = ranked.groupBy(key, F.floor((F.col("_rn") - 1) / size).alias("win_idx")).agg(
         F.count(F.lit(1)).alias("_n"), F.max(order).alias("fire_seq"), *aggs
@@ -55,6 +57,8 @@ def count_sliding(
     that are multiples of ``slide``: at most ``ceil(size/slide)`` copies), then
     summed per ``(key, firing)``. A firing exists only if its own element does.
     """
+    if df.isStreaming:
+        return stream_count_window(df, key, order, value, size, slide)
     ranked = row_number(df, [key], [order], "_rn", hot_rows=hot_rows)
     # multiples of slide in [rn, rn + size - 1], as a stepped sequence (no lambda)
     first = F.ceil(F.col("_rn") / F.lit(slide)).cast("long") * F.lit(slide)

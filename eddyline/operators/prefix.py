@@ -226,6 +226,11 @@ def running(
         if a.kind not in KINDS:
             raise ValueError(f"unknown running kind {a.kind!r}")
     if buckets is None:
+        if df.isStreaming:
+            raise ValueError(
+                "running() is the batch form; on a stream use the keyed operators (they switch to "
+                "transformWithState) or a processor from eddyline.streaming.stateful"
+            )
         buckets = assign_buckets(df, keys, order, hot_rows)
     staged, keys = buckets.df, buckets.keys
     cols = [c for c in staged.columns if c not in INTERNAL]

@@ -321,3 +321,17 @@ def test_session_trigger_on_merge(spark):
     # merges at 5, 9, 14 fire with 2, 3, 4 elements; the timers then fire [0,19) and [20,25);
     # the session opened at 60 is still open when the input ends
     assert got == [(0, 10, 2), (0, 14, 3), (0, 19, 4), (0, 19, 4), (20, 25, 1)]
+
+
+def test_batch_only_forms_explain_themselves_on_streams(spark):
+    import pytest
+
+    from eddyline.operators.count_windows import count_sliding, count_tumbling
+    from eddyline.operators.prefix import Running, running
+
+    s = _ones_stream(spark, 3)
+    with pytest.raises(ValueError, match="stream"):
+        running(s, ["key"], ["seq"], [Running("n", "count", F.lit(1))])
+    with pytest.raises(ValueError, match="stream_count_window"):
+        count_tumbling(s, "key", "seq", 2, F.sum("value").alias("s"))
+    assert count_sliding(s, "key", "seq", 5, 2, "value").isStreaming
