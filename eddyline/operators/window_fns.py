@@ -43,6 +43,20 @@ def window_count_text(window_text: Column, count: Column) -> Column:
     return F.format_string(WINDOW_COUNT_TEXT_FORMAT, window_text, count.cast("string"))
 
 
+def fold_concat_by(df: DataFrame, keys: list[str], order: str, value: str, sep: str = "", name: str = "folded") -> DataFrame:
+    """Grouped string fold that stays parallel on a hot group: rows get the
+    prefix scan's buckets (ranges of ``order``), each ``(group, bucket)`` is
+    sorted and concatenated on its own, then the at most ``nk`` pieces of a group
+    are joined in bucket order. Concatenation is associative, so the result
+    equals the fold over the whole group."""
+    from eddyline.operators.prefix import assign_buckets
+
+    b = assign_buckets(df.select(*keys, order, value), keys, [order])
+    parts = b.df.groupBy(*keys, "_b").agg(fold_concat(value, order, sep).alias("_part"))
+    pieces = F.array_sort(F.collect_list(F.struct(F.col("_b"), F.col("_part"))))
+    return parts.groupBy(*keys).agg(F.array_join(F.transform(pieces, lambda x: x.getField("_part")), sep).alias(name))
+
+
 def check_fold_allowed(window_kind: str) -> None:
     """Fold needs a fixed element order and cannot merge; the library forbids it
     on merging (session) windows, and so does this one."""

@@ -287,8 +287,8 @@ def q_window_avg_udaf(spark, sf):
 def q_window_fold_concat(spark, sf):
     s = sensor_view(spark, sf)
     wf.check_fold_allowed("tumbling")
-    out = win.window_agg(s, ["id"], win.tumbling("ts", P.TUMBLE), wf.fold_concat("event_type", "seq").alias("folded"))
-    return out.select("id", "win_start", "folded")
+    s = s.withColumn("win_start", win.tumbling("ts", P.TUMBLE).start)
+    return wf.fold_concat_by(s, ["id", "win_start"], "seq", "event_type").select("id", "win_start", "folded")
 
 
 def q_tumbling_process_count(spark, sf):

@@ -193,3 +193,13 @@ def test_session_windows_hot_split_equals_builtin(spark):
     exp = win.window_agg(ev, ["id"], win.session("ts", "2 hours"), F.count(F.lit(1)).alias("n"))
     assert got.count() == exp.count()
     assert got.exceptAll(exp).count() == 0
+
+
+def test_fold_by_buckets_equals_whole_group_fold(spark):
+    df = spark.read.parquet("/root/testdata/sf0.001/events.parquet").select(
+        (F.col("user_id") % 2).cast("string").alias("id"), "event_id", "event_type"
+    )
+    # P=4 in tests: a key with half of 1000 rows is hot and split into buckets
+    got = wf.fold_concat_by(df, ["id"], "event_id", "event_type", sep=",")
+    exp = df.groupBy("id").agg(wf.fold_concat("event_type", "event_id", ",").alias("folded"))
+    assert sorted(got.collect()) == sorted(exp.collect())
