@@ -25,9 +25,17 @@ def map_groups(
     schema: str,
     order: list[str] | None = None,
 ) -> DataFrame:
-    """Apply ``fn`` to every group of ``keys`` (rows ordered by ``order`` inside it)."""
+    """Apply ``fn`` to every group of ``keys`` (rows ordered by ``order`` inside it).
+    ``fn`` returns a pandas frame, or a dict for a single output row (cheaper)."""
     order = order or []
 
+    def emit(results: list) -> pd.DataFrame | None:
+        rows = [r for r in results if isinstance(r, dict)]
+        frames = [r for r in results if not isinstance(r, dict)]
+        if rows:
+            frames.append(pd.DataFrame(rows))
+        return pd.concat(frames, ignore_index=True) if frames else None
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         carry = None
         for pdf in batches:
@@ -39,12 +47,14 @@ def map_groups(
             starts = np.flatnonzero((k != k.shift()).any(axis=1).to_numpy())
             bounds = list(starts) + [len(pdf)]
             # the last run may continue in the next batch: keep it back
-            outs = [fn(pdf.iloc[a:b].reset_index(drop=True)) for a, b in zip(bounds[:-2], bounds[1:-1])]
+            out = emit([fn(pdf.iloc[a:b].reset_index(drop=True)) for a, b in zip(bounds[:-2], bounds[1:-1])])
             carry = pdf.iloc[bounds[-2] :]
-            if outs:
-                yield pd.concat(outs, ignore_index=True)
+            if out is not None:
+                yield out
         if carry is not None and not carry.empty:
-            yield fn(carry.reset_index(drop=True))
+            out = emit([fn(carry.reset_index(drop=True))])
+            if out is not None:
+                yield out
 
     # an explicit partition count: AQE would otherwise coalesce a small shuffle into
     # one task and serialise the Python work

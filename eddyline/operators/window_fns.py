@@ -76,13 +76,13 @@ def java_ts_text_py(ts: pd.Timestamp) -> str:
     return f"{ts:%Y-%m-%d %H:%M:%S}.{frac}"
 
 
-def count_label_process(key_col: str) -> Callable[[pd.DataFrame], pd.DataFrame]:
+def count_label_process(key_col: str) -> Callable[[pd.DataFrame], dict]:
     """The reference's ProcessWindowFunction: all elements of a window ->
     ``(start:key, number of elements)``."""
 
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
+    def fn(pdf: pd.DataFrame) -> dict:
         label = WINDOW_LABEL_FORMAT % (java_ts_text_py(pd.Timestamp(pdf["win_start"].iloc[0])), pdf[key_col].iloc[0])
-        return pd.DataFrame({"label": [label], "cnt": [len(pdf)]})
+        return {"label": label, "cnt": len(pdf)}
 
     return fn
 

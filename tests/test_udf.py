@@ -41,3 +41,22 @@ def test_aggregate_function_two_phase(spark):
     assert j.filter(F.abs(F.col("avg_v") - F.col("e")) > 1e-9).count() == 0
     cnt = aggregate(ev, ["event_type"], "value", CountFunction(), "long", "n", max_keys_per_flush=2)
     assert {r.event_type: r.n for r in cnt.collect()} == {r.event_type: r["count"] for r in ev.groupBy("event_type").count().collect()}
+
+
+def test_python_folds_across_tiny_arrow_batches(spark):
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet").select(
+        F.col("event_id").alias("seq"), F.col("user_id").cast("string").alias("id"), "ts", F.col("value").alias("vc")
+    )
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
+    try:
+        got = rolling_reduce_fn(ev, "id", "seq", ["ts", "vc"], reference_reducer)
+        exp = keyed.keyed_reduce_latest_max(ev, "id", "vc", "seq", latest=("ts",))
+        assert got.exceptAll(exp.select("seq", "id", "ts", "vc")).count() == 0 and got.count() == 1000
+        avg = aggregate(ev, ["id"], "vc", AverageFunction(), "double", "a")
+        ref = ev.groupBy("id").agg(F.avg("vc").alias("e"))
+        j = avg.join(ref, "id")
+        assert j.count() == ref.count() == avg.count()
+        assert j.filter(F.abs(F.col("a") - F.col("e")) > 1e-9).count() == 0
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)

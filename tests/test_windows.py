@@ -203,3 +203,31 @@ def test_fold_by_buckets_equals_whole_group_fold(spark):
     got = wf.fold_concat_by(df, ["id"], "event_id", "event_type", sep=",")
     exp = df.groupBy("id").agg(wf.fold_concat("event_type", "event_id", ",").alias("folded"))
     assert sorted(got.collect()) == sorted(exp.collect())
+
+
+def test_map_groups_runs_across_arrow_batches(spark):
+    """Tiny Arrow batches make groups straddle batch edges; each group is still
+    seen whole, once, in order (frame and dict results)."""
+    import pandas as pd
+
+    from eddyline.operators.groups import map_groups
+
+    df = spark.read.parquet("/root/testdata/sf0.001/events.parquet").select("user_id", "event_id")
+
+    def as_frame(pdf: pd.DataFrame) -> pd.DataFrame:
+        ordered = bool((pdf["event_id"].diff().dropna() > 0).all())
+        return pd.DataFrame({"user_id": [pdf["user_id"].iloc[0]], "n": [len(pdf)], "ordered": [ordered]})
+
+    def as_dict(pdf: pd.DataFrame) -> dict:
+        return {"user_id": int(pdf["user_id"].iloc[0]), "n": len(pdf), "ordered": True}
+
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        exp = {r.user_id: r["count"] for r in df.groupBy("user_id").count().collect()}
+        for fn in (as_frame, as_dict):
+            got = map_groups(df, ["user_id"], fn, "user_id long, n long, ordered boolean", ["event_id"]).collect()
+            assert {r.user_id: r.n for r in got} == exp and len(got) == len(exp)
+            assert all(r.ordered for r in got)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
