@@ -10,21 +10,3 @@ SENSOR = T.StructType(
         T.StructField("vc", T.DoubleType(), True),
     ]
 )
-
-# A sensor reading with its arrival position (every order-dependent operator needs one).
-SENSOR_SEQ = T.StructType([T.StructField("seq", T.LongType(), True), *SENSOR.fields])
-
-WORD_COUNT = T.StructType(
-    [T.StructField("word", T.StringType(), True), T.StructField("cnt", T.LongType(), True)]
-)
-
-LINE = T.StructType([T.StructField("value", T.StringType(), True)])
-
-# Output of connect/co-map: one tagged row per input element of either side.
-CONNECTED = T.StructType(
-    [
-        T.StructField("side", T.IntegerType(), False),
-        T.StructField("str_value", T.StringType(), True),
-        T.StructField("int_value", T.LongType(), True),
-    ]
-)
