@@ -1,0 +1,27 @@
+"""The driver contract: bench.py prints one JSON line; entry/queries/oracle_sql agree."""
+
+import json
+import os
+import subprocess
+import sys
+
+import __spark_entry__ as E
+from tests.conftest import ROOT, SF_SMALL
+
+
+def test_bench_prints_one_json_line():
+    env = dict(os.environ, BENCH_SF_DIR=SF_SMALL, BENCH_CPUS="2")
+    out = subprocess.run(
+        [sys.executable, os.path.join(ROOT, "bench.py"), "word_count", "rolling_max"],
+        capture_output=True, text=True, env=env, timeout=600, check=True,
+    ).stdout.strip().splitlines()
+    lines = [x for x in out if x.startswith("{")]
+    assert len(lines) == 1
+    d = json.loads(lines[0])
+    assert set(d) >= {"metric", "value", "unit", "queries", "sf"} and d["unit"] == "sec"
+    assert set(d["queries"]) == {"word_count", "rolling_max"} and d["sf"] == 0.001
+
+
+def test_oracle_keys_are_query_keys():
+    assert set(E.oracle_sql()) <= set(E.queries())
+    assert all(callable(f) for f in E.queries().values())
