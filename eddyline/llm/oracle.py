@@ -60,4 +60,78 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        fail_bits & 3 <> 0 AS base_failed, fail_bits = 0 AS kept, fail_bits FROM b
 """
 
-ORACLE = {"op4_line_dedup": OP4, "op8_quality_rules": OP8}
+OP10 = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, hash(list_slice(w, i, i + 4)) AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), common AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c
+  FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM common JOIN n na ON a = na.doc_id JOIN n nb ON b = nb.doc_id
+  WHERE 100 * c >= 75 * (na.n + nb.n - c)
+), reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM d
+  UNION
+  SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+), smallest AS (
+  SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a
+)
+SELECT doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+FROM smallest LEFT JOIN n USING (doc_id)
+"""
+
+OP6 = r"""
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS pos,
+         count(*) OVER (PARTITION BY conv_id) AS n
+  FROM conversations
+), p AS (
+  SELECT conv_id, pos, n, string_agg('<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10), '')
+         OVER (PARTITION BY conv_id ORDER BY pos) AS whole
+  FROM t
+), f AS (
+  SELECT min(conv_id) AS conv_id, n, whole, count(*) AS copies FROM p WHERE pos = n GROUP BY n, whole
+)
+SELECT conv_id, n AS n_turns, copies, whole AS text, length(whole)::BIGINT AS n_chars
+FROM f WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.pos = f.n AND p.pos < p.n AND p.whole = f.whole)
+"""
+
+OP9 = r"""
+WITH s AS (
+  SELECT source, count(*)::DOUBLE AS size, CASE WHEN source = 'src0' THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS w
+  FROM documents GROUP BY source
+), r AS (
+  SELECT source, w / (SELECT sum(w) FROM s) * (SELECT sum(size) FROM s) / size AS rate FROM s
+), m AS (
+  SELECT source, greatest(ceil(rate / 32), 1)::BIGINT AS parts, rate / greatest(ceil(rate / 32), 1) AS mean FROM r
+), c AS (
+  SELECT source, k, sum(exp(-mean + k * ln(mean) - lgamma(k + 1))) OVER (PARTITION BY source ORDER BY k) AS total
+  FROM (SELECT source, mean, unnest(range(0, ceil(mean + 10 * sqrt(mean) + 30)::BIGINT + 1)) AS k FROM m)
+), u AS (
+  SELECT d.*, (('0x' || substr(md5('20240607:' || d.doc_id || ':' || part), 1, 13))::BIGINT + 0.5::DOUBLE)
+           / 4503599627370496::DOUBLE AS u
+  FROM (SELECT d.doc_id, d.source, unnest(range(1, parts + 1)) AS part FROM documents d JOIN m ON d.source = m.source) d
+), n AS (
+  SELECT u.doc_id, count(c.k) AS copies FROM u JOIN c ON u.source = c.source AND c.total <= u.u GROUP BY u.doc_id
+)
+SELECT doc_id, text, lang, source, n_chars, copies::INTEGER AS copies, copy::INTEGER AS copy,
+       md5('20240607:order:' || doc_id || ':' || copy) AS shuffle_key
+FROM (SELECT d.*, n.copies, unnest(range(0, n.copies)) AS copy FROM documents d JOIN n USING (doc_id))
+"""
+
+ORACLE = {
+    "op4_line_dedup": OP4,
+    "op6_chat_snapshots": OP6,
+    "op8_quality_rules": OP8,
+    "op9_poisson_mix": OP9,
+    "op10_minhash_forest": OP10,
+}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eddyline.llm import line_dedup, quality_rules
+from eddyline.llm import chat, feistel_shards, line_dedup, merkle, minhash_forest, packing, poisson_mix, quality_rules
 from eddyline.sources.tables import table
 
 # Rows of an Arrow batch: with long texts the default (10,000) is too much for a task's memory.
@@ -20,15 +20,45 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return table(spark, sf_dir, name)
 
 
+def op1_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return feistel_shards.query(documents(spark, sf_dir))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.query(documents(spark, sf_dir))
 
 
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.query(documents(spark, sf_dir))
+
+
+def op6_chat_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.query(read(spark, sf_dir, "conversations"))
+
+
+def op7_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.query(documents(spark, sf_dir))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.query(documents(spark, sf_dir))
 
 
+def op9_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return poisson_mix.query(documents(spark, sf_dir))
+
+
+def op10_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_forest.query(documents(spark, sf_dir))
+
+
 QUERIES = {
+    "op1_feistel_shards": op1_feistel_shards,
     "op4_line_dedup": op4_line_dedup,
+    "op5_best_fit_packing": op5_best_fit_packing,
+    "op6_chat_snapshots": op6_chat_snapshots,
+    "op7_merkle_fingerprints": op7_merkle_fingerprints,
     "op8_quality_rules": op8_quality_rules,
+    "op9_poisson_mix": op9_poisson_mix,
+    "op10_minhash_forest": op10_minhash_forest,
 }
