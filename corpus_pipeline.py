@@ -1,10 +1,72 @@
-"""The corpus pipeline: five stages over ``documents``."""
+"""The corpus pipeline: five stages from ``documents`` to packed token sequences.
+
+1. quality rules: documents that the current policy rejects go;
+2. line dedup: lines that at least ten of the remaining documents share go;
+3. MinHash near-dedup: one document of each group of near copies stays;
+4. mixing: documents are repeated to bring the sources to their target weights;
+5. packing: every remaining document is tokenized and placed in a sequence.
+
+Each stage takes (spark, docs, sf_dir), works on all that its predecessor kept and returns a
+DataFrame; all but the last return the columns of ``documents``. ``run`` writes each stage's
+rows as Parquet into the shared checkpoint folder and rereads them for the next.
+
+Defined cases: those of the operators. A null text fails the quality rules. Rows that repeat
+in id and text count as one document to the near-dedup stage, which keeps one of them; rows
+without an id are kept or dropped by their own text. An empty table gives empty results.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from eddyline.llm import line_dedup, minhash_forest, packing, poisson_mix, quality_rules
+from eddyline.llm.queries import documents
+from eddyline.session import shared_path
+
+# Packing cannot be stated in SQL (a tokenizer, best-fit decreasing): tested by brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return quality_rules.apply_policy(quality_rules.ledger(docs)).where("kept").select(*docs.columns)
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    out = line_dedup.dedup_lines(docs)
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return out.select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return minhash_forest.keep_representatives(docs)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return poisson_mix.replicate(docs, poisson_mix.WEIGHTS).select(*docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.query(docs)
+
+
+STAGES = [
+    ("quality_rules", quality),
+    ("line_dedup", lines),
+    ("minhash_near_dedup", near_duplicates),
+    ("mix_sources", mix),
+    ("best_fit_packing", pack),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the last stage over ``documents``."""
+    docs = documents(spark, sf_dir)
+    base = shared_path(spark, f"pipeline-{uuid.uuid4().hex}")
+    for name, stage in STAGES:
+        stage(spark, docs, sf_dir).write.parquet(f"{base}/{name}")
+        docs = spark.read.parquet(f"{base}/{name}")
+    return docs

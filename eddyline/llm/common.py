@@ -84,6 +84,18 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
         at = to
 
 
+# Rows of an Arrow batch at most: Spark's default (10,000) of long texts is too much for a task.
+BATCH_ROWS = 1000
+
+
+def map_batches(df: DataFrame, run: Callable, schema) -> DataFrame:
+    """``mapInArrow`` with batches of at most BATCH_ROWS rows (a setting of the session)."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(name, "10000")) <= BATCH_ROWS:
+        conf.set(name, str(BATCH_ROWS))
+    return df.mapInArrow(run, schema)
+
+
 def map_rows(
     df: DataFrame,
     make: Callable[[], Callable[[pa.RecordBatch], dict[str, pa.Array]]],
@@ -111,7 +123,7 @@ def map_rows(
                     names=[*kept_names, *field_names],
                 )
 
-    return df.mapInArrow(run, T.StructType([*kept, *new_fields]))
+    return map_batches(df, run, T.StructType([*kept, *new_fields]))
 
 
 ship_by_value(__name__)

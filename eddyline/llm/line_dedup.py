@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eddyline._ship import ship_by_value
-from eddyline.llm.common import byte_values, map_rows, mix64, slices, string_array
+from eddyline.llm.common import byte_values, map_batches, map_rows, mix64, slices, string_array
 from eddyline.session import materialize
 
 MIN_DOCS = 10
@@ -88,7 +88,7 @@ def count_lines(docs: DataFrame, text: str = "text", min_length: int = MIN_LENGT
                     [pa.array(h, pa.int64()), pa.array(n, pa.int64())], names=["line_hash", "n"]
                 )
 
-    counts = docs.select(text).mapInArrow(run, "line_hash long, n long")
+    counts = map_batches(docs.select(text), run, "line_hash long, n long")
     return counts.groupBy("line_hash").agg(F.sum("n").alias("n_docs"))
 
 
@@ -246,7 +246,7 @@ def probe_routed(docs: DataFrame, index: DataFrame, shards: int, text: str, min_
                 a, b, h = (np.array(x, np.int64) for x in (zip(*rows, strict=True) if rows else ([], [], [])))
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in (a, b, h)], names=[*key, "line_hash"])
 
-    probes = keyed.select(*key, text).mapInArrow(ask, "_text_1 long, _text_2 long, line_hash long")
+    probes = map_batches(keyed.select(*key, text), ask, "_text_1 long, _text_2 long, line_hash long")
     probes = probes.select(
         F.pmod(F.col("line_hash"), F.lit(shards)).cast("int").alias("shard"),
         F.pmod("_text_1", F.lit(SALTS)).cast("int").alias("salt"),
@@ -277,7 +277,7 @@ def probe_routed(docs: DataFrame, index: DataFrame, shards: int, text: str, min_
                     found = arrays_of.documents(part.column("line_hash").to_numpy()) >= min_docs
                     yield part.select([*key, "line_hash"]).filter(pa.array(found))
 
-    hits = both.mapInArrow(answer, "_text_1 long, _text_2 long, line_hash long")
+    hits = map_batches(both, answer, "_text_1 long, _text_2 long, line_hash long")
     hits = hits.groupBy(*key).agg(F.collect_set("line_hash").alias("_drop"))
     joined = keyed.join(hits, key, "left")
 

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eddyline._ship import ship_by_value
-from eddyline.llm.common import byte_values, map_rows, slices
+from eddyline.llm.common import byte_values, map_batches, map_rows, slices
 from eddyline.session import target_parallelism
 
 SHORT = 1024  # bytes of a short text
@@ -216,7 +216,7 @@ def with_next(docs: DataFrame, function, schema: str, doc_id: str = "doc_id", te
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from function(triples(batches))
 
-    return dealt.mapInArrow(run, schema)
+    return map_batches(dealt, run, schema)
 
 
 DIGEST = (

@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eddyline._ship import ship_by_value
-from eddyline.llm.common import WordHashes, byte_values, map_rows, window_hashes
+from eddyline.llm.common import WordHashes, byte_values, map_batches, map_rows, window_hashes
 from eddyline.llm.components import components
 from eddyline.session import materialize, target_parallelism
 
@@ -217,7 +217,7 @@ def forest(classes: DataFrame, partitions: int) -> DataFrame:
             at = np.array(at)
             yield rows_of(EDGE, node[at], np.full(len(at), side), np.full(len(at), seam), at)
 
-    return rows.mapInArrow(scan, FOUND)
+    return map_batches(rows, scan, FOUND)
 
 
 def seam_pairs(found: DataFrame) -> DataFrame:
@@ -282,7 +282,7 @@ def neighbour_pairs(found: DataFrame, groups: DataFrame, partitions: int) -> Dat
             i = np.flatnonzero((run[:-k] == run[k:]) & (root[:-k] != root[k:]))
             yield pa.RecordBatch.from_arrays([pa.array(node[i]), pa.array(node[i + k])], names=["a", "b"])
 
-    return ordered(rows.mapInArrow(scan, "a long, b long"))
+    return ordered(map_batches(rows, scan, "a long, b long"))
 
 
 def ordered(pairs: DataFrame) -> DataFrame:
@@ -322,7 +322,7 @@ def asked_sets(docs: DataFrame, text: str, text_hash: str, classes: DataFrame, p
                         names=["set_hash", "shingles"],
                     )
 
-    made = docs.select(text, text_hash).mapInArrow(run, "set_hash long, shingles array<long>")
+    made = map_batches(docs.select(text, text_hash), run, "set_hash long, shingles array<long>")
     return made.join(nodes, "set_hash", "left_semi").groupBy("set_hash").agg(F.first("shingles").alias("shingles"))
 
 
@@ -373,6 +373,17 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     )
 
 
+def keep_representatives(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """The rows of ``docs`` that stand for their group, one row per (id, text); the texts are
+    shuffled once, by id."""
+    keys = ["_id_hash", "_text_hash"]  # never null, on both sides
+    chosen = near_duplicates(docs, text, doc_id).where("kept")
+    chosen = chosen.select(F.xxhash64("doc_id").alias(keys[0]), F.col("text_hash").alias(keys[1])).distinct()
+    hashed = docs.withColumn(keys[0], F.xxhash64(doc_id)).withColumn(keys[1], F.xxhash64(text))
+    # rows that repeat id and text: one stays (they are dealt by the same keys already)
+    return hashed.join(chosen, keys, "left_semi").dropDuplicates(keys).select(*docs.columns)
+
+
 def query(docs: DataFrame) -> DataFrame:
     return near_duplicates(docs).select("doc_id", "n_shingles", "component_id", "kept")
 

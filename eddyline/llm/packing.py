@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eddyline._ship import ship_by_value
-from eddyline.llm.common import byte_values, slices
+from eddyline.llm.common import byte_values, map_batches, slices
 from eddyline.session import materialize
 
 CAPACITY = 4096
@@ -103,7 +103,7 @@ def token_pieces(
                 columns += [pa.array(raw, pa.binary())] if tokens else []
                 yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in fields])
 
-    return source.mapInArrow(run, T.StructType(fields))
+    return map_batches(source, run, T.StructType(fields))
 
 
 # ---------------------------------------------------------------- bounds and best fit

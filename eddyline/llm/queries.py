@@ -4,19 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eddyline.llm import chat, feistel_shards, line_dedup, merkle, minhash_forest, packing, poisson_mix, quality_rules
+from eddyline.llm import byte_cnn, chat, feistel_shards, html_crf, line_dedup, merkle, minhash_forest, packing, poisson_mix, quality_rules
 from eddyline.sources.tables import table
 
-# Rows of an Arrow batch: with long texts the default (10,000) is too much for a task's memory.
-ARROW_ROWS = "1000"
-
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "documents")
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
     return table(spark, sf_dir, name)
 
 
@@ -24,6 +20,14 @@ def op1_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feistel_shards.query(documents(spark, sf_dir))
 
 
+def op2_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_cnn.query(documents(spark, sf_dir), read(spark, sf_dir, "labels"))
+
+
+def op3_html_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_crf.query(read(spark, sf_dir, "pages"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.query(documents(spark, sf_dir))
 
@@ -54,6 +58,8 @@ def op10_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_feistel_shards": op1_feistel_shards,
+    "op2_byte_cnn": op2_byte_cnn,
+    "op3_html_crf": op3_html_crf,
     "op4_line_dedup": op4_line_dedup,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_chat_snapshots": op6_chat_snapshots,
