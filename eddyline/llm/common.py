@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -19,6 +21,15 @@ SLICE_BYTES = 4 << 20
 WORD_CACHE = 300_000
 
 
+def kept_by_process(key: str, make: Callable):
+    """An object that a Python worker keeps for the later tasks it runs (functions are shipped by
+    value, so their own module is new in every task)."""
+    holder = sys.modules.setdefault("_eddyline_kept", types.ModuleType("_eddyline_kept"))
+    if key not in vars(holder):
+        vars(holder)[key] = make()
+    return vars(holder)[key]
+
+
 class WordHashes(dict):
     """word (bytes) -> 64-bit hash, filled on first sight."""
 

@@ -24,8 +24,10 @@ from __future__ import annotations
 import math
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
 from itertools import chain
+from unicodedata import normalize
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eddyline._ship import ship_by_value
-from eddyline.llm.common import byte_values, map_batches, slices
+from eddyline.llm.common import byte_values, kept_by_process, map_batches, slices
 from eddyline.session import materialize
 
 CAPACITY = 4096
@@ -42,30 +44,78 @@ END = 1
 GROUP = 20_000
 MERGE = 16
 RELEASE = 8  # sequences released per sequence of gap
-CHUNKS = 200_000  # white-space-free chunks whose ids a task remembers
+CHUNKS = 600_000  # chunks whose ids a task remembers
 ROUNDING = 24  # functions u_1 ... u_ROUNDING
 
 # ---------------------------------------------------------------- tokens
 
 
+PUNCTUATION = bytes(c for c in range(33, 127) if not chr(c).isalnum())
+WORD_END = "</w>"  # how the tokenizer marks a token that closes a word
+JOINED = 200  # runs of letters tokenized as one string
+LATIN = 0x250  # letters below are letters in every version of Unicode
+
+
+def splits_off(core: bytes) -> bool:
+    """Is this a run of letters, so that punctuation behind it is tokenized apart?"""
+    if core.isalpha():  # ASCII
+        return True
+    plain = normalize("NFC", core.decode()).lower()
+    return plain.isalpha() and max(plain) < chr(LATIN)
+
+
 class Chunks(dict):
-    """Ids of a chunk between ASCII white space. The tokenizer's own words never cross white
-    space, so a text's ids are its chunks' ids in order."""
+    """Ids (little-endian unsigned 32-bit) of a chunk between ASCII white space. The
+    tokenizer's own words never cross white space, so a text's ids are its chunks' in order.
+    A-Z are lower-cased first, as the tokenizer does, so fewer chunks differ (not in texts
+    with ``<|``, where a special token's case matters). A new chunk that ends in punctuation
+    is put together from its letters and the rest; only what is still unknown is tokenized,
+    all of a slice of texts in one call, runs of letters many to a string: each of them is one
+    word of the tokenizer and ends with a token that closes a word."""
 
     def __init__(self, tokenizer):
         super().__init__()
         self.tokenizer = tokenizer
-
-    def ids(self, text: bytes) -> np.ndarray:
-        words = text.split()
-        missing = list({w for w in words if w not in self})
-        if missing:
-            if len(self) + len(missing) > CHUNKS:
-                self.clear()
-                missing = list(set(words))
-            made = self.tokenizer.encode_batch_fast([w.decode() for w in missing], add_special_tokens=False)
-            self.update(zip(missing, (e.ids for e in made), strict=True))
-        return np.fromiter(chain.from_iterable(map(self.__getitem__, words)), np.uint32)
+        self.closes = np.zeros(tokenizer.get_vocab_size(), bool)
+        for token, k in tokenizer.get_vocab().items():
+            self.closes[k] = token.endswith(WORD_END)
+
+    def encode(self, texts: list[bytes]) -> list[list[int]]:
+        made = self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
+        return [e.ids for e in made]
+
+    def learn(self, chunks: set[bytes]) -> None:
+        """Tokenize chunks and remember their ids."""
+        letters = [c for c in chunks if splits_off(c)]
+        rest = list(chunks.difference(letters))
+        groups = [letters[k : k + JOINED] for k in range(0, len(letters), JOINED)]
+        for group, ids in zip(groups, self.encode([b" ".join(g) for g in groups]), strict=True):
+            ids = np.array(ids, "<u4")
+            ends = np.flatnonzero(self.closes[ids]) + 1
+            if len(ends) != len(group):  # a chunk is not one word after all
+                rest += group
+                continue
+            raw, at = ids.tobytes(), [0, *(4 * ends).tolist()]
+            self.update((c, raw[i:j]) for c, i, j in zip(group, at, at[1:], strict=False))
+        self.update(zip(rest, (array("I", ids).tobytes() for ids in self.encode(rest)), strict=True))
+
+    def ids(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of each text."""
+        cut = [(t if b"<|" in t else t.lower()).split() for t in texts]
+        missing = set(chain.from_iterable(cut)).difference(self)
+        pairs = {}
+        for chunk in missing:
+            core = chunk.rstrip(PUNCTUATION)
+            if core and len(core) < len(chunk) and splits_off(core):
+                pairs[chunk] = (core, chunk[len(core) :])
+        asked = missing.difference(pairs).union(chain.from_iterable(pairs.values())).difference(self)
+        self.learn(asked)
+        self.update((chunk, self[core] + self[tail]) for chunk, (core, tail) in pairs.items())
+        out = [b"".join(map(self.__getitem__, words)) for words in cut]
+        if len(self) > CHUNKS:  # what came last goes: frequent chunks come early
+            for w in missing.union(asked):
+                del self[w]
+        return out
 
 
 def token_pieces(
@@ -74,7 +124,9 @@ def token_pieces(
     """(ids, piece, start, length, ids_crc32) per piece; with ``tokens`` also the ids themselves
     (little-endian unsigned 32-bit). ``tokenizer_json``: the tokenizer file's path."""
     with open(tokenizer_json, encoding="utf-8") as f:  # read by the driver; tasks get its content
-        content = docs.sparkSession.sparkContext.broadcast(f.read())
+        definition = f.read()
+    content = docs.sparkSession.sparkContext.broadcast(definition)
+    digest = zlib.crc32(definition.encode())
     source = docs.select(*ids, text)
     fields = [
         *(source.schema[c] for c in ids), T.StructField("piece", T.IntegerType()), T.StructField("start", T.LongType()),
@@ -86,14 +138,15 @@ def token_pieces(
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
 
-        chunks = Chunks(Tokenizer.from_str(content.value))
+        last = end.to_bytes(4, "little")
+        chunks = kept_by_process(f"chunks-{digest}", lambda: Chunks(Tokenizer.from_str(content.value)))
         for batch in batches:
             for part in slices(batch, text):
                 row, piece, start, length, crc, raw = [], [], [], [], [], []
-                for k, b in enumerate(byte_values(part.column(text))):
-                    made = np.append(chunks.ids(b or b""), np.uint32(end)).astype("<u4")
-                    for p, s in enumerate(range(0, len(made), capacity)):
-                        cut = made[s : s + capacity].tobytes()
+                for k, made in enumerate(chunks.ids([b or b"" for b in byte_values(part.column(text))])):
+                    made += last
+                    for p, s in enumerate(range(0, len(made) // 4, capacity)):
+                        cut = made[4 * s : 4 * (s + capacity)]
                         row.append(k), piece.append(p), start.append(s)
                         length.append(len(cut) // 4), crc.append(zlib.crc32(cut))
                         raw.append(cut if tokens else None)
