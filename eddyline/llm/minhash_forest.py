@@ -17,8 +17,8 @@ components. The steps:
    in the size of a region.
 3. Proposed pairs are confirmed on full sets (exact intersection); sets are made in a second
    pass only for classes that were proposed. A second round over the dense regions' orders
-   proposes, for classes that are still in different components, the ``NEAR``
-   longest-common-prefix neighbours on either side.
+   proposes, for classes that are still in different components, those of the ``NEAR``
+   longest-common-prefix neighbours on either side whose signatures agree in ``AGREE`` values.
 
 With 24 trees and a base depth of 3, a pair of similarity 0.75 meets in no tree with a chance
 of (1 - 0.75**3)**24 = 2e-6. In regions of more than ``REGION`` + 1 classes a link between two
@@ -56,6 +56,7 @@ DEPTH = 8
 VALUES = TREES * BASE  # of a signature
 REGION = 16
 NEAR = 24
+AGREE = 46  # of 72 values; a pair of similarity 0.75 agrees in fewer with a chance of 1 %
 HUBS = 4
 BLOCK = 4096  # classes of a dense region whose majority is taken together
 SEED = 20240607
@@ -263,11 +264,12 @@ def hub_pairs(found: DataFrame, classes: DataFrame) -> DataFrame:
     return members.join(hubs, "region").select(F.col("set_hash").alias("a"), F.col("hub").alias("b"))
 
 
-def neighbour_pairs(found: DataFrame, groups: DataFrame, partitions: int) -> DataFrame:
+def neighbour_pairs(found: DataFrame, groups: DataFrame, classes: DataFrame, partitions: int) -> DataFrame:
     """Second round over the dense regions: longest-common-prefix neighbours that are still in
     different components."""
     rows = found.where(F.col("kind") == DENSE).select("tree", "label", F.col("a").alias("node"))
-    rows = rows.join(groups, "node", "left").select("tree", "label", "node", F.coalesce("root", "node").alias("root"))
+    rows = rows.join(groups, "node", "left").join(classes.select(F.col("set_hash").alias("node"), "signature"), "node")
+    rows = rows.select("tree", "label", "node", F.coalesce("root", "node").alias("root"), "signature")
     rows = rows.repartitionByRange(partitions, "tree", "label", "node").sortWithinPartitions("tree", "label", "node")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -277,9 +279,11 @@ def neighbour_pairs(found: DataFrame, groups: DataFrame, partitions: int) -> Dat
         table = pa.Table.from_batches(got)
         node, root = table["node"].to_numpy(), table["root"].to_numpy()
         label = np.frombuffer(b"".join(table["label"].to_pylist()), ">u4").reshape(-1, DEPTH)
+        signature = np.frombuffer(b"".join(table["signature"].to_pylist()), ">u4").reshape(-1, VALUES)
         run = numbered(same_region(table["tree"].to_numpy(), label))
         for k in range(1, min(NEAR, len(node) - 1) + 1):
             i = np.flatnonzero((run[:-k] == run[k:]) & (root[:-k] != root[k:]))
+            i = i[(signature[i] == signature[i + k]).sum(axis=1) >= AGREE]
             yield pa.RecordBatch.from_arrays([pa.array(node[i]), pa.array(node[i + k])], names=["a", "b"])
 
     return ordered(map_batches(rows, scan, "a long, b long"))
@@ -358,7 +362,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     dense = found.where(F.col("kind") == DENSE).count()
     if dense:
         # every class of a dense region was compared with a hub, so its set is there
-        rest = neighbour_pairs(found, groups, max(1, min(partitions, dense // 1000)))
+        rest = neighbour_pairs(found, groups, classes, max(1, min(partitions, dense // 1000)))
         links = groups.select(F.col("node").alias("a"), F.col("root").alias("b"))
         groups = components(links.union(confirmed(rest, sets)))
     named = classes.select("set_hash", "first_id").join(groups.withColumnRenamed("node", "set_hash"), "set_hash")
