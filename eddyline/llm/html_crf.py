@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 
 from eddyline._ship import ship_by_value
 from eddyline.llm.common import byte_values, map_rows
-from eddyline.llm.labelled_pages import labelled_pages
+from eddyline.llm.labelled_pages import NO, YES, labelled_pages
 
 # Markup, tried in this order at each '<'; possessive repeats keep broken pages linear.
 TOKEN = re.compile(
@@ -79,7 +79,7 @@ NAMES = (
     + [f"length:{k}" for k in range(len(LENGTHS) + 1)] + [f"links:{k}" for k in range(len(LINKS) + 1)]
     + [f"place:{k}" for k in range(len(PLACES) + 1)]
     + ["sentence", "legal", "capital", "in article, in header", "in article, in aside", "neither article nor main on page",
-       "article or main on page, outside", "hint at own element", "short link"]
+       "article or main on page, outside", "hint at own element", "short link", "in article, hint of clutter"]
 )
 INDEX = {name: k for k, name in enumerate(NAMES)}
 LEGAL = re.compile("©|copyright|all rights reserved", re.I)
@@ -188,6 +188,7 @@ def features(page_blocks: list[Block]) -> list[list[int]]:
             ("in article, in aside", main and "aside" in tags), ("neither article nor main on page", not has_article),
             ("article or main on page, outside", has_article and not main), ("hint at own element", bool(b.own_hint)),
             ("short link", share >= 0.7 and len(b.text) < 40),
+            ("in article, hint of clutter", main and bool(b.hints - {"body", "head", "foot"})),
         ):
             if holds:
                 on.append(INDEX[name])
@@ -275,20 +276,16 @@ def train(pages: list[tuple[list[list[int]], list[int]]], iterations: int = ITER
     return model
 
 
-def training_set(pages=None) -> list[tuple[list[list[int]], list[int]]]:
-    """Features and labels of labelled pages: the parsed blocks are matched with the labelled
-    texts in order."""
+def training_set(pages: list[str] | None = None) -> list[tuple[list[list[int]], list[int]]]:
+    """Features and labels of marked pages; the marks are taken off before the features."""
     out = []
-    for page, labelled in pages if pages is not None else labelled_pages():
+    for page in pages if pages is not None else labelled_pages():
         parsed = blocks(page)
-        labels, k = [], 0
+        labels = [int(YES in b.text) for b in parsed]
         for b in parsed:
-            while k < len(labelled) and labelled[k][0] not in b.text and b.text not in labelled[k][0]:
-                k += 1
-            labels.append(labelled[k][1] if k < len(labelled) else 0)
-        if parsed:
-            out.append((features(parsed), labels))
-    return out
+            b.text = b.text.replace(YES, "").replace(NO, "") or "."
+        out.append((features(parsed), labels))
+    return [(x, y) for x, y in out if y]
 
 
 def main_text(page: str, model: Model) -> str:

@@ -2,8 +2,8 @@
 
 Pages are composed at random (fixed seed) from parts of known role: an article in one of
 several wrappings, and around or inside it menus, headers, footers, sidebars, notices,
-adverts, forms, related links and reader comments. Each text block carries its label: 1 if
-it belongs to the article. Words are invented, so a model can learn from structure, hints in
+adverts, forms, related links and reader comments. Each text starts with a mark that is its
+label: ``YES`` if it belongs to the article, ``NO`` otherwise. Words are invented, so a model can learn from structure, hints in
 class names and the shape of a text, not from topics.
 """
 
@@ -13,12 +13,13 @@ import numpy as np
 
 PAGES = 400
 SEED = 20240607
+NO, YES = "\ue000", "\ue001"  # private-use characters, found in no word
 SYLLABLES = "ta ri on el mu sa ve no ki la pe do ran tor ing est ali ent our".split()
 
 
 class _Writer:
     def __init__(self, rng: np.random.Generator):
-        self.rng, self.html, self.blocks = rng, [], []
+        self.rng, self.html = rng, []
 
     def pick(self, *options):
         return options[int(self.rng.integers(len(options)))]
@@ -42,9 +43,9 @@ class _Writer:
         self.html.append(html)
 
     def block(self, tag: str, text: str, label: int, attrs: str = "", link: bool = False) -> None:
+        text = (NO, YES)[label] + text
         inner = f'<a href="/{self.word()}">{text}</a>' if link else text
         self.html.append(f"<{tag}{attrs}>{inner}</{tag}>" if tag else inner)
-        self.blocks.append((text, label))
 
     def menu(self, tag: str, name: str) -> None:
         attrs = f' class="{name}"' if name else ""
@@ -115,31 +116,31 @@ class _Writer:
             self.raw("</header>" if inside else "")
         for _ in range(int(self.rng.integers(1, 12))):
             draw = self.rng.random()
-            if draw < 0.7:
+            if draw < 0.6:
                 self.block("p", self.pick(self.prose(1, 8), self.prose(1, 3), self.sentence(1, 4)), 1)
-            elif draw < 0.76:
+            elif draw < 0.66:
                 self.block(self.pick("h2", "h3"), self.words(1, 8).capitalize(), 1)
-            elif draw < 0.82:
+            elif draw < 0.72:
                 self.raw("<ul>")
                 for _ in range(int(self.rng.integers(1, 5))):
                     self.block("li", self.pick(self.sentence(), self.words(2, 9)), 1)
                 self.raw("</ul>")
-            elif draw < 0.86:
+            elif draw < 0.76:
                 self.block("blockquote", self.prose(1, 3), 1)
-            elif draw < 0.89:
+            elif draw < 0.79:
                 self.raw("<table><tr>")
                 for _ in range(int(self.rng.integers(1, 4))):
                     self.block("td", self.words(1, 5), 1)
                 self.raw("</tr></table>")
-            elif draw < 0.92:
+            elif draw < 0.82:
                 self.block("pre", self.words(2, 10), 1)
-            elif draw < 0.96:
+            elif draw < 0.86:
                 self.block("p", self.words(1, 5), 1, link=self.chance(0.3))
             else:
                 self.clutter()
         self.raw(closing)
 
-    def page(self) -> tuple[str, list[tuple[str, int]]]:
+    def page(self) -> str:
         self.raw("<!DOCTYPE html><html><head><title>x</title></head><body>")
         if self.chance(0.5):
             self.raw("<header>") if (held := self.chance(0.7)) else self.raw('<div class="header">')
@@ -162,10 +163,10 @@ class _Writer:
                 self.block(self.pick("p", "div"), text, 0, link=self.chance(0.2))
             self.raw(f"</{tag}>")
         self.raw("</body></html>")
-        return "".join(self.html), self.blocks
+        return "".join(self.html)
 
 
-def labelled_pages(count: int = PAGES, seed: int = SEED) -> list[tuple[str, list[tuple[str, int]]]]:
-    """(html, [(block text, label)]) per page."""
+def labelled_pages(count: int = PAGES, seed: int = SEED) -> list[str]:
+    """Pages with marked texts."""
     rng = np.random.default_rng(seed)
     return [_Writer(rng).page() for _ in range(count)]

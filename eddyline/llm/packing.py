@@ -26,7 +26,7 @@ import os
 import zlib
 from array import array
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, filterfalse
 from unicodedata import normalize
 
 import numpy as np
@@ -102,7 +102,7 @@ class Chunks(dict):
     def ids(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text."""
         cut = [(t if b"<|" in t else t.lower()).split() for t in texts]
-        missing = set(chain.from_iterable(cut)).difference(self)
+        missing = set(filterfalse(self.__contains__, chain.from_iterable(cut)))
         pairs = {}
         for chunk in missing:
             core = chunk.rstrip(PUNCTUATION)

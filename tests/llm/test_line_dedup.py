@@ -1,0 +1,68 @@
+import hashlib
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from eddyline.llm import line_dedup as L
+
+BLANK = " \t\n\x0b\x0c\r"
+
+
+def key(line):
+    return "".join(c.lower() if "A" <= c <= "Z" else c for c in line.strip(BLANK))
+
+
+def expected(rows, min_docs=10, min_length=1):
+    found = Counter()
+    for r in rows:
+        found.update({key(x) for x in (r[1] or "").split("\n")})
+    drop = {k for k, n in found.items() if n >= min_docs and len(k) >= min_length}
+    out = []
+    for r in rows:
+        lines = (r[1] or "").split("\n")
+        kept = [x for x in lines if key(x) not in drop]
+        out.append((r[0], "\n".join(kept), len(lines), len(lines) - len(kept)))
+    return sorted(out, key=repr)
+
+
+def got(df):
+    return sorted(((r["doc_id"], r["text"], r["n_lines"], r["n_dropped"]) for r in df.collect()), key=repr)
+
+
+@pytest.mark.parametrize("budget", [L.BROADCAST_BYTES, 0])
+@pytest.mark.parametrize("shard_keys", [L.SHARD_KEYS, 1])
+def test_both_ways_drop_the_lines_that_a_count_drops(docs, rows, budget, shard_keys):
+    out = L.dedup_lines(docs, broadcast_bytes=budget, shard_keys=shard_keys)
+    assert got(out) == expected(rows)
+
+
+@pytest.mark.parametrize("budget", [L.BROADCAST_BYTES, 0])
+def test_thresholds(docs, rows, budget):
+    out = L.dedup_lines(docs, min_docs=2, min_length=4, broadcast_bytes=budget)
+    assert got(out) == expected(rows, 2, 4)
+
+
+def test_digest(docs, rows):
+    out = {(r[0], r[1], r[2], r[3]) for r in L.query(docs).collect()}
+    assert out == {(i, n, d, hashlib.sha256(t.encode()).hexdigest()) for i, t, n, d in expected(rows)}
+
+
+@pytest.mark.parametrize("budget", [L.BROADCAST_BYTES, 0])
+def test_empty_table_and_clashing_columns(empty, clashing, rows, budget):
+    assert L.dedup_lines(empty, broadcast_bytes=budget).collect() == []
+    out = L.dedup_lines(clashing, broadcast_bytes=budget)
+    assert got(out) == expected(rows) and {"Shard", "score", "lang"} <= set(out.columns)
+
+
+def test_perfect_hash_is_minimal_and_refuses_strangers():
+    rng = np.random.default_rng(1)
+    keys = np.unique(rng.integers(-(1 << 63), (1 << 63) - 1, 20_000, dtype=np.int64))
+    known, other = keys[::2], keys[1::2]
+    counts = np.arange(len(known)) + 1
+    sizes, bits, prints, dense = L.build_shard(known, counts)
+    shard = L.Shard(sizes, bits, prints, dense)
+    slots = L.slots(known.view(np.uint64), sizes, shard.bits, shard.before)
+    assert sorted(slots) == list(range(len(known)))
+    assert (shard.documents(known) == counts).all() and not shard.documents(other).any()
+    assert len(bits) * 8 < 4 * len(known)  # a few bits a key

@@ -1,0 +1,89 @@
+import zlib
+
+import numpy as np
+import pytest
+from tokenizers import Tokenizer
+
+from eddyline.llm import packing as P
+
+
+def pieces_of(rows, capacity=P.CAPACITY):
+    tok = Tokenizer.from_file(P.tokenizer_path())
+    out = []
+    for r in rows:
+        ids = [*tok.encode(r[1] or "", add_special_tokens=False).ids, 1]
+        for p, s in enumerate(range(0, len(ids), capacity)):
+            cut = ids[s : s + capacity]
+            out.append((r[0], p, s, len(cut), zlib.crc32(np.array(cut, "<u4").tobytes())))
+    return sorted(out, key=repr)
+
+
+def check(out, capacity):
+    bins = {}
+    for r in out:
+        bins.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for v in bins.values():
+        at = 0
+        for offset, length in sorted(v):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    return len(bins)
+
+
+def test_pieces_and_places(docs, rows):
+    out = P.query(docs).collect()
+    assert sorted(((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in out), key=repr) == pieces_of(rows)
+    assert check(out, P.CAPACITY) == P.lower_bound(np.bincount([r["length"] for r in out], minlength=P.CAPACITY + 1), P.CAPACITY)
+
+
+TEXTS = ["áb", "́x y", "A\x85B c\xa0d", "don't we'll 12 3.5!!", "Σίσυφος ΟΔΟΣ", "ﬁ ™   z", "<|endoftext|> x<|startoftext|>y",
+         "漢字 かな 😀😀", "\x1c\x1f q", "a\x00b", "ÀÉÎ İ ẞ"]
+
+
+def test_chunks_tokenize_like_whole_texts(spark):
+    rows = [(k, t) for k, t in enumerate([*TEXTS, " ".join(TEXTS), "\n\n".join(TEXTS * 3)])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = P.token_pieces(df, P.tokenizer_path(), ["doc_id"], tokens=True).collect()
+    tok = Tokenizer.from_file(P.tokenizer_path())
+    for r in out:
+        ids = np.frombuffer(bytes(r["tokens"]), "<u4").tolist()
+        assert ids == [*tok.encode(rows[r["doc_id"]][1], add_special_tokens=False).ids, 1]
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_rounds_of_exchange_close_the_gaps(spark, seed):
+    rng = np.random.default_rng(seed)
+    sizes = [rng.integers(1, 101, 900), rng.integers(20, 60, 900), np.minimum(100, rng.geometric(0.03, 900))][seed % 3]
+    df = spark.createDataFrame([(int(x),) for x in sizes], "length long")
+    out = P.pack(df, capacity=100, group=60)
+    rows = out.collect()
+    used = check(rows, 100)
+    assert sorted(r["length"] for r in rows) == sorted(sizes.tolist())
+    one = len(P.best_fit(sizes.astype(np.int64), 100)[2])
+    assert used <= one + 2 and P.certificate(out, 100) == (used, P.lower_bound(np.bincount(sizes, minlength=101), 100))
+
+
+def test_bounds_hold():
+    rng = np.random.default_rng(0)
+    for _ in range(200):
+        sizes = rng.integers(1, 21, rng.integers(1, 12))
+        bound = P.lower_bound(np.bincount(sizes, minlength=21), 20)
+        best = len(P.best_fit(sizes, 20)[2])
+        for _ in range(20):  # first fit in random orders
+            bins = []
+            for x in rng.permutation(sizes):
+                k = next((k for k, b in enumerate(bins) if b + x <= 20), None)
+                if k is None:
+                    bins.append(x)
+                else:
+                    bins[k] += x
+            best = min(best, len(bins))
+        assert bound <= best
+    assert P.lower_bound(np.bincount([11] * 5, minlength=21), 20) == 5
+    assert P.lower_bound(np.bincount([7] * 5, minlength=21), 20) == 3
+
+
+def test_edge_cases(empty, clashing, rows):
+    assert P.query(empty).collect() == []
+    assert len(P.query(clashing).collect()) == len(pieces_of(rows))
