@@ -2,29 +2,29 @@
 
 A plain ``Window.partitionBy(key).orderBy(seq)`` puts every row of a key into one
 task; one key holding a third of the data would then serialise a third of the
-job. ``running`` instead splits each *hot* key into buckets of its ordering
-column and scans them in parallel:
-
-1. per-key stats (partial aggregate): row count, min and max of the first
-   ordering column. A key is hot when it has more rows than one task's share
-   ``rows / P`` (``P`` = shuffle partitions), so there are at most ``P`` hot keys.
-2. A hot key with ``n`` rows is cut into ``nk = ceil(n / (rows / P))`` buckets of
-   its ordering column with about ``n / nk`` rows each (from a histogram over 16
-   equal sub-ranges per bucket); all other keys keep bucket 0. The hot table has
-   at most ``P`` rows, so fetching it and broadcasting it back is safe by
-   construction; with no hot key the scan is a plain partitioned window and step
-   4 is skipped. Values bunched inside one sub-range still share a bucket; the
-   result is exact either way.
-   A scan with no key is one such key cut into P buckets.
-3. Local running aggregate over ``(key, bucket)`` ordered by the ordering columns:
-   the only shuffle of the data.
-4. Bucket totals of hot keys (at most ``2P`` rows: ``sum ceil(n_k / T) <= P + #hot``)
-   are scanned per key to an offset per bucket, broadcast back and combined
-   with the local value.
+job. ``running`` instead splits each *hot* key into ranges of its ordering
+columns and scans them in parallel:
+
+1. One light job places boundaries: every task samples its rows (the i-th row with
+   probability ``min(1, SAMPLE / i)`` and the inverse as its weight, so the row count need
+   not be known), the sample is sorted by (keys, ordering columns) and the rows at its
+   P-1 weighted quantiles are fetched (``P`` = shuffle partitions). Quantiles of rows, not of
+   values: an outlier moves no boundary, and rows bunched at one value of the first
+   ordering column are split by the others.
+2. A key with more than one task's share of the rows (``rows / P``, by the sample's weights) is
+   hot and is cut at the boundaries inside it; at most P-1 boundaries, so the table that carries them back is broadcast, bounded by
+   construction. All other keys keep bucket 0. A row's bucket depends on the row and the
+   fetched boundaries only, so a re-run task gets the same rows. A scan with no key is one key cut
+   into P ranges; with no hot key the scan is a plain partitioned window.
+3. Local running aggregate over ``(key, bucket)`` ordered by the ordering columns: the only
+   shuffle of the data.
+4. The last row of each hot bucket holds the bucket's totals (at most 2P rows). They are read
+   from the same shuffle files (the plan reuses the exchange, the source is scanned once),
+   scanned per key to an offset per bucket, broadcast back and combined with the local value.
 
 Every aggregate used here is a monoid (sum, count, max, min, first, last), so
-``combine(offset, local)`` equals the scan over the whole key. Buckets are a
-deterministic function of the data, so a recomputed task gets the same rows.
+``combine(offset, local)`` equals the scan over the whole key. Sums of doubles may differ in the
+last digits with the number of shuffle partitions, as the order of additions does.
 """
 
 from __future__ import annotations
@@ -32,7 +32,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,34 +39,37 @@ from pyspark.sql import types as T
 from eddyline.session import target_parallelism
 
 KINDS = ("sum", "count", "max", "min", "first", "last")
-# sub-ranges per bucket used to even out the rows of a hot key across its buckets
-SUB_BUCKETS = 16
+# rows of a task that are certainly sampled; later rows are sampled ever more thinly
+SAMPLE = 32
+SAMPLE_SEED = 17
+NAN = float("nan")  # one object, so that keys that are NaN meet in a dict
 
 
 @dataclass(frozen=True)
 class Running:
     """One running aggregate: output column ``name`` = ``kind`` of ``value``
-    over the key's rows up to this one."""
+    over the key's rows up to this one, or over all of them when ``whole``."""
 
     name: str
     kind: str
     value: Column | str
+    whole: bool = False
 
     def col(self) -> Column:
         return F.col(self.value) if isinstance(self.value, str) else self.value
 
 
-def _numeric_order(df: DataFrame, name: str) -> Column:
-    """The first ordering column as a double (bucketing only needs monotonicity)."""
-    dt = df.schema[name].dataType
-    c = F.col(name)
-    if isinstance(dt, (T.TimestampNTZType,)):
-        return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{name}`)").cast("double")
+def _plain(df: DataFrame, name: str) -> Column:
+    """The column in a type that survives the way through the driver unchanged, with the
+    same order (timestamps as microseconds, dates as days)."""
+    dt, c = df.schema[name].dataType, F.col(name)
+    if isinstance(dt, T.TimestampNTZType):
+        return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{name}`)")
     if isinstance(dt, T.TimestampType):
-        return F.unix_micros(c).cast("double")
+        return F.unix_micros(c)
     if isinstance(dt, T.DateType):
-        return F.unix_date(c).cast("double")
-    return c.cast("double")
+        return F.unix_date(c)
+    return c
 
 
 def _null_safe_on(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]) -> Column:
@@ -87,119 +89,90 @@ class Buckets:
 INTERNAL = ("_b", "_hot", "_gk")
 
 
+def _sort_key(row) -> list:
+    """Order of collected rows as Spark sorts them: nulls first, NaN last."""
+    return [(0, 0) if v is None else (2, 0) if v != v else (1, v) for v in row]
+
+
+def _boundaries(work: DataFrame, keys: list[str], order: list[str], hot_rows: float | None) -> tuple[list, T.StructType]:
+    """Step 1: at most P-1 sampled rows (keys, ordering columns) that cut the sorted data into
+    parts of about equal row counts (``hot_rows`` rows each, if given)."""
+    names = [f"_k{i}" for i in range(len(keys))] + [f"_o{i}" for i in range(len(order))]
+    rows = work.select(*[_plain(work, c).alias(n) for c, n in zip([*keys, *order], names)])
+    position = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))  # within the task
+    rows = rows.withColumn("_w", F.greatest(F.lit(1.0), (position + 1) / F.lit(float(SAMPLE))))
+    rows = rows.where(F.rand(SAMPLE_SEED) * F.col("_w") < 1)
+    # the sample is small (SAMPLE * ln(rows) per task), so it is ordered in one place
+    up_to = Window.orderBy(*names).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = Window.partitionBy(F.lit(0))
+    rows = rows.withColumn("_sum", F.sum("_w").over(up_to)).withColumn("_all", F.sum("_w").over(whole))
+    of_key = F.sum("_w").over(Window.partitionBy(*names[: len(keys)]))
+    rows = rows.withColumn("_key", of_key)
+    if hot_rows is None:
+        step = F.greatest(F.col("_all") / F.lit(target_parallelism(work.sparkSession)), F.lit(1.0))
+    else:
+        step = F.lit(float(hot_rows))
+    crossed = F.floor(F.col("_sum") / step) > F.floor((F.col("_sum") - F.col("_w")) / step)
+    cut = rows.where(crossed & (F.col("_sum") < F.col("_all")) & (F.col("_key") > step)).select(*names)
+    return sorted(cut.collect(), key=_sort_key), cut.schema
+
+
+def _bucket_of(bounds: Column, row: Column) -> Column:
+    """Number of boundaries below ``row`` (ordered array, binary search)."""
+    last = F.size(bounds)
+    start = F.struct(F.lit(0).alias("lo"), last.alias("hi"), row.alias("row"))
+
+    def halve(s: Column, _: Column) -> Column:
+        mid = F.floor((s["lo"] + s["hi"]) / 2).cast("int")
+        below = F.get(bounds, mid) < s["row"]
+        return (
+            F.when(s["lo"] >= s["hi"], s)
+            .when(below, F.struct((mid + 1).alias("lo"), s["hi"].alias("hi"), s["row"].alias("row")))
+            .otherwise(F.struct(s["lo"].alias("lo"), mid.alias("hi"), s["row"].alias("row")))
+        )
+
+    steps = F.sequence(F.lit(1), F.ceil(F.log2(last + 1)).cast("int") + 1)
+    return F.aggregate(steps, start, halve)["lo"].cast("long")
+
+
 def assign_buckets(df: DataFrame, keys: list[str], order: list[str], hot_rows: float | None = None) -> Buckets:
-    """Steps 1-2: bucket of the first ordering column per row (0 unless the key
-    is hot). The hot-key table has at most P rows (each hot key holds more than
-    ``rows / P`` rows), so it is fetched to the driver and broadcast back as a
-    literal table; with no hot key the scan needs no offsets at all."""
+    """Steps 1-2: the bucket of each row (0 unless its key is hot)."""
     spark = df.sparkSession
     work = df
-    global_scan = not keys
-    if global_scan:
-        work = work.withColumn("_gk", F.lit(0))
+    if not keys:
+        # one key, but not a literal: the optimizer would make the join below a nested loop
+        work = work.withColumn("_gk", F.pmod(F.hash(order[0]), F.lit(1)))
         keys = ["_gk"]
-    work = work.withColumn("_o", _numeric_order(work, order[0]))
-    p = target_parallelism(spark)
-    if global_scan:
-        # One logical key cut into P buckets of about equal row counts: a histogram
-        # over 16P equal sub-ranges (fetched: at most 16P rows) is grouped by
-        # cumulative count; the sub-range -> bucket table joins back as a
-        # broadcast equi-join on the sub-range index.
-        lo, hi, n = work.agg(F.min("_o"), F.max("_o"), F.count(F.lit(1))).first()
-        if lo is None:
-            staged = work.withColumn("_b", F.lit(0).cast("long"))
-        else:
-            nsub = p * SUB_BUCKETS
-            sw = (hi - lo + 1.0) / nsub
-            sub = F.least(F.greatest(F.floor((F.col("_o") - F.lit(lo)) / F.lit(sw)), F.lit(0)), F.lit(nsub - 1))
-            with_sub = work.withColumn("_sub", sub.cast("long"))
-            hist = {r["_sub"]: r["_c"] for r in with_sub.groupBy("_sub").agg(F.count(F.lit(1)).alias("_c")).collect()}
-            mapping = _equal_count_buckets({k: v for k, v in hist.items() if k is not None}, p)
-            table = spark.createDataFrame(list(enumerate(mapping)), "_sub long, _mb long")
-            joined = with_sub.join(F.broadcast(table), "_sub", "left")
-            staged = joined.withColumn("_b", F.coalesce(F.col("_mb"), F.lit(0)).cast("long")).drop("_sub", "_mb")
-        return Buckets(staged.withColumn("_hot", F.lit(True)).drop("_o"), keys, True)
-    stats = work.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_o").alias("_lo"), F.max("_o").alias("_hi"))
-    hot_names = [f"_hk{i}" for i in range(len(keys))]
-
-    def hot_keys(thr: float):
-        nk = F.ceil(F.col("_n") / F.lit(thr)).cast("long")
-        return stats.filter(F.col("_n") > F.lit(thr)).select(
-            *[F.col(k).alias(h) for k, h in zip(keys, hot_names)],
-            F.col("_n"),
-            F.col("_lo"),
-            nk.alias("_nk"),
-            ((F.col("_hi") - F.col("_lo") + F.lit(1.0)) / (nk * F.lit(SUB_BUCKETS))).alias("_sw"),
-        )
-
-    if hot_rows is not None:
-        hot_df = hot_keys(float(hot_rows))
-        hot_list = hot_df.collect()
-    else:
-        # one row per key, kept for the two small actions below (the input is
-        # read once); the threshold is rows / P
-        stats = stats.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            total = stats.agg(F.sum("_n")).first()[0] or 0
-            hot_df = hot_keys(max(total / p, 1.0))
-            hot_list = hot_df.collect()  # at most P rows by construction
-        finally:
-            stats.unpersist()
-    if not hot_list:
+    cuts, schema = _boundaries(work, keys, order, hot_rows)
+    per_key: dict[tuple, list[tuple]] = {}
+    for row in cuts:  # in order of (keys, ordering columns)
+        key = tuple(NAN if v is not None and v != v else v for v in tuple(row)[: len(keys)])
+        per_key.setdefault(key, []).append(tuple(row)[len(keys) :])
+    if not per_key:
         staged = work.withColumn("_b", F.lit(0).cast("long")).withColumn("_hot", F.lit(False))
-        return Buckets(staged.drop("_o"), keys, False)
-
-    # Equal-count buckets: each hot key's range is cut into nk * SUB_BUCKETS
-    # equal sub-ranges, their row counts (at most 2P * SUB_BUCKETS rows) are
-    # fetched, and consecutive sub-ranges are grouped into nk buckets of about
-    # n / nk rows each. The grouping travels as an array in the broadcast hot
-    # table, so a row finds its bucket with one lookup.
-    pairs = list(zip(keys, hot_names))
-    nsub = F.col("_nk") * F.lit(SUB_BUCKETS)
-    sub = F.least(F.greatest(F.floor((F.col("_o") - F.col("_lo")) / F.col("_sw")), F.lit(0)), nsub - 1).cast("long")
-    hot_small = F.broadcast(spark.createDataFrame(hot_list, hot_df.schema))
-    hist = (
-        work.join(hot_small, _null_safe_on(work, hot_small, pairs), "inner")
-        .groupBy(*hot_names, sub.alias("_sub"))
-        .agg(F.count(F.lit(1)).alias("_c"))
-        .collect()
-    )
-    counts: dict = {}
-    for r in hist:
-        counts.setdefault(tuple(r[h] for h in hot_names), {})[r["_sub"]] = r["_c"]
-    rows = []
-    for h in hot_list:
-        k = tuple(h[x] for x in hot_names)
-        mapping = _equal_count_buckets(counts.get(k, {}), int(h["_nk"]))
-        rows.append((*k, float(h["_lo"]), float(h["_sw"]), int(h["_nk"]), mapping))
+        return Buckets(staged, keys, False)
+    fields = schema.fields
+    bounds = T.ArrayType(T.StructType(fields[len(keys) :]))
+    hot_names = [f"_hk{i}" for i in range(len(keys))]
     hot_schema = T.StructType(
-        [hot_df.schema[x] for x in hot_names]
-        + [
-            T.StructField("_lo", T.DoubleType()),
-            T.StructField("_sw", T.DoubleType()),
-            T.StructField("_nk", T.LongType()),
-            T.StructField("_map", T.ArrayType(T.LongType())),
-        ]
+        [T.StructField(h, f.dataType) for h, f in zip(hot_names, fields)] + [T.StructField("_bounds", bounds)]
     )
-    hot = F.broadcast(spark.createDataFrame(rows, hot_schema))
-    joined = work.join(hot, _null_safe_on(work, hot, pairs), "left")
-    bucket = F.coalesce(F.element_at(F.col("_map"), (sub + 1).cast("int")), F.lit(0)).cast("long")
-    staged = joined.withColumn("_b", bucket).withColumn("_hot", F.col("_lo").isNotNull())
-    return Buckets(staged.drop(*hot_names, "_lo", "_sw", "_nk", "_map", "_o"), keys, True)
-
-
-def _equal_count_buckets(sub_counts: dict, nk: int) -> list[int]:
-    """Map sub-range index -> bucket so that buckets get about equal row counts.
-    Non-decreasing in the index (so bucket order follows the ordering column) and
-    at most ``nk`` buckets."""
-    nsub = nk * SUB_BUCKETS
-    total = sum(sub_counts.values())
-    target = total / nk if total else 1.0
-    out, before = [], 0
-    for i in range(nsub):
-        out.append(min(nk - 1, int(before // target)))
-        before += sub_counts.get(i, 0)
-    return out
+    hot = F.broadcast(spark.createDataFrame([(*k, b) for k, b in per_key.items()], hot_schema))
+    on = reduce(lambda a, b: a & b, [_plain(work, k).eqNullSafe(F.col(h)) for k, h in zip(keys, hot_names)])
+    joined = work.join(hot, on, "left")
+    row = F.struct(*[_plain(work, o).alias(f.name) for o, f in zip(order, fields[len(keys) :])])
+    bucket = F.when(F.col("_bounds").isNull(), F.lit(0).cast("long")).otherwise(_bucket_of(F.col("_bounds"), row))
+    staged = joined.withColumn("_b", bucket).withColumn("_hot", F.col("_bounds").isNotNull())
+    return Buckets(staged.drop(*hot_names, "_bounds"), keys, True)
+
+
+def _local(a: Running) -> Column:
+    v = a.col()
+    if a.kind == "first":
+        return F.first(v, ignorenulls=False)
+    if a.kind == "last":
+        return F.last(v, ignorenulls=False)
+    return {"sum": F.sum, "count": F.count, "max": F.max, "min": F.min}[a.kind](v)
 
 
 def running(
@@ -236,24 +209,13 @@ def running(
     cols = [c for c in staged.columns if c not in INTERNAL]
 
     # 3. local scan within (key, bucket)
-    end = Window.currentRow if inclusive else -1
-    w_local = Window.partitionBy(*keys, "_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, end)
-    local = staged.withColumn("_lcnt", F.count(F.lit(1)).over(w_local))
+    by_bucket = Window.partitionBy(*keys, "_b").orderBy(*order)
+    up_to = by_bucket.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    seen = up_to if inclusive else by_bucket.rowsBetween(Window.unboundedPreceding, -1)
+    all_rows = by_bucket.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    local = staged.withColumn("_lcnt", F.count(F.lit(1)).over(seen))
     for a in aggs:
-        v = a.col()
-        if a.kind == "sum":
-            e = F.sum(v)
-        elif a.kind == "count":
-            e = F.count(v)
-        elif a.kind == "max":
-            e = F.max(v)
-        elif a.kind == "min":
-            e = F.min(v)
-        elif a.kind == "first":
-            e = F.first(v, ignorenulls=False)
-        else:
-            e = F.last(v, ignorenulls=False)
-        local = local.withColumn(f"_l_{a.name}", e.over(w_local))
+        local = local.withColumn(f"_l_{a.name}", _local(a).over(all_rows if a.whole else seen))
 
     names = {a.name for a in aggs}
     extra = [F.col("_b"), F.col("_hot")] if keep_buckets else []
@@ -261,41 +223,41 @@ def running(
         # every key is in one bucket: the local scan is the whole answer
         return local.select(*[F.col(c) for c in cols if c not in names], *[F.col(f"_l_{a.name}").alias(a.name) for a in aggs], *extra)
 
-    # 4. totals of hot buckets -> offsets (<= 2P rows)
-    total_exprs = []
+    # 4. totals of hot buckets, from each bucket's last row -> offsets (<= 2P rows)
+    ends = staged.withColumn("_bucket_end", F.lead(F.lit(False), 1, True).over(by_bucket))
     for a in aggs:
-        v = a.col()
-        ordered = F.struct(*[F.col(o) for o in order], v.alias("v"))
-        e = {
-            "sum": F.sum(v),
-            "count": F.count(v),
-            "max": F.max(v),
-            "min": F.min(v),
-            "first": F.min(ordered),
-            "last": F.max(ordered),
-        }[a.kind]
-        total_exprs.append(e.alias(f"_t_{a.name}"))
-    # computed from the window's input partitioning: no second shuffle of the data
-    totals = local.filter("_hot").groupBy(*keys, "_b").agg(*total_exprs)
+        total = _local(a).over(up_to)
+        if a.kind in ("first", "last"):  # with the place, so that a key's first or last can be told
+            total = F.struct(F.col("_b").alias("at"), total.alias("v"))
+        ends = ends.withColumn(f"_t_{a.name}", total)
+    # Every column of the rows is asked for (the comparison always holds), or else this branch
+    # would be pruned to a shuffle of its own and the source be read twice.
+    hashable = [f.name for f in staged.schema.fields if "map<" not in f.dataType.simpleString()]
+    same_rows = F.xxhash64(*hashable) <= F.lit((1 << 63) - 1)
+    totals = ends.filter(F.col("_hot") & F.col("_bucket_end") & same_rows).select(*keys, "_b", *[f"_t_{a.name}" for a in aggs])
     w_prev = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    w_key = Window.partitionBy(*keys)
     off_exprs = [F.count(F.lit(1)).over(w_prev).alias("_nprev")]
     for a in aggs:
         t = F.col(f"_t_{a.name}")
-        e = {"sum": F.sum(t), "count": F.sum(t), "max": F.max(t), "min": F.min(t), "first": F.min(t), "last": F.max(t)}[
-            a.kind
-        ]
-        off_exprs.append(e.over(w_prev).alias(f"_p_{a.name}"))
+        fold = {"sum": F.sum, "count": F.sum, "max": F.max, "min": F.min, "first": F.min, "last": F.max}[a.kind](t)
+        off_exprs.append(fold.over(w_key if a.whole else w_prev).alias(f"_p_{a.name}"))
     off_names = [f"_ok{i}" for i in range(len(keys))]
     offsets = totals.select(*[F.col(k).alias(o) for k, o in zip(keys, off_names)], F.col("_b").alias("_ob"), *off_exprs)
-    offsets = F.broadcast(offsets.filter(F.col("_nprev") > 0))
-    on = _null_safe_on(local, offsets, list(zip(keys, off_names))) & (local["_b"] == offsets["_ob"])
+    if not any(a.whole for a in aggs):
+        offsets = offsets.filter(F.col("_nprev") > 0)
+    offsets = F.broadcast(offsets)
+    on = _null_safe_on(local, offsets, list(zip(keys, off_names))) & (local["_b"] == offsets["_ob"]) & local["_hot"]
     out = local.join(offsets, on, "left")
 
     results = []
     for a in aggs:
         lv, pv = F.col(f"_l_{a.name}"), F.col(f"_p_{a.name}")
         has_prev = F.coalesce(F.col("_nprev"), F.lit(0)) > 0
-        if a.kind in ("sum", "count"):
+        if a.whole:  # the key's total where the key is split, else the bucket is the key
+            split = pv.getField("v") if a.kind in ("first", "last") else pv
+            r = F.when(F.col("_nprev").isNull(), lv).otherwise(split)
+        elif a.kind in ("sum", "count"):
             r = F.when(~has_prev, lv).when(lv.isNull(), pv).when(pv.isNull(), lv).otherwise(pv + lv)
         elif a.kind == "max":
             r = F.greatest(pv, lv)

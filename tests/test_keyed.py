@@ -139,10 +139,57 @@ def test_prefix_hot_plan_is_bounded(spark):
     plan = cold._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" not in plan and plan.count("Exchange hashpartitioning") == 1
     hot = running(ev, ["user_id"], ["event_id"], [Running("s", "sum", "value")], hot_rows=20)
-    hot.write.format("noop").mode("overwrite").save()
-    plan = hot._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan
-    assert plan.count("hashpartitioning(user_id#") >= 1
+    hot.collect()
+    plan = hot._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "BroadcastHashJoin" in plan and "ReusedExchange" in plan
+    # one scan and one shuffle of the rows; the other exchange moves the buckets' totals
+    assert plan.count("FileScan") == 1
+    assert plan.count("Exchange hashpartitioning(user_id#") - plan.count("ReusedExchange") == 2
+
+
+def test_an_outlier_moves_no_boundary(spark):
+    """One row at 0 among millisecond epochs: buckets within 2x of equal, keyed and global."""
+    from eddyline.operators.prefix import assign_buckets
+
+    epoch = 1_700_000_000_000
+    ts = F.when(F.col("id") == 0, F.lit(0)).otherwise(F.lit(epoch) + F.col("id"))
+    df = spark.range(40_000).select(F.lit("hot").alias("k"), ts.alias("ts"), F.col("id").alias("v")).repartition(4)
+    for keys in (["k"], []):
+        b = assign_buckets(df, keys, ["ts"])
+        sizes = [r["count"] for r in b.df.groupBy("_b").count().collect()]
+        assert len(sizes) == 4 and max(sizes) < 2 * 10_000, sizes
+
+
+def test_ties_of_the_first_ordering_column_are_split_by_the_others(spark):
+    from eddyline.operators.prefix import assign_buckets
+
+    df = spark.range(8_000).select(F.lit(5).alias("ts"), F.col("id").alias("seq"))
+    sizes = [r["count"] for r in assign_buckets(df, [], ["ts", "seq"]).df.groupBy("_b").count().collect()]
+    assert len(sizes) == 4 and max(sizes) < 4_000
+
+
+def test_one_job_places_the_boundaries(spark):
+    """Building the plan of a scan starts the sample's job and no other."""
+    tracker = spark.sparkContext.statusTracker()
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet").select("event_id", "user_id", "value")
+    spark.sparkContext.setJobGroup("bounds", "boundaries")
+    try:
+        running(ev, ["user_id"], ["event_id"], [Running("s", "sum", "value")], hot_rows=20)
+        # under adaptive execution a query's stages count as jobs: the sample's shuffle, its result
+        assert len(tracker.getJobIdsForGroup("bounds")) <= 2
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_whole_key_values_beside_each_row(spark):
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet").select("event_id", (F.col("user_id") % 2).alias("k"), "value")
+    specs = [Running("mx", "max", "value", whole=True), Running("l", "last", "value", whole=True), Running("n", "count", F.lit(1), whole=True)]
+    w = Window.partitionBy("k")
+    last = F.last("value").over(w.orderBy("event_id").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    want = ev.select("*", F.max("value").over(w).alias("mx"), last.alias("l"), F.count(F.lit(1)).over(w).alias("n"))
+    for hot_rows in (None, 40):
+        got = running(ev, ["k"], ["event_id"], specs, hot_rows=hot_rows)
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
 
 
 def test_prefix_null_keys_empty_input_and_hot_null_key(spark):
