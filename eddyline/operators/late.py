@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 
 from eddyline.operators.prefix import Running, running
 from eddyline.operators.windows import duration_us
-from eddyline.session import materialize
 
 
 def _interval(text: str):
@@ -60,28 +59,33 @@ def allowed_lateness(classified: DataFrame, key: str, value: str, arrival: list[
     not dropped fires the window again with the updated result (firing 1, 2, ...).
     A window with no on-time rows has no firing 0.
 
-    The classified rows feed three branches, so they are materialized once
-    (reliable checkpoint) rather than re-running the global watermark scan."""
-    classified = materialize(classified)
-    on_time = on_time_windows(classified, key, value).select(
-        key, "win_start", F.lit(0).cast("long").alias("firing"), F.col("sum_vc"), F.col("cnt")
-    )
-    kept = classified.filter(F.col("late") & ~F.col("dropped")).select(key, "win_start", value, *arrival)
+    One shuffle by (key, window): the prefix scan numbers and sums the late rows in arrival
+    order and puts the on-time result beside them; a late row is its own firing, and the
+    first on-time row of a window carries firing 0."""
+    late, on_time = F.col("late"), ~F.col("late")
+    rows = classified.filter(~F.col("dropped")).select(key, "win_start", value, "late", *arrival)
     run = running(
-        kept,
+        rows,
         [key, "win_start"],
         arrival,
-        [Running("firing", "count", F.lit(1)), Running("_late_sum", "sum", F.col(value))],
+        [
+            Running("firing", "count", F.when(late, 1)),
+            Running("_late_sum", "sum", F.when(late, F.col(value))),
+            Running("_rank", "count", F.when(on_time, 1)),
+            Running("_on_sum", "sum", F.when(on_time, F.col(value)), whole=True),
+            Running("_on_cnt", "count", F.when(on_time, 1), whole=True),
+        ],
     )
-    base = on_time.select(key, "win_start", F.col("sum_vc").alias("_on_sum"), F.col("cnt").alias("_on_cnt"))
-    refired = run.join(base, [key, "win_start"], "left").select(
+    fires = run.filter(late | (F.col("_rank") == 1))
+    firing = F.when(late, F.col("firing")).otherwise(F.lit(0)).cast("long")
+    late_sum = F.when(late, F.coalesce(F.col("_late_sum"), F.lit(0.0))).otherwise(F.lit(0.0))
+    return fires.select(
         key,
         "win_start",
-        "firing",
-        (F.coalesce(F.col("_on_sum"), F.lit(0.0)) + F.col("_late_sum")).alias("sum_vc"),
-        (F.coalesce(F.col("_on_cnt"), F.lit(0)) + F.col("firing")).alias("cnt"),
+        firing.alias("firing"),
+        (F.coalesce(F.col("_on_sum"), F.lit(0.0)) + late_sum).alias("sum_vc"),
+        (F.col("_on_cnt") + firing).alias("cnt"),
     )
-    return on_time.unionByName(refired)
 
 
 def side_output(classified: DataFrame) -> DataFrame:

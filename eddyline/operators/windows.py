@@ -8,7 +8,9 @@ Windows are epoch aligned like the reference's (start = ts - (ts - offset) mod s
 
 from __future__ import annotations
 
+import math
 import re
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,6 +28,18 @@ _UNITS_US = {
 }
 
 
+@dataclass(frozen=True)
+class Pane:
+    """An aggregate that can be put together from parts: ``kind`` is sum, count, max or min."""
+
+    name: str
+    kind: str
+    value: Column | str
+
+    def col(self) -> Column:
+        return F.col(self.value) if isinstance(self.value, str) else self.value
+
+
 def duration_us(text: str) -> int:
     """``'5 seconds'``, ``'-8 hours'``, ``'1 day 2 hours'`` -> microseconds."""
     total = 0
@@ -60,6 +74,45 @@ def sliding(ts: Column | str, size: str, slide: str, offset: str | None = None)
     return F.window(ts, size, slide, _us(duration_us(offset) % duration_us(slide)))
 
 
+def with_processing_time(df: DataFrame, name: str = "proc_ts") -> DataFrame:
+    """The time at which a row is handled: on a stream, of its micro-batch."""
+    return df.withColumn(name, F.current_timestamp())
+
+
+def tumbling_processing(size: str, offset: str | None = None, ts: str = "proc_ts") -> Column:
+    """``TumblingProcessingTimeWindows.of(size[, offset])`` over ``with_processing_time(df)``."""
+    return tumbling(ts, size, offset)
+
+
+def sliding_processing(size: str, slide: str, offset: str | None = None, ts: str = "proc_ts") -> Column:
+    """``SlidingProcessingTimeWindows.of(size, slide[, offset])``."""
+    return sliding(ts, size, slide, offset)
+
+
+def session_processing(gap: str | Column, ts: str = "proc_ts") -> Column:
+    """``ProcessingTimeSessionWindows.withGap(gap)`` / ``withDynamicGap``. On a stream the rows
+    of a key that fall into one session may come in different micro-batches."""
+    return session(ts, gap)
+
+
+def sliding_agg(
+    df: DataFrame, keys: list[str], ts: str, size: str, slide: str, aggs: list[Pane], offset: str | None = None
+) -> DataFrame:
+    """Sliding windows through panes: rows are aggregated once per pane of ``gcd(size, slide)``,
+    and only the panes' rows are copied into the ``size / slide`` windows that hold them.
+    ``(keys..., win_start, win_end, aggs...)``; on a stream, plain sliding windows."""
+    single = {"sum": F.sum, "count": F.count, "max": F.max, "min": F.min}
+    if df.isStreaming:
+        return window_agg(df, keys, sliding(ts, size, slide, offset), *[single[a.kind](a.col()).alias(a.name) for a in aggs])
+    pane = math.gcd(duration_us(size), duration_us(slide))
+    shift = _us(duration_us(offset or "0 seconds") % pane)
+    panes = df.groupBy(*keys, F.window(ts, _us(pane), _us(pane), shift).start.alias("_pane")).agg(
+        *[single[a.kind](a.col()).alias(a.name) for a in aggs]
+    )
+    combine = {**single, "count": F.sum}
+    return window_agg(panes, keys, sliding("_pane", size, slide, offset), *[combine[a.kind](a.name).alias(a.name) for a in aggs])
+
+
 def session(ts: Column | str, gap: str | Column) -> Column:
     """``EventTimeSessionWindows.withGap(gap)`` or, with a Column of interval
     strings, ``withDynamicGap``. Rows whose distance equals the gap share a session."""
@@ -128,9 +181,10 @@ def window_text(win_start: Column | str, win_end: Column | str) -> Column:
     """``TimeWindow.toString`` (``fixed.WINDOW_TEXT_FORMAT``, epoch milliseconds)."""
 
     def ms(c):
-        name = c if isinstance(c, str) else None
-        if name is None:
+        if not isinstance(c, str):
             raise TypeError("pass column names")
-        return F.expr(f"timestampdiff(MILLISECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{name}`)").cast("string")
+        # a timestamp with time zone is an instant, one without is read as UTC
+        plain = f"timestampdiff(MILLISECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', cast(`{c}` AS timestamp_ntz))"
+        return F.expr(f"if(typeof(`{c}`) = 'timestamp', unix_millis(cast(`{c}` AS timestamp)), {plain})").cast("string")
 
     return F.format_string(WINDOW_TEXT_FORMAT, ms(win_start), ms(win_end))

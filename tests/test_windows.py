@@ -102,7 +102,7 @@ def test_window_label_and_meta(spark):
 
 def test_fold_refused_on_session_windows():
     with pytest.raises(ValueError):
-        wf.check_fold_allowed("session")
+        wf.check_fold_allowed(win.session("ts", "5 seconds"))
 
 
 EVICT = [(0, 1), (2, 5), (6, 2), (9, 4)]
