@@ -114,18 +114,12 @@ def parse_sensor(
     spark_only = vc_txt.rlike(_SPECIAL_DOUBLE_ANY_CASE) & ~vc_txt.rlike(_SPECIAL_DOUBLE_JAVA)
     vc_val = F.when(~spark_only, F.expr("try_cast(get(_p, 2) as double)"))
     if on_error == "fail":
-        # raise_error fails the task, and so the job, as the reference's parser does.
+        # raise_error fails the task, and so the job, as the reference's parser does. The
+        # check is a filter, so it also runs where no parsed column is asked for (count()).
         bad = F.concat(F.lit("bad sensor line: "), F.coalesce(F.col("_line"), F.lit("null")))
-        checked = raw.select(
-            *keep,
-            id_.alias("id"),
-            F.when(F.size("_p") < 3, F.raise_error(bad))
-            .when(ts_val.isNull(), F.raise_error(bad))
-            .otherwise(ts_val)
-            .alias("ts"),
-            F.when(vc_val.isNull(), F.raise_error(bad)).otherwise(vc_val).alias("vc"),
-        )
-        return checked, None
+        fine = id_.isNotNull() & (F.size("_p") >= 3) & ts_val.isNotNull() & vc_val.isNotNull()
+        checked = raw.filter(F.when(F.coalesce(fine, F.lit(False)), F.lit(True)).otherwise(F.raise_error(bad).cast("boolean")))
+        return checked.select(*keep, id_.alias("id"), ts_val.alias("ts"), vc_val.alias("vc")), None
     ok = id_.isNotNull() & ts_val.isNotNull() & vc_val.isNotNull()
     tagged = raw.select(*keep, "_line", id_.alias("id"), ts_val.alias("ts"), vc_val.alias("vc"), ok.alias("_ok"))
     good = tagged.filter("_ok").select(*keep, "id", "ts", "vc")

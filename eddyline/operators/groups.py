@@ -4,7 +4,8 @@
 (keys x windows) that overhead dominates. Here the rows are hash-partitioned by
 the group keys and sorted within each partition, and one ``mapInPandas`` pass
 hands each run of equal keys to the function (runs that cross Arrow batch
-boundaries are joined). One group still has to fit one worker.
+boundaries are joined once, when they end). One group still has to fit one worker.
+Null and NaN keys are groups of their own, as in ``groupBy``.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from eddyline.session import target_parallelism
 
@@ -36,30 +38,51 @@ def map_groups(
             frames.append(pd.DataFrame(rows))
         return pd.concat(frames, ignore_index=True) if frames else None
 
+    # pandas shows a null number as NaN, so Spark says which keys are null
+    flags = [f"_null{i}" for i in range(len(keys))]
+
+    def starts_of(pdf: pd.DataFrame) -> list[int]:
+        new = np.zeros(len(pdf), bool)
+        new[0] = True
+        for k, flag in zip(keys, flags):
+            v, null = pdf[k], pdf[flag].to_numpy()
+            nan = v.isna().to_numpy()
+            same = np.asarray(v.iloc[1:].array == v.iloc[:-1].array, dtype=object)
+            same = np.array([x is True or x is np.True_ for x in same], bool) | (nan[1:] & nan[:-1])
+            new[1:] |= ~(same & (null[1:] == null[:-1]))
+        return np.flatnonzero(new).tolist()
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        carry = None
+        open_run: list[pd.DataFrame] = []  # pieces of the run that may go on
+
+        def call(pieces: list[pd.DataFrame]):
+            whole = pieces[0] if len(pieces) == 1 else pd.concat(pieces, ignore_index=True)
+            return fn(whole.drop(columns=flags).reset_index(drop=True))
+
         for pdf in batches:
-            if carry is not None:
-                pdf = pd.concat([carry, pdf], ignore_index=True)
             if pdf.empty:
                 continue
-            k = pdf[keys]
-            starts = np.flatnonzero((k != k.shift()).any(axis=1).to_numpy())
-            bounds = list(starts) + [len(pdf)]
-            # the last run may continue in the next batch: keep it back
-            out = emit([fn(pdf.iloc[a:b].reset_index(drop=True)) for a, b in zip(bounds[:-2], bounds[1:-1])])
-            carry = pdf.iloc[bounds[-2] :]
+            if open_run:  # does the first row of this batch go on with the open run?
+                goes_on = len(starts_of(pd.concat([open_run[-1].iloc[-1:], pdf.iloc[:1]], ignore_index=True))) == 1
+            bounds = [*starts_of(pdf), len(pdf)]
+            results = []
+            for k, (a, b) in enumerate(zip(bounds, bounds[1:])):
+                if open_run and not (k == 0 and goes_on):
+                    results.append(call(open_run))
+                    open_run = []
+                open_run.append(pdf.iloc[a:b])
+            out = emit(results)
             if out is not None:
                 yield out
-        if carry is not None and not carry.empty:
-            out = emit([fn(carry.reset_index(drop=True))])
+        if open_run:
+            out = emit([call(open_run)])
             if out is not None:
                 yield out
 
     # an explicit partition count: AQE would otherwise coalesce a small shuffle into
     # one task and serialise the Python work
     ordered = df.repartition(target_parallelism(df.sparkSession), *keys).sortWithinPartitions(*keys, *order)
-    return ordered.mapInPandas(run, schema)
+    return ordered.withColumns({n: F.col(k).isNull() for n, k in zip(flags, keys)}).mapInPandas(run, schema)
 
 
 from eddyline._ship import ship_by_value  # noqa: E402

@@ -50,9 +50,11 @@ def keyed_sum(
     only advances the summed field). Final: one row per key.
     """
     _check_emit(emit)
+    if order is None and (carry or emit == "rolling"):
+        raise ValueError("carried fields and rolling sums need an order column")
     if emit == "final":
         aggs = [F.sum(field).alias(field)]
-        aggs += [F.min(F.struct(F.col(order), F.col(c).alias("v"))).getField("v").alias(c) for c in carry] if order else []
+        aggs += [F.min(F.struct(F.col(order), F.col(c).alias("v"))).getField("v").alias(c) for c in carry]
         return df.groupBy(key).agg(*aggs)
     if df.isStreaming:
         from eddyline.streaming.stateful import sum_reducer

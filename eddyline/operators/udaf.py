@@ -5,6 +5,10 @@ into one accumulator per key (``mapInPandas``; flushed early when a task holds
 too many keys), the partial accumulators are shuffled by key and merged
 (a sorted pass per partition). A key's merge group has at most one row per input task and
 flush, so a hot key costs no more than a cold one.
+
+Rows reach the functions as Python values: a null is None, a struct a dict. Null and NaN keys
+are groups of their own, as in ``groupBy``. Null values are not added (a group of nulls only
+still has a result), unless the function sets ``skip_nulls = False``.
 """
 
 from __future__ import annotations
@@ -13,8 +17,10 @@ import pickle
 from collections.abc import Iterator
 from typing import Any
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from eddyline.session import target_parallelism
 
@@ -22,6 +28,8 @@ from eddyline.session import target_parallelism
 class AggregateFunction:
     """Subclass and implement the four methods (accumulators must pickle)."""
 
+    skip_nulls = True
+
     def create_accumulator(self) -> Any:
         raise NotImplementedError
 
@@ -36,6 +44,10 @@ class AggregateFunction:
 
 
 class CountFunction(AggregateFunction):
+    """Counts elements, null or not."""
+
+    skip_nulls = False
+
     def create_accumulator(self):
         return 0
 
@@ -65,8 +77,43 @@ class AverageFunction(AggregateFunction):
         return acc[0] / acc[1] if acc[1] else None
 
 
-def _ddl(fields) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+class ReduceFunction(AggregateFunction):
+    """A reducer ``f(a, b)`` as an aggregate function. Partial results of tasks meet in no fixed
+    order, so ``f`` must be associative and commutative (an ordered reduce is
+    ``udf_reduce.rolling_reduce_fn``)."""
+
+    def __init__(self, reducer):
+        self.reducer = reducer
+
+    def create_accumulator(self):
+        return None
+
+    def add(self, value, acc):
+        return value if acc is None else self.reducer(acc, value)
+
+    def merge(self, a, b):
+        return b if a is None else a if b is None else self.reducer(a, b)
+
+    def get_result(self, acc):
+        return acc
+
+
+class _NaN:
+    """Stands for NaN in keys: NaN differs from itself, but it is one group."""
+
+    def __reduce__(self):
+        return "NAN"
+
+
+NAN = _NaN()
+
+
+def key_of(values: tuple) -> tuple:
+    return tuple(NAN if isinstance(v, float) and v != v else v for v in values)
+
+
+def value_of(key: tuple) -> tuple:
+    return tuple(float("nan") if v is NAN else v for v in key)
 
 
 def aggregate(
@@ -79,48 +126,62 @@ def aggregate(
     max_keys_per_flush: int = 100_000,
 ) -> DataFrame:
     key_fields = [df.schema[k] for k in keys]
-    partial_schema = _ddl(key_fields) + ", `_acc` binary"
 
-    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def as_batch(rows: list[tuple], types: list, names: list[str]) -> pa.RecordBatch:
+        columns = zip(*rows) if rows else [()] * len(names)
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         accs: dict = {}
+        types: list = []
 
         def flush():
-            rows = [(*k, pickle.dumps(a)) for k, a in accs.items()]
+            rows = [(*value_of(k), pickle.dumps(a)) for k, a in accs.items()]
             accs.clear()
-            return pd.DataFrame(rows, columns=[*keys, "_acc"])
-
-        for pdf in batches:
-            for rec in pdf[[*keys, value]].itertuples(index=False, name=None):
-                k, v = rec[:-1], rec[-1]
-                acc = accs.get(k)
-                accs[k] = fn.add(v, fn.create_accumulator() if acc is None else acc)
+            return as_batch(rows, [*types, pa.binary()], [*keys, "_acc"])
+
+        for batch in batches:
+            types = [batch.schema.field(k).type for k in keys]
+            columns = [batch.column(k).to_pylist() for k in keys]
+            each = map(key_of, zip(*columns)) if keys else iter([()] * batch.num_rows)
+            for k, v in zip(each, batch.column(value).to_pylist()):
+                acc = accs[k] if k in accs else fn.create_accumulator()
+                accs[k] = acc if v is None and fn.skip_nulls else fn.add(v, acc)
             if len(accs) >= max_keys_per_flush:
                 yield flush()
         if accs:
             yield flush()
 
-    partials = df.select(*keys, value).mapInPandas(partial, partial_schema)
-    out_schema = _ddl(key_fields) + f", `{result_name}` {result_type}"
+    partial_schema = T.StructType([*key_fields, T.StructField("_acc", T.BinaryType())])
+    partials = df.select(*keys, value).mapInArrow(partial, partial_schema)
+    result = T.StructType.fromDDL(f"`{result_name}` {result_type}").fields[0]
+    arrow_result = to_arrow_type(result.dataType)
 
-    def merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # partials arrive sorted by key: merge each run of equal keys in one pass
-        cur, acc = None, None
-        for pdf in batches:
+        cur, acc, types = None, None, []
+        for batch in batches:
+            types = [batch.schema.field(k).type for k in keys]
+            columns = [batch.column(k).to_pylist() for k in keys]
+            each = map(key_of, zip(*columns)) if keys else iter([()] * batch.num_rows)
             out = []
-            for row in pdf[[*keys, "_acc"]].itertuples(index=False, name=None):
-                k, a = row[:-1], pickle.loads(row[-1])
+            for k, raw in zip(each, batch.column("_acc").to_pylist()):
+                a = pickle.loads(raw)
                 if k != cur:
                     if cur is not None:
-                        out.append((*cur, fn.get_result(acc)))
+                        out.append((*value_of(cur), fn.get_result(acc)))
                     cur, acc = k, a
                 else:
                     acc = fn.merge(acc, a)
-            yield pd.DataFrame(out, columns=[*keys, result_name])
+            yield as_batch(out, [*types, arrow_result], [*keys, result_name])
         if cur is not None:
-            yield pd.DataFrame([(*cur, fn.get_result(acc))], columns=[*keys, result_name])
+            yield as_batch([(*value_of(cur), fn.get_result(acc))], [*types, arrow_result], [*keys, result_name])
 
-    ordered = partials.repartition(target_parallelism(df.sparkSession), *keys).sortWithinPartitions(*keys)
-    return ordered.mapInPandas(merge, out_schema)
+    if keys:
+        ordered = partials.repartition(target_parallelism(df.sparkSession), *keys).sortWithinPartitions(*keys)
+    else:
+        ordered = partials.repartition(1)  # one row per task
+    return ordered.mapInArrow(merge, T.StructType([*key_fields, result]))
 
 
 from eddyline._ship import ship_by_value  # noqa: E402

@@ -7,18 +7,22 @@ rows) are folded into per-bucket offsets, and every row's value is
 ``f(offset, local)``. Buckets come from ``prefix.assign_buckets``, so a hot key
 never lands in one task. Prefer ``keyed`` operators when a built-in aggregate
 expresses the reducer: they stay in the JVM.
+
+Records reach the reducer as dicts of Python values (a null is None). Null and NaN keys
+accumulate as keys of their own.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eddyline.operators.prefix import assign_buckets
+from eddyline.operators.udaf import key_of
 from eddyline.session import target_parallelism
 
 Record = dict
@@ -32,14 +36,22 @@ def latest_max_reducer(field: str, latest: tuple[str, ...]) -> Reducer:
         out = dict(a)
         for c in latest:
             out[c] = b[c]
-        out[field] = max(a[field], b[field])
+        out[field] = greater(a[field], b[field])
         return out
 
     return f
 
 
-def _ddl(schema: T.StructType) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+def greater(a, b):
+    """The larger value as SQL's max sees it: nulls do not count, NaN is above all numbers."""
+    if a is None or b is None:
+        return b if a is None else a
+    return a if a != a or (b == b and a >= b) else b
+
+
+def _batch(columns: list, fields: list[pa.Field]) -> pa.RecordBatch:
+    arrays = [pa.array(c, f.type) for c, f in zip(columns, fields)]
+    return pa.RecordBatch.from_arrays(arrays, names=[f.name for f in fields])
 
 
 def rolling_reduce_fn(
@@ -57,64 +69,70 @@ def rolling_reduce_fn(
     )
     cols = [key, "_b", "_hot", order, *fields]
 
-    def local_fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def local_fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # rows arrive sorted by (key, bucket, order): fold each run of equal
         # (key, bucket) in one pass; a run may continue in the next batch
         cur, acc = None, None
-        for pdf in batches:
+        for batch in batches:
+            given = [batch.column(c).to_pylist() for c in cols]
             out = []
-            for row in pdf[cols].itertuples(index=False, name=None):
-                g = (row[0], row[1])
+            for row in zip(*given):
+                g = key_of(row[:2])
                 rec = dict(zip(fields, row[4:]))
                 if g != cur:
                     cur, acc = g, rec
                 else:
                     acc = reducer(acc, rec)
-                out.append((*row[:4], *(acc[c] for c in fields)))
-            yield pd.DataFrame(out, columns=cols)
+                out.append([acc[c] for c in fields])
+            folded = list(zip(*out)) if out else [()] * len(fields)
+            yield _batch([*given[:4], *folded], [batch.schema.field(c) for c in cols])
 
-    ordered = staged.repartition(target_parallelism(df.sparkSession), key, "_b").sortWithinPartitions(key, "_b", order)
-    local = ordered.mapInPandas(local_fold, _ddl(local_schema))
+    ordered = staged.select(*cols).repartition(target_parallelism(df.sparkSession), key, "_b")
+    local = ordered.sortWithinPartitions(key, "_b", order).mapInArrow(local_fold, local_schema)
     if not b.any_hot:
         return local.select(order, key, *fields)
 
     # last (newest) value of every hot bucket: a JVM aggregate, at most 2P rows
     last = F.max(F.struct(F.col(order).alias("_o"), *[F.col(c) for c in fields])).alias("_m")
     totals = local.filter("_hot").groupBy(key, "_b").agg(last).select(key, "_b", *[F.col(f"_m.{c}").alias(c) for c in fields])
+    prev_cols = [f"_p_{c}" for c in fields]
     off_schema = T.StructType(
-        [base.schema[key], T.StructField("_b", T.LongType())]
-        + [T.StructField(f"_p_{f.name}", f.dataType) for f in field_types.fields]
+        [T.StructField("_okey", base.schema[key].dataType), T.StructField("_ob", T.LongType())]
+        + [T.StructField(p, f.dataType) for p, f in zip(prev_cols, field_types.fields)]
+        + [T.StructField("_has", T.BooleanType())]
     )
 
-    def prefix_fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_b")
-        acc = None
-        rows = []
-        for rec in pdf.to_dict("records"):
+    def prefix_fold(_: tuple, table: pa.Table) -> pa.Table:
+        rows = sorted(table.to_pylist(), key=lambda r: r["_b"])
+        acc, out = None, []
+        for rec in rows:
             if acc is not None:
-                rows.append({key: rec[key], "_b": rec["_b"], **{f"_p_{c}": acc[c] for c in fields}})
+                out.append((rec[key], rec["_b"], *(acc[c] for c in fields), True))
             part = {c: rec[c] for c in fields}
             acc = part if acc is None else reducer(acc, part)
-        return pd.DataFrame(rows, columns=[f.name for f in off_schema.fields])
+        types = [table.schema.field(c).type for c in (key, "_b", *fields)] + [pa.bool_()]
+        columns = zip(*out) if out else [()] * len(types)
+        return pa.table([pa.array(c, t) for c, t in zip(columns, types)], names=[f.name for f in off_schema.fields])
 
     # at most 2P rows (hot keys' buckets), so the broadcast is bounded
-    offsets = F.broadcast(totals.groupBy(key).applyInPandas(prefix_fold, _ddl(off_schema)))
-    joined = local.join(offsets, [key, "_b"], "left")
+    offsets = F.broadcast(totals.groupBy(key).applyInArrow(prefix_fold, off_schema))
+    joined = local.join(offsets, local[key].eqNullSafe(offsets["_okey"]) & (local["_b"] == offsets["_ob"]), "left")
     out_schema = T.StructType([base.schema[order], base.schema[key]] + list(field_types.fields))
-    prev_cols = [f"_p_{c}" for c in fields]
 
-    def combine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            has_prev = pdf[prev_cols].notna().any(axis=1) if prev_cols else pd.Series(False, index=pdf.index)
-            recs = pdf[fields].to_dict("records")
-            prevs = pdf[prev_cols].to_dict("records")
+    def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            recs = list(zip(*(batch.column(c).to_pylist() for c in fields)))
+            prevs = list(zip(*(batch.column(c).to_pylist() for c in prev_cols)))
             vals = []
-            for hp, rec, prev in zip(has_prev, recs, prevs):
-                vals.append(reducer({c: prev[f"_p_{c}"] for c in fields}, rec) if hp else rec)
-            res = pd.concat([pdf[[order, key]].reset_index(drop=True), pd.DataFrame(vals, columns=fields)], axis=1)
-            yield res
-
-    return joined.mapInPandas(combine, _ddl(out_schema))
+            for has, rec, prev in zip(batch.column("_has").to_pylist(), recs, prevs):
+                rec = dict(zip(fields, rec))
+                rec = reducer(dict(zip(fields, prev)), rec) if has else rec
+                vals.append([rec[c] for c in fields])
+            folded = list(zip(*vals)) if vals else [()] * len(fields)
+            head = [batch.column(order).to_pylist(), batch.column(key).to_pylist()]
+            yield _batch([*head, *folded], [batch.schema.field(c) for c in (order, key, *fields)])
+
+    return joined.select(local[order], local[key], *[local[c] for c in fields], *prev_cols, "_has").mapInArrow(combine, out_schema)
 
 
 from eddyline._ship import ship_by_value  # noqa: E402

@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from eddyline.fixed import TUPLE_KEY_FORMAT, WINDOW_COUNT_TEXT_FORMAT, WINDOW_LABEL_FORMAT
 from eddyline.functions.text import java_ts_text
 from eddyline.operators.groups import map_groups
+from eddyline.operators.udaf import ReduceFunction, aggregate
+from eddyline.operators.windows import window_agg
 
 
 def label(win_start: Column | str, key: Column | str, tuple_key: bool = False) -> Column:
@@ -57,19 +59,71 @@ def fold_concat_by(df: DataFrame, keys: list[str], order: str, value: str, sep:
     return parts.groupBy(*keys).agg(F.array_join(F.transform(pieces, lambda x: x.getField("_part")), sep).alias(name))
 
 
-def check_fold_allowed(window_kind: str) -> None:
+def check_fold_allowed(win: Column) -> None:
     """Fold needs a fixed element order and cannot merge; the library forbids it
     on merging (session) windows, and so does this one."""
-    if window_kind == "session":
+    if "session_window" in str(win):
         raise ValueError("fold is not supported on merging (session) windows")
 
 
+def window_fold(
+    df: DataFrame,
+    keys: list[str],
+    win: Column,
+    order: str,
+    zero: Column,
+    step: Callable[[Column, Column], Column],
+    fields: list[str],
+    name: str = "folded",
+    finish: Callable[[Column], Column] | None = None,
+) -> DataFrame:
+    """``FoldFunction``: ``step(acc, element)`` from ``zero`` over a window's elements in
+    ``order``, as column expressions (``element`` has ``fields``). A fold is sequential: the
+    elements of one window are gathered in one array, so a window must fit a task (string
+    concatenation can be cut, see ``fold_concat_by``). ``(keys..., win_start, win_end, name)``."""
+    check_fold_allowed(win)
+    rows = F.array_sort(F.collect_list(F.struct(F.col(order).alias("_order"), *[F.col(f) for f in fields])))
+    folded = F.aggregate(F.col("_rows"), zero, step, finish) if finish else F.aggregate(F.col("_rows"), zero, step)
+    grouped = window_agg(df, keys, win, rows.alias("_rows"))
+    return grouped.select(*keys, "win_start", "win_end", folded.alias(name))
+
+
+def window_reduce(
+    df: DataFrame,
+    keys: list[str],
+    ts: str,
+    win: Callable[[str], Column],
+    fields: list[str],
+    reducer: Callable[[dict, dict], dict],
+) -> DataFrame:
+    """``ReduceFunction`` per window with an arbitrary Python reducer over records of ``fields``
+    (two phases: per task, then merged; it must be associative and commutative).
+    ``win`` maps the time column to a fixed (non-merging) window.
+    ``(keys..., win_start, win_end, fields...)``."""
+    window = win(ts)
+    if "session_window" in str(window):
+        raise ValueError("a session is merged from its rows: use session_windows with built-in aggregates")
+    w = df.select(*keys, window.alias("_w"), F.struct(*fields).alias("_rec"))
+    w = w.select(*keys, F.col("_w.start").alias("win_start"), F.col("_w.end").alias("win_end"), "_rec")
+    out = aggregate(w, [*keys, "win_start", "win_end"], "_rec", ReduceFunction(reducer), w.schema["_rec"].dataType.simpleString(), "_rec")
+    return out.select(*keys, "win_start", "win_end", *[F.col(f"_rec.{f}").alias(f) for f in fields])
+
+
 def min_record(value: str, order: str, record: tuple[str, ...]) -> Column:
     """``reduce((a, b) -> a.value <= b.value ? a : b)``: the minimum record, ties keep
     the earlier one."""
     return F.min(F.struct(F.col(value).alias("_v"), F.col(order).alias("_o"), *[F.col(c) for c in record]))
 
 
+def smaller_record(value: str, order: str) -> Callable[[dict, dict], dict]:
+    """``min_record`` as a Python reducer."""
+
+    def f(a: dict, b: dict) -> dict:
+        return a if (a[value], a[order]) <= (b[value], b[order]) else b
+
+    return f
+
+
 def java_ts_text_py(ts: pd.Timestamp) -> str:
     """``Timestamp.toString`` in Python (fraction trimmed, at least one digit)."""
     frac = f"{ts.microsecond:06d}".rstrip("0") or "0"
