@@ -10,15 +10,4 @@ TUPLE_KEY_FORMAT = "(%s)"
 PRINT_LABEL_FORMAT = "%s> %s"
 
 # --- fixed values (names used by the reference programs) ---
-SENSOR_ID_PREFIX = "sensor_"
-SENSOR_COUNT = 10
 INDEX_NAME = "sensor1"
-HASH_NAME = "Sensor"
-PRINT_LABEL = "test"
-KAFKA_SOURCE_TOPIC = "gptest"
-KAFKA_SINK_TOPIC = "test"
-
-# --- fixed values (custom sensor source: start temperature = mean + N(0,1) * spread) ---
-SENSOR_START_MEAN = 60.0
-SENSOR_START_SPREAD = 20.0
-SENSOR_TICK_MS = 1000

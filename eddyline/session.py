@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -52,11 +51,15 @@ def checkpoint_root(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the configured checkpoint folder; only when none is set (local tests)
-    create one under the temp folder."""
+    """Use the configured checkpoint folder. Without one, a local session (driver and tasks
+    on one machine) gets a temporary folder; a cluster session is refused, as its executors
+    could not see a folder of the driver's."""
     root = checkpoint_root(spark)
     if root is None:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="eddyline-ckpt-")
+    if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
         root = spark.sparkContext.getCheckpointDir() or root
     return root
@@ -73,10 +76,6 @@ def target_parallelism(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
 
 
-def env_master() -> str:
-    return f"local[{os.environ.get('BENCH_CPUS', '8')}]"
-
-
 def materialize(df):
     """Cut the lineage of a frame that several branches reuse: a reliable
     checkpoint into the shared checkpoint folder (survives executor loss,

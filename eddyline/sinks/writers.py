@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable, Iterable, Iterator
 from typing import Any, Protocol
 
@@ -26,13 +25,32 @@ def labeled(df: DataFrame, label: str | None = None, text: Column | None = None)
     return df.select((F.format_string(PRINT_LABEL_FORMAT, F.lit(label), t) if label else t).alias("line"))
 
 
-def print_rows(df: DataFrame, label: str | None = None, text: Column | None = None, n: int = 20):
-    """Batch: show the lines; stream: start a console sink (returns the query)."""
-    out = labeled(df, label, text)
+def _print_lines(lines: Iterator[str]) -> None:
+    for line in lines:
+        print(line, flush=True)
+
+
+def print_rows(df: DataFrame, label: str | None = None, text: Column | None = None, out: Callable[[Iterator[str]], None] = _print_lines):
+    """Print every row, from the tasks that hold them (to their standard output, or to
+    ``out(lines)``). Batch: returns the number of rows; stream: starts and returns the query."""
     if df.isStreaming:
-        return out.writeStream.format("console").option("truncate", "false").start()
-    out.show(n, truncate=False)
-    return None
+        return df.writeStream.foreachBatch(lambda batch, _: print_rows(batch, label, text, out)).start()
+    printed = df.sparkSession.sparkContext.accumulator(0)
+
+    def part(rows: Iterator[Row]) -> None:
+        n = 0
+
+        def lines() -> Iterator[str]:
+            nonlocal n
+            for r in rows:
+                n += 1
+                yield r.line
+
+        out(lines())
+        printed.add(n)
+
+    labeled(df, label, text).foreachPartition(part)
+    return printed.value
 
 
 # ---------------------------------------------------------------- last record per key
@@ -80,6 +98,16 @@ def write_hash(df: DataFrame, client_factory: Callable[[], HashClient], name: st
     rows.foreachPartition(part)
 
 
+def hash_batches(client_factory: Callable[[], HashClient], name: str, key: str, value: str, order: str, batch_size: int = 1000):
+    """A ``foreachBatch`` function: the last value per key of the micro-batch is upserted. A
+    replayed batch writes the same values again."""
+
+    def fn(batch: DataFrame, batch_id: int) -> None:
+        write_hash(latest_per_key(batch, key, order, (value,)), client_factory, name, key, value, batch_size)
+
+    return fn
+
+
 # ---------------------------------------------------------------- index append
 
 
@@ -112,6 +140,16 @@ def write_index(
     rows.foreachPartition(part)
 
 
+def index_batches(client_factory: Callable[[], IndexClient], index: str, doc: Column, doc_id: Column, bulk_size: int = 1000):
+    """A ``foreachBatch`` function: every row becomes a document under its ``doc_id`` (unique per
+    row, from the row alone), so a replayed batch overwrites what it wrote before."""
+
+    def fn(batch: DataFrame, batch_id: int) -> None:
+        write_index(batch, client_factory, index, doc, doc_id, bulk_size)
+
+    return fn
+
+
 # ---------------------------------------------------------------- JDBC upsert
 
 DIALECTS = ("mysql", "postgres", "sqlite")
@@ -211,10 +249,6 @@ def kafka_payload(df: DataFrame, value: Column, topic: str) -> DataFrame:
     return df.select(value.cast("string").cast("binary").alias("value"), F.lit(topic).alias("topic"))
 
 
-def json_text(obj: dict) -> str:
-    return json.dumps(obj, separators=(",", ":"))
-
-
 from eddyline._ship import ship_by_value  # noqa: E402
 
 ship_by_value(__name__)

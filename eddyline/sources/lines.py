@@ -6,7 +6,7 @@ its result whether it is a batch DataFrame or a streaming one.
 
 from __future__ import annotations
 
-import os
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,11 +14,18 @@ from pyspark.sql import functions as F
 BATCH, STREAMING, AUTOMATIC = "batch", "streaming", "automatic"
 
 
+def _is_folder(spark: SparkSession, path: str) -> bool:
+    """Asked of the path's own file system, local or not."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    status = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(hadoop)
+    return bool(status.isDirectory())
+
+
 def read_lines(spark: SparkSession, path: str, mode: str = AUTOMATIC, max_files_per_trigger: int | None = None) -> DataFrame:
     """One row (``value``) per line of a text file or directory.
 
     ``batch`` reads it once; ``streaming`` watches the directory (new files become
-    micro-batches); ``automatic`` is batch because a path is a bounded source.
+    micro-batches; a file's path streams that file only); ``automatic`` is batch because a path is a bounded source.
     """
     if mode not in (BATCH, STREAMING, AUTOMATIC):
         raise ValueError(f"mode must be batch, streaming or automatic, not {mode!r}")
@@ -26,8 +33,11 @@ def read_lines(spark: SparkSession, path: str, mode: str = AUTOMATIC, max_files_
         reader = spark.readStream.format("text")
         if max_files_per_trigger:
             reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-        src = path if os.path.isdir(path) or "://" in path else os.path.dirname(path)
-        return reader.load(src)
+        folder, _, name = path.rstrip("/").rpartition("/")
+        if not _is_folder(spark, path):  # a stream watches a folder: this file of it only
+            reader = reader.option("pathGlobFilter", re.sub(r"([*?\[\]{}\\])", r"\\\1", name))
+            path = folder or "."
+        return reader.load(path)
     return spark.read.text(path)
 
 

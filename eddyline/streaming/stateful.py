@@ -8,6 +8,7 @@ window. Inside a micro-batch the rows of a key are processed in ``order``.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable, Iterator
 from typing import Any
 
@@ -33,18 +34,26 @@ def sum_reducer(field: str) -> Reducer:
 
     def f(acc: dict, row: dict) -> dict:
         out = dict(acc)
-        out[field] = (acc[field] or 0) + (row[field] or 0)
+        if row[field] is not None:  # SQL's sum: nulls do not count, only nulls give null
+            out[field] = row[field] if acc[field] is None else acc[field] + row[field]
         return out
 
     return f
 
 
+def _rank(v) -> tuple:
+    """Order of values as SQL sees it: null below everything, NaN above all numbers."""
+    if v is None:
+        return (0, 0)
+    return (2, 0) if v != v else (1, v)
+
+
 def max_reducer(field: str) -> Reducer:
     """``max(field)``: only the field advances."""
 
     def f(acc: dict, row: dict) -> dict:
         out = dict(acc)
-        if row[field] is not None and (acc[field] is None or row[field] > acc[field]):
+        if _rank(row[field]) > _rank(acc[field]):
             out[field] = row[field]
         return out
 
@@ -56,7 +65,8 @@ def max_by_reducer(field: str, first: bool = False) -> Reducer:
     record when ``first`` else take the newer one."""
 
     def f(acc: dict, row: dict) -> dict:
-        if row[field] > acc[field] or (row[field] == acc[field] and not first):
+        new, old = _rank(row[field]), _rank(acc[field])
+        if new > old or (new == old and not first):
             return dict(row)
         return acc
 
@@ -70,7 +80,7 @@ def latest_max_reducer(field: str, latest: tuple[str, ...]) -> Reducer:
         out = dict(acc)
         for c in latest:
             out[c] = row[c]
-        out[field] = max(acc[field], row[field])
+        out[field] = max(acc[field], row[field], key=_rank)
         return out
 
     return f
@@ -166,6 +176,10 @@ class Trigger:
     def on_element(self, value: float, window_start: int, window_end: int, count: int) -> str:
         return CONTINUE
 
+    def on_late_element(self, value: float, window_start: int, window_end: int, count: int) -> str:
+        """An element behind the watermark but within the allowed lateness."""
+        return FIRE
+
     def on_event_time(self, time_ms: int, window_start: int, window_end: int) -> str:
         return FIRE
 
@@ -181,7 +195,18 @@ class Trigger:
 
 
 class EventTimeTrigger(Trigger):
-    """Default trigger of event-time windows: fire once the watermark passes the end."""
+    """Default trigger of event-time windows: fire once the watermark passes the end, and
+    again for every late element within the allowed lateness."""
+
+
+class ProcessingTimeTrigger(Trigger):
+    """Default trigger of processing-time windows: fire when the clock passes the end."""
+
+    def on_event_time(self, time_ms, window_start, window_end):
+        return CONTINUE
+
+    def on_processing_time(self, time_ms, window_start, window_end):
+        return FIRE
 
 
 class CountTrigger(Trigger):
@@ -193,10 +218,24 @@ class CountTrigger(Trigger):
     def on_element(self, value, window_start, window_end, count):
         return FIRE if count % self.n == 0 else CONTINUE
 
+    def on_late_element(self, value, window_start, window_end, count):
+        return self.on_element(value, window_start, window_end, count)
+
     def on_event_time(self, time_ms, window_start, window_end):
         return CONTINUE
 
 
+def _purging(result: str) -> str:
+    return FIRE_AND_PURGE if result == FIRE else result
+
+
+def _either(a: str, b: str) -> str:
+    """Two results for the same element: what either of them asks for."""
+    fire = FIRE in (a, b) or FIRE_AND_PURGE in (a, b)
+    purge = PURGE in (a, b) or FIRE_AND_PURGE in (a, b)
+    return {(False, False): CONTINUE, (True, False): FIRE, (False, True): PURGE, (True, True): FIRE_AND_PURGE}[fire, purge]
+
+
 class PurgingTrigger(Trigger):
     """Turns every FIRE of the wrapped trigger into FIRE_AND_PURGE."""
 
@@ -204,82 +243,127 @@ class PurgingTrigger(Trigger):
         self.inner = inner
 
     def on_element(self, *a):
-        r = self.inner.on_element(*a)
-        return FIRE_AND_PURGE if r == FIRE else r
+        return _purging(self.inner.on_element(*a))
+
+    def on_late_element(self, *a):
+        return _purging(self.inner.on_late_element(*a))
 
     def on_event_time(self, *a):
-        r = self.inner.on_event_time(*a)
-        return FIRE_AND_PURGE if r == FIRE else r
+        return _purging(self.inner.on_event_time(*a))
+
+    def on_processing_time(self, *a):
+        return _purging(self.inner.on_processing_time(*a))
+
+    def on_merge(self, *a):
+        return _purging(self.inner.on_merge(*a))
+
+    def clear(self, *a):
+        self.inner.clear(*a)
+
+
+def _ms(t) -> int:
+    return int(t.timestamp() * 1000) if hasattr(t, "timestamp") else int(t)
+
+
+def with_lateness(df, ts: str, bound_ms: int, size_ms: int, lateness_ms: int):
+    """The stream with a watermark wide enough that rows within the allowed lateness reach the
+    window processor (which narrows it again)."""
+    return df.withWatermark(ts, f"{bound_ms + size_ms + lateness_ms} milliseconds")
 
 
 class TriggeredWindowProcessor(StatefulProcessor):
-    """Keyed tumbling event-time windows driven by a ``Trigger``.
+    """Keyed tumbling windows driven by a ``Trigger``.
 
-    Per window the state holds a partial aggregate (sum, count) in a MapState keyed
-    by the window start; an event-time timer at the window's last millisecond calls
-    ``on_event_time``; the window's state is removed at end + lateness. Rows whose
-    window was already removed are dropped (the watermark filter runs first).
+    Event time (the default): per window the state holds a partial aggregate (sum, count) and
+    the number of firings; a timer at the window's last millisecond calls ``on_event_time``.
+    With ``lateness_ms`` the stream must come through ``with_lateness``; an element behind the
+    watermark then calls ``on_late_element``, and the window is removed at end + lateness. Rows
+    of windows that are gone are dropped. ``processing_time=True`` (time mode
+    ``ProcessingTime``): elements belong to the window of their micro-batch's clock time and a
+    timer at its end calls ``on_processing_time``.
 
     Output rows carry the process context: the watermark and processing time of
-    the firing, and the key's running element count kept across windows
-    (``key_total``, global per-key state).
+    the firing, the key's running element count kept across windows
+    (``key_total``, global per-key state) and the window's firing number (0, 1, ...).
     """
 
-    def __init__(self, size_ms: int, trigger: Trigger, value: str = "value", ts: str = "ts", lateness_ms: int = 0):
+    def __init__(
+        self, size_ms: int, trigger: Trigger, value: str = "value", ts: str = "ts", lateness_ms: int = 0, processing_time: bool = False
+    ):
         self.size, self.trigger, self.value, self.ts, self.lateness = size_ms, trigger, value, ts, lateness_ms
+        self.processing = processing_time
+        # Spark's watermark is this much behind the windows' own (see with_lateness)
+        self.shift = size_ms + lateness_ms if lateness_ms else 0
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.windows = handle.getMapState("windows", "start long", "s double, n long")
+        self.windows = handle.getMapState("windows", "start long", "s double, n long, firings long, ended boolean")
         self.total = handle.getValueState("total", "n long")
 
-    def _emit(self, key, start, s, n, tv: TimerValues, total: int) -> Row:
-        return Row(
-            key=key[0],
-            win_start_ms=start,
-            win_end_ms=start + self.size,
-            sum_value=s,
-            cnt=n,
-            watermark_ms=tv.getCurrentWatermarkInMs(),
-            proc_time_ms=tv.getCurrentProcessingTimeInMs(),
-            key_total=total,
-        )
+    def _now(self, tv: TimerValues) -> int:
+        return tv.getCurrentProcessingTimeInMs() if self.processing else tv.getCurrentWatermarkInMs() + self.shift
+
+    def _on_time(self, *a) -> str:
+        return self.trigger.on_processing_time(*a) if self.processing else self.trigger.on_event_time(*a)
+
+    def _apply(self, result: str, key, start: int, w: list, tv: TimerValues, total: int) -> Iterator[Row]:
+        if result in (FIRE, FIRE_AND_PURGE) and w[1] > 0:
+            yield Row(
+                key=key[0],
+                win_start_ms=start,
+                win_end_ms=start + self.size,
+                sum_value=w[0],
+                cnt=w[1],
+                watermark_ms=0 if self.processing else self._now(tv),
+                proc_time_ms=tv.getCurrentProcessingTimeInMs(),
+                key_total=total,
+                firing=w[2],
+            )
+            w[2] += 1
+        if result in (PURGE, FIRE_AND_PURGE):
+            w[0], w[1] = 0.0, 0
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: TimerValues) -> Iterator[Row]:
         total = self.total.get()[0] if self.total.exists() else 0
-        for r in sorted(rows, key=lambda x: x[self.ts]):
-            t = int(r[self.ts].timestamp() * 1000) if hasattr(r[self.ts], "timestamp") else int(r[self.ts])
+        now = self._now(timerValues)
+        for r in rows if self.processing else sorted(rows, key=lambda x: x[self.ts]):
+            t = now if self.processing else _ms(r[self.ts])
             start = t - (t % self.size)
+            end, last = start + self.size, start + self.size - 1
+            if not self.processing and last + self.lateness <= now and (self.lateness or last < now):
+                continue  # the window is gone
             k = (start,)
-            s, n = self.windows.getValue(k) if self.windows.containsKey(k) else (0.0, 0)
-            s, n = s + float(r[self.value]), n + 1
-            total += 1
-            self.windows.updateValue(k, (s, n))
-            if n == 1:
-                self.handle.registerTimer(start + self.size - 1)
+            w = list(self.windows.getValue(k)) if self.windows.containsKey(k) else None
+            if w is None:
+                w = [0.0, 0, 0, False]
+                self.handle.registerTimer(last - self.shift)
                 if self.lateness:
-                    self.handle.registerTimer(start + self.size - 1 + self.lateness)
-            res = self.trigger.on_element(float(r[self.value]), start, start + self.size, n)
-            if res in (FIRE, FIRE_AND_PURGE):
-                yield self._emit(key, start, s, n, timerValues, total)
-            if res in (PURGE, FIRE_AND_PURGE):
-                self.windows.updateValue(k, (0.0, 0))
+                    self.handle.registerTimer(last - self.shift + self.lateness)
+            late = not self.processing and last <= now
+            if late and not w[3]:  # the on-time firing comes before the first late element's
+                yield from self._apply(self._on_time(last, start, end), key, start, w, timerValues, total)
+                w[3] = True
+            w[0], w[1] = w[0] + float(r[self.value]), w[1] + 1
+            total += 1
+            called = self.trigger.on_late_element if late else self.trigger.on_element
+            yield from self._apply(called(float(r[self.value]), start, end, w[1]), key, start, w, timerValues, total)
+            self.windows.updateValue(k, tuple(w))
         self.total.update((total,))
 
     def handleExpiredTimer(self, key: Any, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[Row]:
-        t = expiredTimerInfo.getExpiryTimeInMs()
+        t = expiredTimerInfo.getExpiryTimeInMs() + self.shift
         total = self.total.get()[0] if self.total.exists() else 0
         for start_key in list(self.windows.keys()):
             start = start_key[0]
-            end_ts = start + self.size - 1
-            if t == end_ts:
-                s, n = self.windows.getValue(start_key)
-                res = self.trigger.on_event_time(t, start, start + self.size)
-                if res in (FIRE, FIRE_AND_PURGE) and n > 0:
-                    yield self._emit(key, start, s, n, timerValues, total)
-                if res in (PURGE, FIRE_AND_PURGE):
-                    self.windows.updateValue(start_key, (0.0, 0))
-            if t >= end_ts + self.lateness:
+            last = start + self.size - 1
+            if t < last:
+                continue
+            w = list(self.windows.getValue(start_key))
+            if not w[3]:
+                yield from self._apply(self._on_time(last, start, start + self.size), key, start, w, timerValues, total)
+                w[3] = True
+                self.windows.updateValue(start_key, tuple(w))
+            if t >= last + self.lateness:
                 self.trigger.clear(start, start + self.size)
                 self.windows.removeKey(start_key)
 
@@ -291,7 +375,7 @@ class SessionTriggerProcessor(StatefulProcessor):
     """Keyed event-time session windows driven by a ``Trigger`` (merging windows).
 
     Each element opens ``[ts, ts + gap)``; sessions that overlap or touch it are
-    merged (``on_merge`` is called for the merged window) and the event-time timer
+    merged (``on_merge`` is called for the merged window, then ``on_element``) and the timer
     moves to the merged window's last millisecond, where ``on_event_time`` fires
     and the session is removed. State per key: one (end, sum, count) per open session.
     """
@@ -308,7 +392,7 @@ class SessionTriggerProcessor(StatefulProcessor):
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: TimerValues) -> Iterator[Row]:
         for r in sorted(rows, key=lambda x: x[self.ts]):
-            t = int(r[self.ts].timestamp() * 1000) if hasattr(r[self.ts], "timestamp") else int(r[self.ts])
+            t = _ms(r[self.ts])
             start, end, s, n = t, t + self.gap, float(r[self.value]), 1
             merged = False
             for (k_start,), (k_end, k_s, k_n) in list(self.sessions.iterator()):
@@ -319,7 +403,9 @@ class SessionTriggerProcessor(StatefulProcessor):
                     merged = True
             self.sessions.updateValue((start,), (end, s, n))
             self.handle.registerTimer(end - 1)
-            res = self.trigger.on_merge(start, end, n) if merged else self.trigger.on_element(s, start, end, n)
+            res = self.trigger.on_element(float(r[self.value]), start, end, n)
+            if merged:
+                res = _either(self.trigger.on_merge(start, end, n), res)
             if res in (FIRE, FIRE_AND_PURGE):
                 yield self._row(key, start, end, s, n, timerValues)
             if res in (PURGE, FIRE_AND_PURGE):
@@ -442,6 +528,84 @@ class EvictingWindowProcessor(StatefulProcessor):
         pass
 
 
+# ---------------------------------------------------------------- process function with context
+
+
+class WindowContext:
+    """What a window function sees: the window, the times, and two dicts that are kept in the
+    state store: ``window_state`` (until the window is cleared) and ``global_state`` (per key)."""
+
+    def __init__(self, start, end, watermark_ms, proc_time_ms, window_state, global_state):
+        self.window_start, self.window_end = start, end
+        self.watermark_ms, self.proc_time_ms = watermark_ms, proc_time_ms
+        self.window_state, self.global_state = window_state, global_state
+
+
+class WindowFunction:
+    """Override ``process`` (yields output tuples behind the key) and, if need be, ``clear``."""
+
+    def process(self, key: tuple, ctx: WindowContext, elements: list[tuple]) -> Iterator[tuple]:
+        raise NotImplementedError
+
+    def clear(self, key: tuple, ctx: WindowContext) -> None:
+        pass
+
+
+class ProcessWindowProcessor(StatefulProcessor):
+    """Keyed tumbling event-time windows with a user ``WindowFunction`` over the elements
+    ``(seq, ts_ms, value)``, fired when the watermark passes the end; an ``Evictor`` trims the
+    elements before and after the function. State per key: the elements of its open windows.
+    Output: the key, then what ``process`` yields (``names`` are its columns)."""
+
+    def __init__(
+        self, size_ms: int, function: WindowFunction, names: list[str], evictor: Evictor | None = None,
+        value: str = "value", ts: str = "ts", order: str = "seq",
+    ):
+        self.size, self.function, self.names, self.evictor = size_ms, function, names, evictor or Evictor()
+        self.value, self.ts, self.order = value, ts, order
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.elements = handle.getMapState("elements", "start long, seq long", "ts long, v double")
+        self.counts = handle.getMapState("counts", "start long", "n long")
+        self.own = handle.getMapState("own", "start long", "state binary")
+        self.shared = handle.getValueState("shared", "state binary")
+
+    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: TimerValues) -> Iterator[Row]:
+        for r in rows:
+            t = _ms(r[self.ts])
+            start = t - (t % self.size)
+            n = self.counts.getValue((start,))[0] if self.counts.containsKey((start,)) else 0
+            if n == 0:
+                self.handle.registerTimer(start + self.size - 1)
+            self.counts.updateValue((start,), (n + 1,))
+            self.elements.updateValue((start, int(r[self.order])), (t, float(r[self.value])))
+        return iter(())
+
+    def handleExpiredTimer(self, key: Any, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[Row]:
+        start = expiredTimerInfo.getExpiryTimeInMs() - self.size + 1
+        found = [(k[1], v[0], v[1]) for k, v in self.elements.iterator() if k[0] == start]
+        own = pickle.loads(bytes(self.own.getValue((start,))[0])) if self.own.containsKey((start,)) else {}
+        shared = pickle.loads(bytes(self.shared.get()[0])) if self.shared.exists() else {}
+        ctx = WindowContext(
+            start, start + self.size, timerValues.getCurrentWatermarkInMs(), timerValues.getCurrentProcessingTimeInMs(), own, shared
+        )
+        kept = self.evictor.evict_before(sorted(found))
+        for out in self.function.process(key, ctx, kept):
+            yield Row(key=key[0], **dict(zip(self.names, out)))
+        self.evictor.evict_after(kept)
+        self.function.clear(key, ctx)
+        self.shared.update((pickle.dumps(ctx.global_state),))
+        for seq, _, _ in found:
+            self.elements.removeKey((start, seq))
+        self.counts.removeKey((start,))
+        if self.own.containsKey((start,)):
+            self.own.removeKey((start,))
+
+    def close(self) -> None:
+        pass
+
+
 def use_rocksdb(spark) -> None:
     """transformWithState needs the RocksDB state store provider."""
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)

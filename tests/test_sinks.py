@@ -146,33 +146,50 @@ def test_kafka_payload(sensors):
     assert p.topic == "test" and bytes(p.value).decode() == '{"id":"sensor_1","ts":1547718199,"vc":35.8}'
 
 
-def test_python_data_source_sink(spark, sensors):
-    import glob
-    import json
-
-    from eddyline.sinks.jsonl_source import HAS_PY_SINK, JsonLinesDataSource
-    from eddyline.streaming.run import checkpoint_location
-
-    if not HAS_PY_SINK:
-        return
-    spark.dataSource.register(JsonLinesDataSource)
-    out = checkpoint_location(spark, "jsonl")
-    sensors.repartition(2).write.format("eddyline_jsonl").mode("append").option("path", out).save()
-    rows = [json.loads(x) for f in glob.glob(f"{out}/batch=0/*.jsonl".replace("file:", "")) for x in open(f)]
-    assert len(rows) == 7 and {r["id"] for r in rows} == set(EXPECTED)
-
-    d = tempfile.mkdtemp(prefix="jsonl-in-")
+def test_print_rows_prints_every_row(spark, tmp_path):
+    def to_files(lines):
+        got = list(lines)
+        if got:
+            (tmp_path / f"{abs(hash(got[0]))}.out").write_text("\n".join(got))
+
+    df = spark.range(30).repartition(4)
+    assert W.print_rows(df, "n", out=to_files) == 30
+    lines = [x for f in tmp_path.glob("*.out") for x in f.read_text().split("\n")]
+    assert sorted(lines) == sorted(f"n> ({i})" for i in range(30))
+
+
+def _sensor_stream(spark, sensors):
+    d = tempfile.mkdtemp(prefix="sink-in-")
     sensors.write.mode("overwrite").parquet(os.path.join(d, "in"))
-    stream = spark.readStream.schema(sensors.schema).parquet(os.path.join(d, "in"))
-    out2 = checkpoint_location(spark, "jsonl-stream")
-    q = (
-        stream.writeStream.format("eddyline_jsonl")
-        .option("path", out2.replace("file:", ""))
-        .option("checkpointLocation", checkpoint_location(spark, "jsonl-ck"))
-        .trigger(availableNow=True)
-        .start()
-    )
-    q.awaitTermination()
-    files = glob.glob(f"{out2.replace('file:', '')}/batch=*/*.jsonl")
-    assert sum(1 for f in files for _ in open(f)) == 7
-    assert glob.glob(f"{out2.replace('file:', '')}/batch=*/_SUCCESS")
+    return spark.readStream.schema(sensors.schema).parquet(os.path.join(d, "in"))
+
+
+def test_hash_sink_on_a_stream_is_replay_safe(spark, sensors):
+    path = os.path.join(tempfile.mkdtemp(prefix="hash-"), "h.db")
+    fn = W.hash_batches(lambda: SqliteHash(path), "Sensor", "id", "vc", "seq")
+    foreach_batch_available(_sensor_stream(spark, sensors), fn, "hash")
+    fn(sensors, 0)  # the batch again
+    rows = dict(sqlite3.connect(path).execute("SELECT field, value FROM h WHERE name = 'Sensor'").fetchall())
+    assert rows == {k: str(v) for k, (_, v) in EXPECTED.items()}
+
+
+class SqliteIndex:
+    def __init__(self, path):
+        self.conn = sqlite3.connect(path, timeout=30)
+        self.conn.execute("CREATE TABLE IF NOT EXISTS d (ix TEXT, id TEXT, doc TEXT, PRIMARY KEY (ix, id))")
+
+    def bulk(self, index, docs):
+        self.conn.executemany("INSERT OR REPLACE INTO d VALUES (?, ?, ?)", [(index, i, x) for i, x in docs])
+        self.conn.commit()
+
+    def close(self):
+        self.conn.close()
+
+
+def test_index_sink_on_a_stream_is_replay_safe(spark, sensors):
+    path = os.path.join(tempfile.mkdtemp(prefix="index-"), "d.db")
+    fn = W.index_batches(lambda: SqliteIndex(path), "sensor1", F.to_json(sensor_to_doc()), F.concat_ws("-", "id", "seq"))
+    foreach_batch_available(_sensor_stream(spark, sensors), fn, "index")
+    fn(sensors, 0)
+    rows = sqlite3.connect(path).execute("SELECT id, doc FROM d").fetchall()
+    assert len(rows) == 7 and ("sensor_1-1", '{"ts":"1547718199","vc":"35.8"}') in rows

@@ -37,3 +37,27 @@ def test_kafka_value_encoding(spark):
     df = spark.createDataFrame([("a,1,2.0",)], "line string")
     row = encode_kafka_value(df, "line", "test").first()
     assert bytes(row.value).decode() == "a,1,2.0" and row.topic == "test"
+
+
+def test_streaming_a_file_reads_that_file_only(spark, tmp_path):
+    from eddyline.streaming.run import run_available
+
+    for name, text in (("a[1].txt", "x\ny"), ("a1.txt", "z"), ("b.txt", "p\nq\nr")):
+        (tmp_path / name).write_text(text)
+    stream = read_lines(spark, str(tmp_path / "a[1].txt"), "streaming")
+    assert sorted(r.value for r in run_available(stream, "onefile").collect()) == ["x", "y"]
+    (tmp_path / "all").mkdir()
+    for name in ("a.txt", "b.txt"):
+        (tmp_path / "all" / name).write_text("x\ny")
+    assert run_available(read_lines(spark, str(tmp_path / "all"), "streaming"), "folder").count() == 4
+
+
+def test_a_cluster_needs_a_shared_checkpoint_folder(monkeypatch):
+    from types import SimpleNamespace
+
+    from eddyline import session
+
+    conf = SimpleNamespace(get=lambda name, default=None: default)
+    context = SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(SimpleNamespace(conf=conf, sparkContext=context))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from eddyline.functions.text import java_split, parse_sensor
 from eddyline.operators import keyed
+from eddyline.operators import windows as win
 from eddyline.sources.lines import read_lines
 from eddyline.streaming import stateful as st
 from eddyline.streaming.late_stream import LateWindowOperator
@@ -99,13 +100,17 @@ def test_stream_count_windows(spark):
 
 
 def test_processing_time_windows_cover_each_row_once(spark):
-    d = _dir_of_files([["a b"], ["c"]])
-    lines = read_lines(spark, d, "streaming").withColumn("proc_ts", F.current_timestamp())
-    tumble = lines.groupBy(F.window("proc_ts", "5 seconds")).agg(F.count(F.lit(1)).alias("n"))
-    assert sum(r.n for r in run_available(tumble, "pt", "complete").collect()) == 2
-    slide = lines.groupBy(F.window("proc_ts", "5 seconds", "2 seconds")).agg(F.count(F.lit(1)).alias("n"))
-    total = sum(r.n for r in run_available(slide, "ps", "complete").collect())
-    assert total in (4, 6)  # each row in 2 or 3 windows of 5 s sliding by 2 s
+    """Three micro-batches: every row is in one tumbling window, in size / slide sliding ones."""
+    d = _dir_of_files([["a b"], ["c"], ["d", "e"]])
+    lines = win.with_processing_time(read_lines(spark, d, "streaming", max_files_per_trigger=1))
+    n = F.count(F.lit(1)).alias("n")
+    tumble = win.window_agg(lines, [], win.tumbling_processing("5 seconds"), n)
+    rows = run_available(tumble, "pt", "complete").collect()
+    assert sum(r.n for r in rows) == 4 and all(r.win_end - r.win_start == dt.timedelta(seconds=5) for r in rows)
+    slide = win.window_agg(lines, [], win.sliding_processing("6 seconds", "2 seconds"), n)
+    assert sum(r.n for r in run_available(slide, "ps", "complete").collect()) == 12
+    shifted = win.window_agg(lines, [], win.tumbling_processing("1 hour", "-8 minutes"), n)
+    assert {r.win_start.minute for r in run_available(shifted, "po", "complete").collect()} == {52}
 
 
 def test_append_mode_fires_each_window_once(spark):
@@ -135,7 +140,7 @@ def test_custom_trigger_with_timers(spark):
     proc = st.TriggeredWindowProcessor(10_000, st.CountTrigger(2))
     schema = (
         "key string, win_start_ms long, win_end_ms long, sum_value double, cnt long, "
-        "watermark_ms long, proc_time_ms long, key_total long"
+        "watermark_ms long, proc_time_ms long, key_total long, firing long"
     )
     out = s.withWatermark("ts", "0 seconds").groupBy("key").transformWithState(proc, schema, "Update", "EventTime")
     rows = run_available(out, "trig", "update").collect()
@@ -161,8 +166,12 @@ def test_late_stream_operator(spark):
         got_side = sorted(r.ts.second for r in op.side_output(spark).collect())
         assert got_side == side
         fired = op.fired(spark).collect()
-        w0 = sorted(r.cnt for r in fired if r.win_start.second == 0)
-        assert w0 == [1] + [2, 3][: len(refires)]
+        w0 = sorted((r.firing, r.cnt) for r in fired if r.win_start.second == 0)
+        assert w0 == [(0, 1), (1, 2), (2, 3)][: 1 + len(refires)]
+        assert not [r for r in fired if r.win_start.second == 20]
+        op.flush(spark)  # the stream has ended: the open window fires
+        op.flush(spark)
+        assert [(r.firing, r.cnt) for r in op.fired(spark).collect() if r.win_start.second == 20] == [(0, 2)]
 
 
 def test_restart_resumes_from_checkpoint(spark):
@@ -199,28 +208,6 @@ def test_restart_resumes_from_checkpoint(spark):
     assert second[7] == (1547718212, 37.1) and second[5] == (1547718207, 36.3)
 
 
-def test_sensor_source_replays(spark):
-    from eddyline.sources.sensor_source import HAS_PY_DATASOURCE, SensorDataSource
-
-    if not HAS_PY_DATASOURCE:
-        return
-    spark.dataSource.register(SensorDataSource)
-
-    def run():
-        s = (
-            spark.readStream.format("eddyline_sensor")
-            .option("sensors", "3")
-            .option("ticksPerBatch", "2")
-            .option("maxTicks", "6")
-            .load()
-        )
-        return sorted(run_available(s, "sensor", "append").collect())
-
-    a, b = run(), run()
-    assert len(a) == 18 and a == b
-    assert {r.id for r in a} == {"sensor_1", "sensor_2", "sensor_3"}
-
-
 def _ones_stream(spark, n):
     d = _dir_of_files([[f"{i},a,1"] for i in range(1, n + 1)])
     s = read_lines(spark, d, "streaming", max_files_per_trigger=2)
@@ -250,9 +237,9 @@ def test_evictor_rules_match_fixture():
 
 def test_processing_time_session_groups_a_batch(spark):
     d = _dir_of_files([["a", "b", "c"]])
-    lines = read_lines(spark, d, "streaming").withColumn("proc_ts", F.current_timestamp())
+    lines = win.with_processing_time(read_lines(spark, d, "streaming"))
     keyed_lines = lines.withColumn("k", F.lit("all"))  # session windows need a key on streams
-    sess = keyed_lines.groupBy("k", F.session_window("proc_ts", "5 seconds")).agg(F.count(F.lit(1)).alias("n"))
+    sess = win.window_agg(keyed_lines, ["k"], win.session_processing("5 seconds"), F.count(F.lit(1)).alias("n"))
     rows = run_available(sess, "psess", "complete").collect()
     assert [r.n for r in rows] == [3]  # one micro-batch shares one processing time
 
@@ -350,3 +337,160 @@ def test_late_operator_replay_is_idempotent(spark):
     op(b1, 1)  # replay after a failure
     assert sorted(tuple(r) for r in op.fired(spark).collect()) == first
     assert op.side_output(spark).count() == 0
+
+
+def test_corrupt_late_state_fails_the_batch(spark):
+    import pytest
+
+    base = dt.datetime(2024, 1, 1)
+    df = spark.createDataFrame([(1, "k", base, 1.0)], "seq long, key string, ts timestamp, value double")
+    root = checkpoint_location(spark, "corrupt")
+    op = LateWindowOperator(root, "key", "ts", "value", "seq", "5 seconds", "0 seconds")
+    op(df, 0)
+    spark.createDataFrame([("x",)], "other string").write.mode("overwrite").text(f"{root}/partials/batch_id=0")
+    with pytest.raises(Exception):  # noqa: B017 - whatever the reader says
+        op(df, 1)
+
+
+def test_old_versions_of_late_state_go(spark):
+    base = dt.datetime(2024, 1, 1)
+    op = LateWindowOperator(checkpoint_location(spark, "versions"), "key", "ts", "value", "seq", "5 seconds", "0 seconds")
+    for i in range(5):
+        op(spark.createDataFrame([(i, "k", base + dt.timedelta(seconds=3 * i), 1.0)], "seq long, key string, ts timestamp, value double"), i)
+    assert op._versions(spark) == [3, 4]
+    assert sum(r.cnt for r in op.fired(spark).collect()) == 4  # [0,5) and [5,10) have fired
+
+
+def _timed(spark, secs, value="1", key="k"):
+    base = dt.datetime(2024, 1, 1)
+    d = _dir_of_files([[f"{i},{key},{(base + dt.timedelta(seconds=s)).isoformat(sep=' ')},{value}"] for i, s in enumerate(secs)])
+    s = read_lines(spark, d, "streaming", max_files_per_trigger=1).select(F.split("value", ",").alias("p"))
+    return s.select(
+        F.col("p")[0].cast("long").alias("seq"), F.col("p")[1].alias("key"), F.col("p")[2].cast("timestamp").alias("ts"),
+        F.col("p")[3].cast("double").alias("value"),
+    )
+
+
+T0_MS = 1704067200000  # 2024-01-01 00:00 UTC (session zone UTC)
+TRIGGERED = (
+    "key string, win_start_ms long, win_end_ms long, sum_value double, cnt long, "
+    "watermark_ms long, proc_time_ms long, key_total long, firing long"
+)
+
+
+def test_allowed_lateness_of_the_window_processor(spark):
+    st.use_rocksdb(spark)
+    s = st.with_lateness(_timed(spark, [1, 20, 2, 21, 3]), "ts", 0, 5000, 60_000)
+    proc = st.TriggeredWindowProcessor(5000, st.EventTimeTrigger(), lateness_ms=60_000)
+    rows = run_available(s.groupBy("key").transformWithState(proc, TRIGGERED, "Update", "EventTime"), "lateproc", "update").collect()
+    assert sorted((r.firing, r.cnt) for r in rows if r.win_start_ms == T0_MS) == [(0, 1), (1, 2), (2, 3)]
+
+
+def test_sessions_call_on_element_when_they_merge(spark):
+    st.use_rocksdb(spark)
+    s = _timed(spark, [0, 1, 2, 3]).withWatermark("ts", "0 seconds")
+    schema = "key string, win_start_ms long, win_end_ms long, sum_value double, cnt long, watermark_ms long"
+    for trigger, counts in ((st.CountTrigger(2), [2, 4]), (st.PurgingTrigger(_MergeCounter()), [1, 1, 2])):
+        out = s.groupBy("key").transformWithState(st.SessionTriggerProcessor(5000, trigger), schema, "Update", "EventTime")
+        assert sorted(r.cnt for r in run_available(out, "sessmerge", "update").collect()) == counts
+
+
+def test_purging_trigger_forwards_every_callback():
+    class All(st.Trigger):
+        def __init__(self):
+            self.cleared = []
+
+        def on_processing_time(self, *a):
+            return st.FIRE
+
+        def on_merge(self, *a):
+            return st.FIRE
+
+        def clear(self, *a):
+            self.cleared.append(a)
+
+    inner = All()
+    t = st.PurgingTrigger(inner)
+    assert {t.on_processing_time(1, 0, 5), t.on_merge(0, 5, 1), t.on_event_time(1, 0, 5)} == {st.FIRE_AND_PURGE}
+    t.clear(0, 5)
+    assert inner.cleared == [(0, 5)]
+
+
+def test_processing_time_timers_fire(spark):
+    """A query with processing-time timers goes on running, as its timers may; it is stopped here
+    once the window has fired."""
+    st.use_rocksdb(spark)
+    lines = read_lines(spark, _dir_of_files([["k", "k"]]), "streaming").select(F.col("value").alias("key"), F.lit(1.0).alias("value"))
+    proc = st.TriggeredWindowProcessor(1000, st.ProcessingTimeTrigger(), processing_time=True)
+    out = lines.groupBy("key").transformWithState(proc, TRIGGERED, "Update", "ProcessingTime")
+    got = []
+    query = (
+        out.writeStream.foreachBatch(lambda b, _: got.extend(b.collect()))
+        .outputMode("update")
+        .option("checkpointLocation", checkpoint_location(spark, "proctimer"))
+        .trigger(processingTime="300 milliseconds")
+        .start()
+    )
+    try:
+        until = time.time() + 60
+        while not got and time.time() < until:
+            time.sleep(0.3)
+    finally:
+        query.stop()
+    assert sum(r.cnt for r in got) == 2 and all(r.win_end_ms - r.win_start_ms == 1000 for r in got)
+
+
+class _Totals(st.WindowFunction):
+    """Sum of the window, sum of all windows of the key so far, and calls of clear."""
+
+    def process(self, key, ctx, elements):
+        total = sum(e[2] for e in elements)
+        ctx.global_state["all"] = ctx.global_state.get("all", 0.0) + total
+        ctx.window_state["seen"] = len(elements)
+        yield ctx.window_start, total, ctx.global_state["all"], ctx.global_state.get("cleared", 0)
+
+    def clear(self, key, ctx):
+        ctx.global_state["cleared"] = ctx.global_state.get("cleared", 0) + ctx.window_state["seen"]
+
+
+def test_process_function_with_context_and_evictor(spark):
+    st.use_rocksdb(spark)
+    s = _timed(spark, [0, 1, 2, 11, 12, 40]).withWatermark("ts", "0 seconds")
+    schema = "key string, start long, total double, so_far double, cleared long"
+    names = ["start", "total", "so_far", "cleared"]
+    for evictor, want in ((None, [(0, 3.0, 3.0, 0), (10, 2.0, 5.0, 3)]), (st.CountEvictor(2), [(0, 2.0, 2.0, 0), (10, 2.0, 4.0, 2)])):
+        proc = st.ProcessWindowProcessor(10_000, _Totals(), names, evictor)
+        out = run_available(s.groupBy("key").transformWithState(proc, schema, "Update", "EventTime"), "ctx", "update").collect()
+        assert sorted(((r.start - T0_MS) // 1000, r.total, r.so_far, r.cleared) for r in out) == want
+
+
+def test_flush_makes_a_bounded_stream_equal_the_batch(spark):
+    secs = [1, 2, 7, 12, 30]
+    stream = _timed(spark, secs).withWatermark("ts", "0 seconds")
+    n = F.sum("value").alias("n")
+    flushed = run_available(win.window_agg(stream, ["key"], win.tumbling("ts", "5 seconds"), n), "fl", flush=["key", "win_start", "win_end"])
+    base = dt.datetime(2024, 1, 1)
+    batch = spark.createDataFrame([(i, "k", base + dt.timedelta(seconds=s), 1.0) for i, s in enumerate(secs)], "seq long, key string, ts timestamp, value double")
+    want = win.window_agg(batch, ["key"], win.tumbling("ts", "5 seconds"), n)
+    assert sorted(map(tuple, flushed.collect())) == sorted(map(tuple, want.collect())) and flushed.count() == 4
+    sessions = run_available(win.window_agg(stream, ["key"], win.session("ts", "5 seconds"), n), "fs", "complete")
+    want = win.session_windows(batch, ["key"], "ts", "5 seconds", n, order="seq")
+    assert sorted(map(tuple, sessions.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_stream_reducers_follow_the_batch_on_nulls_and_nan(spark):
+    values = ["", "2.0", "NaN", "", "5.0"]
+    d = _dir_of_files([[f"{i},k,{v}"] for i, v in enumerate(values)])
+    p = F.split("value", ",")
+    shape = [p[0].cast("long").alias("seq"), p[1].alias("id"), F.when(p[2] != "", p[2].cast("double")).alias("vc")]
+    stream = read_lines(spark, d, "streaming", max_files_per_trigger=1).select(*shape)
+    batch = read_lines(spark, d, "batch").select(*shape)
+    for op in (
+        lambda x: keyed.keyed_max(x, "id", "vc", "seq"),
+        lambda x: keyed.keyed_max_by(x, "id", "vc", "seq", record=("vc",)),
+        lambda x: keyed.keyed_max_by(x, "id", "vc", "seq", record=("vc",), first=True),
+        lambda x: keyed.keyed_reduce_latest_max(x, "id", "vc", "seq"),
+        lambda x: keyed.keyed_sum(x, "id", "vc", order="seq", emit="rolling"),
+    ):
+        got = {r.seq: repr(r.vc) for r in run_available(op(stream), "nulls", "update").collect()}
+        assert got == {r.seq: repr(r.vc) for r in op(batch).collect()}
