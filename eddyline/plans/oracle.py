@@ -259,6 +259,17 @@ ORACLE: dict[str, str] = {
         "struct_extract(min({'v': vc, 'o': seq, 'seq': seq, 'ts': ts, 'vc': vc}), 'vc') AS vc "
         f"FROM ({TUMBLED}) GROUP BY id, ws"
     ),
+    "window_reduce_udf": (
+        f"SELECT id, {_ts('ws')} AS win_start, "
+        "struct_extract(min({'v': vc, 'o': seq, 'seq': seq, 'ts': ts, 'vc': vc}), 'seq') AS seq, "
+        "struct_extract(min({'v': vc, 'o': seq, 'seq': seq, 'ts': ts, 'vc': vc}), 'ts') AS ts, "
+        "struct_extract(min({'v': vc, 'o': seq, 'seq': seq, 'ts': ts, 'vc': vc}), 'vc') AS vc "
+        f"FROM ({TUMBLED}) GROUP BY id, ws"
+    ),
+    "window_fold_expr": (
+        f"SELECT id, {_ts('ws')} AS win_start, list_reduce(list(CAST(round(vc * 100) AS BIGINT) ORDER BY seq), "
+        f"lambda a, x: (a * 31 + x) % 1000003, 0::BIGINT) AS folded FROM ({TUMBLED}) GROUP BY id, ws"
+    ),
     "window_key_avg": f"SELECT id, round(avg(vc), 6) AS avg_vc FROM ({TUMBLED}) GROUP BY id, ws",
     "window_end_count": f"SELECT id, {_ts(f'ws + {DAY_US}')} AS win_end, count(*) AS cnt FROM ({TUMBLED}) GROUP BY id, ws",
     "count_tumbling_sum": (

@@ -28,4 +28,3 @@ LATE_LATENESS = "1 hour"
 # ties broken by event_id
 ARRIVAL_MULT = 37
 ARRIVAL_MOD = 101
-SENSOR_WALK_SEED = 7

@@ -13,11 +13,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eddyline.fixed import INDEX_NAME, SENSOR_ID_PREFIX
+from eddyline.fixed import INDEX_NAME
 from eddyline.functions.text import (
     java_split,
     parse_sensor,
+    sensor_to_doc,
     sensor_to_json,
+    sensor_to_kv,
     sensor_to_string,
     utf16_length,
 )
@@ -32,7 +34,7 @@ from eddyline.operators import udaf
 from eddyline.operators.rich_map import SensorLineParser, rich_map
 from eddyline.operators.udf_reduce import latest_max_reducer, rolling_reduce_fn
 from eddyline.plans import params as P
-from eddyline.sources.sensor_source import sensor_walk
+from eddyline.sinks.writers import latest_per_key
 from eddyline.sources.tables import document_lines, epoch_millis, sensor_lines, sensor_view, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -116,13 +118,12 @@ def q_sensor_to_json(spark, sf):
 
 def q_sensor_to_doc(spark, sf):
     s = _sensor_ms(spark, sf)
-    doc = F.to_json(F.struct(F.col("ts").cast("string").alias("ts"), F.col("vc").cast("string").alias("vc")))
-    return s.select("seq", F.lit(INDEX_NAME).alias("index"), doc.alias("doc"))
+    return s.select("seq", F.lit(INDEX_NAME).alias("index"), F.to_json(sensor_to_doc()).alias("doc"))
 
 
 def q_sensor_to_kv(spark, sf):
     s = _sensor_ms(spark, sf)
-    return s.select("seq", F.col("id").alias("key"), F.col("vc").cast("string").alias("value"))
+    return s.select("seq", sensor_to_kv().alias("_kv")).select("seq", "_kv.key", "_kv.value")
 
 
 def q_sensor_to_string(spark, sf):
@@ -202,6 +203,10 @@ def q_connect_comap(spark, sf):
 # ---------------------------------------------------------------- time windows
 
 
+def _sums():
+    return [win.Pane("cnt", "count", F.lit(1)), win.Pane("sum_vc", "sum", "vc")]
+
+
 def q_tumbling_sum(spark, sf):
     return win.window_agg(
         _sv(spark, sf), ["id"], win.tumbling("ts", P.TUMBLE), F.count(F.lit(1)).alias("cnt"), _r2(F.sum("vc")).alias("sum_vc")
@@ -219,23 +224,13 @@ def q_tumbling_offset_sum(spark, sf):
 
 
 def q_sliding_sum(spark, sf):
-    return win.window_agg(
-        _sv(spark, sf),
-        ["id"],
-        win.sliding("ts", P.SLIDE_SIZE, P.SLIDE_STEP),
-        F.count(F.lit(1)).alias("cnt"),
-        _r2(F.sum("vc")).alias("sum_vc"),
-    )
+    out = win.sliding_agg(_sv(spark, sf), ["id"], "ts", P.SLIDE_SIZE, P.SLIDE_STEP, _sums())
+    return out.withColumn("sum_vc", _r2("sum_vc"))
 
 
 def q_sliding_offset_sum(spark, sf):
-    return win.window_agg(
-        _sv(spark, sf),
-        ["id"],
-        win.sliding("ts", P.SLIDE_OFF_SIZE, P.SLIDE_OFF_STEP, P.SLIDE_OFF_OFFSET),
-        F.count(F.lit(1)).alias("cnt"),
-        _r2(F.sum("vc")).alias("sum_vc"),
-    )
+    out = win.sliding_agg(_sv(spark, sf), ["id"], "ts", P.SLIDE_OFF_SIZE, P.SLIDE_OFF_STEP, _sums(), P.SLIDE_OFF_OFFSET)
+    return out.withColumn("sum_vc", _r2("sum_vc"))
 
 
 def q_session_count(spark, sf):
@@ -286,11 +281,27 @@ def q_window_avg_udaf(spark, sf):
 
 def q_window_fold_concat(spark, sf):
     s = sensor_view(spark, sf)
-    wf.check_fold_allowed("tumbling")
-    s = s.withColumn("win_start", win.tumbling("ts", P.TUMBLE).start)
+    w = win.tumbling("ts", P.TUMBLE)
+    wf.check_fold_allowed(w)
+    s = s.withColumn("win_start", w.start)
     return wf.fold_concat_by(s, ["id", "win_start"], "seq", "event_type").select("id", "win_start", "folded")
 
 
+def q_window_fold_expr(spark, sf):
+    """A fold given as expressions: a checksum over a window's values (in cents) in order."""
+    out = wf.window_fold(
+        _sv(spark, sf), ["id"], win.tumbling("ts", P.TUMBLE), "seq", F.lit(0).cast("long"),
+        lambda acc, x: (acc * 31 + F.round(x["vc"] * 100).cast("long")) % 1000003, ["vc"],
+    )
+    return out.select("id", "win_start", "folded")
+
+
+def q_window_reduce_udf(spark, sf):
+    """A user reducer per window: the minimum record, as Python."""
+    out = wf.window_reduce(_sv(spark, sf), ["id"], "ts", lambda ts: win.tumbling(ts, P.TUMBLE), ["seq", "ts", "vc"], wf.smaller_record("vc", "seq"))
+    return out.select("id", "win_start", "seq", "ts", "vc")
+
+
 def q_tumbling_process_count(spark, sf):
     out = _tumbled(spark, sf, F.count(F.lit(1)).alias("cnt"))
     return out.select(wf.label("win_start", "id").alias("label"), "cnt")
@@ -405,9 +416,7 @@ def q_late_side_output(spark, sf):
 
 
 def _latest_per_key(spark, sf):
-    s = _sensor_ms(spark, sf)
-    last = s.groupBy("id").agg(F.max(F.struct("seq", "ts", "vc")).alias("_m"))
-    return last.select("id", F.col("_m.ts").alias("ts"), F.col("_m.vc").alias("vc"))
+    return latest_per_key(_sensor_ms(spark, sf), "id", "seq", ("ts", "vc"))
 
 
 def q_kv_upsert_latest(spark, sf):
@@ -418,16 +427,6 @@ def q_jdbc_upsert_latest(spark, sf):
     return _latest_per_key(spark, sf)
 
 
-# ---------------------------------------------------------------- custom source
-
-
-def q_sensor_walk(spark, sf):
-    ticks = table(spark, sf, "events").select(
-        F.concat(F.lit(SENSOR_ID_PREFIX), F.col("user_id").cast("string")).alias("sensor"), "event_id", "ts"
-    )
-    return sensor_walk(ticks, "sensor", "event_id", P.SENSOR_WALK_SEED, ts="ts")
-
-
 QUERIES: dict[str, Query] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }
