@@ -41,7 +41,7 @@ from eddyline.session import materialize
 
 CAPACITY = 4096
 END = 1
-GROUP = 20_000
+GROUP = 50_000
 MERGE = 16
 RELEASE = 8  # sequences released per sequence of gap
 CHUNKS = 600_000  # chunks whose ids a task remembers
