@@ -26,7 +26,7 @@ import os
 import zlib
 from array import array
 from collections.abc import Iterator
-from itertools import chain, filterfalse
+from itertools import chain
 from unicodedata import normalize
 
 import numpy as np
@@ -44,7 +44,7 @@ END = 1
 GROUP = 50_000
 MERGE = 16
 RELEASE = 8  # sequences released per sequence of gap
-CHUNKS = 600_000  # chunks whose ids a task remembers
+CHUNKS = 900_000  # chunks whose ids a task remembers
 ROUNDING = 24  # functions u_1 ... u_ROUNDING
 
 # ---------------------------------------------------------------- tokens
@@ -52,7 +52,7 @@ ROUNDING = 24  # functions u_1 ... u_ROUNDING
 
 PUNCTUATION = bytes(c for c in range(33, 127) if not chr(c).isalnum())
 WORD_END = "</w>"  # how the tokenizer marks a token that closes a word
-JOINED = 200  # runs of letters tokenized as one string
+JOINED = 1000  # runs of letters tokenized as one string
 LATIN = 0x250  # letters below are letters in every version of Unicode
 
 
@@ -102,16 +102,27 @@ class Chunks(dict):
     def ids(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text."""
         cut = [(t if b"<|" in t else t.lower()).split() for t in texts]
-        missing = set(filterfalse(self.__contains__, chain.from_iterable(cut)))
-        pairs = {}
+        words = list(chain.from_iterable(cut))
+        found = list(map(self.get, words))  # one lookup a word; what is new is filled in below
+        holes = [k for k, ids in enumerate(found) if ids is None]
+        missing = {words[k] for k in holes}
+        cores = {}  # of new chunks that end in punctuation
         for chunk in missing:
             core = chunk.rstrip(PUNCTUATION)
             if core and len(core) < len(chunk) and splits_off(core):
-                pairs[chunk] = (core, chunk[len(core) :])
-        asked = missing.difference(pairs).union(chain.from_iterable(pairs.values())).difference(self)
+                cores[chunk] = core
+        asked = missing.difference(cores)
+        asked.update(w for w in cores.values() if w not in self)
+        asked.update(w for w in {c[len(core) :] for c, core in cores.items()} if w not in self)
         self.learn(asked)
-        self.update((chunk, self[core] + self[tail]) for chunk, (core, tail) in pairs.items())
-        out = [b"".join(map(self.__getitem__, words)) for words in cut]
+        for chunk, core in cores.items():
+            self[chunk] = self[core] + self[chunk[len(core) :]]
+        for k in holes:
+            found[k] = self[words[k]]
+        out, at = [], 0
+        for text in cut:
+            out.append(b"".join(found[at : at + len(text)]))
+            at += len(text)
         if len(self) > CHUNKS:  # what came last goes: frequent chunks come early
             for w in missing.union(asked):
                 del self[w]
