@@ -25,11 +25,7 @@ def spread(df: DataFrame) -> DataFrame:
     from eddyline.session import target_parallelism
 
     p = target_parallelism(df.sparkSession)
-    try:
-        parts = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view (e.g. Spark Connect): leave the scan as it is
-        return df
-    return df.repartition(p) if parts < p else df
+    return df.repartition(p) if df.rdd.getNumPartitions() < p else df
 
 
 def epoch_millis(ts_col) -> F.Column:

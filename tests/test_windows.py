@@ -231,3 +231,14 @@ def test_map_groups_runs_across_arrow_batches(spark):
             assert all(r.ordered for r in got)
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+
+
+def test_time_eviction_boundary(spark):
+    """An element exactly at ``max ts - interval`` is removed, in the batch and the stream form."""
+    from eddyline.streaming.stateful import TimeEvictor
+
+    df = _rows(spark, [3, 4, 5, 9], values=[1, 2, 3, 4])
+    kept = ev.evict_time(df, ["key"], "ts", "5 seconds")
+    assert sorted(r.value for r in kept.collect()) == [3, 4]
+    elems = [(i, s * 1000, float(v)) for i, (s, v) in enumerate([(3, 1), (4, 2), (5, 3), (9, 4)])]
+    assert [e[2] for e in TimeEvictor(5000).evict_before(elems)] == [3.0, 4.0]
