@@ -27,7 +27,6 @@ import zlib
 from array import array
 from collections.abc import Iterator
 from itertools import chain
-from unicodedata import normalize
 
 import numpy as np
 import pyarrow as pa
@@ -52,16 +51,17 @@ ROUNDING = 24  # functions u_1 ... u_ROUNDING
 
 PUNCTUATION = bytes(c for c in range(33, 127) if not chr(c).isalnum())
 WORD_END = "</w>"  # how the tokenizer marks a token that closes a word
-JOINED = 1000  # runs of letters tokenized as one string
-LATIN = 0x250  # letters below are letters in every version of Unicode
+JOINED = 200  # runs of letters tokenized as one string
+LATIN = chr(0x250)  # letters below are letters in every version of Unicode
 
 
 def splits_off(core: bytes) -> bool:
     """Is this a run of letters, so that punctuation behind it is tokenized apart?"""
     if core.isalpha():  # ASCII
         return True
-    plain = normalize("NFC", core.decode()).lower()
-    return plain.isalpha() and max(plain) < chr(LATIN)
+    # such letters are in composed form already; lower-casing one may add a mark, which is none
+    plain = core.decode().lower()
+    return plain.isalpha() and max(plain) < LATIN
 
 
 class Chunks(dict):
