@@ -60,6 +60,26 @@ def test_large_regions_keep_their_links(spark, monkeypatch):
     assert sum(a != b for a, b in zip(want, have, strict=True)) <= 1
 
 
+def test_template_family_keeps_every_link(spark, monkeypatch):
+    """Documents that share a long template and are just below the threshold to each other, with
+    sixty linked pairs among them: hubs do not join those, and small limits leave few neighbours."""
+    for name, value in (("REGION", 2), ("NEAR", 1), ("SALT", 8)):
+        monkeypatch.setattr(M, name, value)
+    rng = random.Random(11)
+    template = words(rng, 166)
+    texts = []
+    for _ in range(60):
+        own = [words(rng, 1) for _ in range(36)]
+        texts.append(f"{template} {' '.join(own)}")
+        texts.append(f"{template} {' '.join(own[:8])} {words(rng, 28)}")
+    rng.shuffle(texts)
+    rows = [(k, t) for k, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = brute(rows)
+    assert len({c for _, _, c in want}) == 60
+    assert got(M.near_duplicates(df)) == want
+
+
 def test_representatives(docs, rows, empty, clashing):
     kept = M.keep_representatives(docs)
     assert kept.columns == docs.columns
