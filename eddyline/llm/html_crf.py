@@ -134,6 +134,9 @@ def blocks(page: str) -> list[Block]:
     for m in TOKEN.finditer(page):
         text = m["text"]
         if text is not None:
+            if stack and stack[-1][0] == "head" and not text.isspace():
+                flush()
+                stack.pop()
             parts.append(text)
             if links:
                 linked += len(text)
@@ -154,9 +157,10 @@ def blocks(page: str) -> list[Block]:
             if tag not in VOID:
                 close((tag,), frozenset() if is_block else BLOCK_TAGS)
         elif tag not in VOID:
+            if stack and stack[-1][0] == "head":  # only void and raw elements may stand in it
+                flush()
+                stack.pop()
             if is_block:
-                if tag == "body":
-                    close(("head",), frozenset())
                 close(("p",), SCOPES)
                 if tag in ENDS:
                     close(ENDS[tag], frozenset(("ul", "ol", "dl", "table", "select")))

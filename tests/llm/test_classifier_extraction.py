@@ -127,3 +127,10 @@ def test_broken_and_empty_pages(spark):
     out = {r["page_id"]: r for r in H.query(df).collect()}
     assert len(out) == len(pages) and out[0]["text"] == out[1]["text"] == "" and out[1]["n_chars"] == 0
     assert H.query(df.limit(0)).collect() == []
+
+
+def test_open_head_ends_at_content():
+    head = "<html><head><title>x</title><meta charset=utf-8>\n"
+    for body in ("<p>Article text", "Article text", "<span>Article text</span>", "<head><p>Article text", "<div><p>Article text</div>", "<body><p>Article text"):
+        assert [b.text for b in H.blocks(head + body)] == ["Article text"], body
+        assert "head" not in H.blocks(head + body)[0].tags
