@@ -22,7 +22,7 @@ columns and scans them in parallel:
    from the same shuffle files (the plan reuses the exchange, the source is scanned once),
    scanned per key to an offset per bucket, broadcast back and combined with the local value.
 
-Every aggregate used here is a monoid (sum, count, max, min, first, last), so
+Every aggregate used here is a monoid (sum, count, max, min, first, last, xor), so
 ``combine(offset, local)`` equals the scan over the whole key. Sums of doubles may differ in the
 last digits with the number of shuffle partitions, as the order of additions does.
 """
@@ -38,7 +38,7 @@ from pyspark.sql import types as T
 
 from eddyline.session import target_parallelism
 
-KINDS = ("sum", "count", "max", "min", "first", "last")
+KINDS = ("sum", "count", "max", "min", "first", "last", "xor")
 # rows of a task that are certainly sampled; later rows are sampled ever more thinly
 SAMPLE = 32
 SAMPLE_SEED = 17
@@ -172,7 +172,7 @@ def _local(a: Running) -> Column:
         return F.first(v, ignorenulls=False)
     if a.kind == "last":
         return F.last(v, ignorenulls=False)
-    return {"sum": F.sum, "count": F.count, "max": F.max, "min": F.min}[a.kind](v)
+    return {"sum": F.sum, "count": F.count, "max": F.max, "min": F.min, "xor": F.bit_xor}[a.kind](v)
 
 
 def running(
@@ -240,7 +240,7 @@ def running(
     off_exprs = [F.count(F.lit(1)).over(w_prev).alias("_nprev")]
     for a in aggs:
         t = F.col(f"_t_{a.name}")
-        fold = {"sum": F.sum, "count": F.sum, "max": F.max, "min": F.min, "first": F.min, "last": F.max}[a.kind](t)
+        fold = {"sum": F.sum, "count": F.sum, "max": F.max, "min": F.min, "first": F.min, "last": F.max, "xor": F.bit_xor}[a.kind](t)
         off_exprs.append(fold.over(w_key if a.whole else w_prev).alias(f"_p_{a.name}"))
     off_names = [f"_ok{i}" for i in range(len(keys))]
     offsets = totals.select(*[F.col(k).alias(o) for k, o in zip(keys, off_names)], F.col("_b").alias("_ob"), *off_exprs)
@@ -257,8 +257,9 @@ def running(
         if a.whole:  # the key's total where the key is split, else the bucket is the key
             split = pv.getField("v") if a.kind in ("first", "last") else pv
             r = F.when(F.col("_nprev").isNull(), lv).otherwise(split)
-        elif a.kind in ("sum", "count"):
-            r = F.when(~has_prev, lv).when(lv.isNull(), pv).when(pv.isNull(), lv).otherwise(pv + lv)
+        elif a.kind in ("sum", "count", "xor"):
+            both = pv.bitwiseXOR(lv) if a.kind == "xor" else pv + lv
+            r = F.when(~has_prev, lv).when(lv.isNull(), pv).when(pv.isNull(), lv).otherwise(both)
         elif a.kind == "max":
             r = F.greatest(pv, lv)
         elif a.kind == "min":
