@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eddyline.llm import byte_cnn, chat, feistel_shards, html_crf, line_dedup, merkle, minhash_forest, packing, poisson_mix, quality_rules
+from eddyline.llm import byte_cnn, chat, feistel_shards, html_crf, line_dedup, manifest, merkle, minhash_forest, packing, poisson_mix, prefix_trie, quality_rules, toxicity
 from eddyline.sources.tables import table
 
 
@@ -56,6 +56,18 @@ def op10_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_forest.query(documents(spark, sf_dir))
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.query(documents(spark, sf_dir), read(spark, sf_dir, "labels"))
+
+
+def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.query(documents(spark, sf_dir))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.query(read(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_feistel_shards": op1_feistel_shards,
     "op2_byte_cnn": op2_byte_cnn,
@@ -67,4 +79,7 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_poisson_mix": op9_poisson_mix,
     "op10_minhash_forest": op10_minhash_forest,
+    "op11_toxicity": op11_toxicity,
+    "op12_manifest": op12_manifest,
+    "op13_prefix_trie": op13_prefix_trie,
 }
