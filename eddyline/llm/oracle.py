@@ -128,10 +128,120 @@ SELECT doc_id, text, lang, source, n_chars, copies::INTEGER AS copies, copy::INT
 FROM (SELECT d.*, n.copies, unnest(range(0, n.copies)) AS copy FROM documents d JOIN n USING (doc_id))
 """
 
+# crc32 of a decimal number, bit by bit.
+CRC32 = """list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(string_split(c::VARCHAR, ''), lambda ch: ascii(ch)::BIGINT)),
+    lambda acc, byte: list_reduce(list_prepend(xor(acc, byte), [1, 2, 3, 4, 5, 6, 7, 8]::BIGINT[]),
+      lambda x, step: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END))"""
+
+
+def crc32(number: str) -> str:
+    return f"xor({CRC32.replace('c::VARCHAR', number + '::VARCHAR')}, 4294967295)"
+
+
+def _leaf(n_chars: str) -> str:
+    values = ("doc_id::VARCHAR", "source", "lang", f"({n_chars})::VARCHAR", "text")
+    return "sha256(" + " || ".join(f"CASE WHEN {v} IS NULL THEN '-' ELSE strlen({v}) || ':' || {v} END" for v in values) + ")"
+
+
+OP12 = rf"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id, lang, {_leaf("n_chars")} AS leaf,
+         CASE WHEN {crc32("doc_id")} % 7 = 0 THEN {_leaf("n_chars + 1")} END AS given
+  FROM documents
+), ranked AS (
+  SELECT r, doc_id, lang, leaf, coalesce(given, leaf) AS given,
+         row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+         count(*) OVER (PARTITION BY lang) AS n
+  FROM d
+), tree AS (
+  SELECT lang, 0 AS lvl, pos, n, leaf AS hash FROM ranked
+  UNION ALL
+  SELECT lang, any_value(lvl) + 1, pos // 2, (any_value(n) + 1) // 2, sha256(string_agg(hash, '' ORDER BY pos))
+  FROM tree WHERE n > 1 GROUP BY lang, pos // 2
+), subroots AS (
+  SELECT lang, hash AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos, count(*) OVER () AS n
+  FROM tree WHERE n = 1
+), crown AS (
+  SELECT 0 AS lvl, pos, n, subroot AS hash FROM subroots
+  UNION ALL
+  SELECT any_value(lvl) + 1, pos // 2, (any_value(n) + 1) // 2, sha256(string_agg(hash, '' ORDER BY pos))
+  FROM crown WHERE n > 1 GROUP BY pos // 2
+), steps AS (
+  -- the siblings of each leaf, level by level: its tree's, then those of the tree over the trees
+  SELECT r.r, t.lvl AS lvl, (r.pos >> t.lvl) & 1 AS side, s.hash AS sibling
+  FROM ranked r JOIN tree t ON t.lang IS NOT DISTINCT FROM r.lang AND t.pos = r.pos >> t.lvl AND t.n > 1
+  LEFT JOIN tree s ON s.lang IS NOT DISTINCT FROM r.lang AND s.lvl = t.lvl AND s.pos = xor(t.pos, 1)
+  UNION ALL
+  SELECT r.r, 1000 + c.lvl, (p.pos >> c.lvl) & 1, s.hash
+  FROM ranked r JOIN subroots p ON p.lang IS NOT DISTINCT FROM r.lang
+  JOIN crown c ON c.pos = p.pos >> c.lvl AND c.n > 1
+  LEFT JOIN crown s ON s.lvl = c.lvl AND s.pos = xor(c.pos, 1)
+), proofs AS (
+  SELECT r, string_agg(sibling, '' ORDER BY lvl) AS siblings,
+         list(CASE WHEN side = 1 THEN sibling ELSE '' END ORDER BY lvl) AS lefts,
+         list(CASE WHEN side = 0 THEN coalesce(sibling, '') ELSE '' END ORDER BY lvl) AS rights
+  FROM steps GROUP BY r
+), folds AS (
+  SELECT r.r, 0 AS done, r.given AS hash FROM ranked r
+  UNION ALL
+  SELECT f.r, f.done + 1, sha256(p.lefts[f.done + 1] || f.hash || p.rights[f.done + 1])
+  FROM folds f JOIN proofs p ON p.r = f.r WHERE f.done < len(p.lefts)
+), ends AS (
+  SELECT r, arg_max(hash, done) AS folded_root FROM folds GROUP BY r
+)
+SELECT doc_id, leaf, subroot, root, sha256(coalesce(siblings, '')) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM ranked JOIN ends USING (r) JOIN subroots s ON s.lang IS NOT DISTINCT FROM ranked.lang
+CROSS JOIN (SELECT hash AS root FROM crown WHERE n = 1) LEFT JOIN proofs USING (r)
+"""
+
+OP13 = rf"""
+WITH t AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+           md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+  SELECT c, {crc32("c")} % 4 AS h FROM (SELECT DISTINCT c FROM t)
+), rebuilt AS (
+  SELECT c, row_number() OVER (PARTITION BY c ORDER BY part, pos) AS depth, role, text FROM (
+    SELECT convs.c, 0 AS part, t.pos, role, text FROM convs JOIN t ON t.c = convs.c - convs.c % 20 AND t.pos <= h
+    UNION ALL
+    SELECT convs.c, 1, t.pos, role, text FROM convs JOIN t ON t.c = convs.c AND t.pos > h
+  )
+), paths AS (
+  SELECT c, depth, count(*) OVER (PARTITION BY c) AS n,
+         len(regexp_extract_all(text, '[^ 	-
+]+')) AS words,
+         sha256(string_agg(length(role) || ':' || role || length(text) || ':' || text, '') OVER (PARTITION BY c ORDER BY depth)) AS prefix
+  FROM rebuilt
+  UNION ALL
+  SELECT convs.c, 0, (SELECT count(*) FROM rebuilt WHERE rebuilt.c = convs.c), 0, '' FROM convs
+), nodes AS (
+  SELECT prefix, depth, min(c) AS conv_id, count(*) AS n_convs, any_value(words) AS words, max(n) = depth AS childless,
+         sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (n = depth), '')) AS ends_sha256
+  FROM paths GROUP BY prefix, depth
+), up AS (
+  SELECT x.prefix, x.depth, y.prefix AS above, y.depth AS above_depth
+  FROM nodes x JOIN paths y ON y.c = x.conv_id AND y.depth <= x.depth
+), below AS (
+  SELECT above AS prefix, above_depth AS depth, count(*) FILTER (childless) AS n_leaves,
+         sum((n_convs - 1) * words) AS saved_tokens, count(*) FILTER (up.depth = above_depth + 1) AS n_children
+  FROM up JOIN nodes USING (prefix, depth) GROUP BY above, above_depth
+)
+SELECT x.conv_id, x.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, x.n_convs, n_children, n_leaves,
+       saved_tokens::BIGINT AS saved_tokens, x.ends_sha256
+FROM nodes x JOIN below USING (prefix, depth)
+LEFT JOIN up ON up.prefix = x.prefix AND up.depth = x.depth AND up.above_depth = x.depth - 1
+LEFT JOIN nodes p ON p.prefix = up.above AND p.depth = up.above_depth
+"""
+
 ORACLE = {
     "op4_line_dedup": OP4,
     "op6_chat_snapshots": OP6,
     "op8_quality_rules": OP8,
     "op9_poisson_mix": OP9,
     "op10_minhash_forest": OP10,
+    "op12_manifest": OP12,
+    "op13_prefix_trie": OP13,
 }
