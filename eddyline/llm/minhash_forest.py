@@ -16,11 +16,12 @@ components. The steps:
    majority signature: the text that the others were copied from). So proposals stay linear
    in the size of a region.
 3. Proposed pairs are confirmed on full sets (exact intersection); sets are made in a second
-   pass only for classes that were proposed. A second round over the dense regions' orders
-   proposes, for classes that are still in different components, those of the ``NEAR``
-   longest-common-prefix neighbours on either side whose signatures agree in ``AGREE`` values.
+   pass only for classes that were proposed.
 4. All classes of dense regions are joined exactly by their rarest shingles (a prefix filter),
-   again only across components: whatever rounds 1 to 3 left out there is found.
+   across components only: whatever rounds 1 to 3 left out there is found. A pair that meets is
+   asked for only if the place of the shingle and the bitmaps of both sets (a bit that one has and
+   the other lacks is a shingle that is not common) leave room for the threshold, so sets that
+   share a passage in otherwise different texts are told apart before a set is fetched.
 
 With 24 trees and a base depth of 3, a pair of similarity 0.75 meets in no tree with a chance
 of (1 - 0.75**3)**24 = 2e-6. What meets in dense regions only is left to no chance: step 4.
@@ -38,7 +39,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -55,8 +55,6 @@ BASE = 3
 DEPTH = 8
 VALUES = TREES * BASE  # of a signature
 REGION = 16
-NEAR = 24
-AGREE = 46  # of 72 values; a pair of similarity 0.75 agrees in fewer with a chance of 1 %
 HUBS = 4
 BLOCK = 4096  # classes of a dense region whose majority is taken together
 SEED = 20240607
@@ -64,6 +62,8 @@ FILTER_BITS = 1 << 24  # fixed size (2 MB) of the filter that saves making sets
 CHUNK = 1 << 15  # shingles hashed at once
 OFTEN = 1 << 20  # shingles whose frequency orders the exact join, at most (16 MB)
 SALT = 256  # indexed sets of one shingle and size band that are compared in one place
+BITMAP = 32  # longs of a set's bitmap
+SPLIT = 500  # pairs of one set that are confirmed in one place, at least
 BAND = 1.05 * 100 / PERCENT  # sets of linked classes are at most one size band apart
 
 _random = np.random.default_rng(SEED)
@@ -136,7 +136,7 @@ def profile(docs: DataFrame, text: str, ids: list[str]) -> DataFrame:
 # ---------------------------------------------------------------- the sorted orders
 
 PAIR, DENSE, EDGE = 0, 1, 2
-FOUND = "kind int, a long, b long, seam int, tree int, label binary"
+FOUND = "kind int, a long, b long, tree int, label binary"
 
 
 def pairs_within(run: np.ndarray, chosen: np.ndarray, reach: int) -> tuple[np.ndarray, np.ndarray]:
@@ -194,56 +194,57 @@ def forest(classes: DataFrame, partitions: int) -> DataFrame:
         got = [b for b in batches if b.num_rows]
         if not got:
             return
-        me = TaskContext.get().partitionId()
         table = pa.Table.from_batches(got)
         tree, node = table["tree"].to_numpy(), table["set_hash"].to_numpy()
         names = table["label"].to_pylist()
         label = np.frombuffer(b"".join(names), ">u4").reshape(-1, DEPTH)
         pairs, dense = propose(tree, label)
 
-        def rows_of(kind: int, a, b=None, seam=None, at=None) -> pa.RecordBatch:
+        def rows_of(kind: int, a, b=None, at=None) -> pa.RecordBatch:
             none = lambda t: pa.nulls(len(a), t)
             columns = [
                 pa.array(np.full(len(a), kind, np.int32)),
                 pa.array(a, pa.int64()),
                 none(pa.int64()) if b is None else pa.array(b, pa.int64()),
-                none(pa.int32()) if seam is None else pa.array(seam, pa.int32()),
                 none(pa.int32()) if at is None else pa.array(tree[at], pa.int32()),
                 none(pa.binary()) if at is None else pa.array([names[i] for i in at], pa.binary()),
             ]
-            return pa.RecordBatch.from_arrays(columns, names=["kind", "a", "b", "seam", "tree", "label"])
+            return pa.RecordBatch.from_arrays(columns, names=["kind", "a", "b", "tree", "label"])
 
         for i, j in pairs:
             yield rows_of(PAIR, node[i], node[j])
         where = np.flatnonzero(dense)
         yield rows_of(DENSE, node[where], at=where)
-        for seam, side, at in ((me, 1, range(min(REGION, len(node)))), (me + 1, 0, range(max(0, len(node) - REGION), len(node)))):
-            at = np.array(at)
-            yield rows_of(EDGE, node[at], np.full(len(at), side), np.full(len(at), seam), at)
+        # the regions at both ends may go on in other partitions: all rows of a small one, one of a dense one
+        run = numbered(same_region(tree, label))
+        for r in {0, int(run[-1])}:
+            at = np.flatnonzero(run == r)
+            at = at[:1] if dense[at[0]] else at
+            yield rows_of(EDGE, node[at], dense[at].astype(np.int64), at=at)
 
     return map_batches(rows, scan, FOUND)
 
 
-def seam_pairs(found: DataFrame) -> DataFrame:
-    """Pairs across the border of two partitions: at most 2 * REGION rows per border."""
-
-    def join(key: tuple[pa.Scalar], table: pa.Table) -> pa.Table:
-        rows = sorted(table.select(["b", "tree", "label", "a"]).to_pylist(), key=lambda r: (r["b"], r["tree"], r["label"], r["a"]))
-        out = []
-        for i, x in enumerate(rows):
-            for y in rows[i + 1 : i + 1 + REGION]:
-                if x["b"] < y["b"] and x["tree"] == y["tree"] and x["label"][: 4 * BASE] == y["label"][: 4 * BASE]:
-                    out.append((x["a"], y["a"]))
-        a, b = zip(*out, strict=True) if out else ((), ())
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
-
-    return found.where(F.col("kind") == EDGE).groupBy("seam").applyInArrow(join, "a long, b long")
+def cut_regions(found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(pairs(a, b), rows(tree, label, a)) of the regions that borders cut: all pairs of a region that
+    is small as a whole, the rows that lie in a dense one without having been known to."""
+    part = [F.col("tree"), F.substring("label", 1, 4 * BASE).alias("prefix")]
+    whole = found.where(F.col("kind") == EDGE).groupBy(*part).agg(
+        (F.max("b") == 1).alias("dense"),
+        # small pieces only: at most REGION + 1 rows per border
+        F.sort_array(F.collect_list(F.when(F.col("b") == 0, F.struct("label", "a")))).alias("rows"),
+    )
+    dense = F.col("dense") | (F.size("rows") > REGION + 1)
+    members = whole.where(dense).select("tree", F.inline("rows"))
+    small = whole.where(~dense & (F.size("rows") > 1)).select(F.posexplode("rows").alias("i", "x"), "rows")
+    pairs = small.select(F.col("x.a").alias("a"), F.explode(F.expr("slice(rows, i + 2, size(rows))")).alias("y"))
+    return pairs.select("a", F.col("y.a").alias("b")), members
 
 
-def hub_pairs(found: DataFrame, classes: DataFrame) -> DataFrame:
-    """Every class of a dense region with the region's hubs."""
+def hub_pairs(dense: DataFrame, classes: DataFrame) -> DataFrame:
+    """Every class of a dense region (``dense(tree, label, a)``) with the region's hubs."""
     region = F.xxhash64("tree", F.substring("label", 1, 4 * BASE)).alias("region")
-    members = found.where(F.col("kind") == DENSE).select(region, F.col("a").alias("set_hash"))
+    members = dense.select(region, F.col("a").alias("set_hash"))
     blocks = members.groupBy("region").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
     signed = members.join(blocks, "region").join(classes.select("set_hash", "signature"), "set_hash")
     signed = signed.withColumn("block", F.pmod(F.xxhash64("set_hash"), F.col("blocks")))
@@ -267,31 +268,6 @@ def hub_pairs(found: DataFrame, classes: DataFrame) -> DataFrame:
     return members.join(hubs, "region").select(F.col("set_hash").alias("a"), F.col("hub").alias("b"))
 
 
-def neighbour_pairs(found: DataFrame, groups: DataFrame, classes: DataFrame, partitions: int) -> DataFrame:
-    """Second round over the dense regions: longest-common-prefix neighbours that are still in
-    different components."""
-    rows = found.where(F.col("kind") == DENSE).select("tree", "label", F.col("a").alias("node"))
-    rows = rows.join(groups, "node", "left").join(classes.select(F.col("set_hash").alias("node"), "signature"), "node")
-    rows = rows.select("tree", "label", "node", F.coalesce("root", "node").alias("root"), "signature")
-    rows = rows.repartitionByRange(partitions, "tree", "label", "node").sortWithinPartitions("tree", "label", "node")
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = [b for b in batches if b.num_rows]
-        if not got:
-            return
-        table = pa.Table.from_batches(got)
-        node, root = table["node"].to_numpy(), table["root"].to_numpy()
-        label = np.frombuffer(b"".join(table["label"].to_pylist()), ">u4").reshape(-1, DEPTH)
-        signature = np.frombuffer(b"".join(table["signature"].to_pylist()), ">u4").reshape(-1, VALUES)
-        run = numbered(same_region(table["tree"].to_numpy(), label))
-        for k in range(1, min(NEAR, len(node) - 1) + 1):
-            i = np.flatnonzero((run[:-k] == run[k:]) & (root[:-k] != root[k:]))
-            i = i[(signature[i] == signature[i + k]).sum(axis=1) >= AGREE]
-            yield pa.RecordBatch.from_arrays([pa.array(node[i]), pa.array(node[i + k])], names=["a", "b"])
-
-    return ordered(map_batches(rows, scan, "a long, b long"))
-
-
 def ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()
 
@@ -352,16 +328,42 @@ def prefixes(members: DataFrame) -> DataFrame:
     return map_batches(members, run, ", ".join(f"{n} long" for n in names))
 
 
-def exact_pairs(found: DataFrame, groups: DataFrame, sets: DataFrame) -> DataFrame:
-    """Every pair of dense classes in different components that may be similar enough.
+def bitmap(values: np.ndarray) -> np.ndarray:
+    """BITMAP longs with a bit per shingle (several may share one)."""
+    bits = np.zeros(64 * BITMAP, np.uint8)
+    bits[(values.view(np.uint64) >> np.uint64(40)) % np.uint64(64 * BITMAP)] = 1
+    return np.packbits(bits).view(np.int64)
+
+
+def bitmaps(members: DataFrame) -> DataFrame:
+    """(node, bits) of ``members(node, shingles)``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = [bitmap(v.values.to_numpy()) for v in batch.column("shingles")]
+            bits = pa.array(made, pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column("node"), bits], names=["node", "bits"])
+
+    return map_batches(members.select("node", "shingles"), run, "node long, bits array<long>")
+
+
+def room(n: str, n_y: str, x: str, y: str) -> str:
+    """Condition: can sets of ``n`` and ``n_y`` shingles with these bitmaps be similar enough? A bit that
+    only one has stands for a shingle of its own."""
+    only = lambda p, q: " + ".join(f"bit_count({p}[{i}] & ~{q}[{i}])" for i in range(BITMAP))
+    need = f"{PERCENT} * ({n} + {n_y})"
+    return f"{100 + PERCENT} * ({n} - ({only(x, y)})) >= {need} and {100 + PERCENT} * ({n_y} - ({only(y, x)})) >= {need}"
+
+
+def exact_pairs(nodes: DataFrame, groups: DataFrame, sets: DataFrame) -> DataFrame:
+    """Every pair of dense classes (``nodes(node)``) in different components that may be similar enough.
 
     Sets probe, in their own and the next smaller size band, the index of sets that are not
     larger. A cell (shingle, band) of one component is left out; in the others the members of
     the most frequent component are not compared with each other, and the index is dealt over
-    salts."""
-    nodes = found.where(F.col("kind") == DENSE).select(F.col("a").alias("node")).distinct()
+    salts. The bounds are part of the join's condition: pairs without room are never rows."""
     nodes = nodes.join(groups, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
-    members = sets.withColumnRenamed("set_hash", "node").join(nodes, "node").select("node", "root", "shingles")
+    members = materialize(sets.withColumnRenamed("set_hash", "node").join(nodes, "node").select("node", "root", "shingles"))
     posted = materialize(prefixes(members))
     step = F.expr("explode(sequence(0, 1))").alias("step")
     probes = posted.select("*", step).withColumn("band", F.col("band") - F.col("step")).drop("step")
@@ -375,16 +377,19 @@ def exact_pairs(found: DataFrame, groups: DataFrame, sets: DataFrame) -> DataFra
         F.count(F.lit(1)).alias("roots"),
     )
     cells = materialize(cells.where("roots > 1 and salts > 0").drop("roots"))
-    left = probes.join(cells, cell).withColumn("side", F.expr("cast(root = main as int)"))
+    marks = materialize(bitmaps(members))
+    left = probes.join(cells, cell).join(marks, "node").withColumn("side", F.expr("cast(root = main as int)"))
     left = left.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)))
-    right = index.join(cells, cell).withColumn("salt", F.pmod(F.xxhash64("node"), F.col("salts")))
+    right = index.join(cells, cell).join(marks, "node").withColumn("salt", F.pmod(F.xxhash64("node"), F.col("salts")))
     right = right.withColumn("side", F.explode(F.expr("if(root = main, array(0), array(0, 1))")))
-    x = left.select(*cell, "side", "salt", "node", "root", "n", "at")
-    y = right.select(*cell, "side", "salt", *(F.col(c).alias(f"{c}_y") for c in ("node", "root", "n", "at")))
-    met = x.join(y, [*cell, "side", "salt"]).where("root <> root_y and (n > n_y or n = n_y and node > node_y)")
+    x = left.select(*cell, "side", "salt", "node", "root", "n", "at", "bits").alias("x")
+    y = right.select(*cell, "side", "salt", "node", "root", "n", "at", "bits").alias("y")
+    same = " and ".join(f"x.{c} = y.{c}" for c in [*cell, "side", "salt"])
+    smaller = "x.root <> y.root and (x.n > y.n or x.n = y.n and x.node > y.node)"
     # what can still be common from a first shared shingle on
-    met = met.where(f"{100 + PERCENT} * least(n - at, n_y - at_y) >= {PERCENT} * (n + n_y)")
-    return ordered(met.select(F.col("node").alias("a"), F.col("node_y").alias("b")))
+    ahead = f"{100 + PERCENT} * least(x.n - x.at, y.n - y.at) >= {PERCENT} * (x.n + y.n)"
+    met = x.join(y, F.expr(f"{same} and {smaller} and {ahead} and {room('x.n', 'y.n', 'x.bits', 'y.bits')}"))
+    return ordered(met.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")))
 
 
 # ---------------------------------------------------------------- confirmation
@@ -425,10 +430,22 @@ def asked_sets(docs: DataFrame, text: str, text_hash: str, classes: DataFrame, p
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs whose full sets are similar enough."""
-    left = sets.select(F.col("set_hash").alias("a"), F.col("shingles").alias("x"))
-    right = sets.select(F.col("set_hash").alias("b"), F.col("shingles").alias("y"))
-    both = pairs.join(left, "a").join(right, "b")
+    """The pairs whose full sets are similar enough. A set that very many pairs ask for (a hub) is
+    dealt over salts, on the way to either end."""
+    total = pairs.count()
+    limit = max(SPLIT, total // target_parallelism(pairs.sparkSession))
+
+    def with_sets(rows: DataFrame, end: str, other: str, name: str) -> DataFrame:
+        asked = rows.groupBy(end).agg(F.ceil(F.count(F.lit(1)) / limit).alias("salts")).where("salts > 1")
+        # fewer than total / limit rows, so fewer than there are shuffle partitions
+        asked = F.broadcast(materialize(asked))
+        salt = F.pmod(F.xxhash64(other), F.coalesce("salts", F.lit(1).cast("long"))).alias("salt")
+        dealt = rows.join(asked, end, "left").select(*rows.columns, salt)
+        given = sets.select(F.col("set_hash").alias(end), F.col("shingles").alias(name)).join(asked, end, "left")
+        every = F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("salts", F.lit(1).cast("long")) - 1)).alias("salt")
+        return dealt.join(given.select(end, name, every), [end, "salt"]).drop("salt")
+
+    both = with_sets(with_sets(pairs, "b", "a", "y"), "a", "b", "x")
     both = both.where(100 * F.least(F.size("x"), F.size("y")) >= PERCENT * F.greatest(F.size("x"), F.size("y")))
     common = F.size(F.array_intersect("x", "y"))
     return both.where(100 * common >= PERCENT * (F.size("x") + F.size("y") - common)).select("a", "b")
@@ -460,16 +477,16 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     width = target_parallelism(spark)
     partitions = max(1, min(max(width, rows // 1_000_000), rows // 1000))
     found = materialize(forest(classes, partitions))
-    first = found.where(F.col("kind") == PAIR).select("a", "b").union(seam_pairs(found)).union(hub_pairs(found, classes))
+    cut, cut_rows = cut_regions(found)
+    dense = materialize(found.where(F.col("kind") == DENSE).select("tree", "label", "a").unionByName(cut_rows).distinct())
+    first = found.where(F.col("kind") == PAIR).select("a", "b").union(cut).union(hub_pairs(dense, classes))
     first = materialize(ordered(first))
     sets = materialize(asked_sets(hashed, "text", "text_hash", classes, first))
     groups = components(confirmed(first, sets))
-    dense = found.where(F.col("kind") == DENSE).count()
-    if dense:
+    nodes = materialize(dense.select(F.col("a").alias("node")).distinct())
+    if nodes.count():
         # every class of a dense region was compared with a hub, so its set is there
-        rest = neighbour_pairs(found, groups, classes, max(1, min(partitions, dense // 1000)))
-        groups = merged(groups, confirmed(rest, sets))
-        groups = merged(groups, confirmed(exact_pairs(found, groups, sets), sets))
+        groups = merged(groups, confirmed(materialize(exact_pairs(nodes, groups, sets)), sets))
     named = classes.select("set_hash", "first_id").join(groups.withColumnRenamed("node", "set_hash"), "set_hash")
     smallest = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
     grouped = named.join(smallest, "root").select("set_hash", "component_id")

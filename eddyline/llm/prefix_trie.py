@@ -283,10 +283,9 @@ def trie(turns: DataFrame, conversations: DataFrame) -> DataFrame:
     if not members:
         return shared.limit(0)
     turnless = conversations.join(turns.where("at = 1").select("conv_id"), "conv_id", "left_anti").select(zero.alias("root"), "conv_id")
-    root = member_hashes(turnless, ["root"]).select("root", "ends_sha256")
+    ends = member_hashes(turnless, ["root"]).agg(F.coalesce(F.max("ends_sha256"), F.lit(NOBODY)).alias("ends_sha256"))
     fixed = dict(conv_id=top, depth=0, parent_conv_id=None, n_convs=members, n_children=n_heads, n_leaves=leaves or 1, saved_tokens=saved or 0)
-    given = shared.sparkSession.range(1).select(zero.alias("root"), *[F.lit(v).cast("long").alias(c) for c, v in fixed.items()])
-    root = given.join(root, "root", "left").select(*columns[:-1], F.coalesce("ends_sha256", F.lit(NOBODY)).alias("ends_sha256"))
+    root = ends.select(*[F.lit(v).cast("long").alias(c) for c, v in fixed.items()], "ends_sha256")
     return shared.unionByName(single).unionByName(root)
 
 
