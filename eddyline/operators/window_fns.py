@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from eddyline.fixed import TUPLE_KEY_FORMAT, WINDOW_COUNT_TEXT_FORMAT, WINDOW_LABEL_FORMAT
 from eddyline.functions.text import java_ts_text
 from eddyline.operators.groups import map_groups
-from eddyline.operators.udaf import ReduceFunction, aggregate
+from eddyline.operators.user_windows import record_reduce
 from eddyline.operators.windows import window_agg
 
 
@@ -92,21 +92,17 @@ def window_reduce(
     df: DataFrame,
     keys: list[str],
     ts: str,
-    win: Callable[[str], Column],
+    win: Callable[[str], Column] | None,
     fields: list[str],
     reducer: Callable[[dict, dict], dict],
+    gap: str | Column | None = None,
+    **more,
 ) -> DataFrame:
     """``ReduceFunction`` per window with an arbitrary Python reducer over records of ``fields``
-    (two phases: per task, then merged; it must be associative and commutative).
-    ``win`` maps the time column to a fixed (non-merging) window.
-    ``(keys..., win_start, win_end, fields...)``."""
-    window = win(ts)
-    if "session_window" in str(window):
-        raise ValueError("a session is merged from its rows: use session_windows with built-in aggregates")
-    w = df.select(*keys, window.alias("_w"), F.struct(*fields).alias("_rec"))
-    w = w.select(*keys, F.col("_w.start").alias("win_start"), F.col("_w.end").alias("win_end"), "_rec")
-    out = aggregate(w, [*keys, "win_start", "win_end"], "_rec", ReduceFunction(reducer), w.schema["_rec"].dataType.simpleString(), "_rec")
-    return out.select(*keys, "win_start", "win_end", *[F.col(f"_rec.{f}").alias(f) for f in fields])
+    (two phases: per task, then merged; it must be associative and commutative), on tables and
+    streams. ``win`` maps the time column to a fixed window; ``gap`` asks for session windows.
+    ``(keys..., win_start, win_end, fields...)``; see ``user_windows.record_reduce``."""
+    return record_reduce(df, keys, ts, fields, reducer, win=win, gap=gap, **more)
 
 
 def min_record(value: str, order: str, record: tuple[str, ...]) -> Column:

@@ -140,18 +140,30 @@ def session_windows(
     """
     if df.isStreaming:
         return window_agg(df, keys, session(ts, gap), *aggs)
+    rows = session_rows(df, keys, ts, gap, order, hot_rows)
+    out = rows.groupBy(*keys, "_sstart").agg(F.min(ts).alias("win_start"), F.max("_end").alias("win_end"), *aggs)
+    return out.drop("_sstart")
+
+
+def gap_interval(gap: str | Column) -> Column:
+    return F.expr(f"INTERVAL {duration_us(gap)} MICROSECONDS") if isinstance(gap, str) else gap.cast("interval")
+
+
+def session_rows(
+    df: DataFrame, keys: list[str], ts: str, gap: str | Column, order: str | None = None, hot_rows: float | None = None
+) -> DataFrame:
+    """The rows of a bounded table with ``_sstart`` (the start of the row's session, which names it
+    within the key) and ``_end`` (``ts + gap``)."""
     from eddyline.operators.prefix import Buckets, Running, assign_buckets, running
 
-    gap_iv = F.expr(f"INTERVAL {duration_us(gap)} MICROSECONDS") if isinstance(gap, str) else gap.cast("interval")
     order_cols = [ts] + ([order] if order else [])
-    work = df.withColumn("_end", F.col(ts) + gap_iv)
+    work = df.withColumn("_end", F.col(ts) + gap_interval(gap))
     b = assign_buckets(work, keys, order_cols, hot_rows)
     r1 = running(None, keys, order_cols, [Running("_pend", "max", F.col("_end"))], inclusive=False, keep_buckets=True, buckets=b)
     starts = F.when(F.col("_pend").isNull() | (F.col(ts) > F.col("_pend")), F.col(ts))
     b2 = Buckets(r1.withColumn("_fts", starts), b.keys, b.any_hot)
     r2 = running(None, keys, order_cols, [Running("_sstart", "max", F.col("_fts"))], buckets=b2)
-    out = r2.groupBy(*keys, "_sstart").agg(F.min(ts).alias("win_start"), F.max("_end").alias("win_end"), *aggs)
-    return out.drop("_sstart")
+    return r2.drop("_pend", "_fts")
 
 
 def flatten_window(df: DataFrame, col: str = "window") -> DataFrame:

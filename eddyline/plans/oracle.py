@@ -81,13 +81,13 @@ def _sliding(size: str, slide: str, offset: str | None = None) -> str:
     )
 
 
-def _session(gap_sql: str) -> str:
+def _session(gap_sql: str, aggs: str = "count(*) AS cnt") -> str:
     return (
-        f"WITH b AS (SELECT seq, id, epoch_us(ts) AS x, {gap_sql} AS g FROM ({SV})), "
+        f"WITH b AS (SELECT seq, id, ts, vc, epoch_us(ts) AS x, {gap_sql} AS g FROM ({SV})), "
         "f AS (SELECT *, CASE WHEN x <= max(x + g) OVER (PARTITION BY id ORDER BY x, seq "
         "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS nf FROM b), "
         "s AS (SELECT *, sum(nf) OVER (PARTITION BY id ORDER BY x, seq ROWS UNBOUNDED PRECEDING) AS sid FROM f) "
-        f"SELECT id, {_ts('min(x)')} AS win_start, {_ts('max(x + g)')} AS win_end, count(*) AS cnt "
+        f"SELECT id, {_ts('min(x)')} AS win_start, {_ts('max(x + g)')} AS win_end, {aggs} "
         "FROM s GROUP BY id, sid"
     )
 
@@ -223,6 +223,15 @@ ORACLE: dict[str, str] = {
         f"CASE WHEN event_type = 'purchase' THEN {duration_us(P.DYN_GAP_PURCHASE)} "
         f"ELSE {duration_us(P.DYN_GAP_OTHER)} END"
     ),
+    "session_reduce_udf": _session(
+        str(duration_us(P.SESSION_GAP)),
+        "arg_min(seq, {'v': vc, 'o': seq}) AS seq, arg_min(ts, {'v': vc, 'o': seq}) AS ts, min(vc) AS vc",
+    ),
+    "session_avg_udaf": _session(
+        f"CASE WHEN event_type = 'purchase' THEN {duration_us(P.DYN_GAP_PURCHASE)} "
+        f"ELSE {duration_us(P.DYN_GAP_OTHER)} END",
+        "round(avg(vc), 6) AS avg_vc",
+    ),
     "window_all_sum": _tumble_agg("count(*) AS cnt, round(sum(vc), 2) AS sum_vc", keys=""),
     "window_meta": (
         f"SELECT id, {_ts('ws')} AS win_start, {_ts(f'ws + {DAY_US}')} AS win_end, "

@@ -26,6 +26,7 @@ from eddyline.functions.text import (
 from eddyline.operators import count_windows as cw
 from eddyline.operators import evictors as ev
 from eddyline.operators import keyed, late
+from eddyline.operators import user_windows as uw
 from eddyline.operators import window_fns as wf
 from eddyline.operators import windows as win
 from eddyline.operators.combine import connect_comap, union_all
@@ -302,6 +303,20 @@ def q_window_reduce_udf(spark, sf):
     return out.select("id", "win_start", "seq", "ts", "vc")
 
 
+def q_session_reduce_udf(spark, sf):
+    """A user reducer on merging windows: each session's minimum record, as Python."""
+    out = wf.window_reduce(_sv(spark, sf), ["id"], "ts", None, ["seq", "ts", "vc"], wf.smaller_record("vc", "seq"), gap=P.SESSION_GAP, order="seq")
+    return out.select("id", "win_start", "win_end", "seq", "ts", "vc")
+
+
+def q_session_avg_udaf(spark, sf):
+    """A user aggregate function on sessions with a gap by element."""
+    s = sensor_view(spark, sf)
+    gap = F.when(F.col("event_type") == "purchase", F.lit(P.DYN_GAP_PURCHASE)).otherwise(F.lit(P.DYN_GAP_OTHER))
+    out = uw.session_aggregate(s, ["id"], "ts", gap, "vc", udaf.AverageFunction(), "double", "avg_vc", order="seq")
+    return out.select("id", "win_start", "win_end", F.round("avg_vc", 6).alias("avg_vc"))
+
+
 def q_tumbling_process_count(spark, sf):
     out = _tumbled(spark, sf, F.count(F.lit(1)).alias("cnt"))
     return out.select(wf.label("win_start", "id").alias("label"), "cnt")
