@@ -45,11 +45,12 @@ def map_groups(
         new = np.zeros(len(pdf), bool)
         new[0] = True
         for k, flag in zip(keys, flags):
-            v, null = pdf[k], pdf[flag].to_numpy()
-            nan = v.isna().to_numpy()
-            same = np.asarray(v.iloc[1:].array == v.iloc[:-1].array, dtype=object)
-            same = np.array([x is True or x is np.True_ for x in same], bool) | (nan[1:] & nan[:-1])
-            new[1:] |= ~(same & (null[1:] == null[:-1]))
+            v, null = pdf[k].to_numpy(), pdf[flag].to_numpy()
+            differs = np.asarray(v[1:] != v[:-1], bool)
+            if v.dtype.kind in "fOmM":  # NaN differs from itself, but it is one group
+                nan = pd.isna(v)
+                differs &= ~(nan[1:] & nan[:-1])
+            new[1:] |= differs | (null[1:] != null[:-1])
         return np.flatnonzero(new).tolist()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -57,20 +58,23 @@ def map_groups(
 
         def call(pieces: list[pd.DataFrame]):
             whole = pieces[0] if len(pieces) == 1 else pd.concat(pieces, ignore_index=True)
-            return fn(whole.drop(columns=flags).reset_index(drop=True))
+            whole.index = pd.RangeIndex(len(whole))
+            return fn(whole)
 
+        last = None  # the last row seen, with its flags
         for pdf in batches:
             if pdf.empty:
                 continue
-            if open_run:  # does the first row of this batch go on with the open run?
-                goes_on = len(starts_of(pd.concat([open_run[-1].iloc[-1:], pdf.iloc[:1]], ignore_index=True))) == 1
+            # does the first row of this batch go on with the open run?
+            goes_on = last is not None and len(starts_of(pd.concat([last, pdf.iloc[:1]], ignore_index=True))) == 1
+            last, rows = pdf.iloc[-1:], pdf.drop(columns=flags)
             bounds = [*starts_of(pdf), len(pdf)]
             results = []
             for k, (a, b) in enumerate(zip(bounds, bounds[1:])):
                 if open_run and not (k == 0 and goes_on):
                     results.append(call(open_run))
                     open_run = []
-                open_run.append(pdf.iloc[a:b])
+                open_run.append(rows.iloc[a:b])
             out = emit(results)
             if out is not None:
                 yield out

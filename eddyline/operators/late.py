@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from eddyline.operators.prefix import Running, running
 from eddyline.operators.windows import duration_us
+from eddyline.session import materialize
 
 
 def _interval(text: str):
@@ -59,11 +60,12 @@ def allowed_lateness(classified: DataFrame, key: str, value: str, arrival: list[
     not dropped fires the window again with the updated result (firing 1, 2, ...).
     A window with no on-time rows has no firing 0.
 
-    One shuffle by (key, window): the prefix scan numbers and sums the late rows in arrival
-    order and puts the on-time result beside them; a late row is its own firing, and the
-    first on-time row of a window carries firing 0."""
+    The classified rows are written once (a checkpoint), as the second scan reads them twice, for
+    its boundaries and for its rows; then one shuffle by (key, window): the prefix scan numbers and
+    sums the late rows in arrival order and puts the on-time result beside them; a late row is its
+    own firing, and the first on-time row of a window carries firing 0."""
     late, on_time = F.col("late"), ~F.col("late")
-    rows = classified.filter(~F.col("dropped")).select(key, "win_start", value, "late", *arrival)
+    rows = materialize(classified.filter(~F.col("dropped")).select(key, "win_start", value, "late", *arrival))
     run = running(
         rows,
         [key, "win_start"],

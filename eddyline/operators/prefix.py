@@ -7,8 +7,12 @@ columns and scans them in parallel:
 
 1. One light job places boundaries: every task samples its rows (the i-th row with
    probability ``min(1, SAMPLE / i)`` and the inverse as its weight, so the row count need
-   not be known), the sample is sorted by (keys, ordering columns) and the rows at its
-   P-1 weighted quantiles are fetched (``P`` = shuffle partitions). Quantiles of rows, not of
+   not be known). The samples are merged like a quantile sketch, in a tree: those of ``FAN``
+   tasks are sorted together and thinned to ``POINTS * P`` rows at equal distances of
+   weight, then (on large inputs) those of ``FAN`` such groups, at last all. So neither a task
+   nor the driver sees more than a fixed number of rows, however many tasks there are
+   (``P`` = shuffle partitions), and each thinning moves a boundary by at most 1 / POINTS of a part. The rows
+   at the P-1 weighted quantiles of (keys, ordering columns) are the boundaries. Quantiles of rows, not of
    values: an outlier moves no boundary, and rows bunched at one value of the first
    ordering column are split by the others.
 2. A key with more than one task's share of the rows (``rows / P``, by the sample's weights) is
@@ -18,8 +22,8 @@ columns and scans them in parallel:
    into P ranges; with no hot key the scan is a plain partitioned window.
 3. Local running aggregate over ``(key, bucket)`` ordered by the ordering columns: the only
    shuffle of the data.
-4. The last row of each hot bucket holds the bucket's totals (at most 2P rows). They are read
-   from the same shuffle files (the plan reuses the exchange, the source is scanned once),
+4. The totals of the hot buckets (at most 2P rows) are a grouped aggregate over the same shuffle
+   files (the plan reuses the exchange, the source is scanned once and not sorted again); they are
    scanned per key to an offset per bucket, broadcast back and combined with the local value.
 
 Every aggregate used here is a monoid (sum, count, max, min, first, last, xor), so
@@ -42,6 +46,11 @@ KINDS = ("sum", "count", "max", "min", "first", "last", "xor")
 # rows of a task that are certainly sampled; later rows are sampled ever more thinly
 SAMPLE = 32
 SAMPLE_SEED = 17
+# tasks (then groups of tasks) whose samples are merged in one place, and the rows they are
+# thinned to, per shuffle partition
+FAN = 256
+POINTS = 8
+SIZE_MARGIN = 64  # pruned columns, compression
 NAN = float("nan")  # one object, so that keys that are NaN meet in a dict
 
 
@@ -84,6 +93,7 @@ class Buckets:
     df: DataFrame
     keys: list[str]
     any_hot: bool
+    dealt: bool = False  # partitioned by (keys, bucket) already
 
 
 INTERNAL = ("_b", "_hot", "_gk")
@@ -94,27 +104,63 @@ def _sort_key(row) -> list:
     return [(0, 0) if v is None else (2, 0) if v != v else (1, v) for v in row]
 
 
-def _boundaries(work: DataFrame, keys: list[str], order: list[str], hot_rows: float | None) -> tuple[list, T.StructType]:
-    """Step 1: at most P-1 sampled rows (keys, ordering columns) that cut the sorted data into
-    parts of about equal row counts (``hot_rows`` rows each, if given)."""
+def _thinned(rows: DataFrame, names: list[str], group: Column, points: int) -> DataFrame:
+    """At most ``points`` rows per group at equal distances of weight; each carries the weight
+    of the distances that end in it."""
+    rows = rows.withColumn("_task", group)
+    within = Window.partitionBy("_task")
+    up_to = within.orderBy(*names).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = rows.withColumn("_sum", F.sum("_w").over(up_to)).withColumn("_all", F.sum("_w").over(within))
+    step = F.greatest(F.col("_all") / F.lit(float(points)), F.lit(1.0))
+    # the first distance ends half a step in, so that what is rounded off cancels out
+    crossed = F.floor(F.col("_sum") / step + 0.5) - F.floor((F.col("_sum") - F.col("_w")) / step + 0.5)
+    return rows.where(crossed > 0).select("_task", *names, (crossed * step).alias("_w"))
+
+
+def _sample(work: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """Step 1: weighted rows (``_k*``, ``_o*``, ``_w``), at most POINTS * P of them."""
     names = [f"_k{i}" for i in range(len(keys))] + [f"_o{i}" for i in range(len(order))]
     rows = work.select(*[_plain(work, c).alias(n) for c, n in zip([*keys, *order], names)])
-    position = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))  # within the task
+    place = F.monotonically_increasing_id()
+    position = place.bitwiseAND(F.lit((1 << 33) - 1))  # within the task
+    rows = rows.withColumn("_task", F.shiftright(place, 33))
     rows = rows.withColumn("_w", F.greatest(F.lit(1.0), (position + 1) / F.lit(float(SAMPLE))))
     rows = rows.where(F.rand(SAMPLE_SEED) * F.col("_w") < 1)
-    # the sample is small (SAMPLE * ln(rows) per task), so it is ordered in one place
-    up_to = Window.orderBy(*names).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = Window.partitionBy(F.lit(0))
-    rows = rows.withColumn("_sum", F.sum("_w").over(up_to)).withColumn("_all", F.sum("_w").over(whole))
-    of_key = F.sum("_w").over(Window.partitionBy(*names[: len(keys)]))
-    rows = rows.withColumn("_key", of_key)
-    if hot_rows is None:
-        step = F.greatest(F.col("_all") / F.lit(target_parallelism(work.sparkSession)), F.lit(1.0))
-    else:
-        step = F.lit(float(hot_rows))
-    crossed = F.floor(F.col("_sum") / step) > F.floor((F.col("_sum") - F.col("_w")) / step)
-    cut = rows.where(crossed & (F.col("_sum") < F.col("_all")) & (F.col("_key") > step)).select(*names)
-    return sorted(cut.collect(), key=_sort_key), cut.schema
+    points = POINTS * target_parallelism(work.sparkSession)
+    for _ in range(_groupings(work)):
+        rows = _thinned(rows, names, F.floor(F.col("_task") / FAN), points)
+    return _thinned(rows, names, F.col("_task") * 0, points).select(*names, "_w")
+
+
+def _groupings(work: DataFrame) -> int:
+    """How often tasks are merged FAN to one before all meet: by the optimizer's size of the
+    input, taken generously (a frame of unknown size counts as very large). It decides how much
+    meets in the last merge, never the result."""
+    session = work.sparkSession._jsparkSession.sessionState()
+    size = int(work._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    tasks = SIZE_MARGIN * size // max(1, session.conf().filesMaxPartitionBytes())
+    return 0 if tasks <= FAN else 1 if tasks <= FAN * FAN else 2
+
+
+def _boundaries(work: DataFrame, keys: list[str], order: list[str], hot_rows: float | None) -> tuple[list, T.StructType]:
+    """At most P-1 sampled rows (keys, ordering columns) that cut the sorted data into
+    parts of about equal row counts (``hot_rows`` rows each, if given), inside keys that are larger."""
+    sample = _sample(work, keys, order)
+    schema = T.StructType(sample.schema.fields[:-1])
+    rows = sorted(((tuple(r)[:-1], r[-1]) for r in sample.collect()), key=lambda x: _sort_key(x[0]))
+    total = sum(w for _, w in rows)
+    step = max(total / target_parallelism(work.sparkSession), 1.0) if hot_rows is None else float(hot_rows)
+    of_key: dict[tuple, float] = {}
+    group = [tuple(NAN if v is not None and v != v else v for v in r[: len(keys)]) for r, _ in rows]
+    for key, (_, w) in zip(group, rows):
+        of_key[key] = of_key.get(key, 0.0) + w
+    cuts, upto = [], 0.0
+    for key, (row, w) in zip(group, rows):
+        crossed = (upto + w) // step > upto // step
+        upto += w
+        if crossed and upto < total and of_key[key] > step:
+            cuts.append(row)
+    return cuts, schema
 
 
 def _bucket_of(bounds: Column, row: Column) -> Column:
@@ -146,8 +192,8 @@ def assign_buckets(df: DataFrame, keys: list[str], order: list[str], hot_rows: f
     cuts, schema = _boundaries(work, keys, order, hot_rows)
     per_key: dict[tuple, list[tuple]] = {}
     for row in cuts:  # in order of (keys, ordering columns)
-        key = tuple(NAN if v is not None and v != v else v for v in tuple(row)[: len(keys)])
-        per_key.setdefault(key, []).append(tuple(row)[len(keys) :])
+        key = tuple(NAN if v is not None and v != v else v for v in row[: len(keys)])
+        per_key.setdefault(key, []).append(row[len(keys) :])
     if not per_key:
         staged = work.withColumn("_b", F.lit(0).cast("long")).withColumn("_hot", F.lit(False))
         return Buckets(staged, keys, False)
@@ -192,7 +238,7 @@ def running(
 
     ``hot_rows`` overrides the hot-key threshold (tests use it to force splits).
     ``keep_buckets`` keeps the ``_b``/``_hot`` columns; a second scan over that
-    output, given as ``buckets=Buckets(output, keys, any_hot)``, then needs no
+    output, given as ``buckets=Buckets(output, keys, any_hot, dealt=True)``, then needs no
     new shuffle (its window partitioning is the first one's).
     """
     for a in aggs:
@@ -209,6 +255,8 @@ def running(
     cols = [c for c in staged.columns if c not in INTERNAL]
 
     # 3. local scan within (key, bucket)
+    if buckets.any_hot and not buckets.dealt:
+        staged = staged.repartition(*keys, "_b")
     by_bucket = Window.partitionBy(*keys, "_b").orderBy(*order)
     up_to = by_bucket.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     seen = up_to if inclusive else by_bucket.rowsBetween(Window.unboundedPreceding, -1)
@@ -223,18 +271,21 @@ def running(
         # every key is in one bucket: the local scan is the whole answer
         return local.select(*[F.col(c) for c in cols if c not in names], *[F.col(f"_l_{a.name}").alias(a.name) for a in aggs], *extra)
 
-    # 4. totals of hot buckets, from each bucket's last row -> offsets (<= 2P rows)
-    ends = staged.withColumn("_bucket_end", F.lead(F.lit(False), 1, True).over(by_bucket))
+    # 4. totals of the buckets, a grouped aggregate over the same shuffle files -> offsets of the hot ones (<= 2P rows)
+    place = F.struct(*order)
+    totals = []
     for a in aggs:
-        total = _local(a).over(up_to)
         if a.kind in ("first", "last"):  # with the place, so that a key's first or last can be told
-            total = F.struct(F.col("_b").alias("at"), total.alias("v"))
-        ends = ends.withColumn(f"_t_{a.name}", total)
+            one = F.min_by if a.kind == "first" else F.max_by
+            t = F.struct(F.col("_b").alias("at"), one(F.struct(a.col().alias("v")), place)["v"].alias("v"))
+        else:
+            t = _local(a)
+        totals.append(t.alias(f"_t_{a.name}"))
     # Every column of the rows is asked for (the comparison always holds), or else this branch
     # would be pruned to a shuffle of its own and the source be read twice.
     hashable = [f.name for f in staged.schema.fields if "map<" not in f.dataType.simpleString()]
-    same_rows = F.xxhash64(*hashable) <= F.lit((1 << 63) - 1)
-    totals = ends.filter(F.col("_hot") & F.col("_bucket_end") & same_rows).select(*keys, "_b", *[f"_t_{a.name}" for a in aggs])
+    totals = staged.groupBy(*keys, "_b").agg(*totals, F.max("_hot").alias("_split"), F.max(F.xxhash64(*hashable)).alias("_rows"))
+    totals = totals.filter(F.col("_split") & (F.col("_rows") <= F.lit((1 << 63) - 1))).drop("_split", "_rows")
     w_prev = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     w_key = Window.partitionBy(*keys)
     off_exprs = [F.count(F.lit(1)).over(w_prev).alias("_nprev")]

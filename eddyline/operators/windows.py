@@ -161,7 +161,7 @@ def session_rows(
     b = assign_buckets(work, keys, order_cols, hot_rows)
     r1 = running(None, keys, order_cols, [Running("_pend", "max", F.col("_end"))], inclusive=False, keep_buckets=True, buckets=b)
     starts = F.when(F.col("_pend").isNull() | (F.col(ts) > F.col("_pend")), F.col(ts))
-    b2 = Buckets(r1.withColumn("_fts", starts), b.keys, b.any_hot)
+    b2 = Buckets(r1.withColumn("_fts", starts), b.keys, b.any_hot, dealt=True)
     r2 = running(None, keys, order_cols, [Running("_sstart", "max", F.col("_fts"))], buckets=b2)
     return r2.drop("_pend", "_fts")
 

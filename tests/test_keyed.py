@@ -245,3 +245,38 @@ def test_hot_key_buckets_hold_equal_counts_when_values_bunch(spark):
     w = Window.partitionBy("id").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
     exp = df.select("*", F.sum("vc").over(w).alias("s"), F.first("seq").over(w).alias("f"))
     assert got.exceptAll(exp).count() == 0 and exp.exceptAll(got).count() == 0
+
+
+def test_boundary_sample_does_not_grow_with_the_tasks(spark):
+    """8 or 500 tasks: the rows that meet in one place are bounded, and the parts stay about equal."""
+    from eddyline.operators import prefix
+    from eddyline.session import target_parallelism
+
+    sizes, widest, width = {}, {}, target_parallelism(spark)
+    for tasks in (8, 500):
+        df = spark.range(200_000, numPartitions=tasks).select(F.col("id").alias("seq"), (F.col("id") % 3).alias("k"))
+        b = prefix.assign_buckets(df, [], ["seq"])
+        counts = [r["count"] for r in b.df.groupBy("_b").count().collect()]
+        assert len(counts) == width
+        widest[tasks] = max(counts) / (200_000 / width)
+        sizes[tasks] = prefix._sample(df, ["k"], ["seq"]).count()
+    assert max(sizes.values()) <= prefix.POINTS * width and max(widest.values()) < 2
+
+
+def test_boundary_sample_is_merged_in_a_tree(spark, monkeypatch):
+    """Small groups of tasks force every merge; weights still add up to the rows."""
+    from eddyline.operators import prefix
+    from eddyline.session import target_parallelism
+
+    width = target_parallelism(spark)
+    monkeypatch.setattr(prefix, "FAN", 4)
+    monkeypatch.setattr(prefix, "SIZE_MARGIN", 1 << 40)
+    df = spark.range(100_000, numPartitions=64).select(F.col("id").alias("seq"), F.when(F.col("id") % 10 < 4, 7).otherwise(F.col("id")).alias("k"))
+    assert prefix._groupings(df) == 2
+    rows = prefix._sample(df, ["k"], ["seq"]).collect()
+    total = sum(r["_w"] for r in rows)
+    assert len(rows) <= prefix.POINTS * width and 0.7 < total / 100_000 < 1.4
+    assert 0.3 < sum(r["_w"] for r in rows if r["_k0"] == 7) / total < 0.5
+    b = prefix.assign_buckets(df, ["k"], ["seq"])
+    hot = [r["count"] for r in b.df.where("k = 7").groupBy("_b").count().collect()]
+    assert b.any_hot and len(hot) > 1 and max(hot) < 2 * 100_000 / width
