@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import html as html_entities
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -86,11 +87,38 @@ LEGAL = re.compile("©|copyright|all rights reserved", re.I)
 ITERATIONS = 200
 
 
+LIST_SCOPES = frozenset("ul ol dl table select".split())
+LISTED = frozenset(x for names in ENDS.values() for x in names)
+NOTED = frozenset([*ANCESTORS, "head"])
+NONE = frozenset()
+
+
 class Block:
-    __slots__ = ("text", "tags", "hints", "own_hint", "linked")
+    __slots__ = ("text", "tags", "own", "hints", "own_hint", "linked")
+
+    def __init__(self, text, tags, own, hints, own_hint, linked):
+        self.text, self.tags, self.own, self.hints, self.own_hint, self.linked = text, tags, own, hints, own_hint, linked
+
+
+class Element:
+    """An open element with what its blocks need to know of all its ancestors: sets of a few fixed
+    names, shared with the parent where they are equal, so depth costs nothing."""
+
+    __slots__ = ("tag", "tags", "own", "hints", "own_hint", "p_open", "listed")
+
+    def __init__(self, tag: str, own_hint: frozenset, parent: Element | None):
+        self.tag, self.own_hint = tag, own_hint
+        above = parent or ROOT
+        self.tags = above.tags | {tag} if tag in NOTED and tag not in above.tags else above.tags
+        self.own = tag if tag in BLOCK_TAGS else above.own
+        self.hints = above.hints if own_hint <= above.hints else above.hints | own_hint
+        # is a p open since the last scope, which list items and cells since the last list or table
+        self.p_open = tag == "p" or above.p_open and tag not in SCOPES
+        self.listed = NONE if tag in LIST_SCOPES else above.listed | {tag} if tag in LISTED else above.listed
+
 
-    def __init__(self, text, tags, hints, own_hint, linked):
-        self.text, self.tags, self.hints, self.own_hint, self.linked = text, tags, hints, own_hint, linked
+class ROOT:
+    tags, own, hints, own_hint, p_open, listed = NONE, "body", NONE, NONE, False, NONE
 
 
 def _hints(attrs: str) -> frozenset:
@@ -106,39 +134,52 @@ def _hints(attrs: str) -> frozenset:
 def blocks(page: str) -> list[Block]:
     """The leaf blocks of a page, in order."""
     out: list[Block] = []
-    stack: list[tuple[str, frozenset]] = []
+    stack: list[Element] = []
+    opened: Counter = Counter()  # open elements by tag
+    inline: list[Counter] = [Counter()]  # open inline elements by tag, per open block element
     parts: list[str] = []
     linked = 0
-    links = 0  # open <a>
 
     def flush() -> None:
         nonlocal linked
         if parts:
             text = SPACE.sub(" ", html_entities.unescape("".join(parts))).strip()
-            if text and not any(t == "head" for t, _ in stack):
-                tags = [t for t, _ in stack]
-                out.append(Block(text, tags, frozenset().union(*(h for _, h in stack)), stack[-1][1] if stack else frozenset(), linked))
+            at = stack[-1] if stack else ROOT
+            if text and not opened["head"]:
+                out.append(Block(text, at.tags, at.own, at.hints, at.own_hint, linked))
             parts.clear()
         linked = 0
 
-    def close(names: tuple[str, ...], within: frozenset) -> None:
-        nonlocal links
-        for k in range(len(stack) - 1, -1, -1):
-            if stack[k][0] in names:
-                links -= sum(t == "a" for t, _ in stack[k:])
-                del stack[k:]
-                return
-            if stack[k][0] in within:
-                return
+    def push(tag: str, attrs: str) -> None:
+        stack.append(Element(tag, _hints(attrs), stack[-1] if stack else None))
+        opened[tag] += 1
+        if tag in BLOCK_TAGS:
+            inline.append(Counter())
+        else:
+            inline[-1][tag] += 1
+
+    def pop() -> str:
+        tag = stack.pop().tag
+        opened[tag] -= 1
+        if tag in BLOCK_TAGS:
+            inline.pop()
+        else:
+            inline[-1][tag] -= 1
+        return tag
+
+    def close(names: tuple[str, ...]) -> None:
+        """Close the innermost open element of these; it is known to be there."""
+        while pop() not in names:
+            pass
 
     for m in TOKEN.finditer(page):
         text = m["text"]
         if text is not None:
-            if stack and stack[-1][0] == "head" and not text.isspace():
+            if stack and stack[-1].tag == "head" and not text.isspace():
                 flush()
-                stack.pop()
+                pop()
             parts.append(text)
-            if links:
+            if opened["a"]:
                 linked += len(text)
             continue
         tag = m["tag"]
@@ -154,19 +195,20 @@ def blocks(page: str) -> list[Block]:
         if is_block:
             flush()
         if m["close"]:
-            if tag not in VOID:
-                close((tag,), frozenset() if is_block else BLOCK_TAGS)
+            # an end tag closes its element if it is open; that of an inline one not across a block
+            if tag not in VOID and (opened if is_block else inline[-1])[tag]:
+                close((tag,))
         elif tag not in VOID:
-            if stack and stack[-1][0] == "head":  # only void and raw elements may stand in it
+            if stack and stack[-1].tag == "head":  # only void and raw elements may stand in it
                 flush()
-                stack.pop()
-            if is_block:
-                close(("p",), SCOPES)
-                if tag in ENDS:
-                    close(ENDS[tag], frozenset(("ul", "ol", "dl", "table", "select")))
+                pop()
+            if is_block and stack:
+                if stack[-1].p_open:
+                    close(("p",))
+                if tag in ENDS and stack and not stack[-1].listed.isdisjoint(ENDS[tag]):
+                    close(ENDS[tag])
             if not m["attrs"].endswith("/") or is_block:
-                stack.append((tag, _hints(m["attrs"])))
-                links += tag == "a"
+                push(tag, m["attrs"])
     flush()
     return out
 
@@ -176,8 +218,7 @@ def features(page_blocks: list[Block]) -> list[list[int]]:
     n, out = len(page_blocks), []
     has_article = any("article" in b.tags or "main" in b.tags for b in page_blocks)
     for k, b in enumerate(page_blocks):
-        tags = set(b.tags)
-        own = next((t for t in reversed(b.tags) if t in BLOCK_TAGS), "body")
+        tags, own = b.tags, b.own
         share = b.linked / max(1, len(b.text))
         place = k / max(1, n - 1)
         on = [0, *(INDEX[f"in:{t}"] for t in ANCESTORS if t in tags), INDEX[f"own:{own}" if own in OWN else "own:other"]]

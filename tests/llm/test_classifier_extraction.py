@@ -1,6 +1,8 @@
+import time
 import zlib
 
 import numpy as np
+import pytest
 
 from eddyline.llm import byte_cnn as B
 from eddyline.llm import html_crf as H
@@ -134,3 +136,17 @@ def test_open_head_ends_at_content():
     for body in ("<p>Article text", "Article text", "<span>Article text</span>", "<head><p>Article text", "<div><p>Article text</div>", "<body><p>Article text"):
         assert [b.text for b in H.blocks(head + body)] == ["Article text"], body
         assert "head" not in H.blocks(head + body)[0].tags
+
+
+@pytest.mark.parametrize("unit", ["<div>x", "<span>x", "<h1>x", "<p><div><h1>x", "<i></article>x", "<b><div><span>x</b>", "<li>x", "<p><span><section>x"])
+def test_unclosed_tags_stay_linear(unit):
+    """Time of 100,000 broken elements with text at each level, against a quarter of them."""
+    def spent(n):
+        page = unit * n
+        start = time.process_time()
+        found = H.features(H.blocks(page))
+        return time.process_time() - start, found
+
+    few, _ = spent(25_000)
+    many, found = spent(100_000)
+    assert found and many < 12 * few + 1
