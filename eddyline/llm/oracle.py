@@ -54,10 +54,11 @@ WITH d AS (
     + CASE WHEN 10 * n_shouts > 3 * n_words THEN 32 ELSE 0 END
     + CASE WHEN word_chars < 2 * n_words THEN 64 ELSE 0 END
     + CASE WHEN word_chars > 20 * n_words THEN 128 ELSE 0 END
-    + CASE WHEN 5 * n_stutters > n_words THEN 256 ELSE 0 END)::BIGINT AS fail_bits FROM m
+    + CASE WHEN 5 * n_stutters > n_words THEN 256 ELSE 0 END
+    + CASE WHEN n_upper > n_lower AND 2 * (n_upper + n_lower) > word_chars THEN 512 ELSE 0 END)::BIGINT AS fail_bits FROM m
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-       fail_bits & 3 <> 0 AS base_failed, fail_bits = 0 AS kept, fail_bits FROM b
+       fail_bits & 3 <> 0 AS base_failed, fail_bits & 1007 = 0 AS kept, fail_bits FROM b
 """
 
 OP10 = r"""

@@ -47,6 +47,8 @@ RULES: dict[str, str] = {
     "short_words": "word_chars < 2 * n_words",
     "long_words": "word_chars > 20 * n_words",
     "stuttering": "5 * n_stutters > n_words",  # words equal to the word before
+    # of texts that are mostly in Latin letters; one acronym says nothing about another script
+    "upper_case_latin": "n_upper > n_lower and 2 * (n_upper + n_lower) > word_chars",
 }
 BIT = {name: 1 << k for k, name in enumerate(RULES)}
 BASE = BIT["few_words"] | BIT["repeated_windows"]
@@ -60,9 +62,10 @@ def mask(*names: str) -> int:
 POLICIES: dict[str, int] = {
     "base": BASE,
     "v1": BASE | mask("symbols", "upper_case", "shouting"),
-    "v2": sum(BIT.values()),
+    "v2": sum(BIT.values()) - mask("upper_case_latin"),
+    "v3": sum(BIT.values()) - mask("upper_case"),
 }
-CURRENT = "v2"
+CURRENT = "v3"
 
 
 def measure(text: bytes, hashes: WordHashes) -> tuple[int, ...]:

@@ -47,6 +47,14 @@ def test_policies_and_ablation_from_stored_bits(spark):
                 assert r["only"] == sum(b & mask == bit for b in bits)
 
 
+def test_an_acronym_does_not_reject_another_script(spark):
+    russian = "Международная организация объявила сегодня о новой программе сохранения памятников культуры в разных странах мира и назвала её первых участников"
+    rows = [(1, f"{russian} {russian[::-1]}"), (2, russian + " UNESCO " + russian[::-1]), (3, f"{russian} UNESCO {russian[::-1]}".upper()), (4, "SHOUTED WORDS " + " ".join(f"WORD{k}" for k in range(40))),
+            (5, " ".join(f"plain word{k}" for k in range(30)))]
+    out = {r["doc_id"]: r["kept"] for r in Q.query(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert out[2] and out[5] and not out[4] and out[3] == out[1]
+
+
 def test_edge_cases(empty, clashing, rows):
     assert Q.query(empty).collect() == [] and Q.ablation(Q.ledger(empty)).collect() == []
     out = Q.ledger(clashing)
