@@ -2,17 +2,20 @@
 
 1. ``token_pieces`` tokenizes whole texts (one pass) and cuts only documents longer than a
    sequence; what is packed afterwards are rows of a few numbers, never texts.
-2. The pieces are dealt to groups of about ``GROUP`` rows. Each group is packed by best-fit
-   decreasing; dual feasible functions (the volume bound, the thresholds f_p that round large
-   items up and drop small ones, and the rounding functions u_k) give a lower bound on its
-   sequences. A group that meets its bound is certified: no packing of it is smaller.
+2. The pieces are dealt to groups of about ``GROUP`` rows. Each group, also a single one, is packed
+   by best-fit decreasing; dual feasible functions (the volume bound, the thresholds f_p that
+   round large items up and drop small ones, and the rounding functions u_k) give a lower bound
+   on its sequences. A group that meets its bound is certified: no packing of it is smaller.
 3. Exchange: a group with a gap releases its emptiest sequences, in proportion to the gap; a
-   certified group releases its emptiest one only (the rest that its bound rounded up). The
-   released pieces of ``MERGE`` groups meet in one group of the next round and best-fit
-   decreasing runs again, until one group is left. Rows that are not released are final.
+   certified group releases its emptiest one only (the rest that its bound rounded up), a certified
+   single group none. The released pieces of all groups are mixed and dealt anew to groups of
+   ``GROUP`` rows, and best-fit decreasing runs again, for at most ``ROUNDS`` rounds, so no group of
+   any round is larger than those of the first. A round that saves no sequence is undone and is
+   the last. Rows that are not released are final.
 
 ``certificate`` compares the result with the bound for the whole table, which needs only the
-counts of the lengths (at most one row per length).
+counts of the lengths (at most one row per length); each row's ``certified`` tells whether the
+group that placed it met its own bound.
 
 Defined cases: a null text is the empty text (the end token alone); repeated rows are packed
 each on their own; null ids pass through; an empty table gives an empty result; other input
@@ -41,7 +44,7 @@ from eddyline.session import materialize
 CAPACITY = 4096
 END = 1
 GROUP = 50_000
-MERGE = 16
+ROUNDS = 5
 RELEASE = 8  # sequences released per sequence of gap
 CHUNKS = 900_000  # chunks whose ids a task remembers
 ROUNDING = 24  # functions u_1 ... u_ROUNDING
@@ -219,45 +222,53 @@ def best_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray
     return sequence, offset, free
 
 
-def released(lengths: np.ndarray, free: list[int], capacity: int) -> set[int]:
+def released(free: list[int], gap: int) -> list[int]:
     """The sequences that a group hands to the exchange."""
-    gap = len(free) - lower_bound(np.bincount(lengths, minlength=capacity + 1), capacity)
     open_ones = sorted((s for s, room in enumerate(free) if room), key=lambda s: -free[s])
-    return set(open_ones[: 1 + RELEASE * gap])
+    return open_ones[: 1 + RELEASE * gap]
+
+
+PLACE = ("sequence_id", "offset", "certified")
 
 
 def _pack_round(pieces: DataFrame, columns: list[str], number: int, groups: int, capacity: int) -> DataFrame:
     def pack(key: tuple[pa.Scalar], table: pa.Table) -> pa.Table:
         lengths = table["length"].to_numpy().astype(np.int64)
         sequence, offset, free = best_fit(lengths, capacity)
-        out = released(lengths, free, capacity) if groups > 1 else set()
-        table = table.select([*columns, "_group"])
+        gap = len(free) - lower_bound(np.bincount(lengths, minlength=capacity + 1), capacity)
+        out = released(free, gap) if number + 1 < ROUNDS and (gap or groups > 1) else []
+        table = table.select(columns)
         table = table.append_column("sequence_id", pa.array((number << 56) + (key[0].as_py() << 24) + sequence))
         table = table.append_column("offset", pa.array(offset))
-        return table.append_column("_released", pa.array(np.isin(sequence, list(out))))
+        table = table.append_column("certified", pa.array(np.full(len(lengths), gap == 0)))
+        return table.append_column("_released", pa.array(np.isin(sequence, out)))
 
-    fields = [*(pieces.schema[c] for c in columns), T.StructField("_group", T.LongType())]
+    fields = [pieces.schema[c] for c in columns]
     fields += [T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())]
-    schema = T.StructType([*fields, T.StructField("_released", T.BooleanType())])
-    return pieces.groupBy("_group").applyInArrow(pack, schema)
+    fields += [T.StructField("certified", T.BooleanType()), T.StructField("_released", T.BooleanType())]
+    return pieces.groupBy("_group").applyInArrow(pack, T.StructType(fields))
 
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY, group: int = GROUP) -> DataFrame:
-    """``pieces`` (with a long column ``length``) plus ``sequence_id`` and ``offset``."""
-    columns = [c for c in pieces.columns if c.lower() not in ("sequence_id", "offset", "_group", "_released")]
-    pieces = materialize(pieces.select(*columns))
-    groups = max(1, math.ceil(pieces.count() / group))
-    # the rows are fixed by now, so their running numbers are too: equal rows spread evenly
-    left = pieces.withColumn("_group", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups)))
-    done, number = None, 0
-    while True:
-        packed = materialize(_pack_round(left, columns, number, groups, capacity))
-        final = packed.where("not _released").select(*columns, "sequence_id", "offset")
+    """``pieces`` (with a long column ``length``) plus ``sequence_id``, ``offset`` and ``certified``."""
+    columns = [c for c in pieces.columns if c.lower() not in (*PLACE, "_group", "_released")]
+    left = materialize(pieces.select(*columns))
+    n, before, done = left.count(), None, None
+    for number in range(ROUNDS):
+        groups = max(1, math.ceil(n / group))
+        # the rows are fixed by now, so their running numbers are too: equal rows spread evenly
+        dealt = F.pmod(F.xxhash64(F.lit(number), F.monotonically_increasing_id()), F.lit(groups)).alias("_group")
+        packed = materialize(_pack_round(left.select(*columns, dealt), columns, number, groups, capacity))
+        first, out = F.col("offset") == 0, F.col("_released")  # a sequence has one piece at place 0
+        used, passed, n = packed.agg(F.count(F.when(first, 1)), F.count(F.when(first & out, 1)), F.count(F.when(out, 1))).first()
+        if before is not None and used >= before:
+            return done.unionByName(left)
+        final = packed.where("not _released").drop("_released")
         done = final if done is None else done.unionByName(final)
-        if groups == 1:
+        if not n:
             return done
-        left = packed.where("_released").select(*columns, F.floor(F.col("_group") / MERGE).cast("long").alias("_group"))
-        groups, number = math.ceil(groups / MERGE), number + 1
+        left, before = packed.where("_released").drop("_released"), passed
+    return done
 
 
 def certificate(packed: DataFrame, capacity: int = CAPACITY) -> tuple[int, int]:
@@ -277,7 +288,7 @@ def tokenizer_path() -> str:
 
 def query(docs: DataFrame) -> DataFrame:
     pieces = token_pieces(docs, tokenizer_path(), ["doc_id"])
-    return pack(pieces).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+    return pack(pieces).select("doc_id", "piece", "start", "length", "ids_crc32", *PLACE)
 
 
 ship_by_value(__name__)

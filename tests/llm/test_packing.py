@@ -67,6 +67,38 @@ def test_rounds_of_exchange_close_the_gaps(spark, seed):
     assert used < alone
 
 
+@pytest.mark.parametrize("low,high", [(20, 50), (26, 40)])
+def test_groups_stay_bounded_with_mid_sized_pieces(spark, monkeypatch, low, high):
+    """Lengths of a fifth to a half of the capacity leave a gap in every group: what is released stays
+    in groups of the first size, and no round makes the result worse."""
+    sizes = np.random.default_rng(3).integers(low, high, 3000)
+    seen, one_round = [], P._pack_round
+
+    def watched(pieces, *more):
+        out = one_round(pieces, *more)
+        seen.append([r["count"] for r in pieces.groupBy("_group").count().collect()])
+        return out
+
+    monkeypatch.setattr(P, "_pack_round", watched)
+    df = spark.createDataFrame([(int(x),) for x in sizes], "length long")
+    rows = P.pack(df, capacity=100, group=200).collect()
+    assert sorted(r["length"] for r in rows) == sorted(sizes.tolist())
+    used = check(rows, 100)
+    assert len(seen) > 1 and max(max(x) for x in seen) < 2 * 200 and len(seen) <= P.ROUNDS
+    monkeypatch.setattr(P, "ROUNDS", 1)
+    assert used <= check(P.pack(df, capacity=100, group=200).collect(), 100)
+
+
+def test_a_single_group_is_certified(spark):
+    tight = spark.createDataFrame([(x,) for x in [60, 40] * 30 + [30]], "length long")
+    rows = P.pack(tight, capacity=100).collect()
+    assert check(rows, 100) == 31 and all(r["certified"] for r in rows)
+    gap = spark.createDataFrame([(x,) for x in [45, 45, 40, 35, 35]], "length long")
+    rows = P.pack(gap, capacity=100).collect()
+    used, bound = check(rows, 100), P.lower_bound(np.bincount([45, 45, 40, 35, 35], minlength=101), 100)
+    assert used >= bound and all(r["certified"] == (used == bound) for r in rows)
+
+
 def test_bounds_hold():
     rng = np.random.default_rng(0)
     for _ in range(200):
