@@ -95,16 +95,21 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
         at = to
 
 
-# Rows of an Arrow batch at most: Spark's default (10,000) of long texts is too much for a task.
-BATCH_ROWS = 1000
+def map_batches(df: DataFrame, run: Callable, schema) -> DataFrame:
+    """``mapInArrow``; ``run`` gets batches of a bounded size (``bounded``), whatever the session's
+    Arrow settings are, which are left alone."""
+    return df.mapInArrow(lambda batches: run(bounded(batches)), schema)
 
 
-def map_batches(df: DataFrame, run: Callable, schema) -> DataFrame:
-    """``mapInArrow`` with batches of at most BATCH_ROWS rows (a setting of the session)."""
-    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(conf.get(name, "10000")) <= BATCH_ROWS:
-        conf.set(name, str(BATCH_ROWS))
-    return df.mapInArrow(run, schema)
+# Rows and bytes of a batch that a task works on at most.
+BATCH_ROWS, BATCH_BYTES = 1000, 64 << 20
+
+
+def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows = min(BATCH_ROWS, max(1, batch.num_rows * BATCH_BYTES // max(1, batch.nbytes)))
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
 
 
 def map_rows(
