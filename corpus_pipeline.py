@@ -10,6 +10,9 @@ Each stage takes (spark, docs, sf_dir), works on all that its predecessor kept a
 DataFrame; all but the last return the columns of ``documents``. ``run`` writes each stage's
 rows as Parquet into the shared checkpoint folder and rereads them for the next.
 
+Every stage hands on all columns of its input untouched but the text (and its length) that line
+dedup changes, whatever their names.
+
 Defined cases: those of the operators. A null text fails the quality rules. Rows that repeat
 in id and text count as one document to the near-dedup stage, which keeps one of them; rows
 without an id are kept or dropped by their own text. An empty table gives empty results.
@@ -30,23 +33,39 @@ from eddyline.session import shared_path
 ORACLE_SQL = None
 
 
+def private(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` under names of its own for all columns, so that no column of the input meets one that
+    an operator adds, and the private names of those that the stages use."""
+    names = [f"_in{k}" for k in range(len(docs.columns))]
+    return docs.toDF(*names), dict(zip(docs.columns, names))
+
+
+def given(out: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs``, under their names, from rows that carry them privately."""
+    return out.select(*[F.col(f"_in{k}").alias(c) for k, c in enumerate(docs.columns)])
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return quality_rules.apply_policy(quality_rules.ledger(docs)).where("kept").select(*docs.columns)
+    rows, at = private(docs)
+    return given(quality_rules.apply_policy(quality_rules.ledger(rows, at["text"])).where("kept"), docs)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    out = line_dedup.dedup_lines(docs)
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+    rows, at = private(docs)
+    out = line_dedup.dedup_lines(rows, at["text"])
+    if "n_chars" in at:
+        out = out.withColumn(at["n_chars"], F.length(at["text"]).cast(docs.schema["n_chars"].dataType))
+    return given(out, docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return minhash_forest.keep_representatives(docs)
+    rows, at = private(docs)
+    return given(minhash_forest.keep_representatives(rows, at["text"], at["doc_id"]), docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return poisson_mix.replicate(docs, poisson_mix.WEIGHTS).select(*docs.columns)
+    rows, at = private(docs)
+    return given(poisson_mix.replicate(rows, poisson_mix.WEIGHTS, at["source"], at["doc_id"]), docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
