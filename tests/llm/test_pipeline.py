@@ -41,6 +41,22 @@ def test_stages_match_brute_force(spark, docs, rows, tmp_path):
     assert Counter((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in out) == Counter(pieces_of(kept_rows))
 
 
+def test_columns_of_the_input_are_handed_on(spark, docs, rows):
+    """Columns called like an operator's measures, private names and helpers come out as they came in."""
+    from pyspark.sql import functions as F
+
+    names = ["n_words", "fail_bits", "KEPT", "n_lines", "n_dropped", "rate", "copies", "copy", "shuffle_key", "_text_hash", "_id_hash", "_parts",
+             "_table", "component_id", "_in0", "_drop", "set_hash", "_source"]
+    marked = docs.withColumns({n: F.concat(F.lit(f"{n}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))) for n in names})
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        out = stage(spark, marked, "")
+        assert out.columns == marked.columns and out.dtypes == marked.dtypes
+        got = out.collect()
+        assert got and all(r[n] == f"{n}:{r['doc_id'] if r['doc_id'] is not None else '-'}" for r in got for n in names), name
+        plain = stage(spark, docs, "").collect()
+        assert Counter(tuple(r)[:5] for r in got) == Counter(map(tuple, plain)), name
+
+
 def test_empty_table(spark, empty, tmp_path):
     empty.write.parquet(f"{tmp_path}/documents.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
