@@ -88,6 +88,42 @@ def window_fold(
     return grouped.select(*keys, "win_start", "win_end", folded.alias(name))
 
 
+def window_fold_composed(
+    df: DataFrame,
+    keys: list[str],
+    win: Column,
+    order: str,
+    lift: Callable[[Column], Column],
+    combine: Callable[[Column, Column], Column],
+    finish: Callable[[Column], Column],
+    fields: list[str],
+    name: str = "folded",
+    hot_rows: float | None = None,
+) -> DataFrame:
+    """A fold whose steps compose, in parallel: ``lift(element)`` is an element's step as a value,
+    ``combine(f, g)`` the step that does ``f``, then ``g`` (associative), ``finish`` applies the whole
+    step to the fold's start. Each (window, bucket) is folded on its own (buckets are ranges of ``order``
+    in windows that hold more than a task's share of the rows), then the at most P buckets of
+    a window. ``(keys..., win_start, win_end, name)``."""
+    from eddyline.operators.prefix import assign_buckets
+
+    check_fold_allowed(win)
+    rows = df.select(*keys, order, *[f for f in fields if f != order], win.alias("_w"))
+    rows = rows.select("*", F.col("_w.start").alias("win_start"), F.col("_w.end").alias("win_end")).drop("_w")
+    group = [*keys, "win_start", "win_end"]
+    b = assign_buckets(rows, group, [order], hot_rows)
+
+    def folded(items: Column) -> Column:
+        return F.aggregate(F.slice(items, 2, F.size(items)), items[0], lambda acc, x: combine(acc, x))
+
+    element = F.struct(*fields)
+    steps = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), lift(element).alias("s"))))
+    parts = b.df.groupBy(*group, "_b").agg(folded(F.transform(steps, lambda x: x["s"])).alias("_step"))
+    pieces = F.array_sort(F.collect_list(F.struct("_b", "_step")))
+    out = parts.groupBy(*group).agg(folded(F.transform(pieces, lambda x: x["_step"])).alias("_step"))
+    return out.select(*group, finish(F.col("_step")).alias(name))
+
+
 def window_reduce(
     df: DataFrame,
     keys: list[str],

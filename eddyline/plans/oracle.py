@@ -70,13 +70,13 @@ def _tumble_agg(aggs: str, keys: str = "id") -> str:
     )
 
 
-def _sliding(size: str, slide: str, offset: str | None = None) -> str:
+def _sliding(size: str, slide: str, offset: str | None = None, aggs: str = "count(*) AS cnt, round(sum(vc), 2) AS sum_vc") -> str:
     s, sl = duration_us(size), duration_us(slide)
     n = -(-s // sl)
     last = _start_us("ts", slide, offset)
     return (
-        f"SELECT id, {_ts('st')} AS win_start, {_ts(f'st + {s}')} AS win_end, count(*) AS cnt, "
-        f"round(sum(vc), 2) AS sum_vc FROM (SELECT *, {last} - k * {sl} AS st FROM ({SV}), range(0, {n}) t(k)) "
+        f"SELECT id, {_ts('st')} AS win_start, {_ts(f'st + {s}')} AS win_end, {aggs} "
+        f"FROM (SELECT *, {last} - k * {sl} AS st FROM ({SV}), range(0, {n}) t(k)) "
         f"WHERE epoch_us(ts) >= st AND epoch_us(ts) < st + {s} GROUP BY id, st"
     )
 
@@ -218,6 +218,13 @@ ORACLE: dict[str, str] = {
     ),
     "sliding_sum": _sliding(P.SLIDE_SIZE, P.SLIDE_STEP),
     "sliding_offset_sum": _sliding(P.SLIDE_OFF_SIZE, P.SLIDE_OFF_STEP, P.SLIDE_OFF_OFFSET),
+    "sliding_min_udf": _sliding(P.SLIDE_OFF_SIZE, P.SLIDE_OFF_STEP, P.SLIDE_OFF_OFFSET, "min(vc) AS min_vc"),
+    "count_sliding_max_udf": (
+        f"SELECT id, rn // {P.COUNT_SLIDE} AS fire, n_elems, max_vc FROM (SELECT id, rn, "
+        f"max(vc) OVER s AS max_vc, count(*) OVER s AS n_elems FROM ({RANKED}) "
+        f"WINDOW s AS (PARTITION BY id ORDER BY rn ROWS BETWEEN {P.COUNT_SIZE - 1} PRECEDING AND CURRENT ROW)) "
+        f"WHERE rn % {P.COUNT_SLIDE} = 0"
+    ),
     "session_count": _session(str(duration_us(P.SESSION_GAP))),
     "session_dynamic_count": _session(
         f"CASE WHEN event_type = 'purchase' THEN {duration_us(P.DYN_GAP_PURCHASE)} "

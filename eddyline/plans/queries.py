@@ -26,6 +26,7 @@ from eddyline.functions.text import (
 from eddyline.operators import count_windows as cw
 from eddyline.operators import evictors as ev
 from eddyline.operators import keyed, late
+from eddyline.operators import sliding_fns as sf_
 from eddyline.operators import user_windows as uw
 from eddyline.operators import window_fns as wf
 from eddyline.operators import windows as win
@@ -289,14 +290,33 @@ def q_window_fold_concat(spark, sf):
 
 
 def q_window_fold_expr(spark, sf):
-    """A fold given as expressions: a checksum over a window's values (in cents) in order."""
-    out = wf.window_fold(
-        _sv(spark, sf), ["id"], win.tumbling("ts", P.TUMBLE), "seq", F.lit(0).cast("long"),
-        lambda acc, x: (acc * 31 + F.round(x["vc"] * 100).cast("long")) % 1000003, ["vc"],
+    """A fold given as expressions: a checksum over a window's values (in cents) in order. Its steps
+    ``acc * 31 + x`` are linear maps, so they compose."""
+    modulus = 1000003
+    cents = lambda x: F.round(x["vc"] * 100).cast("long") % modulus
+    out = wf.window_fold_composed(
+        _sv(spark, sf), ["id"], win.tumbling("ts", P.TUMBLE), "seq",
+        lambda x: F.struct(F.lit(31).cast("long").alias("a"), cents(x).alias("b")),
+        lambda f, g: F.struct((f["a"] * g["a"] % modulus).alias("a"), ((f["b"] * g["a"] + g["b"]) % modulus).alias("b")),
+        lambda f: f["b"], ["vc"],
     )
     return out.select("id", "win_start", "folded")
 
 
+def q_count_sliding_max_udf(spark, sf):
+    """A user function without an inverse over sliding count windows."""
+    out = sf_.count_sliding_aggregate(_sv(spark, sf), ["id"], ["seq"], P.COUNT_SIZE, P.COUNT_SLIDE, "vc", udaf.ReduceFunction(max), "double", "max_vc")
+    return out.select("id", "fire", "n_elems", "max_vc")
+
+
+def q_sliding_min_udf(spark, sf):
+    """The same over sliding time windows with an offset."""
+    out = sf_.sliding_aggregate(
+        _sv(spark, sf), ["id"], "ts", P.SLIDE_OFF_SIZE, P.SLIDE_OFF_STEP, "vc", udaf.ReduceFunction(min), "double", "min_vc", P.SLIDE_OFF_OFFSET
+    )
+    return out.select("id", "win_start", "win_end", "min_vc")
+
+
 def q_window_reduce_udf(spark, sf):
     """A user reducer per window: the minimum record, as Python."""
     out = wf.window_reduce(_sv(spark, sf), ["id"], "ts", lambda ts: win.tumbling(ts, P.TUMBLE), ["seq", "ts", "vc"], wf.smaller_record("vc", "seq"))

@@ -1,0 +1,114 @@
+"""User functions over sliding windows, and folds whose steps compose, against plain loops."""
+
+import datetime as dt
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from eddyline._ship import ship_by_value
+from eddyline.operators import sliding_fns as S
+from eddyline.operators import window_fns as wf
+from eddyline.operators import windows as win
+from eddyline.operators.udaf import AggregateFunction
+
+ship_by_value(__name__)  # the functions below run inside tasks
+
+BASE = dt.datetime(2024, 1, 1)
+SCHEMA = "seq long, key string, ts timestamp, value long"
+
+
+class Joined(AggregateFunction):
+    """All values in order of the panes, as text: no inverse, not commutative."""
+
+    skip_nulls = False
+
+    def create_accumulator(self):
+        return []
+
+    def add(self, value, acc):
+        return [*acc, value]
+
+    def merge(self, a, b):
+        return a + b
+
+    def get_result(self, acc):
+        return ",".join(sorted(map(str, acc)))
+
+
+def rows_of(n=150, keys=("a", "a", "b", None), reach=600, seed=1):
+    rng = random.Random(seed)
+    times = sorted(rng.randrange(reach) for _ in range(n))
+    return [(i, rng.choice(keys), BASE + dt.timedelta(seconds=s), None if rng.random() < 0.1 else rng.randint(0, 99)) for i, s in enumerate(times)]
+
+
+def text(values):
+    return ",".join(sorted(map(str, values)))
+
+
+@pytest.mark.parametrize("size,slide,offset", [(20, 8, 0), (60, 10, 3), (7, 7, 0), (5, 10, 0), (90, 1, -2)])
+def test_sliding_time_windows(spark, size, slide, offset):
+    rows = rows_of(reach=600 if slide > 1 else 150)
+    df = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    out = S.sliding_aggregate(df, ["key"], "ts", f"{size} seconds", f"{slide} seconds", "value", Joined(), "string", offset=f"{offset} seconds")
+    want = {}
+    for _, k, t, v in rows:
+        s = int((t - dt.datetime(1970, 1, 1)).total_seconds())
+        start = s - (s - offset) % slide
+        while start > s - size:
+            want.setdefault((k, start), []).append(v)
+            start -= slide
+    got = {(r.key, int((r.win_start - dt.datetime(1970, 1, 1)).total_seconds())): r.result for r in out.collect()}
+    assert got == {k: text(v) for k, v in want.items()}
+    assert all((r.win_end - r.win_start).seconds == size for r in out.limit(3).collect())
+
+
+@pytest.mark.parametrize("size,slide", [(5, 2), (6, 3), (4, 4), (2, 5), (50, 1)])
+@pytest.mark.parametrize("hot_rows", [None, 8])
+def test_sliding_count_windows(spark, size, slide, hot_rows):
+    rows = rows_of()
+    df = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    out = S.count_sliding_aggregate(df, ["key"], ["seq"], size, slide, "value", Joined(), "string", hot_rows=hot_rows)
+    want = {}
+    for key in {r[1] for r in rows}:
+        mine = [r[3] for r in rows if r[1] == key]
+        for k in range(slide, len(mine) + 1, slide):
+            part = mine[max(0, k - size) : k]
+            want[key, k // slide] = (len(part), text(part))
+    assert {(r.key, r.fire): (r.n_elems, r.result) for r in out.collect()} == want
+
+
+def test_no_copies_of_rows(spark):
+    """Rows are shuffled as panes; nothing copies them into windows."""
+    df = spark.createDataFrame(rows_of(), SCHEMA)
+    for out in (
+        S.sliding_aggregate(df, ["key"], "ts", "60 seconds", "1 second", "value", Joined(), "string"),
+        S.count_sliding_aggregate(df, ["key"], ["seq"], 60, 1, "value", Joined(), "string"),
+    ):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "Expand" not in plan and "Generate" not in plan
+
+
+def test_empty_and_streams(spark):
+    none = spark.createDataFrame([], SCHEMA)
+    assert S.sliding_aggregate(none, ["key"], "ts", "9 seconds", "3 seconds", "value", Joined(), "string").collect() == []
+    assert S.count_sliding_aggregate(none, ["key"], ["seq"], 5, 2, "value", Joined(), "string").collect() == []
+    no_time = spark.createDataFrame([(1, "a", None, 2)], SCHEMA)
+    assert S.sliding_aggregate(no_time, ["key"], "ts", "9 seconds", "3 seconds", "value", Joined(), "string").collect() == []
+    with pytest.raises(ValueError, match="stream"):
+        S.sliding_aggregate(spark.readStream.format("rate").load(), [], "timestamp", "9 seconds", "3 seconds", "value", Joined())
+
+
+@pytest.mark.parametrize("hot_rows", [None, 4])
+def test_composed_fold_equals_the_sequential_one(spark, hot_rows):
+    rows = [r for r in rows_of(200) if r[3] is not None]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    w = win.tumbling("ts", "150 seconds")
+    plain = wf.window_fold(df, ["key"], w, "seq", F.lit(1).cast("long"), lambda acc, x: (acc * 7 + x["value"]) % 1009, ["value"])
+    composed = wf.window_fold_composed(
+        df, ["key"], w, "seq",
+        lambda x: F.struct(F.lit(7).cast("long").alias("a"), x["value"].alias("b")),
+        lambda f, g: F.struct((f["a"] * g["a"] % 1009).alias("a"), ((f["b"] * g["a"] + g["b"]) % 1009).alias("b")),
+        lambda f: (f["a"] + f["b"]) % 1009, ["value"], hot_rows=hot_rows,
+    )
+    assert sorted(map(tuple, composed.collect()), key=repr) == sorted(map(tuple, plain.collect()), key=repr)
