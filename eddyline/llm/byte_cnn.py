@@ -2,15 +2,15 @@
 
 A text's UTF-8 bytes are cut into chunks of ``CHUNK`` bytes that overlap by ``WIDTH`` - 1, so
 every window of ``WIDTH`` bytes of the whole text lies in some chunk. Bytes are embedded,
-``FILTERS`` learned filters run over the windows (every ``STRIDE`` bytes), each chunk keeps
+``FILTERS`` learned filters run over all windows, each chunk keeps
 each filter's maximum, and the mean and the maximum of these over all chunks of the text,
 with the chunks' mean fill (a short chunk has lower maxima), are combined by a small hidden
 layer into one probability.
 
 Learning: at most ``SAMPLE`` labelled rows per class, chosen by a hash of the id (never held-out
-ones), of each at most ``SAMPLE_CHUNKS`` chunks spread evenly over the text. These bounds keep
-what the driver gathers under about 15 MB at any size of the corpus; the network has some
-5,000 weights. Scoring reads every byte of every document inside the tasks, with one pass and
+ones), with their whole texts. An id with contradicting labels is not used; of rows that repeat
+an id the text of the smallest hash is taken. The bound is one of rows, at any size of the corpus; the
+network has some 5,000 weights. Scoring reads every byte of every document inside the tasks, with one pass and
 no shuffle.
 
 Defined cases: a null text scores like the empty text, which has no chunk and gets the score of
@@ -22,8 +22,6 @@ empty table gives an empty result.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -31,17 +29,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eddyline._ship import ship_by_value
-from eddyline.llm.common import byte_values, map_batches, map_rows, slices
+from eddyline.llm.common import byte_values, map_rows
 
 CHUNK = 512
 WIDTH = 8
-STRIDE = 2
 DIM = 8
 FILTERS = 16
 HIDDEN = 12
 SAMPLE = 800
-SAMPLE_CHUNKS = 16
-EPOCHS = 32
+EPOCHS = 16
 BATCH = 32
 EXCERPTS = 0.4  # share of the texts shown as a short excerpt
 RATE = 0.01
@@ -49,7 +45,7 @@ SEED = 20240607
 FOLDS, HELD_OUT = 3, 1
 BLOCK = 64  # chunks of one matrix product
 STEP = CHUNK - (WIDTH - 1)
-WINDOWS = (CHUNK - WIDTH) // STRIDE + 1
+WINDOWS = CHUNK - WIDTH + 1
 
 
 def chunks_of(text: bytes) -> np.ndarray:
@@ -88,16 +84,18 @@ class Network:
         """Maxima (chunks, FILTERS) of the filters; with ``where`` also the best window."""
         best = np.zeros((len(chunks), FILTERS), np.float32)
         at = np.zeros((len(chunks), FILTERS), np.int64)
+        # what a byte adds to a filter at each place of a window: the products with the embedding, made once
+        given = np.einsum("bd,kdf->kbf", self.embedding, self.filters.reshape(WIDTH, DIM, FILTERS))
         for k in range(0, len(chunks), BLOCK):
             part = chunks[k : k + BLOCK]
-            flat = self.embedding[part].reshape(len(part), CHUNK * DIM)
-            windows = np.lib.stride_tricks.sliding_window_view(flat, WIDTH * DIM, axis=1)[:, :: STRIDE * DIM]
-            value = (windows.reshape(-1, WIDTH * DIM) @ self.filters).reshape(len(part), WINDOWS, FILTERS)
+            value = given[0][part[:, :WINDOWS]]
+            for j in range(1, WIDTH):
+                value += given[j][part[:, j : j + WINDOWS]]
             value += self.bias
             np.maximum(value, 0, out=value)
             if not part[:, -1].all():  # windows wholly in the padding do not count
                 used = CHUNK - (part[:, ::-1] != 0).argmax(axis=1)
-                value[np.arange(WINDOWS)[None, :] * STRIDE >= used[:, None]] = 0
+                value[np.arange(WINDOWS)[None, :] >= used[:, None]] = 0
             if where:
                 at[k : k + BLOCK] = value.argmax(axis=1)
                 best[k : k + BLOCK] = np.take_along_axis(value, at[k : k + BLOCK][:, None], axis=1)[:, 0]
@@ -172,7 +170,7 @@ def train(parts: list[np.ndarray], labels: np.ndarray, seed: int = SEED) -> Netw
             g = g + np.where(best == x[owner, FILTERS:-1], d_x[owner, FILTERS:-1], 0)
             g = np.where(best > 0, g, 0).astype(np.float32)  # (chunks, FILTERS)
             # only the best window of a chunk and filter has a gradient
-            spots = at[:, :, None] * STRIDE + np.arange(WIDTH)[None, None, :]
+            spots = at[:, :, None] + np.arange(WIDTH)[None, None, :]
             seen = chunks[np.arange(len(chunks))[:, None, None], spots]  # (chunks, FILTERS, WIDTH)
             inputs = net.embedding[seen].reshape(len(chunks), FILTERS, WIDTH * DIM)
             d_filters = np.einsum("cf,cfw->wf", g, inputs)
@@ -203,34 +201,19 @@ def fold(doc_id: Column) -> Column:
 def training_chunks(docs: DataFrame, labels: DataFrame) -> tuple[list[np.ndarray], np.ndarray]:
     """Chunks and labels of the bounded sample."""
     usable = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & (fold(F.col("doc_id")) != HELD_OUT))
+    one = usable.groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("quality").alias("other")).where("quality = other")
     picks = []
     for label in (0, 1):
-        one = usable.where(F.col("quality") == label).select("doc_id").distinct()
-        picks += [(r[0], label) for r in one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE).collect()]
-    wanted = dict(sorted(picks))
+        chosen = one.where(F.col("quality") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
+        picks += [(r["doc_id"], label) for r in chosen.select("doc_id").collect()]
+    wanted = dict(picks)
     if not wanted:
         return [], np.empty(0, np.int64)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "text"):
-                ids = part.column("doc_id").to_pylist()
-                rows = []
-                for i, b in zip(ids, byte_values(part.column("text")), strict=True):
-                    cut = chunks_of(b or b"")
-                    if len(cut) > SAMPLE_CHUNKS:
-                        cut = cut[np.linspace(0, len(cut) - 1, SAMPLE_CHUNKS).astype(int)]
-                    if len(cut):
-                        rows.append((i, cut.tobytes()))
-                i, c = zip(*rows, strict=True) if rows else ((), ())
-                yield pa.RecordBatch.from_arrays([pa.array(i, pa.int64()), pa.array(c, pa.binary())], names=["doc_id", "chunks"])
-
-    # at most 2 * SAMPLE ids, so the texts are filtered in the scan and never shuffled
-    chosen = docs.select("doc_id", "text").where(F.col("doc_id").isin(list(wanted)))
-    got = map_batches(chosen, run, "doc_id long, chunks binary").dropDuplicates(["doc_id"])
-    rows = sorted(got.collect(), key=lambda r: r["doc_id"])
-    parts = [np.frombuffer(r["chunks"], np.uint8).reshape(-1, CHUNK) for r in rows]
-    return parts, np.array([wanted[r["doc_id"]] for r in rows], np.int64)
+    # at most 2 * SAMPLE ids, so the texts are filtered in the scan
+    found = docs.select("doc_id", "text").where(F.col("doc_id").isin(list(wanted)) & (F.col("text") != ""))
+    found = found.groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text"))["text"].alias("text"))
+    rows = sorted(found.collect(), key=lambda r: r["doc_id"])
+    return [chunks_of(r["text"].encode()) for r in rows], np.array([wanted[r["doc_id"]] for r in rows], np.int64)
 
 
 def score(docs: DataFrame, network: Network, text: str = "text") -> DataFrame:

@@ -25,6 +25,43 @@ def test_gradients_train_a_separable_task():
     assert ((net.scores(texts[80:]) >= 0.5) == labels[80:]).all()
 
 
+def test_scores_match_a_plain_convolution():
+    """Every window of every chunk, one after the other, in Python."""
+    net = B.Network(np.random.default_rng(3))
+    net.bias[:] = 0.1
+    rng = np.random.default_rng(4)
+    for n in (0, 1, 5, 8, 60, 511, 513, 1300):
+        text = bytes(rng.integers(1, 256, n, dtype=np.uint8))
+        pooled, fills = [], []
+        for start in range(0, max(n - B.WIDTH + 1, 1) if n <= B.CHUNK else n, B.STEP):
+            chunk = text[start : start + B.CHUNK]
+            if start and start + B.CHUNK - B.STEP >= n:
+                break
+            best = np.zeros(B.FILTERS)
+            for i in range(min(len(chunk), B.WINDOWS)):
+                window = chunk[i : i + B.WIDTH]
+                x = np.concatenate([net.embedding[b] for b in window] + [np.zeros(B.DIM)] * (B.WIDTH - len(window)))
+                best = np.maximum(best, x @ net.filters + net.bias)
+            if len(chunk):
+                pooled.append(best)
+                fills.append(np.log2(1 + len(chunk)) / np.log2(1 + B.CHUNK))
+        x = np.concatenate([np.mean(pooled, axis=0), np.max(pooled, axis=0), [np.mean(fills)]]) if pooled else np.zeros(2 * B.FILTERS + 1)
+        hidden = np.tanh(x @ net.hidden + net.hidden_bias)
+        assert abs(net.scores([text])[0] - 1 / (1 + np.exp(-(hidden @ net.out + net.out_bias[0])))) < 1e-4, n
+
+
+def test_contradicting_labels_and_repeated_ids(spark):
+    rows = [(k, f"text number {k}") for k in range(30)] + [(4, "another text")]
+    labels = [(k, k % 2, 0) for k in range(30)] + [(0, 1, 0), (3, 1, 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    lab = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    parts, y = B.training_chunks(df, lab)
+    want = [k for k in range(1, 30) if zlib.crc32(str(k).encode()) % 3 != 1]
+    assert y.tolist() == [k % 2 for k in want]
+    again, _ = B.training_chunks(df.orderBy(df.doc_id.desc()).repartition(3), lab)
+    assert all((a == b).all() for a, b in zip(parts, again, strict=True))
+
+
 def test_scores_are_per_row_and_batch_free(spark, docs, rows, empty, clashing):
     net = B.Network(np.random.default_rng(5))
     out = B.score(docs, net)
