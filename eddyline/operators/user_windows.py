@@ -136,6 +136,56 @@ def _on_stream(rows, keys, fn, result_type, result_name, merging, updates) -> Da
     return out.select(*keys, *times, F.col("_result").alias(result_name), *([F.col("_gone").alias("retracted")] if updates else []))
 
 
+def processing_sessions(
+    df: DataFrame, keys: list[str], gap: str | Column, value: str | Column, fn: AggregateFunction,
+    result_type: str = "double", result_name: str = "result",
+) -> DataFrame:
+    """``(keys..., win_start, win_end, result)`` over sessions by the time at which a stream's rows are
+    handled (``ProcessingTimeSessionWindows``), also across micro-batches. ``gap``: an interval string,
+    or a Column of day-time intervals. Such a query runs until it is stopped, as its timers may."""
+    from eddyline.streaming.aggregate import ProcessingSessionProcessor
+    from eddyline.streaming.stateful import use_rocksdb
+
+    if not df.isStreaming:
+        raise ValueError("a table has no processing time: use session_aggregate on a time column")
+    use_rocksdb(df.sparkSession)
+    v = F.col(value) if isinstance(value, str) else value
+    from_zero = F.expr("TIMESTAMP_SECONDS(0)") + gap_interval(gap)
+    rows = df.select(*keys, F.unix_millis(from_zero).alias("_gap"), v.alias("_value"))
+    tail = T.StructType.fromDDL(f"_start long, _end long, _result {result_type}").fields
+    schema = T.StructType([*(df.schema[k] for k in keys), *tail])
+    out = rows.groupBy(*keys).transformWithState(ProcessingSessionProcessor(fn, keys), schema, "Update", "ProcessingTime")
+    times = [F.timestamp_micros(c).alias(name) for c, name in (("_start", "win_start"), ("_end", "win_end"))]
+    return out.select(*keys, *times, F.col("_result").alias(result_name))
+
+
+def late_windows(
+    df: DataFrame, keys: list[str], ts: str, win: Callable[[str], Column], value: str | Column, fn: AggregateFunction,
+    bound: str, lateness: str = "0 seconds", result_type: str = "double", result_name: str = "result",
+) -> DataFrame:
+    """Fixed windows of a stream with allowed lateness and a side output, kept in the state store alone.
+    ``(keys..., win_start, win_end, result, firing, side, value)``: firing 0 when the watermark (``bound``
+    behind the largest time of the micro-batches before) passes the end, 1, 2, ... for each row
+    that is late but allowed; rows later than that have ``side`` true and their own ``value``."""
+    from eddyline.operators.windows import duration_us
+    from eddyline.streaming.aggregate import LateWindowProcessor
+    from eddyline.streaming.stateful import use_rocksdb
+
+    use_rocksdb(df.sparkSession)
+    v = F.col(value) if isinstance(value, str) else value
+    rows = df.withWatermark(ts, bound).select(*keys, win(ts).alias("_w"), v.alias("_value"))
+    rows = rows.select(*keys, "_w.start", "_w.end", "_value")
+    dt = rows.schema["start"].dataType
+    # without the time column itself, Spark does not drop the rows that it takes for late
+    given = rows.select(*keys, micros(rows, F.col("start")).alias("_start"), micros(rows, F.col("end")).alias("_end"), "_value")
+    tail = T.StructType.fromDDL(f"_start long, _end long, _result {result_type}, _firing long, _side boolean").fields
+    schema = T.StructType([*(rows.schema[k] for k in keys), *tail, T.StructField("_value", rows.schema["_value"].dataType)])
+    out = given.groupBy(*keys).transformWithState(LateWindowProcessor(fn, keys, duration_us(lateness)), schema, "Update", "EventTime")
+    times = [from_micros(F.col(c), dt).alias(name) for c, name in (("_start", "win_start"), ("_end", "win_end"))]
+    named = {"_result": result_name, "_firing": "firing", "_side": "side", "_value": "value"}
+    return out.select(*keys, *times, *[F.col(c).alias(n) for c, n in named.items()])
+
+
 def last_updates(df: DataFrame, keys: list[str], name: str, checkpoint: str | None = None) -> DataFrame:
     """Run a stream of ``updates`` over the data available now and return the windows as they are at
     its end: every open window counts as complete, as in the batch form."""

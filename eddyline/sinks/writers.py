@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from eddyline.fixed import PRINT_LABEL_FORMAT
+from eddyline.streaming.run import checkpoint_location
 
 
 # ---------------------------------------------------------------- print (O1, O2)
@@ -30,11 +31,19 @@ def _print_lines(lines: Iterator[str]) -> None:
         print(line, flush=True)
 
 
-def print_rows(df: DataFrame, label: str | None = None, text: Column | None = None, out: Callable[[Iterator[str]], None] = _print_lines):
+def print_rows(
+    df: DataFrame,
+    label: str | None = None,
+    text: Column | None = None,
+    out: Callable[[Iterator[str]], None] = _print_lines,
+    checkpoint: str | None = None,
+):
     """Print every row, from the tasks that hold them (to their standard output, or to
-    ``out(lines)``). Batch: returns the number of rows; stream: starts and returns the query."""
+    ``out(lines)``). Batch: returns the number of rows; stream: starts and returns the query, whose
+    checkpoint lies below the cluster's shared folder unless one is given."""
     if df.isStreaming:
-        return df.writeStream.foreachBatch(lambda batch, _: print_rows(batch, label, text, out)).start()
+        writer = df.writeStream.foreachBatch(lambda batch, _: print_rows(batch, label, text, out))
+        return writer.option("checkpointLocation", checkpoint or checkpoint_location(df.sparkSession, "print")).start()
     printed = df.sparkSession.sparkContext.accumulator(0)
 
     def part(rows: Iterator[Row]) -> None:

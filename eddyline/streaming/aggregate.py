@@ -146,6 +146,119 @@ class AggregateWindowProcessor(StatefulProcessor):
         pass
 
 
+class ProcessingSessionProcessor(StatefulProcessor):
+    """Sessions by the time at which rows are handled: rows of one micro-batch or of several belong
+    to one session while less than the gap passes between them. A key has one open session, as
+    time only goes on; a processing-time timer emits it when the gap has passed. Rows have a
+    ``_gap`` (milliseconds) and a ``_value``; output: the keys, ``_start``, ``_end`` (microseconds), ``_result``."""
+
+    def __init__(self, fn: AggregateFunction, keys: list[str]):
+        self.fn, self.keys = fn, keys
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.open = handle.getValueState("open", "start long, end long, acc binary")
+
+    def _row(self, key, start, end, acc) -> Row:
+        return Row(**dict(zip(self.keys, key)), _start=1000 * start, _end=1000 * end, _result=self.fn.get_result(acc))
+
+    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: TimerValues) -> Iterator[Row]:
+        now = timerValues.getCurrentProcessingTimeInMs()
+        held = self.open.get() if self.open.exists() else None
+        start, end, acc = now, now, None
+        if held is not None:
+            if now <= held[1]:
+                start, end, acc = held[0], held[1], pickle.loads(bytes(held[2]))
+            else:  # its timer has not run yet
+                yield self._row(key, held[0], held[1], pickle.loads(bytes(held[2])))
+        acc = self.fn.create_accumulator() if acc is None else acc
+        for r in rows:
+            end = max(end, now + r["_gap"])
+            value = plain(r["_value"])
+            acc = acc if value is None and self.fn.skip_nulls else self.fn.add(value, acc)
+        self.open.update((start, end, pickle.dumps(acc)))
+        self.handle.registerTimer(end)
+
+    def handleExpiredTimer(self, key: Any, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[Row]:
+        held = self.open.get() if self.open.exists() else None
+        if held is not None and held[1] <= expiredTimerInfo.getExpiryTimeInMs():  # not extended since
+            yield self._row(key, held[0], held[1], pickle.loads(bytes(held[2])))
+            self.open.clear()
+
+    def close(self) -> None:
+        pass
+
+
+class LateWindowProcessor(AggregateWindowProcessor):
+    """Fixed windows with allowed lateness and a side output, all in the state store. A window fires
+    (``_firing`` 0) when the watermark passes its end; a row that comes later fires it again (1, 2, ...)
+    until the watermark passes the end by the lateness; rows that come later still are given out
+    as they are (``_side``, with ``_value``). A window without rows in time has no firing 0.
+    Output: the keys, ``_start``, ``_end``, ``_result``, ``_firing``, ``_side``, ``_value``."""
+
+    def __init__(self, fn: AggregateFunction, keys: list[str], lateness_us: int):
+        super().__init__(fn, keys, merging=False)
+        self.lateness = lateness_us
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.open = handle.getMapState("open", "end long", "start long, acc binary, firing long")
+        # expiry in milliseconds -> the window that it ends
+        self.due = handle.getMapState("due", "at long, end long", "fires boolean")
+
+    def _out(self, key, start, end, acc, firing) -> Row:
+        result = self.fn.get_result(acc)
+        return Row(**dict(zip(self.keys, key)), _start=start, _end=end, _result=result, _firing=firing, _side=False, _value=None)
+
+    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: TimerValues) -> Iterator[Row]:
+        watermark = timerValues.getCurrentWatermarkInMs()
+        held: dict[int, list] = {}
+        for r in rows:
+            start, end = r["_start"], r["_end"]
+            if self._is_late(end + self.lateness, watermark):
+                yield Row(**dict(zip(self.keys, key)), _start=start, _end=end, _result=None, _firing=None, _side=True, _value=r["_value"])
+                continue
+            if end not in held:
+                if self.open.containsKey((end,)):
+                    found = self.open.getValue((end,))
+                    held[end] = [found[0], pickle.loads(bytes(found[1])), found[2]]
+                else:
+                    held[end] = [start, self.fn.create_accumulator(), 0]
+                    self._await(end, watermark)
+            late, due = self._is_late(end, watermark), (self._timer(end), end)
+            if late and self.due.containsKey(due):  # its timer runs only after this micro-batch's rows
+                self.due.removeKey(due)
+                yield self._out(key, start, end, held[end][1], 0)
+            held[end][1] = self._add(r["_value"], held[end][1])
+            if late:
+                held[end][2] += 1
+                yield self._out(key, start, end, held[end][1], held[end][2])
+        for end, (start, acc, firing) in held.items():
+            self.open.updateValue((end,), (start, pickle.dumps(acc), firing))
+
+    def _await(self, end: int, watermark: int) -> None:
+        if not self._is_late(end, watermark):
+            self.due.updateValue((self._timer(end), end), (True,))
+            self.handle.registerTimer(self._timer(end))
+        if self.lateness or self._is_late(end, watermark):
+            self.due.updateValue((self._timer(end + self.lateness), end), (False,))
+            self.handle.registerTimer(self._timer(end + self.lateness))
+
+    def handleExpiredTimer(self, key: Any, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[Row]:
+        at = expiredTimerInfo.getExpiryTimeInMs()
+        # windows end at whole milliseconds: the one that ends now, the one whose lateness does
+        for end in sorted({(at + 1) * 1000, (at + 1) * 1000 - self.lateness}):
+            if not self.due.containsKey((at, end)):
+                continue
+            fires = self.due.getValue((at, end))[0]
+            self.due.removeKey((at, end))
+            start, acc, _ = self.open.getValue((end,))
+            if fires:
+                yield self._out(key, start, end, pickle.loads(bytes(acc)), 0)
+            if not fires or not self.lateness:
+                self.open.removeKey((end,))
+
+
 from eddyline._ship import ship_by_value  # noqa: E402
 
 ship_by_value(__name__)

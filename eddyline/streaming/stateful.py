@@ -566,7 +566,7 @@ class ProcessWindowProcessor(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.elements = handle.getMapState("elements", "start long, seq long", "ts long, v double")
+        self.elements = handle.getMapState("elements", "start long, n long", "seq long, ts long, v double")
         self.counts = handle.getMapState("counts", "start long", "n long")
         self.own = handle.getMapState("own", "start long", "state binary")
         self.shared = handle.getValueState("shared", "state binary")
@@ -579,12 +579,14 @@ class ProcessWindowProcessor(StatefulProcessor):
             if n == 0:
                 self.handle.registerTimer(start + self.size - 1)
             self.counts.updateValue((start,), (n + 1,))
-            self.elements.updateValue((start, int(r[self.order])), (t, float(r[self.value])))
+            self.elements.updateValue((start, n), (int(r[self.order]), t, float(r[self.value])))
         return iter(())
 
     def handleExpiredTimer(self, key: Any, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[Row]:
         start = expiredTimerInfo.getExpiryTimeInMs() - self.size + 1
-        found = [(k[1], v[0], v[1]) for k, v in self.elements.iterator() if k[0] == start]
+        # the window's own elements, by number: other open windows are not looked at
+        places = [(start, k) for k in range(self.counts.getValue((start,))[0])]
+        found = [tuple(self.elements.getValue(p)) for p in places]
         own = pickle.loads(bytes(self.own.getValue((start,))[0])) if self.own.containsKey((start,)) else {}
         shared = pickle.loads(bytes(self.shared.get()[0])) if self.shared.exists() else {}
         ctx = WindowContext(
@@ -596,8 +598,8 @@ class ProcessWindowProcessor(StatefulProcessor):
         self.evictor.evict_after(kept)
         self.function.clear(key, ctx)
         self.shared.update((pickle.dumps(ctx.global_state),))
-        for seq, _, _ in found:
-            self.elements.removeKey((start, seq))
+        for place in places:
+            self.elements.removeKey(place)
         self.counts.removeKey((start,))
         if self.own.containsKey((start,)):
             self.own.removeKey((start,))

@@ -199,6 +199,103 @@ def test_append_fires_once_and_drops_late_rows(spark, tmp_path):
     assert got == [(0, 2), (30, 2)]  # the row of second 3 came after its window had fired
 
 
+@pytest.mark.parametrize("lateness", [0, 6, 60])
+def test_late_windows_in_the_state_store_equal_the_batch(spark, tmp_path, lateness):
+    """One row a micro-batch, with a restart: firings and side output are those of the batch form."""
+    from eddyline.operators import late
+
+    secs = [1, 20, 2, 21, 3, 22, 17, 40, 26, 18, 3, 70]
+    folder = tmp_path / "in"
+    folder.mkdir()
+    rows = [(i, "k", BASE + dt.timedelta(seconds=s), float(s)) for i, s in enumerate(secs)]
+    ck, got = checkpoint_location(spark, "late"), []
+
+    def run():
+        s = parsed(read_lines(spark, str(folder), "streaming", max_files_per_trigger=1))
+        out = uw.late_windows(
+            s, ["key"], "ts", lambda ts: win.tumbling(ts, "5 seconds"), "value", CountFunction(), "0 seconds", f"{lateness} seconds", "bigint", "cnt"
+        )
+        foreach_batch_available(out, lambda b, _: got.extend(b.collect()), "late", ck)
+
+    for part in (rows[:6], rows[6:]):
+        write_files(folder, [[r] for r in part], part[0][0])
+        run()
+    df = spark.createDataFrame(rows, SCHEMA)
+    batch = late.classify(df, "ts", ["seq"], "5 seconds", "0 seconds", f"{lateness} seconds")
+    side = sorted(r.value for r in late.side_output(batch).collect())
+    fired = sorted((r.win_start, r.firing, r.cnt) for r in late.allowed_lateness(batch, "key", "value", ["seq"]).collect())
+    assert sorted(r.value for r in got if r.side) == side and (lateness == 60 or side)
+    # the batch form also fires the window that is still open at the end
+    last = BASE + dt.timedelta(seconds=70)
+    assert sorted((r.win_start, r.firing, r.cnt) for r in got if not r.side) == [x for x in fired if x[0] < last]
+
+
+def test_processing_time_sessions_over_micro_batches(spark, tmp_path):
+    """Three micro-batches within the gap are one session; one after it is a second."""
+    s = parsed(read_lines(spark, str(tmp_path), "streaming", max_files_per_trigger=1))
+    out = uw.processing_sessions(s, ["key"], "6 seconds", "value", CountFunction(), "bigint", "n")
+    got, ids = [], []
+
+    def keep(batch, batch_id):
+        found = batch.collect()
+        got.extend(found)
+        ids.append(batch_id)
+
+    query = (
+        out.writeStream.foreachBatch(keep).outputMode("update").option("checkpointLocation", checkpoint_location(spark, "psess"))
+        .trigger(processingTime="200 milliseconds").start()
+    )
+
+    def wait(done, seconds=90):
+        until = time.time() + seconds
+        while not done() and time.time() < until:
+            assert query.isActive, query.exception()
+            time.sleep(0.2)
+        assert done()
+
+    def taken():  # rows that the query has read
+        return sum(p["numInputRows"] for p in query.recentProgress)
+
+    try:
+        for k in range(3):
+            write_files(tmp_path, [[(k, "k", BASE, 1.0), (k, "k", BASE, None)]], k)
+            wait(lambda k=k: taken() >= 2 * (k + 1))
+        wait(lambda: len(got) == 1)
+        write_files(tmp_path, [[(9, "k", BASE, 1.0)]], 9)
+        wait(lambda: len(got) == 2)
+    finally:
+        query.stop()
+    assert [r.n for r in got] == [6, 1]
+    assert got[0].win_end <= got[1].win_start and (got[0].win_end - got[0].win_start).total_seconds() >= 6
+    with pytest.raises(ValueError, match="processing time"):
+        uw.processing_sessions(spark.createDataFrame([], SCHEMA), ["key"], "6 seconds", "value", CountFunction())
+
+
+def test_elements_with_one_order_number_are_two(spark, tmp_path):
+    """The process function sees every element, also those that share their order number."""
+    from eddyline.streaming import stateful as st
+
+    class All(st.WindowFunction):
+        def process(self, key, ctx, elements):
+            yield ctx.window_start, len(elements), sum(e[2] for e in elements)
+
+    st.use_rocksdb(spark)
+    rows = [(1, "k", BASE, 1.0), (1, "k", BASE, 2.0), (1, "k", BASE + dt.timedelta(seconds=11), 4.0), (2, "k", BASE + dt.timedelta(seconds=90), 8.0)]
+    write_files(tmp_path, [rows[:2], rows[2:3], rows[3:]])
+    s = stream_of(spark, str(tmp_path), "0 seconds")
+    proc = st.ProcessWindowProcessor(10_000, All(), ["start", "n", "total"])
+    out = s.groupBy("key").transformWithState(proc, "key string, start long, n long, total double", "Update", "EventTime")
+    assert sorted((r.n, r.total) for r in run_available(out, "ctx", "update").collect()) == [(1, 4.0), (2, 3.0)]
+
+
+def test_current_time_millis(spark):
+    from eddyline.functions.clock import current_time_millis
+
+    before = int(time.time() * 1000)
+    rows = spark.range(5).select(current_time_millis().alias("t")).collect()
+    assert len({r.t for r in rows}) == 1 and before - 1000 <= rows[0].t <= time.time() * 1000 + 1000
+
+
 def test_reduce_on_sessions_and_streams(spark, tmp_path):
     rows = [(i, k, t, v or 0.0) for i, k, t, v in rows_of(late=10, keys=("a", "b"))]
     write_files(tmp_path, thirds(rows))
