@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eddyline._ship import ship_by_value
-from eddyline.llm.common import WordHashes, byte_values, map_batches, map_rows, window_hashes
+from eddyline.llm.common import WordHashes, attach, byte_values, map_batches, map_rows, window_hashes
 from eddyline.llm.components import components
 from eddyline.session import materialize, target_parallelism
 
@@ -244,9 +244,10 @@ def cut_regions(found: DataFrame) -> tuple[DataFrame, DataFrame]:
 def hub_pairs(dense: DataFrame, classes: DataFrame) -> DataFrame:
     """Every class of a dense region (``dense(tree, label, a)``) with the region's hubs."""
     region = F.xxhash64("tree", F.substring("label", 1, 4 * BASE)).alias("region")
-    members = dense.select(region, F.col("a").alias("set_hash"))
-    blocks = members.groupBy("region").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
-    signed = members.join(blocks, "region").join(classes.select("set_hash", "signature"), "set_hash")
+    members = materialize(dense.select(region, F.col("a").alias("set_hash")))
+    sizes = materialize(members.groupBy("region").agg(F.count(F.lit(1)).alias("rows")))
+    blocks = sizes.withColumn("blocks", F.ceil(F.col("rows") / BLOCK))
+    signed = attach(members, blocks, ["region"], "rows").join(classes.select("set_hash", "signature"), "set_hash")
     signed = signed.withColumn("block", F.pmod(F.xxhash64("set_hash"), F.col("blocks")))
 
     def rank(key: tuple[pa.Scalar, pa.Scalar], table: pa.Table) -> pa.Table:
@@ -265,7 +266,8 @@ def hub_pairs(dense: DataFrame, classes: DataFrame) -> DataFrame:
     ranked = signed.groupBy("region", "block").applyInArrow(rank, "region long, hub long, score long")
     best = F.max(F.struct("score", "hub")).alias("best")
     hubs = ranked.groupBy("region", F.pmod("hub", F.lit(HUBS)).alias("part")).agg(best).select("region", "best.hub")
-    return members.join(hubs, "region").select(F.col("set_hash").alias("a"), F.col("hub").alias("b"))
+    hubs = hubs.groupBy("region").agg(F.collect_list("hub").alias("hubs")).join(sizes, "region")  # HUBS at most
+    return attach(members, materialize(hubs), ["region"], "rows").select(F.col("set_hash").alias("a"), F.explode("hubs").alias("b"))
 
 
 def ordered(pairs: DataFrame) -> DataFrame:
@@ -470,7 +472,8 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     slim = materialize(profile(hashed, "text", ["doc_id", "text_hash"]))
     classes = materialize(
         slim.where("n_shingles > 0").groupBy("set_hash").agg(
-            F.min("doc_id").alias("first_id"), F.min("text_hash").alias("text_hash"), F.first("signature").alias("signature")
+            F.min("doc_id").alias("first_id"), F.min("text_hash").alias("text_hash"), F.first("signature").alias("signature"),
+            F.count(F.lit(1)).alias("copies"),
         )
     )
     rows = classes.count() * TREES
@@ -490,9 +493,10 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     named = classes.select("set_hash", "first_id").join(groups.withColumnRenamed("node", "set_hash"), "set_hash")
     smallest = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
     grouped = named.join(smallest, "root").select("set_hash", "component_id")
-    known = classes.select("set_hash", "first_id").join(grouped, "set_hash", "left")
-    known = known.select("set_hash", F.coalesce("component_id", "first_id").alias("component_id"))
-    out = slim.select("doc_id", "text_hash", "n_shingles", "set_hash").join(known, "set_hash", "left")
+    known = classes.select("set_hash", "first_id", "copies").join(grouped, "set_hash", "left")
+    known = materialize(known.select("set_hash", F.coalesce("component_id", "first_id").alias("component_id"), "copies"))
+    # a class may hold a third of all documents
+    out = attach(slim.select("doc_id", "text_hash", "n_shingles", "set_hash"), known, ["set_hash"], "copies", "left")
     own = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", "text_hash", "n_shingles", own.alias("component_id")).withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id"))

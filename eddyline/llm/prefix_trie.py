@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eddyline._ship import ship_by_value
-from eddyline.llm.common import map_batches
+from eddyline.llm.common import attach, map_batches
 from eddyline.operators.prefix import Running, running
 from eddyline.session import materialize, target_parallelism
 
@@ -59,23 +59,6 @@ HEADS = 3  # turns of another conversation that a rebuilt one starts with, at mo
 FAMILY = 20
 
 
-# ---------------------------------------------------------------- hot-safe lookup
-
-
-def attach(rows: DataFrame, table: DataFrame, keys: list[str], weight: str, how: str = "inner") -> DataFrame:
-    """``rows`` with the columns of ``table``, which has one row per key and the number of rows
-    of that key in ``weight``. Keys of more than ``total / P`` rows (fewer than P, whatever the
-    data) are broadcast, the others joined by a shuffle."""
-    total, most = table.agg(F.coalesce(F.sum(weight), F.lit(0)), F.coalesce(F.max(weight), F.lit(0))).first()
-    limit = total // target_parallelism(rows.sparkSession) + 1
-    if most <= limit:
-        return rows.join(table.drop(weight), keys, how)
-    hot = table.where(F.col(weight) > limit).drop(weight)
-    cold = table.where(F.col(weight) <= limit).drop(weight)
-    rest = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti")
-    return rows.join(F.broadcast(hot), keys).unionByName(rest.join(cold, keys, how))
-
-
 # ---------------------------------------------------------------- the sketch
 
 
