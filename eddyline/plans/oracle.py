@@ -164,6 +164,13 @@ ORACLE: dict[str, str] = {
         "SELECT doc_id, line_no, CAST(generate_subscripts(p, 1) - 1 AS INTEGER) AS pos, unnest(p) AS part FROM ("
         f"SELECT doc_id, line_no, {_jsplit('value', ',')} AS p FROM ({LINES}))"
     ),
+    "process_split_fn": (
+        "SELECT doc_id, line_no, CAST(generate_subscripts(p, 1) - 1 AS INTEGER) AS pos, unnest(p) AS part FROM ("
+        f"SELECT doc_id, line_no, {_jsplit('value', ',')} AS p FROM ({LINES}))"
+    ),
+    "process_side_output_fn": (
+        f"SELECT seq, id, round(vc - {P.ALERT}, 2) AS excess, ts FROM ({SV}) WHERE vc > {P.ALERT}"
+    ),
     "process_key_sum": (
         "SELECT doc_id, line_no, pos, word, "
         f"row_number() OVER (PARTITION BY word ORDER BY doc_id, line_no, pos) AS cnt FROM ({WORDS})"

@@ -8,6 +8,7 @@ places, so both engines agree despite different summation orders.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,6 +34,8 @@ from eddyline.operators import windows as win
 from eddyline.operators.combine import connect_comap, union_all
 from eddyline.operators.prefix import Running, running
 from eddyline.operators import udaf
+from eddyline.operators.process import process
+from eddyline.operators.process_fns import AlertFunction, SplitFunction
 from eddyline.operators.rich_map import SensorLineParser, rich_map
 from eddyline.operators.udf_reduce import latest_max_reducer, rolling_reduce_fn
 from eddyline.plans import params as P
@@ -76,6 +79,21 @@ def q_word_count_key_expr(spark, sf):
     return pairs.groupBy(keyed.key_expr("substring(word, 1, 1)").alias("initial")).agg(F.sum("one").alias("cnt"))
 
 
+def q_process_split_fn(spark, sf):
+    """The same split as a user process function: 0 to n rows per element."""
+    lines = document_lines(spark, sf)
+    make = functools.partial(SplitFunction, ("doc_id", "line_no"), ",")
+    return process(lines, make, "doc_id long, line_no int, pos int, part string").main
+
+
+def q_process_side_output_fn(spark, sf):
+    """A process function's side output: readings above a limit with their excess and time."""
+    rows = sensor_view(spark, sf).select("seq", "id", "ts", "vc")
+    alerts = "seq long, id string, excess double, ts timestamp_ntz"
+    out = process(rows, functools.partial(AlertFunction, P.ALERT), "seq long, id string, vc double", {"alerts": alerts}, ts="ts")
+    return out.side("alerts").select("seq", "id", _r2("excess").alias("excess"), "ts")
+
+
 def q_process_split_comma(spark, sf):
     lines = document_lines(spark, sf)
     return lines.select("doc_id", "line_no", F.posexplode(java_split("value", ",")).alias("pos", "part"))
