@@ -232,6 +232,12 @@ ORACLE: dict[str, str] = {
         f"WINDOW s AS (PARTITION BY id ORDER BY rn ROWS BETWEEN {P.COUNT_SIZE - 1} PRECEDING AND CURRENT ROW)) "
         f"WHERE rn % {P.COUNT_SLIDE} = 0"
     ),
+    "trigger_purging_fn": (
+        f"SELECT id, {_ts('ws')} AS win_start, (rn - 1) // {P.TRIGGER_EVERY} AS firing, count(*) AS cnt, round(sum(vc), 2) AS sum_vc "
+        f"FROM (SELECT *, row_number() OVER (PARTITION BY id, ws ORDER BY ts) AS rn FROM "
+        f"(SELECT *, {_start_us('ts', P.TRIGGER_SIZE)} AS ws FROM ({SV}))) "
+        f"GROUP BY id, ws, firing HAVING count(*) = {P.TRIGGER_EVERY}"
+    ),
     "session_count": _session(str(duration_us(P.SESSION_GAP))),
     "session_dynamic_count": _session(
         f"CASE WHEN event_type = 'purchase' THEN {duration_us(P.DYN_GAP_PURCHASE)} "

@@ -22,6 +22,8 @@ EVICT_KEEP = 3
 EVICT_TIME = "6 hours"
 EVICT_DELTA = 50.0
 ALERT = 60.0
+TRIGGER_SIZE = "30 days"
+TRIGGER_EVERY = 5
 LATE_SIZE = "1 hour"
 LATE_BOUND = "4 hours"
 LATE_LATENESS = "1 hour"

@@ -38,8 +38,11 @@ from eddyline.operators.process import process
 from eddyline.operators.process_fns import AlertFunction, SplitFunction
 from eddyline.operators.rich_map import SensorLineParser, rich_map
 from eddyline.operators.udf_reduce import latest_max_reducer, rolling_reduce_fn
+from eddyline.operators.windows import duration_us
 from eddyline.plans import params as P
 from eddyline.sinks.writers import latest_per_key
+from eddyline.streaming import stateful as st
+from eddyline.streaming.bounded import run_bounded
 from eddyline.sources.tables import document_lines, epoch_millis, sensor_lines, sensor_view, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -355,6 +358,21 @@ def q_session_avg_udaf(spark, sf):
     return out.select("id", "win_start", "win_end", F.round("avg_vc", 6).alias("avg_vc"))
 
 
+def q_trigger_purging_fn(spark, sf):
+    """A user trigger over a table: the stream's processor, run to a final watermark."""
+    s = sensor_view(spark, sf)
+    s = s.select("seq", F.col("id").alias("key"), F.timestamp_micros(uw.micros(s, F.col("ts"))).alias("ts"), F.col("vc").alias("value"))
+    trigger = st.PurgingTrigger(st.CountTrigger(P.TRIGGER_EVERY))
+    processor = st.TriggeredWindowProcessor(duration_us(P.TRIGGER_SIZE) // 1000, trigger)
+    schema = (
+        "key string, win_start_ms long, win_end_ms long, sum_value double, cnt long, "
+        "watermark_ms long, proc_time_ms long, key_total long, firing long"
+    )
+    out = run_bounded(s, "ts", lambda rows: rows.groupBy("key").transformWithState(processor, schema, "Update", "EventTime"))
+    start = F.timestamp_add("MICROSECOND", F.col("win_start_ms") * 1000, F.expr(uw.EPOCH))
+    return out.select(F.col("key").alias("id"), start.alias("win_start"), "firing", "cnt", _r2("sum_value").alias("sum_vc"))
+
+
 def q_tumbling_process_count(spark, sf):
     out = _tumbled(spark, sf, F.count(F.lit(1)).alias("cnt"))
     return out.select(wf.label("win_start", "id").alias("label"), "cnt")

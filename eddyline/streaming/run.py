@@ -63,12 +63,12 @@ def run_available(
     return spark.table(table)
 
 
-def foreach_batch_available(df: DataFrame, fn, name: str, checkpoint: str | None = None) -> str:
+def foreach_batch_available(df: DataFrame, fn, name: str, checkpoint: str | None = None, output_mode: str = "append") -> str:
     """Run ``fn(batch_df, batch_id)`` over every micro-batch available now; returns
     the checkpoint so a restart can resume."""
     spark = df.sparkSession
     ck = checkpoint or checkpoint_location(spark, name)
-    q = df.writeStream.foreachBatch(fn).option("checkpointLocation", ck).trigger(availableNow=True).start()
+    q = df.writeStream.foreachBatch(fn).outputMode(output_mode).option("checkpointLocation", ck).trigger(availableNow=True).start()
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))

@@ -326,16 +326,18 @@ class TriggeredWindowProcessor(StatefulProcessor):
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: TimerValues) -> Iterator[Row]:
         total = self.total.get()[0] if self.total.exists() else 0
         now = self._now(timerValues)
+        held: dict[int, list] = {}  # the windows of this micro-batch's rows: read and written once
         for r in rows if self.processing else sorted(rows, key=lambda x: x[self.ts]):
             t = now if self.processing else _ms(r[self.ts])
             start = t - (t % self.size)
             end, last = start + self.size, start + self.size - 1
             if not self.processing and last + self.lateness <= now and (self.lateness or last < now):
                 continue  # the window is gone
-            k = (start,)
-            w = list(self.windows.getValue(k)) if self.windows.containsKey(k) else None
-            if w is None:
-                w = [0.0, 0, 0, False]
+            w = held.get(start)
+            if w is None and self.windows.containsKey((start,)):
+                w = held[start] = list(self.windows.getValue((start,)))
+            elif w is None:
+                w = held[start] = [0.0, 0, 0, False]
                 self.handle.registerTimer(last - self.shift)
                 if self.lateness:
                     self.handle.registerTimer(last - self.shift + self.lateness)
@@ -347,17 +349,19 @@ class TriggeredWindowProcessor(StatefulProcessor):
             total += 1
             called = self.trigger.on_late_element if late else self.trigger.on_element
             yield from self._apply(called(float(r[self.value]), start, end, w[1]), key, start, w, timerValues, total)
-            self.windows.updateValue(k, tuple(w))
+        for start, w in held.items():
+            self.windows.updateValue((start,), tuple(w))
         self.total.update((total,))
 
     def handleExpiredTimer(self, key: Any, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[Row]:
         t = expiredTimerInfo.getExpiryTimeInMs() + self.shift
         total = self.total.get()[0] if self.total.exists() else 0
-        for start_key in list(self.windows.keys()):
+        # windows have one size, so a timer names its window: the one that ends, the one whose lateness does
+        for start_key in sorted({(t + 1 - self.size,), (t + 1 - self.size - self.lateness,)}):
+            if not self.windows.containsKey(start_key):
+                continue
             start = start_key[0]
             last = start + self.size - 1
-            if t < last:
-                continue
             w = list(self.windows.getValue(start_key))
             if not w[3]:
                 yield from self._apply(self._on_time(last, start, start + self.size), key, start, w, timerValues, total)
@@ -572,14 +576,18 @@ class ProcessWindowProcessor(StatefulProcessor):
         self.shared = handle.getValueState("shared", "state binary")
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: TimerValues) -> Iterator[Row]:
+        counts: dict[int, int] = {}
         for r in rows:
             t = _ms(r[self.ts])
             start = t - (t % self.size)
-            n = self.counts.getValue((start,))[0] if self.counts.containsKey((start,)) else 0
-            if n == 0:
-                self.handle.registerTimer(start + self.size - 1)
-            self.counts.updateValue((start,), (n + 1,))
-            self.elements.updateValue((start, n), (int(r[self.order]), t, float(r[self.value])))
+            if start not in counts:
+                counts[start] = self.counts.getValue((start,))[0] if self.counts.containsKey((start,)) else 0
+                if counts[start] == 0:
+                    self.handle.registerTimer(start + self.size - 1)
+            self.elements.updateValue((start, counts[start]), (int(r[self.order]), t, float(r[self.value])))
+            counts[start] += 1
+        for start, n in counts.items():
+            self.counts.updateValue((start,), (n,))
         return iter(())
 
     def handleExpiredTimer(self, key: Any, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[Row]:
