@@ -164,6 +164,22 @@ def test_bitmap_bound_is_never_too_small(spark):
     assert sum(not r["room"] for r in out) > 50
 
 
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_lookup_by_a_hot_key(spark, how):
+    """Hot keys are broadcast, the others joined; null keys match nothing."""
+    from collections import Counter
+
+    from eddyline.llm.common import attach
+
+    keys = [1] * 500 + [2] * 300 + list(range(3, 60)) + [None] * 40
+    rows = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "k long, i long").repartition(5)
+    sizes = Counter(k for k in keys if k is not None and k < 50)
+    table = spark.createDataFrame([(k, f"v{k}", n) for k, n in sizes.items()], "k long, v string, n long")
+    out = attach(rows, table, ["k"], "n", how)
+    want = [(k, i, f"v{k}" if k in sizes else None) for i, k in enumerate(keys) if how == "left" or k in sizes]
+    assert sorted(map(tuple, out.select("k", "i", "v").collect()), key=repr) == sorted(want, key=repr)
+
+
 def test_representatives(docs, rows, empty, clashing):
     kept = M.keep_representatives(docs)
     assert kept.columns == docs.columns
