@@ -20,7 +20,7 @@ from eddyline.session import target_parallelism
 # whatever number of rows Arrow put into it.
 SLICE_BYTES = 4 << 20
 # Words whose hash a task remembers; the memory is dropped when it is full.
-WORD_CACHE = 300_000
+WORD_CACHE = 150_000
 
 
 def kept_by_process(key: str, make: Callable):
@@ -104,7 +104,7 @@ def map_batches(df: DataFrame, run: Callable, schema) -> DataFrame:
 
 
 # Rows and bytes of a batch that a task works on at most.
-BATCH_ROWS, BATCH_BYTES = 1000, 64 << 20
+BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
 
 
 def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -112,6 +112,8 @@ def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = min(BATCH_ROWS, max(1, batch.num_rows * BATCH_BYTES // max(1, batch.nbytes)))
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+        del batch
+        pa.default_memory_pool().release_unused()
 
 
 def map_rows(
