@@ -2,7 +2,7 @@
 
 A logging client often writes a conversation again after every turn, so the log holds prefixes
 of the same conversation. Each turn gets a rolling hash of the conversation up to it (two
-64-bit XOR sums over position, role and text: one window pass per conversation). A conversation
+64-bit XOR sums over position, role and text, by a prefix scan that cuts hot conversations). A conversation
 whose last hash is found among the inner prefixes of another is a snapshot of a longer one and
 goes, by an anti-join on (turns, hashes); of equal conversations the smallest conv_id stays.
 What is left is rendered turn by turn with the template.
@@ -18,9 +18,12 @@ not used.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from eddyline.operators.prefix import Buckets, Running, assign_buckets, running
+from eddyline.session import materialize
+
 START, END = "<|im_start|>", "<|im_end|>"
 
 
@@ -31,26 +34,29 @@ def rendered(turns: Column) -> Column:
 
 
 def rolling(turns: DataFrame) -> DataFrame:
-    """Turns with ``at`` (1-based), ``h1``, ``h2`` of the conversation up to here and ``n_turns``."""
+    """Turns with ``at`` (1-based), ``h1``, ``h2`` of the conversation up to here and ``is_last``. A
+    conversation that holds more than a task's share of the turns is cut into ranges of ``turn``."""
     rows = turns.select(
         "conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")
     )
     # a turn that names no conversation stands alone
     alone = F.when(F.col("conv_id").isNull(), F.monotonically_increasing_id())
-    rows = rows.withColumn("_alone", alone)
-    order = Window.partitionBy("conv_id", "_alone").orderBy("turn", "role", "text")
-    rows = rows.withColumn("at", F.row_number().over(order))
-    up_to = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    for name, seed in (("h1", 1), ("h2", 2)):
-        turn_hash = F.xxhash64(F.lit(seed), "at", F.length("role"), "role", "text")
-        rows = rows.withColumn(name, F.bit_xor(turn_hash).over(up_to))
-    last = F.lead(F.lit(False), 1, True).over(order)
-    return rows.withColumn("is_last", last)
-
-
-def maximal(turns: DataFrame) -> DataFrame:
-    """(conv_id, n_turns, copies, h1, h2) of the conversations that are no prefix of a longer one."""
-    marked = rolling(turns).select("conv_id", "at", "h1", "h2", "is_last")
+    rows = materialize(rows.withColumn("_alone", alone))
+    keys, order, one = ["conv_id", "_alone"], ["turn", "role", "text"], F.lit(1)
+    cut = assign_buckets(rows, keys, ["turn"])
+    counts = [Running("at", "count", one), Running("n", "count", one, whole=True)]
+    placed = running(None, keys, order, counts, keep_buckets=True, buckets=cut)
+    for name, seed in (("_x1", 1), ("_x2", 2)):
+        placed = placed.withColumn(name, F.xxhash64(F.lit(seed), "at", F.length("role"), "role", "text"))
+    hashes = [Running("h1", "xor", "_x1"), Running("h2", "xor", "_x2")]
+    out = running(None, keys, order, hashes, buckets=Buckets(placed, keys, cut.any_hot, dealt=True))
+    return out.select(*keys, "role", "text", F.col("at").cast("int").alias("at"), "h1", "h2", (F.col("at") == F.col("n")).alias("is_last"))
+
+
+def maximal(rows: DataFrame) -> DataFrame:
+    """(conv_id, n_turns, copies, h1, h2) of the conversations of ``rolling`` that are no prefix of a
+    longer one."""
+    marked = rows.select("conv_id", "at", "h1", "h2", "is_last")
     whole = marked.where("is_last").groupBy("at", "h1", "h2").agg(
         F.min("conv_id").alias("conv_id"), F.count(F.lit(1)).alias("copies")
     )
@@ -63,8 +69,8 @@ def chats(turns: DataFrame) -> DataFrame:
     """(conv_id, n_turns, copies, text): the maximal conversations, rendered.
 
     One row's turns are gathered, as the result is one text per conversation."""
-    rows = rolling(turns)
-    kept = maximal(turns)
+    rows = materialize(rolling(turns))
+    kept = maximal(rows)
     named = kept.where("conv_id is not null").select("conv_id", "n_turns", "copies")
     gathered = F.sort_array(F.collect_list(F.struct("at", "role", "text")))
     out = (

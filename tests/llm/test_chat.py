@@ -35,6 +35,17 @@ def test_matches_comparing_all_prefixes(spark):
     assert out == want
 
 
+def test_a_hot_conversation_is_cut(spark):
+    """Two conversations with most of all turns, one a snapshot of the other, among short ones."""
+    long = [f"t{k}" for k in range(600)]
+    rows = turns(1, *long[:590]) + turns(2, *long) + [t for c in range(10, 60) for t in turns(c, "t0", f"own {c}")]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    out = {r["conv_id"]: (r["n_turns"], r["copies"], r["text"]) for r in chat.query(df).collect()}
+    assert out == {2: (600, 1, render(*long))} | {c: (2, 1, render("t0", f"own {c}")) for c in range(10, 60)}
+    ranges = chat.assign_buckets(df, ["conv_id"], ["turn"]).df.groupBy("conv_id", "_b").count().where("conv_id = 2")
+    assert ranges.count() > 1
+
+
 def test_nulls_ties_and_empty(spark):
     rows = [(None, 0, "user", "hi"), (None, 0, "user", "hi"), (None, 1, "user", "alone"), (1, 0, None, None), (1, 0, None, "t"), (2, None, "user", "q"),
             (3, 0, "user", "alone")]
