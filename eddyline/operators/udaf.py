@@ -1,10 +1,10 @@
 """User-defined aggregate functions with ``create / add / merge / result``.
 
 Run in two phases like Spark's own hash aggregate: every task folds its rows
-into one accumulator per key (``mapInPandas``; flushed early when a task holds
-too many keys), the partial accumulators are shuffled by key and merged
-(a sorted pass per partition). A key's merge group has at most one row per input task and
-flush, so a hot key costs no more than a cold one.
+into one accumulator per key (``mapInArrow``; flushed early when a task holds
+``KEYS_HELD`` keys, so its memory does not grow with the input), the partial accumulators are
+shuffled by key and merged (a sorted pass per partition). A key's merge group has at most one
+row per input task and flush, so a hot key costs no more than a cold one.
 
 Rows reach the functions as Python values: a null is None, a struct a dict. Null and NaN keys
 are groups of their own, as in ``groupBy``. Null values are not added (a group of nulls only
@@ -14,7 +14,7 @@ still has a result), unless the function sets ``skip_nulls = False``.
 from __future__ import annotations
 
 import pickle
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import Any
 
 import pyarrow as pa
@@ -116,29 +116,34 @@ def value_of(key: tuple) -> tuple:
     return tuple(float("nan") if v is NAN else v for v in key)
 
 
-def aggregate(
-    df: DataFrame,
-    keys: list[str],
-    value: str,
-    fn: AggregateFunction,
-    result_type: str = "double",
-    result_name: str = "result",
-    max_keys_per_flush: int = 100_000,
-) -> DataFrame:
-    key_fields = [df.schema[k] for k in keys]
+# keys whose accumulators a task holds at a time
+KEYS_HELD = 16_384
+
+
+def _as_batch(rows: list[tuple], types: list, names: list[str]) -> pa.RecordBatch:
+    columns = zip(*rows) if rows else [()] * len(names)
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
+
 
-    def as_batch(rows: list[tuple], types: list, names: list[str]) -> pa.RecordBatch:
-        columns = zip(*rows) if rows else [()] * len(names)
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
+def partials(
+    df: DataFrame, keys: list[str], value: str, fn: AggregateFunction, max_keys_per_flush: int = KEYS_HELD,
+    places: Callable[[tuple], list[int]] | None = None,
+) -> DataFrame:
+    """``(keys..., _acc)``: the pickled accumulators of each task and flush, several for a key. With
+    ``places``, a key's accumulator comes once for each of its places, in a column ``_place``."""
+    names = [*keys, *(["_place"] if places else []), "_acc"]
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         accs: dict = {}
         types: list = []
 
         def flush():
-            rows = [(*value_of(k), pickle.dumps(a)) for k, a in accs.items()]
+            if places:
+                rows = [(*value_of(k), at, raw) for k, a in accs.items() for raw in (pickle.dumps(a),) for at in places(k)]
+            else:
+                rows = [(*value_of(k), pickle.dumps(a)) for k, a in accs.items()]
             accs.clear()
-            return as_batch(rows, [*types, pa.binary()], [*keys, "_acc"])
+            return _as_batch(rows, [*types, *([pa.int64()] if places else []), pa.binary()], names)
 
         for batch in batches:
             types = [batch.schema.field(k).type for k in keys]
@@ -149,11 +154,26 @@ def aggregate(
                 accs[k] = acc if v is None and fn.skip_nulls else fn.add(v, acc)
             if len(accs) >= max_keys_per_flush:
                 yield flush()
+                pa.default_memory_pool().release_unused()
         if accs:
             yield flush()
 
-    partial_schema = T.StructType([*key_fields, T.StructField("_acc", T.BinaryType())])
-    partials = df.select(*keys, value).mapInArrow(partial, partial_schema)
+    place = [T.StructField("_place", T.LongType())] if places else []
+    partial_schema = T.StructType([*(df.schema[k] for k in keys), *place, T.StructField("_acc", T.BinaryType())])
+    return df.select(*keys, value).mapInArrow(partial, partial_schema)
+
+
+def aggregate(
+    df: DataFrame,
+    keys: list[str],
+    value: str,
+    fn: AggregateFunction,
+    result_type: str = "double",
+    result_name: str = "result",
+    max_keys_per_flush: int = KEYS_HELD,
+) -> DataFrame:
+    key_fields = [df.schema[k] for k in keys]
+    parts = partials(df, keys, value, fn, max_keys_per_flush)
     result = T.StructType.fromDDL(f"`{result_name}` {result_type}").fields[0]
     arrow_result = to_arrow_type(result.dataType)
 
@@ -173,14 +193,14 @@ def aggregate(
                     cur, acc = k, a
                 else:
                     acc = fn.merge(acc, a)
-            yield as_batch(out, [*types, arrow_result], [*keys, result_name])
+            yield _as_batch(out, [*types, arrow_result], [*keys, result_name])
         if cur is not None:
-            yield as_batch([(*value_of(cur), fn.get_result(acc))], [*types, arrow_result], [*keys, result_name])
+            yield _as_batch([(*value_of(cur), fn.get_result(acc))], [*types, arrow_result], [*keys, result_name])
 
     if keys:
-        ordered = partials.repartition(target_parallelism(df.sparkSession), *keys).sortWithinPartitions(*keys)
+        ordered = parts.repartition(target_parallelism(df.sparkSession), *keys).sortWithinPartitions(*keys)
     else:
-        ordered = partials.repartition(1)  # one row per task
+        ordered = parts.repartition(1)  # one row per task
     return ordered.mapInArrow(merge, T.StructType([*key_fields, result]))
 
 

@@ -60,3 +60,15 @@ def test_python_folds_across_tiny_arrow_batches(spark):
         assert j.filter(F.abs(F.col("a") - F.col("e")) > 1e-9).count() == 0
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+
+
+def test_a_task_holds_a_bounded_number_of_accumulators(spark):
+    """Twice 40,000 keys in one task: far fewer are held, so both halves give an accumulator for each,
+    and the results are those of the whole."""
+    from eddyline.operators import udaf
+
+    rows = spark.range(0, 80_000, 1, 1).selectExpr("id % 40000 AS k", "id AS v")
+    assert udaf.KEYS_HELD < 40_000
+    assert udaf.partials(rows, ["k"], "v", udaf.CountFunction()).count() == 80_000
+    out = udaf.aggregate(rows, ["k"], "v", udaf.CountFunction(), "long", "n")
+    assert [tuple(r) for r in out.groupBy("n").count().collect()] == [(2, 40_000)]
