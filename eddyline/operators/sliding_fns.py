@@ -1,20 +1,22 @@
 """User aggregate functions over sliding windows (by time or by count), without copies of rows.
 
 A function that has no inverse cannot drop the element that leaves a window, and copying each row
-into the ``size / slide`` windows that hold it multiplies the data. Here rows are aggregated once
-per *pane* of ``gcd(size, slide)`` (two phases, so a hot key costs one accumulator per task), and the
-windows are put together from panes in blocks of one window's length: inside a block every pane
-gets the merge of all panes up to it (prefix) and from it on (suffix), and a window is the suffix of one
-block and the prefix of the next. That is three merges a pane, whatever the ratio of size to slide.
-A key's blocks are dealt to different tasks, so a hot key stays parallel, and a task holds at
-most one block of accumulators (``size / gcd``) at a time.
+into the ``size / slide`` windows that hold it multiplies the data. Here the rows of a task are
+aggregated per *pane* of ``gcd(size, slide)``, and the accumulators are shuffled once, by key and *stretch*
+of ``SPAN`` window lengths; those of a stretch's first window length also go to the stretch before, whose
+last windows reach into it. One sorted pass merges the accumulators of each pane and slides over
+the panes with a queue that keeps the merges of its older part from each pane on, and one merge of
+its newer part: at most three merges a pane and window, whatever the ratio of size to slide.
+A key's stretches are dealt to different tasks, so a hot key stays parallel, and a task holds at
+most one window's accumulators (``size / gcd``) at a time. ``merge`` must leave its arguments as they are.
 """
 
 from __future__ import annotations
 
 import math
 import pickle
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
+from itertools import groupby
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -23,110 +25,110 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from eddyline.operators.prefix import Running, running
-from eddyline.operators.udaf import AggregateFunction, aggregate, key_of, value_of
+from eddyline.operators.udaf import AggregateFunction, key_of, partials, value_of
 from eddyline.operators.user_windows import from_micros, micros
 from eddyline.operators.windows import duration_us
 from eddyline.session import target_parallelism
 
 
-class _Raw(AggregateFunction):
-    """A function whose result is its pickled accumulator."""
-
-    def __init__(self, fn: AggregateFunction):
-        self.fn, self.skip_nulls = fn, fn.skip_nulls
-
-    def create_accumulator(self):
-        return self.fn.create_accumulator()
-
-    def add(self, value, acc):
-        return self.fn.add(value, acc)
-
-    def merge(self, a, b):
-        return self.fn.merge(a, b)
-
-    def get_result(self, acc):
-        return pickle.dumps(acc)
-
-
-def block_parts(panes: list[tuple[int, object]], block: int, width: int, step: int, shift: int, merge):
-    """(window's first pane, 0 for a suffix or 1 for a prefix, accumulator) of the windows that touch
-    block ``block`` of ``width`` panes; windows start at panes equal to ``shift`` modulo ``step`` and
-    are ``width`` panes long. ``panes`` are those of the block that have elements, ascending."""
-    lo, hi = block * width, block * width + width
-    acc, out = None, []
-    at = len(panes)
-    start = hi - 1 - (hi - 1 - shift) % step  # the last window that starts in the block
-    while start >= lo:
-        while at and panes[at - 1][0] >= start:
-            at -= 1
-            acc = panes[at][1] if acc is None else merge(panes[at][1], acc)
-        if acc is not None:
-            out.append((start, 0, acc))
-        start -= step
-    acc, at = None, 0
-    start = lo - width + 1 + (shift - (lo - width + 1)) % step  # the first window that ends in the block
-    while start < lo:  # one that starts at the block's begin is a suffix alone
-        end = start + width - 1
-        while at < len(panes) and panes[at][0] <= end:
-            acc = panes[at][1] if acc is None else merge(acc, panes[at][1])
-            at += 1
-        if acc is not None:
-            out.append((start, 1, acc))
+# window lengths that a stretch, the unit that is dealt to a task, holds
+SPAN = 16
+BATCH_ROWS = 10_000
+
+
+def merged_panes(rows: Iterable[tuple[int, bytes]], merge: Callable) -> Iterator[tuple[int, object]]:
+    """(pane, accumulator) of pickled accumulators by ascending pane; None is none (a pane of nulls only)."""
+    now, acc = None, None
+    for pane, raw in rows:
+        part = pickle.loads(raw)
+        if part is None:
+            continue
+        if pane == now:
+            acc = merge(acc, part)
+        else:
+            if now is not None:
+                yield now, acc
+            now, acc = pane, part
+    if now is not None:
+        yield now, acc
+
+
+def slide_over(panes: Iterable[tuple[int, object]], lo: int, hi: int, width: int, step: int, shift: int, merge: Callable) -> Iterator[tuple[int, object]]:
+    """(first pane, accumulator) of the windows that start in ``lo`` to ``hi - 1`` and have elements; windows
+    start at panes equal to ``shift`` modulo ``step`` and are ``width`` panes long. ``panes`` ascend."""
+    coming = iter(panes)
+    pane, acc = next(coming, (None, None))
+    older: list = []  # (pane, merge of it and the later ones in older), the earliest last
+    newer: list = []  # (pane, accumulator), after those of older
+    newest = None  # merge of newer
+    start = lo + (shift - lo) % step
+    while start < hi:
+        if not older and not newer:
+            if pane is None:
+                return
+            reach = pane - width + 1  # the first window that reaches the next pane
+            start = max(start, reach + (shift - reach) % step)
+            if start >= hi:
+                return
+        while pane is not None and pane < start + width:
+            if pane >= start:
+                newest = merge(newest, acc) if newer else acc
+                newer.append((pane, acc))
+            pane, acc = next(coming, (None, None))
+        while older and older[-1][0] < start:
+            older.pop()
+        if not older and newer:
+            for at, part in reversed(newer):
+                if at < start:
+                    break
+                older.append((at, merge(part, older[-1][1]) if older else part))
+            newer, newest = [], None
+        if older:
+            yield start, merge(older[-1][1], newest) if newer else older[-1][1]
         start += step
-    return out
-
-
-def _windows(panes: DataFrame, keys: list[str], width: int, step: int, shift: int, fn: AggregateFunction, result_type: str) -> DataFrame:
-    """(keys..., _start, _result) from ``panes(keys..., _pane, _acc)``."""
-    key_fields = [panes.schema[k] for k in keys]
-    parts_schema = T.StructType([*key_fields, *T.StructType.fromDDL("_start long, _part int, _acc binary").fields])
-    tail = [pa.int64(), to_arrow_type(T.StructType.fromDDL(f"r {result_type}")[0].dataType)]
-    wide = target_parallelism(panes.sparkSession)
-
-    def batch_of(rows: list[tuple], types: list, names: list[str]) -> pa.RecordBatch:
-        columns = zip(*rows) if rows else [()] * len(names)
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
-
-    def runs(batches: Iterator[pa.RecordBatch], by: list[str], rest: list[str]):
-        """(key, rows, types of the keys) of each run of equal ``by``."""
-        now, rows, types = None, [], []
-        for batch in batches:
-            types = [batch.schema.field(k).type for k in keys]
-            for row in zip(*(batch.column(c).to_pylist() for c in [*by, *rest])):
-                key = key_of(row[: len(by)])
-                if key != now:
-                    if rows:
-                        yield now, rows, types
-                    now, rows = key, []
-                rows.append(row[len(by) :])
-        if rows:
-            yield now, rows, types
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for key, rows, types in runs(batches, [*keys, "_block"], ["_pane", "_acc"]):
-            held = [(pane, pickle.loads(acc)) for pane, acc in rows]
-            found = block_parts(held, key[-1], width, step, shift, fn.merge)
-            out = [(*value_of(key[:-1]), start, part, pickle.dumps(acc)) for start, part, acc in found]
-            yield batch_of(out, [*types, pa.int64(), pa.int32(), pa.binary()], parts_schema.names)
+
+
+def _windows(rows: DataFrame, keys: list[str], width: int, step: int, shift: int, fn: AggregateFunction, result_type: str) -> DataFrame:
+    """(keys..., _start, _result) from ``rows(keys..., _pane, _value)``."""
+    key_fields = [rows.schema[k] for k in keys]
+    result = to_arrow_type(T.StructType.fromDDL(f"r {result_type}")[0].dataType)
+    stretch = SPAN * width
+    n = len(keys)
+
+    def stretches(key: tuple) -> list[int]:
+        own, within = divmod(key[n], stretch)
+        # windows that reach the first ``width - 1`` panes of a stretch may start in the one before
+        return [own, own - 1] if within < width - 1 else [own]
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out, types = [], []
-        for key, rows, types in runs(batches, [*keys, "_start"], ["_part", "_acc"]):
-            acc = None
-            for _, part in rows:  # suffix, then prefix
-                part = pickle.loads(part)
-                acc = part if acc is None else fn.merge(acc, part)
-            out.append((*value_of(key), fn.get_result(acc)))
-            if len(out) >= 1000:
-                yield batch_of(out, [*types, *tail], [*keys, "_start", "_result"])
-                out = []
-        if out:
-            yield batch_of(out, [*types, *tail], [*keys, "_start", "_result"])
-
-    blocks = panes.withColumn("_block", F.floor(F.col("_pane") / width).cast("long"))
-    blocks = blocks.repartition(wide, *keys, "_block").sortWithinPartitions(*keys, "_block", "_pane")
-    parts = blocks.select(*keys, "_block", "_pane", "_acc").mapInArrow(cut, parts_schema)
-    parts = parts.repartition(wide, *keys, "_start").sortWithinPartitions(*keys, "_start", "_part")
+        types: list = []
+
+        def given_rows():
+            for batch in batches:
+                types[:] = [batch.schema.field(k).type for k in keys]
+                yield from zip(*(batch.column(c).to_pylist() for c in [*keys, "_place", "_pane", "_acc"]))
+
+        out: list[list] = [[] for _ in range(n + 2)]
+
+        def flush():
+            arrays = [pa.array(c, t) for c, t in zip(out, [*types, pa.int64(), result])]
+            for c in out:
+                c.clear()
+            return pa.RecordBatch.from_arrays(arrays, names=[*keys, "_start", "_result"])
+
+        for key, run in groupby(given_rows(), lambda row: key_of(row[: n + 1])):
+            given, lo = value_of(key[:n]), key[n] * stretch
+            panes = merged_panes(((row[n + 1], row[n + 2]) for row in run), fn.merge)
+            for start, acc in slide_over(panes, lo, lo + stretch, width, step, shift, fn.merge):
+                for column, v in zip(out, (*given, start, fn.get_result(acc))):
+                    column.append(v)
+                if len(out[n]) >= BATCH_ROWS:
+                    yield flush()
+        if out[n]:
+            yield flush()
+
+    parts = partials(rows, [*keys, "_pane"], "_value", fn, places=stretches)
+    parts = parts.repartition(target_parallelism(rows.sparkSession), *keys, "_place").sortWithinPartitions(*keys, "_place", "_pane")
     return parts.mapInArrow(joined, T.StructType([*key_fields, *T.StructType.fromDDL(f"_start long, _result {result_type}").fields]))
 
 
@@ -143,8 +145,7 @@ def sliding_aggregate(
     v = F.col(value) if isinstance(value, str) else value
     at = F.floor((micros(df, F.col(ts)) - F.lit(off)) / F.lit(pane)).cast("long")
     rows = df.where(F.col(ts).isNotNull()).select(*keys, at.alias("_pane"), v.alias("_value"))
-    panes = aggregate(rows, [*keys, "_pane"], "_value", _Raw(fn), "binary", "_acc")
-    out = _windows(panes, keys, long // pane, hop // pane, 0, fn, result_type)
+    out = _windows(rows, keys, long // pane, hop // pane, 0, fn, result_type)
     start = F.col("_start") * F.lit(pane) + F.lit(off)
     dt = df.schema[ts].dataType
     times = [from_micros(start, dt).alias("win_start"), from_micros(start + F.lit(long), dt).alias("win_end")]
@@ -165,9 +166,8 @@ def count_sliding_aggregate(
     rows = running(rows, keys, order, [Running("_rn", "count", one), Running("_n", "count", one, whole=True)], hot_rows=hot_rows)
     rows = rows.select(*keys, "_n", F.floor((F.col("_rn") - 1) / pane).cast("long").alias("_pane"), "_value")
     with_n = [*keys, "_n"]
-    panes = aggregate(rows, [*with_n, "_pane"], "_value", _Raw(fn), "binary", "_acc")
     width, step = size // pane, slide // pane
-    out = _windows(panes, with_n, width, step, -width % step, fn, result_type)
+    out = _windows(rows, with_n, width, step, -width % step, fn, result_type)
     end = (F.col("_start") + width) * pane  # elements up to the firing one
     out = out.where((end > 0) & (end <= F.col("_n")))
     return out.select(*keys, F.floor(end / slide).cast("long").alias("fire"), F.least(end, F.lit(size)).cast("long").alias("n_elems"), F.col("_result").alias(result_name))

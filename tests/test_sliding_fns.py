@@ -89,6 +89,30 @@ def test_no_copies_of_rows(spark):
         assert "Expand" not in plan and "Generate" not in plan
 
 
+def test_one_shuffle(spark):
+    """Accumulators of panes are shuffled once; the parts of windows are not."""
+    df = spark.createDataFrame(rows_of(), SCHEMA)
+    out = S.sliding_aggregate(df, ["key"], "ts", "60 seconds", "1 second", "value", Joined(), "string")
+    assert out._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+
+
+@pytest.mark.parametrize("width,step,shift", [(1, 1, 0), (5, 2, 1), (12, 1, 0), (3, 7, 2), (8, 8, 0)])
+def test_windows_at_the_borders_of_stretches(width, step, shift):
+    """Every window comes from the stretch that holds its start, and from no other."""
+    rng = random.Random(width)
+    panes = [(p, (p,)) for p in sorted(rng.sample(range(-60, 90), 40))]
+    want = {}
+    for p, _ in panes:
+        for start in range(p - width + 1, p + 1):
+            if (start - shift) % step == 0:
+                want.setdefault(start, []).append(p)
+    stretch, got = 2 * width, []
+    for lo in range(-80 // stretch * stretch, 100, stretch):
+        mine = [x for x in panes if lo <= x[0] < lo + stretch + width - 1]
+        got += S.slide_over(mine, lo, lo + stretch, width, step, shift, lambda a, b: a + b)
+    assert got == [(start, tuple(ps)) for start, ps in sorted(want.items())]
+
+
 def test_empty_and_streams(spark):
     none = spark.createDataFrame([], SCHEMA)
     assert S.sliding_aggregate(none, ["key"], "ts", "9 seconds", "3 seconds", "value", Joined(), "string").collect() == []
