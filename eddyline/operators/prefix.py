@@ -18,7 +18,9 @@ columns and scans them in parallel:
 2. A key with more than one task's share of the rows (``rows / P``, by the sample's weights) is
    hot and is cut at the boundaries inside it; at most P-1 boundaries, so the table that carries them back is broadcast, bounded by
    construction. All other keys keep bucket 0. A row's bucket depends on the row and the
-   fetched boundaries only, so a re-run task gets the same rows. A scan with no key is one key cut
+   fetched boundaries only, so a re-run task gets the same rows. Where a task's share would be more than
+   ``ROWS_A_TASK`` rows, the data is dealt to up to ``FINER * P`` parts instead of P, so that tasks
+   sort small pieces in memory, however large the input is. A scan with no key is one key cut
    into P ranges; with no hot key the scan is a plain partitioned window.
 3. Local running aggregate over ``(key, bucket)`` ordered by the ordering columns: the only
    shuffle of the data.
@@ -33,6 +35,7 @@ last digits with the number of shuffle partitions, as the order of additions doe
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 from functools import reduce
 
@@ -50,6 +53,9 @@ SAMPLE_SEED = 17
 # thinned to, per shuffle partition
 FAN = 256
 POINTS = 8
+# rows that a task should sort, and how many times the shuffle partitions there may be parts for that
+ROWS_A_TASK = 500_000
+FINER = 4
 SIZE_MARGIN = 64  # pruned columns, compression
 NAN = float("nan")  # one object, so that keys that are NaN meet in a dict
 
@@ -94,6 +100,7 @@ class Buckets:
     keys: list[str]
     any_hot: bool
     dealt: bool = False  # partitioned by (keys, bucket) already
+    parts: int | None = None  # parts to deal the rows to, if more than the shuffle partitions
 
 
 INTERNAL = ("_b", "_hot", "_gk")
@@ -142,14 +149,17 @@ def _groupings(work: DataFrame) -> int:
     return 0 if tasks <= FAN else 1 if tasks <= FAN * FAN else 2
 
 
-def _boundaries(work: DataFrame, keys: list[str], order: list[str], hot_rows: float | None) -> tuple[list, T.StructType]:
-    """At most P-1 sampled rows (keys, ordering columns) that cut the sorted data into
-    parts of about equal row counts (``hot_rows`` rows each, if given), inside keys that are larger."""
+def _boundaries(work: DataFrame, keys: list[str], order: list[str], hot_rows: float | None) -> tuple[list, T.StructType, int | None]:
+    """At most P-1 (on large inputs FINER * P - 1) sampled rows (keys, ordering columns) that cut the sorted
+    data into parts of about equal row counts (``hot_rows`` rows each, if given), inside keys that
+    are larger; and the number of parts, if more than P."""
     sample = _sample(work, keys, order)
     schema = T.StructType(sample.schema.fields[:-1])
     rows = sorted(((tuple(r)[:-1], r[-1]) for r in sample.collect()), key=lambda x: _sort_key(x[0]))
     total = sum(w for _, w in rows)
-    step = max(total / target_parallelism(work.sparkSession), 1.0) if hot_rows is None else float(hot_rows)
+    p = target_parallelism(work.sparkSession)
+    parts = max(p, min(math.ceil(total / ROWS_A_TASK), FINER * p))
+    step = max(total / parts, 1.0) if hot_rows is None else float(hot_rows)
     of_key: dict[tuple, float] = {}
     group = [tuple(NAN if v is not None and v != v else v for v in r[: len(keys)]) for r, _ in rows]
     for key, (_, w) in zip(group, rows):
@@ -160,25 +170,18 @@ def _boundaries(work: DataFrame, keys: list[str], order: list[str], hot_rows: fl
         upto += w
         if crossed and upto < total and of_key[key] > step:
             cuts.append(row)
-    return cuts, schema
+    return cuts, schema, parts if parts > p else None
 
 
-def _bucket_of(bounds: Column, row: Column) -> Column:
-    """Number of boundaries below ``row`` (ordered array, binary search)."""
-    last = F.size(bounds)
-    start = F.struct(F.lit(0).alias("lo"), last.alias("hi"), row.alias("row"))
-
-    def halve(s: Column, _: Column) -> Column:
-        mid = F.floor((s["lo"] + s["hi"]) / 2).cast("int")
-        below = F.get(bounds, mid) < s["row"]
-        return (
-            F.when(s["lo"] >= s["hi"], s)
-            .when(below, F.struct((mid + 1).alias("lo"), s["hi"].alias("hi"), s["row"].alias("row")))
-            .otherwise(F.struct(s["lo"].alias("lo"), mid.alias("hi"), s["row"].alias("row")))
-        )
-
-    steps = F.sequence(F.lit(1), F.ceil(F.log2(last + 1)).cast("int") + 1)
-    return F.aggregate(steps, start, halve)["lo"].cast("long")
+def _with_bucket(df: DataFrame, row: Column, most: int) -> DataFrame:
+    """``df`` with ``_b``, the number of boundaries in ``_bounds`` (ordered, at most ``most`` of them) that are
+    below ``row``: a binary search with a projection for each step, so that it is compiled."""
+    out = df.withColumn("_row", row).withColumn("_b", F.lit(0).cast("long"))
+    for power in reversed(range(most.bit_length())):
+        at = (F.col("_b") + ((1 << power) - 1)).cast("int")
+        below = F.get(F.col("_bounds"), at) < F.col("_row")  # null beyond the end, and where there are no bounds
+        out = out.withColumn("_b", F.col("_b") + F.when(below, 1 << power).otherwise(0))
+    return out.drop("_row")
 
 
 def assign_buckets(df: DataFrame, keys: list[str], order: list[str], hot_rows: float | None = None) -> Buckets:
@@ -189,14 +192,14 @@ def assign_buckets(df: DataFrame, keys: list[str], order: list[str], hot_rows: f
         # one key, but not a literal: the optimizer would make the join below a nested loop
         work = work.withColumn("_gk", F.pmod(F.hash(order[0]), F.lit(1)))
         keys = ["_gk"]
-    cuts, schema = _boundaries(work, keys, order, hot_rows)
+    cuts, schema, parts = _boundaries(work, keys, order, hot_rows)
     per_key: dict[tuple, list[tuple]] = {}
     for row in cuts:  # in order of (keys, ordering columns)
         key = tuple(NAN if v is not None and v != v else v for v in row[: len(keys)])
         per_key.setdefault(key, []).append(row[len(keys) :])
     if not per_key:
         staged = work.withColumn("_b", F.lit(0).cast("long")).withColumn("_hot", F.lit(False))
-        return Buckets(staged, keys, False)
+        return Buckets(staged, keys, False, parts=parts)
     fields = schema.fields
     bounds = T.ArrayType(T.StructType(fields[len(keys) :]))
     hot_names = [f"_hk{i}" for i in range(len(keys))]
@@ -207,9 +210,8 @@ def assign_buckets(df: DataFrame, keys: list[str], order: list[str], hot_rows: f
     on = reduce(lambda a, b: a & b, [_plain(work, k).eqNullSafe(F.col(h)) for k, h in zip(keys, hot_names)])
     joined = work.join(hot, on, "left")
     row = F.struct(*[_plain(work, o).alias(f.name) for o, f in zip(order, fields[len(keys) :])])
-    bucket = F.when(F.col("_bounds").isNull(), F.lit(0).cast("long")).otherwise(_bucket_of(F.col("_bounds"), row))
-    staged = joined.withColumn("_b", bucket).withColumn("_hot", F.col("_bounds").isNotNull())
-    return Buckets(staged.drop(*hot_names, "_bounds"), keys, True)
+    staged = _with_bucket(joined, row, max(map(len, per_key.values()))).withColumn("_hot", F.col("_bounds").isNotNull())
+    return Buckets(staged.drop(*hot_names, "_bounds"), keys, True, parts=parts)
 
 
 def _local(a: Running) -> Column:
@@ -255,13 +257,18 @@ def running(
     cols = [c for c in staged.columns if c not in INTERNAL]
 
     # 3. local scan within (key, bucket)
-    if buckets.any_hot and not buckets.dealt:
-        staged = staged.repartition(*keys, "_b")
+    if not buckets.dealt:
+        if buckets.parts:
+            staged = staged.repartition(buckets.parts, *keys, "_b")
+        elif buckets.any_hot:
+            staged = staged.repartition(*keys, "_b")
     by_bucket = Window.partitionBy(*keys, "_b").orderBy(*order)
     up_to = by_bucket.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     seen = up_to if inclusive else by_bucket.rowsBetween(Window.unboundedPreceding, -1)
     all_rows = by_bucket.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    local = staged.withColumn("_lcnt", F.count(F.lit(1)).over(seen))
+    local = staged
+    if any(a.kind == "last" and not a.whole for a in aggs):  # whether the bucket has rows up to here
+        local = local.withColumn("_lcnt", F.count(F.lit(1)).over(seen))
     for a in aggs:
         local = local.withColumn(f"_l_{a.name}", _local(a).over(all_rows if a.whole else seen))
 

@@ -280,3 +280,24 @@ def test_boundary_sample_is_merged_in_a_tree(spark, monkeypatch):
     b = prefix.assign_buckets(df, ["k"], ["seq"])
     hot = [r["count"] for r in b.df.where("k = 7").groupBy("_b").count().collect()]
     assert b.any_hot and len(hot) > 1 and max(hot) < 2 * 100_000 / width
+
+
+def test_large_inputs_are_dealt_to_more_parts(spark, monkeypatch):
+    """More parts than shuffle partitions where a task would sort too many rows; buckets are found without
+    higher-order functions, which Spark does not compile; the results are those of one scan."""
+    from eddyline.operators import prefix
+
+    monkeypatch.setattr(prefix, "ROWS_A_TASK", 50)
+    rows = [(i // 7, i % 7, "a" if i % 3 else None if i % 5 == 0 else f"k{i % 40}") for i in range(900)]
+    df = spark.createDataFrame(rows, "a long, b long, key string").repartition(3)
+    cut = prefix.assign_buckets(df, ["key"], ["a", "b"])
+    assert 4 < cut.parts <= 16 and cut.any_hot
+    assert cut.df.where("key = 'a'").select("_b").distinct().count() > 4
+    specs = [prefix.Running("n", "count", F.lit(1)), prefix.Running("prev", "last", "b", whole=False)]
+    out = prefix.running(df, ["key"], ["a", "b"], specs)
+    assert "lambda" not in out._jdf.queryExecution().optimizedPlan().toString()
+    seen, want = {}, []
+    for a, b, key in rows:
+        seen[key] = seen.get(key, 0) + 1
+        want.append((a, b, key, seen[key], b))
+    assert sorted(map(tuple, out.collect())) == want
