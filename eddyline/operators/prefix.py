@@ -19,8 +19,8 @@ columns and scans them in parallel:
    hot and is cut at the boundaries inside it; at most P-1 boundaries, so the table that carries them back is broadcast, bounded by
    construction. All other keys keep bucket 0. A row's bucket depends on the row and the
    fetched boundaries only, so a re-run task gets the same rows. Where a task's share would be more than
-   ``ROWS_A_TASK`` rows, the data is cut for and dealt to more parts than P (as many as the sample can
-   tell), so that tasks sort small pieces in memory, however large the input is. A scan with no key is one key cut
+   ``ROWS_A_TASK`` rows, the rows are dealt to more parts than P (the boundaries stay), so that tasks sort
+   smaller pieces, however large the input is. A scan with no key is one key cut
    into P ranges; with no hot key the scan is a plain partitioned window.
 3. Local running aggregate over ``(key, bucket)`` ordered by the ordering columns: the only
    shuffle of the data.
@@ -148,16 +148,16 @@ def _groupings(work: DataFrame) -> int:
 
 
 def _boundaries(work: DataFrame, keys: list[str], order: list[str], hot_rows: float | None) -> tuple[list, T.StructType, int | None]:
-    """At most P-1 (on large inputs POINTS / 2 * P - 1) sampled rows (keys, ordering columns) that cut the sorted
-    data into parts of about equal row counts (``hot_rows`` rows each, if given), inside keys that
-    are larger; and the number of parts, if more than P."""
+    """At most P-1 sampled rows (keys, ordering columns) that cut the sorted data into
+    parts of about equal row counts (``hot_rows`` rows each, if given), inside keys that are larger;
+    and the number of parts to deal the rows to, if more than P."""
     sample = _sample(work, keys, order)
     schema = T.StructType(sample.schema.fields[:-1])
     rows = sorted(((tuple(r)[:-1], r[-1]) for r in sample.collect()), key=lambda x: _sort_key(x[0]))
     total = sum(w for _, w in rows)
     p = target_parallelism(work.sparkSession)
     parts = max(p, math.ceil(total / ROWS_A_TASK))
-    step = max(total / min(parts, POINTS // 2 * p), 1.0) if hot_rows is None else float(hot_rows)
+    step = max(total / p, 1.0) if hot_rows is None else float(hot_rows)
     of_key: dict[tuple, float] = {}
     group = [tuple(NAN if v is not None and v != v else v for v in r[: len(keys)]) for r, _ in rows]
     for key, (_, w) in zip(group, rows):

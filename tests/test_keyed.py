@@ -292,7 +292,7 @@ def test_large_inputs_are_dealt_to_more_parts(spark, monkeypatch):
     df = spark.createDataFrame(rows, "a long, b long, key string").repartition(3)
     cut = prefix.assign_buckets(df, ["key"], ["a", "b"])
     assert 4 < cut.parts < 40 and cut.any_hot
-    assert cut.df.where("key = 'a'").select("_b").distinct().count() > 4
+    assert 1 < cut.df.where("key = 'a'").select("_b").distinct().count() <= 4
     specs = [prefix.Running("n", "count", F.lit(1)), prefix.Running("prev", "last", "b", whole=False)]
     out = prefix.running(df, ["key"], ["a", "b"], specs)
     assert "lambda" not in out._jdf.queryExecution().optimizedPlan().toString()
